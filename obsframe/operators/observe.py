@@ -54,7 +54,7 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
     pct = F.col("n_anomalies") * 100.0 / F.col("n")
     sev = (F.when(F.col("n_anomalies") == 0, "INFO").when(pct > critical_pct, "CRITICAL").otherwise("WARNING"))
     return cnt.select(sev.alias("severity"), F.lit("ANOMALY").alias("category"), F.lit(table).alias("table_name"),
-                      "column_name", F.round(pct, 2).alias("observed"), "n_anomalies",
+                      "column_name", F.round(pct, 2).alias("observed"), "n_anomalies", F.col("n").alias("n_values"),
                       F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
@@ -96,19 +96,22 @@ def schema_drift(spark: SparkSession, table: str, actual_columns: Sequence[str],
     return spark.createDataFrame(rows, ALERT_SCHEMA)
 
 
-def mean_drift(df: DataFrame, table: str, baseline: DataFrame, z: float = Z_SCORE_THRESHOLD) -> DataFrame:
-    """``baseline(column_name, base_mean, base_std)``: |mean - base_mean| / base_std > z -> WARNING.
+def mean_drift_scores(df: DataFrame, baseline: DataFrame, z: float = Z_SCORE_THRESHOLD) -> DataFrame:
+    """Per numeric column: z = |mean - base_mean| / base_std and ``drifted`` (z > threshold).
 
-    Columns whose baseline sd is 0 are skipped.
+    ``baseline(column_name, base_mean, base_std)``; columns whose baseline sd is 0 are skipped.
     """
-    cols = [c for c in numeric_columns(df)]
-    cur = _long_numeric(df, cols).groupBy("column_name").agg(F.avg("x").alias("current_mean"))
+    cur = _long_numeric(df, numeric_columns(df)).groupBy("column_name").agg(F.avg("x").alias("current_mean"))
     j = cur.join(baseline.filter(F.col("base_std") != 0), "column_name", "inner")
     score = F.abs(F.col("current_mean") - F.col("base_mean")) / F.col("base_std")
-    return (j.select(F.lit("WARNING").alias("severity"), F.lit("DRIFT").alias("category"),
-                     F.lit(table).alias("table_name"), "column_name", F.round(score, 2).alias("observed"),
-                     F.round("current_mean", 4).alias("current_mean"), F.round("base_mean", 4).alias("base_mean"))
-             .filter(score > z))
+    return j.select("column_name", score.alias("z"), "current_mean", "base_mean", (score > z).alias("drifted"))
+
+
+def mean_drift(df: DataFrame, table: str, baseline: DataFrame, z: float = Z_SCORE_THRESHOLD) -> DataFrame:
+    """DRIFT alerts (WARNING) for columns whose mean moved more than ``z`` baseline sds."""
+    s = mean_drift_scores(df, baseline, z).filter(F.col("drifted"))
+    return s.select(F.lit("WARNING").alias("severity"), F.lit("DRIFT").alias("category"),
+                    F.lit(table).alias("table_name"), "column_name", F.round("z", 2).alias("observed"))
 
 
 def baseline_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
