@@ -52,12 +52,31 @@ def year_end_date(c) -> Column:
     return F.make_date(_as_col(c).cast("int"), F.lit(12), F.lit(31))
 
 
+def round_to(c, digits: int) -> Column:
+    """Round a DOUBLE to ``digits`` decimals, half away from zero on the binary value.
+
+    This is C's ``round(x * 10^d) / 10^d`` (what most SQL engines do for DOUBLE),
+    computed exactly: the integer part is split off, and the fractional part of
+    ``x * 10^d`` is exact, so the half-way test has no rounding error of its own.
+    Spark's built-in ``round`` instead rounds the shortest decimal text of the
+    double, which differs on values such as 133.2581875. Zero keeps its sign.
+    """
+    x = _as_col(c).cast("double")
+    m = F.lit(float(10 ** digits))
+    y = x * m
+    t = F.when(y >= 0, F.floor(y)).otherwise(F.ceil(y)).cast("double")
+    r = F.when(F.abs(y - t) >= 0.5, t + F.signum(y)).otherwise(t)
+    exact = F.abs(y) >= F.lit(4503599627370496.0)          # 2^52: y is already integral
+    return (F.when(x.isNull() | F.isnan(x), x).when(exact, y / m)
+             .when(r == 0, y * 0.0).otherwise(r / m))
+
+
 def signif(c, digits: int) -> Column:
     """Round to ``digits`` significant digits (NULL and 0 pass through)."""
     x = _as_col(c)
     mag = F.floor(F.log10(F.abs(x)))
     scale = F.pow(F.lit(10.0), F.lit(digits - 1) - mag)
-    return F.when(x.isNull() | (x == 0), x).otherwise(F.round(x * scale) / scale)
+    return F.when(x.isNull() | (x == 0), x).otherwise(round_to(x * scale, 0) / scale)
 
 
 def snake_case(name: str) -> str:

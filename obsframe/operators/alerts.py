@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 from obsframe.operators.joins import bounded_broadcast
 
 # --- fixed values: severity -> channels, and which channels are enabled by default ---
@@ -39,7 +41,7 @@ def anomaly_rule(counts: DataFrame, critical_pct: float = 10.0) -> DataFrame:
     pct = F.try_divide(F.col("n_anomalies") * 100.0, F.col("n_total"))
     return counts.select(F.when(pct > critical_pct, "CRITICAL").otherwise("WARNING").alias("severity"),
                          F.lit("ANOMALY").alias("category"), "table_name", "column_name",
-                         F.round(pct, 2).alias("observed"))
+                         round_to(pct, 2).alias("observed"))
 
 
 def schema_change_rule(changes: DataFrame) -> DataFrame:
@@ -54,14 +56,14 @@ def volume_drop_rule(volumes: DataFrame, critical_pct: float = 30.0) -> DataFram
     drop = F.try_divide((F.col("expected") - F.col("actual")) * 100.0, F.col("expected"))
     return volumes.select(F.when(drop > critical_pct, "CRITICAL").otherwise("WARNING").alias("severity"),
                           F.lit("VOLUME_DROP").alias("category"), "table_name",
-                          F.lit(None).cast("string").alias("column_name"), F.round(drop, 2).alias("observed"))
+                          F.lit(None).cast("string").alias("column_name"), round_to(drop, 2).alias("observed"))
 
 
 def null_spike_rule(nulls: DataFrame, critical_pct: float = 20.0) -> DataFrame:
     """``(table_name, column_name, null_pct)``: strictly above critical_pct CRITICAL, otherwise WARNING."""
     return nulls.select(F.when(F.col("null_pct") > critical_pct, "CRITICAL").otherwise("WARNING").alias("severity"),
                         F.lit("NULL_SPIKE").alias("category"), "table_name", "column_name",
-                        F.round("null_pct", 2).alias("observed"))
+                        round_to("null_pct", 2).alias("observed"))
 
 
 def data_check_rule(results: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def data_check_rule(results: DataFrame) -> DataFrame:
 def stage_events(runs: DataFrame) -> DataFrame:
     """Run log ``(run_id, stage, started, ended, ok, rows)`` -> duration and a STAGE alert per row."""
     dur = (F.unix_timestamp("ended") - F.unix_timestamp("started")) / 60.0
-    return runs.select("run_id", "stage", F.round(dur, 2).alias("duration_minutes"), "rows", "ok",
+    return runs.select("run_id", "stage", round_to(dur, 2).alias("duration_minutes"), "rows", "ok",
                        F.when(F.col("ok"), "INFO").otherwise("CRITICAL").alias("severity"),
                        F.lit("STAGE").alias("category"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import col_ref, year_end_date
+from obsframe.functions.columns import col_ref, round_to, year_end_date
 from obsframe.functions.stats import guarded_corr
 from obsframe.schema import CHECK_RESULT_SCHEMA, NULL_PCT_MAX
 
@@ -165,5 +165,5 @@ def summary(results: DataFrame) -> DataFrame:
     g = results.agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"))
     return g.select(
         "total", "passed", (F.col("total") - F.col("passed")).alias("failed"),
-        F.coalesce(F.round(F.try_divide(F.col("passed") * 100.0, F.col("total")), 1), F.lit(0.0)).alias("pass_rate"),
+        F.coalesce(round_to(F.try_divide(F.col("passed") * 100.0, F.col("total")), 1), F.lit(0.0)).alias("pass_rate"),
         ((F.col("total") > 0) & (F.col("passed") == F.col("total"))).alias("ok"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.functions.columns import year_of
+from obsframe.functions.columns import round_to, year_of
 from obsframe.operators.joins import year_panel_broadcast
 from obsframe.schema import VALID_YEAR_MAX, VALID_YEAR_MIN
 
@@ -84,7 +84,7 @@ def composite_index(a: DataFrame, b: DataFrame, on: str, expr, lo: float, hi: fl
                     digits: int = 2, out: str = "index") -> DataFrame:
     """Inner join on the key intersection, then ``round(clip(expr, lo, hi), digits)``."""
     j = a.join(b, on=on, how="inner")
-    return j.withColumn(out, F.round(F.greatest(F.lit(lo), F.least(F.lit(hi), expr)), digits))
+    return j.withColumn(out, round_to(F.greatest(F.lit(lo), F.least(F.lit(hi), expr)), digits))
 
 
 # ---- benchmark ---------------------------------------------------------------------------

@@ -62,8 +62,9 @@ def random_forest_cv(train: DataFrame, test: DataFrame, label: str, features: Se
                         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"))
     best = cv.fit(tr).bestModel
     imp = best.featureImportances.toArray()
-    top = max(imp) if len(imp) and max(imp) > 0 else 1.0
-    rows = sorted(((f, round(float(v) * 100.0 / top, 2)) for f, v in zip(features, imp)), key=lambda r: -r[1])[:10]
+    top = float(max(imp)) if len(imp) and max(imp) > 0 else 1.0
+    rows = sorted(((f, float(round(float(v) * 100.0 / top, 2))) for f, v in zip(features, imp)),
+                  key=lambda r: (-r[1], r[0]))[:10]
     importances = train.sparkSession.createDataFrame(rows, "feature string, importance double")
     return _evaluate(best, te, label), importances
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import col_ref
+from obsframe.functions.columns import col_ref, round_to
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.schema import (
     ALERT_SCHEMA, ANOMALY_CRITICAL_PCT, ANOMALY_MIN_VALUES, NULL_PCT_CRITICAL, NULL_PCT_WARN,
@@ -54,8 +54,8 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
     pct = F.col("n_anomalies") * 100.0 / F.col("n")
     sev = (F.when(F.col("n_anomalies") == 0, "INFO").when(pct > critical_pct, "CRITICAL").otherwise("WARNING"))
     return cnt.select(sev.alias("severity"), F.lit("ANOMALY").alias("category"), F.lit(table).alias("table_name"),
-                      "column_name", F.round(pct, 2).alias("observed"), "n_anomalies", F.col("n").alias("n_values"),
-                      F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+                      "column_name", round_to(pct, 2).alias("observed"), "n_anomalies", F.col("n").alias("n_values"),
+                      round_to("mean", 4).alias("mean"), round_to("std", 4).alias("std"))
 
 
 def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,
@@ -69,7 +69,7 @@ def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,
     pct = F.try_divide(F.col("nulls") * 100.0, F.col("_n"))
     sev = F.when(pct >= critical_pct, "CRITICAL").when(pct >= warn_pct, "WARNING")
     return (cells.select(sev.alias("severity"), F.lit("NULL").alias("category"), F.lit(table).alias("table_name"),
-                         "column_name", F.round(pct, 2).alias("observed"))
+                         "column_name", round_to(pct, 2).alias("observed"))
                  .filter(F.col("severity").isNotNull()))
 
 
@@ -80,7 +80,7 @@ def volume_drop(actual: DataFrame, expected: DataFrame, critical_pct: float = VO
     drop = F.try_divide((F.col("expected") - F.col("actual")) * 100.0, F.col("expected"))
     sev = F.when(drop > critical_pct, "CRITICAL").when(drop > warn_pct, "WARNING")
     return (j.select(sev.alias("severity"), F.lit("VOLUME").alias("category"), "table_name",
-                     F.lit(None).cast("string").alias("column_name"), F.round(drop, 2).alias("observed"))
+                     F.lit(None).cast("string").alias("column_name"), round_to(drop, 2).alias("observed"))
              .filter(F.col("severity").isNotNull()))
 
 
@@ -111,7 +111,7 @@ def mean_drift(df: DataFrame, table: str, baseline: DataFrame, z: float = Z_SCOR
     """DRIFT alerts (WARNING) for columns whose mean moved more than ``z`` baseline sds."""
     s = mean_drift_scores(df, baseline, z).filter(F.col("drifted"))
     return s.select(F.lit("WARNING").alias("severity"), F.lit("DRIFT").alias("category"),
-                    F.lit(table).alias("table_name"), "column_name", F.round("z", 2).alias("observed"))
+                    F.lit(table).alias("table_name"), "column_name", round_to("z", 2).alias("observed"))
 
 
 def baseline_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

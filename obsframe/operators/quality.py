@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 DIM_KEY = ["source", "dataset", "code", "name"]
 
 
@@ -33,7 +35,7 @@ def missingness(long: DataFrame, by: Sequence[str] = ("code", "name")) -> DataFr
     """Per group: n_nonnull, n_total, n_missing, pct_missing (100 * missing / total)."""
     agg = long.groupBy(*by).agg(F.count("value").alias("n_nonnull"), F.count(F.lit(1)).alias("n_total"))
     return (agg.withColumn("n_missing", F.col("n_total") - F.col("n_nonnull"))
-               .withColumn("pct_missing", F.round(F.col("n_missing") * 100.0 / F.col("n_total"), 4)))
+               .withColumn("pct_missing", round_to(F.col("n_missing") * 100.0 / F.col("n_total"), 4)))
 
 
 def quality_report(long: DataFrame, by: Sequence[str] = DIM_KEY) -> DataFrame:
@@ -51,7 +53,7 @@ def quality_report(long: DataFrame, by: Sequence[str] = DIM_KEY) -> DataFrame:
     pct_missing = (F.col("n_total") - F.col("n_nonnull")) * 100.0 / F.col("n_total")
     return agg.select(
         *by, "n_total", "n_nonnull", (F.col("n_total") - F.col("n_nonnull")).alias("n_missing"),
-        F.round(pct_missing, 1).alias("pct_missing"), F.round(100.0 - pct_missing, 1).alias("pct_complete"),
+        round_to(pct_missing, 1).alias("pct_missing"), round_to(100.0 - pct_missing, 1).alias("pct_complete"),
         "year_min", "year_max",
     )
 
@@ -75,8 +77,8 @@ def column_profile(panel_long: DataFrame, code: str = "code", t: str = "year", v
     )
     return agg.select(
         code, F.lit("numeric").alias("type"), "n_non_na", "n_total",
-        F.round(F.col("n_non_na") * 100.0 / F.col("n_total"), 1).alias("pct_filled"),
-        *[F.round(c, 4).alias(c) for c in ("mean_val", "sd_val", "min_val", "max_val")],
+        round_to(F.col("n_non_na") * 100.0 / F.col("n_total"), 1).alias("pct_filled"),
+        *[round_to(c, 4).alias(c) for c in ("mean_val", "sd_val", "min_val", "max_val")],
         "year_min", "year_max",
     )
 
@@ -130,6 +132,6 @@ def describe(series: DataFrame, by: str | Sequence[str] = "code", value: str = "
         ((F.col("_g2") + 3) * F.pow((n - 1) / n, 2) - 3).alias("kurtosis"),
         (F.col("sd") / F.sqrt(n)).alias("se"),
     )
-    return out.select(*by, "n", *[F.round(c, 6).alias(c) for c in
+    return out.select(*by, "n", *[round_to(c, 6).alias(c) for c in
                                   ("mean", "sd", "median", "trimmed", "mad", "min", "max", "range",
                                    "skew", "kurtosis", "se")])

@@ -32,7 +32,7 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = No
     if not values:
         raise ValueError("unpivot needs at least one measure column")
     typed = df.select(*[col_ref(i) for i in ids], *[safe_double(v).alias(v) for v in values])
-    out = typed.unpivot(list(ids), values, code_col, value_col)
+    out = typed.unpivot([col_ref(i) for i in ids], [col_ref(v) for v in values], code_col, value_col)
     return out.filter(F.col(value_col).isNotNull()) if drop_empty else out
 
 

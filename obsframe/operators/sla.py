@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.schema import FRESHNESS_TIER_HOURS
 
@@ -61,7 +63,7 @@ def freshness_sla(updated: DataFrame, as_of: str, config: DataFrame | None = Non
     age = (F.unix_timestamp(F.to_timestamp(F.lit(as_of))) - F.unix_timestamp(F.col("updated_at").cast("timestamp"))) / 3600.0
     status = (F.when(F.col("updated_at").isNull(), "MISSING")
                .when(age <= F.col("max_age_hours"), "FRESH").otherwise("STALE"))
-    return j.select("table_name", "tier", status.alias("status"), F.round(age, 1).alias("age_hours"),
+    return j.select("table_name", "tier", status.alias("status"), round_to(age, 1).alias("age_hours"),
                     F.col("max_age_hours").alias("sla_hours"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 from obsframe.operators import clean, marts, quality, reshape, series
 from obsframe.plans import testdata as td
 from obsframe.plans.registry import register, rounded
@@ -157,7 +159,7 @@ def q_nested_json(spark, sf_dir):
     """A5: one ``{"values": {code: {country: {period: value}}}}`` document per (code, country), flattened."""
     e = td.table(spark, sf_dir, "events")
     cells = e.groupBy("event_type", "user_id", F.dayofmonth("ts").alias("d")).agg(
-        F.round(F.sum("value"), 2).alias("v"))
+        round_to(F.sum("value"), 2).alias("v"))
     docs = cells.groupBy("event_type", "user_id").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("d").cast("string"), "v"))).alias("m"))
     country = F.concat(F.lit("U"), F.col("user_id").cast("string"))
@@ -306,11 +308,11 @@ FROM a FULL JOIN b ON a.year = b.year FULL JOIN c ON coalesce(a.year, b.year) =
 def q_three_way_by_year(spark, sf_dir):
     """Three yearly series, chained full outer joins on year."""
     o = td.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.round(F.sum("o_totalprice"), 2).alias("orders_total"))
+        round_to(F.sum("o_totalprice"), 2).alias("orders_total"))
     li = td.table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("year")).agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("lineitem_revenue"))
+        round_to(F.sum("l_extendedprice"), 2).alias("lineitem_revenue"))
     ev = td.table(spark, sf_dir, "events").groupBy(F.year("ts").alias("year")).agg(
-        F.round(F.sum("value"), 2).alias("events_value"))
+        round_to(F.sum("value"), 2).alias("events_value"))
     return marts.full_join_on([o, li, ev], "year")
 
 
@@ -340,7 +342,7 @@ FROM a JOIN b USING (year) WHERE growth IS NOT NULL""")
 def q_composite_index(spark, sf_dir):
     """C5 + B23: inner join on the key intersection, clipped and rounded linear index."""
     tot = td.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.round(F.sum("o_totalprice"), 2).alias("total")).withColumn("series", F.lit(1))
+        round_to(F.sum("o_totalprice"), 2).alias("total")).withColumn("series", F.lit(1))
     g = series.yoy_growth(tot, "series", "year", "total").filter(F.col("growth").isNotNull()).select("year", "growth")
     u = td.table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("year")).agg(
         (F.avg("l_discount") * 100.0).alias("u"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 from obsframe.operators import marts, quality, series, stats
 from obsframe.plans import testdata as td
 from obsframe.plans.catalog_core import ONW
@@ -36,8 +38,21 @@ interp AS (SELECT code, entity, day, value,
 
 CHAIN = INTERP + """,
 f AS (SELECT *, coalesce(v_interp, avg(v_interp) OVER (PARTITION BY code, entity)) AS v_filled FROM interp),
-q AS (SELECT *, quantile_cont(v_filled, 0.05) OVER (PARTITION BY code, entity) AS q05,
-               quantile_cont(v_filled, 0.95) OVER (PARTITION BY code, entity) AS q95 FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY code, entity ORDER BY v_filled NULLS LAST) AS rk,
+             (count(v_filled) OVER (PARTITION BY code, entity) - 1) * CAST(0.05 AS DOUBLE) AS p05,
+             (count(v_filled) OVER (PARTITION BY code, entity) - 1) * CAST(0.95 AS DOUBLE) AS p95 FROM f),
+qs AS (SELECT code, entity, any_value(p05) AS p05, any_value(p95) AS p95,
+              any_value(v_filled) FILTER (WHERE rk = floor(p05) + 1) AS a05,
+              any_value(v_filled) FILTER (WHERE rk = ceil(p05) + 1) AS b05,
+              any_value(v_filled) FILTER (WHERE rk = floor(p95) + 1) AS a95,
+              any_value(v_filled) FILTER (WHERE rk = ceil(p95) + 1) AS b95
+       FROM r GROUP BY code, entity),
+q AS (SELECT f.*,
+        CASE WHEN floor(p05) = ceil(p05) OR a05 = b05 THEN a05
+             ELSE (ceil(p05) - p05) * a05 + (p05 - floor(p05)) * b05 END AS q05,
+        CASE WHEN floor(p95) = ceil(p95) OR a95 = b95 THEN a95
+             ELSE (ceil(p95) - p95) * a95 + (p95 - floor(p95)) * b95 END AS q95
+      FROM f JOIN qs ON f.code = qs.code AND f.entity = qs.entity),
 wz AS (SELECT *, CASE WHEN v_filled IS NOT NULL THEN greatest(q05, least(q95, v_filled)) END AS v_winsor FROM q),
 z AS (SELECT *, (v_winsor - avg(v_winsor) OVER (PARTITION BY code, entity))
                 / nullif(stddev_samp(v_winsor) OVER (PARTITION BY code, entity), 0) AS v_scaled FROM wz)"""
@@ -54,7 +69,7 @@ gr AS (SELECT entity, year, value,
 
 def nation_revenue(spark, sf_dir):
     """(entity, year, value) with revenue rounded to cents at the source."""
-    return td.nation_revenue(spark, sf_dir).withColumn("value", F.round("value", 2))
+    return td.nation_revenue(spark, sf_dir).withColumn("value", round_to("value", 2))
 
 
 # ------------------------------------------------------------------------ panel ----
@@ -75,7 +90,7 @@ def q_interpolate(spark, sf_dir):
 
 @register("panel_clean", "WITH " + CHAIN + """
 SELECT code, entity, day, round(value, 6) AS value, round(v_interp, 6) AS v_interp, round(v_filled, 6) AS v_filled,
-       round(v_winsor, 6) AS v_winsor, round(v_scaled, 6) + 0.0 AS v_scaled FROM z""")
+       round(v_winsor, 6) AS v_winsor, round(v_scaled, 6) AS v_scaled FROM z""")
 def q_panel_clean(spark, sf_dir):
     """E5 -> E6 mean fill -> E7 winsorise (exact 5/95 % quantiles) -> E8 z-score, one shuffle."""
     out = series.chain_clean(td.event_panel(spark, sf_dir), ["code", "entity"], "day", "value")
@@ -115,19 +130,32 @@ def q_latest_observation(spark, sf_dir):
 
 @register("describe", """
 WITH d AS (SELECT event_type AS code, CAST(day(ts) AS INTEGER) AS day, avg(value) AS x FROM events GROUP BY ALL),
-m AS (SELECT *, count(*) OVER (PARTITION BY code) AS cnt, avg(x) OVER (PARTITION BY code) AS mu,
-             median(x) OVER (PARTITION BY code) AS med, row_number() OVER (PARTITION BY code ORDER BY x) AS rk FROM d),
+m0 AS (SELECT *, count(*) OVER (PARTITION BY code) AS cnt, avg(x) OVER (PARTITION BY code) AS mu,
+              row_number() OVER (PARTITION BY code ORDER BY x) AS rk,
+              (count(*) OVER (PARTITION BY code) - 1) * CAST(0.5 AS DOUBLE) AS pm FROM d),
+md AS (SELECT code, any_value(pm) AS pm, any_value(x) FILTER (WHERE rk = floor(pm) + 1) AS a,
+              any_value(x) FILTER (WHERE rk = ceil(pm) + 1) AS b FROM m0 GROUP BY code),
+m AS (SELECT m0.*, CASE WHEN floor(md.pm) = ceil(md.pm) OR a = b THEN a
+                        ELSE (ceil(md.pm) - md.pm) * a + (md.pm - floor(md.pm)) * b END AS med
+      FROM m0 JOIN md ON m0.code = md.code),
+dev AS (SELECT code, abs(x - med) AS ad, row_number() OVER (PARTITION BY code ORDER BY abs(x - med)) AS rk2, pm FROM m),
+mad AS (SELECT code, CASE WHEN floor(any_value(pm)) = ceil(any_value(pm)) THEN any_value(ad) FILTER (WHERE rk2 = floor(pm) + 1)
+                          WHEN any_value(ad) FILTER (WHERE rk2 = floor(pm) + 1) = any_value(ad) FILTER (WHERE rk2 = ceil(pm) + 1)
+                          THEN any_value(ad) FILTER (WHERE rk2 = floor(pm) + 1)
+                          ELSE (ceil(any_value(pm)) - any_value(pm)) * any_value(ad) FILTER (WHERE rk2 = floor(pm) + 1)
+                             + (any_value(pm) - floor(any_value(pm))) * any_value(ad) FILTER (WHERE rk2 = ceil(pm) + 1) END AS mad_raw
+        FROM dev GROUP BY code),
 a AS (SELECT code, count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd, any_value(med) AS median,
              avg(x) FILTER (WHERE rk > floor(0.1 * cnt) AND rk <= cnt - floor(0.1 * cnt)) AS trimmed,
-             1.4826 * median(abs(x - med)) AS mad, min(x) AS mn, max(x) AS mx,
+             min(x) AS mn, max(x) AS mx,
              avg(power(x - mu, 2)) AS m2, avg(power(x - mu, 3)) AS m3, avg(power(x - mu, 4)) AS m4
       FROM m GROUP BY code)
-SELECT code, n, round(mean, 6) AS mean, round(sd, 6) AS sd, round(median, 6) AS median, round(trimmed, 6) AS trimmed,
-       round(mad, 6) AS mad, round(mn, 6) AS min, round(mx, 6) AS max, round(mx - mn, 6) AS range,
+SELECT a.code, n, round(mean, 6) AS mean, round(sd, 6) AS sd, round(median, 6) AS median, round(trimmed, 6) AS trimmed,
+       round(1.4826 * mad_raw, 6) AS mad, round(mn, 6) AS min, round(mx, 6) AS max, round(mx - mn, 6) AS range,
        round(m3 / power(m2, 1.5) * power((n - 1.0) / n, 1.5), 6) AS skew,
        round(m4 / power(m2, 2) * power((n - 1.0) / n, 2) - 3, 6) AS kurtosis,
        round(sd / sqrt(n), 6) AS se
-FROM a""")
+FROM a JOIN mad ON a.code = mad.code""")
 def q_describe(spark, sf_dir):
     """Psych-style descriptive statistics of each daily series."""
     return quality.describe(td.event_daily(spark, sf_dir), "code", "value")
@@ -284,7 +312,7 @@ def q_series_gap(spark, sf_dir):
     """Gap between two series by period (returned 'R' vs accepted 'A' revenue)."""
     li = td.table(spark, sf_dir, "lineitem")
     s = li.groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("code")).agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("value"))
+        round_to(F.sum("l_extendedprice"), 2).alias("value"))
     return rounded(series.series_gap(s, "year", "code", "R", "A"), 2, only=["gap"])
 
 
@@ -307,7 +335,7 @@ def q_executive_summary(spark, sf_dir):
     a = s.agg(
         F.min("year").cast("double").alias("first_year"), F.max("year").cast("double").alias("last_year"),
         F.count(v).cast("double").alias("n_years"),
-        F.round(100 * (F.pow(F.max_by(v, "year") / F.min_by(v, "year"), 1.0 / (F.count(v) - 1)) - 1), 4).alias("cagr_pct"),
+        round_to(100 * (F.pow(F.max_by(v, "year") / F.min_by(v, "year"), 1.0 / (F.count(v) - 1)) - 1), 4).alias("cagr_pct"),
         F.count_if(F.col("growth") < 0).cast("double").alias("recession_years"),
-        F.round(F.avg("growth"), 4).alias("growth_mean"), F.round(F.stddev_samp("growth"), 4).alias("growth_sd"))
+        round_to(F.avg("growth"), 4).alias("growth_mean"), round_to(F.stddev_samp("growth"), 4).alias("growth_sd"))
     return a.unpivot([], a.columns, "metric", "value")

@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from obsframe.functions.columns import round_to
 from pyspark.sql import types as T
 
 QUERIES: dict[str, tuple[Callable, str | None]] = {}
@@ -26,5 +28,5 @@ def rounded(df: DataFrame, digits: int = 6, only: Sequence[str] | None = None, s
     out = []
     for f in df.schema.fields:
         hit = isinstance(f.dataType, T.DoubleType) and (only is None or f.name in only) and f.name not in skip
-        out.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if hit else F.col(f"`{f.name}`"))
+        out.append(round_to(F.col(f"`{f.name}`"), digits).alias(f.name) if hit else F.col(f"`{f.name}`"))
     return df.select(*out)

@@ -19,6 +19,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsframe.functions.columns import round_to
+
 from obsframe.operators import reshape
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.sources.registry import SourceSpec, indicators_long
@@ -68,8 +70,8 @@ def nation_totals_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = reshape.pivot_values(o, "year", max_width=201)
     wide = reshape.pivot(o, "nation", "year", "o_totalprice", values=years, agg="sum",
                          names={y: f"total_{y}" for y in years})
-    wide = wide.select("nation", *[F.round(f"total_{y}", 2).alias(f"total_{y}") for y in years])
-    total_all = o.groupBy("nation").agg(F.round(F.sum("o_totalprice"), 2).alias("total_all"))
+    wide = wide.select("nation", *[round_to(f"total_{y}", 2).alias(f"total_{y}") for y in years])
+    total_all = o.groupBy("nation").agg(round_to(F.sum("o_totalprice"), 2).alias("total_all"))
     return wide.join(total_all, "nation")
 
 
