@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to
-
 from obsframe.operators.joins import bounded_broadcast
 
 # --- fixed values: severity -> channels, and which channels are enabled by default ---

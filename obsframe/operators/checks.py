@@ -80,10 +80,16 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             for c in r["columns"]:
                 if c not in cols:
                     continue
-                distinct = metric(f"_ud{ri}_{c}", F.count_distinct(col_ref(c)))
-                has_null = metric(f"_un{ri}_{c}", F.max(col_ref(c).isNull().cast("int")))
-                dups = n - distinct - F.coalesce(has_null, F.lit(0))
-                rows.append(_row(table, f"{table}.{c}_unique", kind, c, dups, dups == 0, 0, 0))
+                # Exact duplicates need a shuffle on the column; keep it out of the main
+                # aggregate so the other metrics stay a pure map-side partial aggregate.
+                k = col_ref(c)
+                per_key = df.select(k.alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_c"))
+                dups = F.coalesce(F.sum(F.col("_c") - 1), F.lit(0))
+                side.append(per_key.agg(dups.alias("_d")).select(
+                    F.lit(table).alias("table_name"), F.lit(f"{table}.{c}_unique").alias("test"),
+                    F.lit(kind).alias("check"), F.lit(c).alias("column_name"), (F.col("_d") == 0).alias("passed"),
+                    F.col("_d").cast("double").alias("observed"), F.lit(0.0).alias("bound_low"),
+                    F.lit(0.0).alias("bound_high")))
         elif kind == "range":
             c = r["column"]
             if c not in cols:

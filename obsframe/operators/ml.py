@@ -89,17 +89,27 @@ def lasso_cv(train: DataFrame, test: DataFrame, label: str, features: Sequence[s
 
 def ridge_vs_lasso(train: DataFrame, test: DataFrame, label: str, features: Sequence[str],
                    ridge_alpha: float = 10.0, lasso_alpha: float = 0.1) -> DataFrame:
-    """Train and test R^2 / RMSE of a ridge and a lasso fit, and the train-test R^2 gap."""
+    """Train and test R^2 / RMSE of a ridge and a lasso fit, and the train-test R^2 gap.
+
+    Predictions of both splits are tagged and scored in one grouped aggregation.
+    """
+    from functools import reduce
+
     from pyspark.ml.regression import LinearRegression
     tr, te = _assemble(train, features, label), _assemble(test, features, label)
-    out = None
+    scored = []
     for name, alpha, enet in (("ridge", ridge_alpha, 0.0), ("lasso", lasso_alpha, 1.0)):
-        m = LinearRegression(featuresCol="features", labelCol=label, regParam=alpha,
-                             elasticNetParam=enet).fit(tr)
-        a = _evaluate(m, tr, label).select(F.col("r2").alias("r2_train"))
-        b = _evaluate(m, te, label).select(F.col("r2").alias("r2_test"), "rmse")
-        row = a.join(b, how="inner").select(F.lit(name).alias("model"), F.lit(alpha).alias("alpha"), "*")
-        out = row if out is None else out.unionByName(row)
+        m = LinearRegression(featuresCol="features", labelCol=label, regParam=alpha, elasticNetParam=enet).fit(tr)
+        for split, data in (("train", tr), ("test", te)):
+            scored.append(m.transform(data).select(F.lit(name).alias("model"), F.lit(alpha).alias("alpha"),
+                                                   F.lit(split).alias("split"), label, "prediction"))
+    metrics = regression_metrics(reduce(lambda a, b: a.unionByName(b), scored), label, "prediction",
+                                 ["model", "alpha", "split"])
+    is_train = F.col("split") == "train"
+    out = metrics.groupBy("model", "alpha").agg(
+        F.max(F.when(is_train, F.col("r2"))).alias("r2_train"),
+        F.max(F.when(~is_train, F.col("r2"))).alias("r2_test"),
+        F.max(F.when(~is_train, F.col("rmse"))).alias("rmse"))
     return out.withColumn("r2_gap", F.col("r2_train") - F.col("r2_test"))
 
 

@@ -37,25 +37,36 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
               critical_pct: float = ANOMALY_CRITICAL_PCT) -> DataFrame:
     """Per numeric column with >= min_values values and sample sd > 0: count |z| > ``z``.
 
-    share > critical_pct % -> CRITICAL, any -> WARNING, none -> INFO. Two passes:
-    per-column stats (one row per column, broadcast), then a conditional count.
+    share > critical_pct % -> CRITICAL, any -> WARNING, none -> INFO.
+    Two scans of the wide table, each ONE global aggregate with map-side partials
+    (no unpivot, no shuffle of cells): first count/mean/sd of every column (one
+    row, bounded by the number of columns), then the conditional counts using
+    those statistics as literals.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
+    spark = df.sparkSession
     if not columns:
-        return df.sparkSession.createDataFrame([], ALERT_SCHEMA)
-    cells = _long_numeric(df, columns).filter(F.col("x").isNotNull())
-    stats = cells.groupBy("column_name").agg(F.count("x").alias("n"), F.avg("x").alias("mean"),
-                                             F.stddev_samp("x").alias("std"))
-    stats = stats.filter((F.col("n") >= min_values) & (F.col("std") > 0))
-    j = cells.join(bounded_broadcast(stats, len(columns), "one row per column"), "column_name")
-    cnt = j.groupBy("column_name").agg(
-        F.count_if(F.abs((F.col("x") - F.col("mean")) / F.col("std")) > z).alias("n_anomalies"),
-        F.first("n").alias("n"), F.first("mean").alias("mean"), F.first("std").alias("std"))
+        return spark.createDataFrame([], ALERT_SCHEMA)
+    xs = [col_ref(c).cast("double") for c in columns]
+    st = df.agg(*[e for i, x in enumerate(xs) for e in (
+        F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"))]).first()
+    keep = [(i, c) for i, c in enumerate(columns)
+            if st[f"n{i}"] >= min_values and st[f"s{i}"] is not None and st[f"s{i}"] > 0]
+    schema = ("severity string, category string, table_name string, column_name string, observed double, "
+              "n_anomalies long, n_values long, mean double, std double")
+    if not keep:
+        return spark.createDataFrame([], schema)
+    counts = df.agg(*[F.count_if(F.abs((xs[i] - F.lit(st[f"m{i}"])) / F.lit(st[f"s{i}"])) > z).alias(f"a{i}")
+                      for i, _ in keep])
+    cells = counts.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"a{i}").alias("n_anomalies"), F.lit(st[f"n{i}"]).alias("n"),
+        F.lit(float(st[f"m{i}"])).alias("mean"), F.lit(float(st[f"s{i}"])).alias("std")) for i, c in keep])))
     pct = F.col("n_anomalies") * 100.0 / F.col("n")
     sev = (F.when(F.col("n_anomalies") == 0, "INFO").when(pct > critical_pct, "CRITICAL").otherwise("WARNING"))
-    return cnt.select(sev.alias("severity"), F.lit("ANOMALY").alias("category"), F.lit(table).alias("table_name"),
-                      "column_name", round_to(pct, 2).alias("observed"), "n_anomalies", F.col("n").alias("n_values"),
-                      round_to("mean", 4).alias("mean"), round_to("std", 4).alias("std"))
+    return cells.select(sev.alias("severity"), F.lit("ANOMALY").alias("category"), F.lit(table).alias("table_name"),
+                        "column_name", round_to(pct, 2).alias("observed"), "n_anomalies",
+                        F.col("n").cast("long").alias("n_values"),
+                        round_to("mean", 4).alias("mean"), round_to("std", 4).alias("std"))
 
 
 def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,

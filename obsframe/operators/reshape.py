@@ -89,7 +89,7 @@ def _cell_agg(agg: str, key: Column, k, value: Column, order: Column | None) ->
 
 def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "value",
           values: Sequence | None = None, agg: str = "first", order_by: str | None = None,
-          names: dict | None = None, max_width: int = DEFAULT_MAX_WIDTH) -> DataFrame:
+          names: dict | None = None, max_width: int = DEFAULT_MAX_WIDTH, extra=()) -> DataFrame:
     """Long -> wide with one column per key, as conditional aggregation.
 
     ``agg``: ``first`` (value of the lowest ``order_by`` among non-null rows,
@@ -97,6 +97,7 @@ def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "val
     ``strict_mean`` (NULL if any input of the cell is NULL), ``max``, ``min``,
     ``sum``, ``count``. All cells of a row come from one hash aggregation with
     partial (map-side) combine, so a hot index value is pre-reduced per task.
+    ``extra`` aggregates (e.g. a row total) are computed in the same pass.
     """
     index = [index] if isinstance(index, str) else list(index)
     if values is None:
@@ -107,7 +108,7 @@ def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "val
     kcol, vcol = col_ref(key), col_ref(value)
     ocol = col_ref(order_by) if order_by else None
     cells = [_cell_agg(agg, kcol, k, vcol, ocol).alias(str(names.get(k, k))) for k in values]
-    return df.groupBy(*[col_ref(i) for i in index]).agg(*cells)
+    return df.groupBy(*[col_ref(i) for i in index]).agg(*cells, *extra)
 
 
 def snapshot(df: DataFrame, index: str, key: str, mapping: dict, value: str = "value",

@@ -49,10 +49,20 @@ def _tag(df: DataFrame, source: str, dataset: str) -> DataFrame:
 
 
 def _canonical(df: DataFrame) -> DataFrame:
+    """Cast to the canonical types; text goes through try-casts, typed columns are cast directly."""
+    types = dict(df.dtypes)
+    year = F.col("year")
+    year = year.cast("int") if types["year"] in ("int", "smallint", "tinyint") else safe_int(year)
+    value, vt = F.col("value"), types["value"]
+    if vt in ("double", "float"):
+        value = F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value.cast("double"))
+    elif vt in ("int", "bigint", "smallint", "tinyint") or vt.startswith("decimal"):
+        value = value.cast("double")
+    else:
+        value = safe_double(value)
     return df.select(
         F.col("source").cast("string"), F.col("dataset").cast("string"), F.col("code").cast("string"),
-        F.col("name").cast("string"), F.col("entity").cast("string"),
-        safe_int(F.col("year")).alias("year"), safe_double(F.col("value")).alias("value"))
+        F.col("name").cast("string"), F.col("entity").cast("string"), year.alias("year"), value.alias("value"))
 
 
 def normalise_long(df: DataFrame, source: str, dataset: str, code: str = "indicator_code",
