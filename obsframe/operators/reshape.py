@@ -108,7 +108,10 @@ def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "val
     kcol, vcol = col_ref(key), col_ref(value)
     ocol = col_ref(order_by) if order_by else None
     cells = [_cell_agg(agg, kcol, k, vcol, ocol).alias(str(names.get(k, k))) for k in values]
-    return df.groupBy(*[col_ref(i) for i in index]).agg(*cells, *extra)
+    grouped = df.groupBy(*[col_ref(i) for i in index])
+    if not cells and not extra:             # no key present: the index rows alone
+        return grouped.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    return grouped.agg(*cells, *extra)
 
 
 def snapshot(df: DataFrame, index: str, key: str, mapping: dict, value: str = "value",

@@ -421,3 +421,34 @@ def q_orphan_keys(spark, sf_dir):
     u = reduce(lambda a, b: a.unionByName(b), parts)
     return u.groupBy("fk").agg(F.max("n_orphans").alias("n_orphans"),
                                F.coalesce(F.max("sample"), F.lit("")).alias("sample"))
+
+
+# ------------------------------------------------------------------ subject panels ----
+
+PRIOS_LOWER = [p.lower() for p in PRIOS]
+
+
+@register("subject_panel", "WITH " + RAW_ORDERS + """
+SELECT year,
+  """ + ",\n  ".join(f"max(CASE WHEN lower(code) = '{p}' THEN value END) AS \"{p}\"" for p in PRIOS_LOWER) + """
+FROM clean WHERE (entity IS NULL OR entity = 'F') AND value IS NOT NULL GROUP BY year""")
+def q_subject_panel(spark, sf_dir):
+    """The subject's annual panel (NULL-entity rows plus the subject's own rows)."""
+    from obsframe.plans.etl import macro_wide
+    lo, hi = td.CLEAN_YEAR_WINDOW
+    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    return macro_wide(c, "F", agg="max")
+
+
+@register("curated_panel", "WITH " + RAW_ORDERS + """,
+w AS (SELECT year, max(CASE WHEN lower(code) = '1-urgent' THEN value END) AS "1-urgent",
+             max(CASE WHEN lower(code) = '5-low' THEN value END) AS "5-low"
+      FROM clean WHERE (entity IS NULL OR entity = 'F') AND value IS NOT NULL
+        AND lower(code) IN ('1-urgent', '5-low', 'no-such-code') GROUP BY year)
+SELECT * FROM w WHERE "1-urgent" IS NOT NULL AND "5-low" IS NOT NULL""")
+def q_curated_panel(spark, sf_dir):
+    """Curated codes (case-insensitive, absent ones ignored), complete years only."""
+    from obsframe.plans.etl import macro_wide
+    lo, hi = td.CLEAN_YEAR_WINDOW
+    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    return macro_wide(c, "F", codes=["1-URGENT", "5-low", "NO-SUCH-CODE"], agg="max", complete_cases=True)
