@@ -59,7 +59,9 @@ def freshness_sla(updated: DataFrame, as_of: str, config: DataFrame | None = Non
     """
     cfg = config if config is not None else tier_config(updated.sparkSession)
     j = cfg.join(updated, "table_name", "left")
-    age = (F.unix_timestamp(F.to_timestamp(F.lit(as_of))) - F.unix_timestamp(F.col("updated_at").cast("timestamp"))) / 3600.0
+    # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session time zone
+    age = (F.unix_timestamp(F.lit(as_of).cast("timestamp_ntz"))
+           - F.unix_timestamp(F.col("updated_at").cast("timestamp_ntz"))) / 3600.0
     status = (F.when(F.col("updated_at").isNull(), "MISSING")
                .when(age <= F.col("max_age_hours"), "FRESH").otherwise("STALE"))
     return j.select("table_name", "tier", status.alias("status"), round_to(age, 1).alias("age_hours"),
