@@ -452,3 +452,60 @@ def q_curated_panel(spark, sf_dir):
     lo, hi = td.CLEAN_YEAR_WINDOW
     c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
     return macro_wide(c, "F", codes=["1-URGENT", "5-low", "NO-SUCH-CODE"], agg="max", complete_cases=True)
+
+
+# ------------------------------------------------------------ typed views and ELT ----
+
+@register("typed_price_view", """
+SELECT CAST(l_suppkey AS VARCHAR) AS entity, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS trade_date,
+       l_extendedprice / l_quantity AS price, l_quantity AS volume, (l_discount - l_tax) * CAST(100.0 AS DOUBLE) AS change_pct,
+       CAST(year(l_shipdate) AS INTEGER) AS year
+FROM lineitem""")
+def q_typed_price_view(spark, sf_dir):
+    """B27 + B17: all-text price rows -> typed view (DOUBLE measures, DATE, year of the date)."""
+    li = td.table(spark, sf_dir, "lineitem")
+    raw = li.select(F.col("l_suppkey").cast("string").alias("bank"),
+                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+                    F.try_divide("l_extendedprice", "l_quantity").cast("string").alias("Price"),
+                    F.col("l_quantity").cast("string").alias("Volume"),
+                    ((F.col("l_discount") - F.col("l_tax")) * 100.0).cast("string").alias("Change_pct"))
+    typed = marts.typed_prices(raw, "bank", "date", ["Price", "Volume", "Change_pct"])
+    return typed.select("entity", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"), "price",
+                        "volume", "change_pct", "year")
+
+
+@register("peer_share", "WITH " + NATION_PANEL + """,
+g AS (SELECT indicator, year, region, avg(value) AS region_avg FROM l WHERE value IS NOT NULL GROUP BY ALL)
+SELECT l.indicator, l.year, round(avg(CASE WHEN l.value IS NULL OR g.region_avg IS NULL THEN NULL
+                                        WHEN l.value > g.region_avg THEN 1.0 ELSE 0.0 END), 6) AS share_above_peer,
+       count(l.value) AS n
+FROM l JOIN g ON l.indicator = g.indicator AND l.year = g.year AND l.region = g.region
+GROUP BY l.indicator, l.year""")
+def q_peer_share(spark, sf_dir):
+    """Share of entities above their peer-group mean, per indicator and year (NULL-aware)."""
+    p = td.nation_panel(spark, sf_dir)
+    g = p.filter(F.col("value").isNotNull()).groupBy("indicator", "year", "region").agg(
+        F.avg("value").alias("region_avg"))
+    j = p.join(g, ["indicator", "year", "region"])
+    above = F.when(F.col("value").isNull() | F.col("region_avg").isNull(), None).otherwise(
+        (F.col("value") > F.col("region_avg")).cast("double"))
+    return rounded(j.groupBy("indicator", "year").agg(F.avg(above).alias("share_above_peer"),
+                                                      F.count("value").alias("n")))
+
+
+ELT_BANK_ANNUAL = """
+SELECT CAST(l_suppkey AS STRING) AS bank, CAST(year(l_shipdate) AS INT) AS annee, count(*) AS seances,
+       avg(l_extendedprice / l_quantity) AS prix_moyen, min(l_extendedprice / l_quantity) AS prix_min,
+       max(l_extendedprice / l_quantity) AS prix_max,
+       (max(l_extendedprice / l_quantity) - min(l_extendedprice / l_quantity)) * 100.0
+             / min(l_extendedprice / l_quantity) AS volatilite_pct
+FROM {src} GROUP BY 1, 2"""
+
+
+@register("elt_bank_annual", "SELECT bank, annee, seances, round(prix_moyen, 6) AS prix_moyen, prix_min, prix_max, "
+          "round(volatilite_pct, 6) AS volatilite_pct FROM (" + ELT_BANK_ANNUAL.format(src="lineitem") + ")")
+def q_elt_bank_annual(spark, sf_dir):
+    """Raw scan registered as a view, transform in Spark SQL (the ELT form of D7)."""
+    from obsframe.plans.etl import elt_sql
+    out = elt_sql(spark, {"raw_prices": td.table(spark, sf_dir, "lineitem")}, ELT_BANK_ANNUAL.format(src="raw_prices"))
+    return rounded(out, 6, only=["prix_moyen", "volatilite_pct"])

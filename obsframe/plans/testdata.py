@@ -150,8 +150,13 @@ def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense panel: every (type, user) series gets every day of the observed span."""
-    return reshape.densify(event_cells(spark, sf_dir), ["code", "entity"], t="day")
+    """Dense panel: every (type, user) series gets every day of the observed span.
+
+    The span is two scalars from one narrow aggregate over the raw scan (no shuffle),
+    so the cells are aggregated only once.
+    """
+    lo, hi = table(spark, sf_dir, "events").agg(F.min(F.dayofmonth("ts")), F.max(F.dayofmonth("ts"))).first()
+    return reshape.densify(event_cells(spark, sf_dir), ["code", "entity"], t="day", t_min=lo, t_max=hi)
 
 
 def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,15 @@ def _no_void(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header, overwrite. ``single_file`` only for small final exports."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order_by: Sequence[str] = ()) -> None:
+    """CSV with header, overwrite. ``single_file`` only for small final exports.
+
+    ``order_by`` sorts the export with NULLs last (the presentation order of the
+    reference's files); sorting happens only here, at the edge.
+    """
     out = _no_void(df)
+    if order_by:
+        out = out.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).csv(path)

@@ -55,3 +55,29 @@ def test_registry_and_partitioned_warehouse(spark, tmp_path):
     back = spark.read.parquet(out).filter("source = 'UNDP'")
     assert "PartitionFilters: [isnotnull(source" in back._jdf.queryExecution().executedPlan().toString()
     assert back.count() == 2
+
+
+def test_sinks_and_folder_load(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from obsframe.sources import load_folder, save_model, write_report
+    df = spark.createDataFrame([(None, 2), ("b", 1), ("a", 3)], "e string, n int")
+    out = str(tmp_path / "sorted")
+    write_csv(df, out, single_file=True, order_by=["e"])
+    assert [r.e for r in read_csv_strings(spark, out).collect()] == ["a", "b", None]
+    write_report(df, str(tmp_path / "rep"), run_ts="2024-01-01 00:00:00")
+    write_report(df, str(tmp_path / "rep"))
+    assert spark.read.json(str(tmp_path / "rep")).count() == 6
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    df.write.parquet(str(folder / "good.parquet"))
+    (folder / "bad.parquet").write_text("not parquet")
+    tables, alerts = load_folder(spark, str(folder))
+    assert list(tables) == ["good"]
+    assert [(r.severity, r.category, r.table_name) for r in alerts.collect()] == [("CRITICAL", "LOAD", "bad")]
+    data = VectorAssembler(inputCols=["n"], outputCol="features").transform(
+        spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 6.0)], "n double, y double"))
+    model = LinearRegression(labelCol="y").fit(data)
+    save_model(model, str(tmp_path / "model"))
+    assert os.path.isdir(str(tmp_path / "model" / "metadata"))
