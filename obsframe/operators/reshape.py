@@ -87,6 +87,25 @@ def _cell_agg(agg: str, key: Column, k, value: Column, order: Column | None) ->
     raise ValueError(f"unknown pivot aggregate {agg!r}")
 
 
+def _reduce_cells(df: DataFrame, index: list[str], key: str, value: str, agg: str,
+                  order_by: str | None) -> DataFrame:
+    """One row per (index, key) cell carrying what the cell aggregate needs (partial-aggregation friendly)."""
+    v = col_ref(value)
+    if agg in ("first", "last"):
+        if order_by is None:
+            raise ValueError(f"agg={agg!r} needs an ordering column")
+        o = F.when(v.isNotNull(), col_ref(order_by))
+        cell = (F.min_by(v, o) if agg == "first" else F.max_by(v, o)).alias("_cell")
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(cell)
+    if agg == "mean":
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(F.avg(v).alias("_cell"))
+    if agg == "strict_mean":
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(strict_avg(v).alias("_cell"))
+    if agg in ("max", "min", "sum", "count"):
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(getattr(F, agg)(v).alias("_cell"))
+    raise ValueError(f"unknown pivot aggregate {agg!r}")
+
+
 def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "value",
           values: Sequence | None = None, agg: str = "first", order_by: str | None = None,
           names: dict | None = None, max_width: int = DEFAULT_MAX_WIDTH, extra=()) -> DataFrame:
@@ -98,13 +117,23 @@ def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "val
     ``sum``, ``count``. All cells of a row come from one hash aggregation with
     partial (map-side) combine, so a hot index value is pre-reduced per task.
     ``extra`` aggregates (e.g. a row total) are computed in the same pass.
+
+    Without ``values`` the input is first reduced to one row per (index, key)
+    cell and that small table is checkpointed to the shared checkpoint folder;
+    the key list and the pivot both read it, so the upstream plan runs once.
     """
     index = [index] if isinstance(index, str) else list(index)
-    if values is None:
+    names = names or {}
+    if values is None and not extra:
+        from obsframe.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        cells = _reduce_cells(df, index, key, value, agg, order_by).checkpoint(eager=True)
+        values = pivot_values(cells, key, max_width)
+        df, value, agg, order_by = cells, "_cell", "max", None
+    elif values is None:
         values = pivot_values(df, key, max_width)
     if len(values) > max_width:
         raise ValueError(f"pivot would exceed {max_width} columns")
-    names = names or {}
     kcol, vcol = col_ref(key), col_ref(value)
     ocol = col_ref(order_by) if order_by else None
     cells = [_cell_agg(agg, kcol, k, vcol, ocol).alias(str(names.get(k, k))) for k in values]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from obsframe.functions.columns import col_ref
 from obsframe.functions.stats import corr_from_moments, guarded_corr
+from obsframe.operators.joins import bounded_broadcast
 from obsframe.operators.reshape import pivot, pivot_values
 
 _MOMENTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("i", "j")] +
@@ -49,7 +50,13 @@ def corr_matrix(long: DataFrame, row_key: str | Sequence[str], code: str = "code
     with no pair rows materialised per observation and no self-join.
     """
     keys = [row_key] if isinstance(row_key, str) else list(row_key)
-    codes = sorted(codes) if codes is not None else pivot_values(long, code, max_codes)
+    if codes is None:
+        # one row per (row key, code), materialised once for the code list and the pivot
+        from obsframe.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(long.sparkSession)
+        long = long.groupBy(*keys, code).agg(F.avg(value).alias(value)).checkpoint(eager=True)
+        codes = pivot_values(long, code, max_codes)
+    codes = sorted(codes)
     k = len(codes)
     spark = long.sparkSession
     names = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "idx int, code string")
@@ -65,8 +72,8 @@ def corr_matrix(long: DataFrame, row_key: str | Sequence[str], code: str = "code
     res = sums.select("i", "j", F.col("n").cast("long").alias("n_pairs"),
                       corr_from_moments(F.col("n"), F.col("sx"), F.col("sy"), F.col("sxx"),
                                         F.col("syy"), F.col("sxy")).alias("corr"))
-    a = F.broadcast(names.select(F.col("idx").alias("i"), F.col("code").alias("code_a")))
-    b = F.broadcast(names.select(F.col("idx").alias("j"), F.col("code").alias("code_b")))
+    a = bounded_broadcast(names.select(F.col("idx").alias("i"), F.col("code").alias("code_a")), k, "one row per code")
+    b = bounded_broadcast(names.select(F.col("idx").alias("j"), F.col("code").alias("code_b")), k, "one row per code")
     return res.join(a, "i").join(b, "j").select("code_a", "code_b", "n_pairs", "corr")
 
 

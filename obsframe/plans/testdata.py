@@ -66,14 +66,17 @@ def lineitem_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nation_totals_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation, ``total_YYYY`` per order year and an unsuffixed ``total_all``.
 
-    All cells, including ``total_all``, come from one aggregation over orders.
+    Orders are reduced to (nation, year) sums in one aggregation; that small table
+    is checkpointed so the year list and the pivot do not re-run the orders join.
     """
-    o = orders_with_nation(spark, sf_dir).select(F.col("n_name").alias("nation"),
-                                                 F.year("o_orderdate").alias("year"), "o_totalprice")
-    years = reshape.pivot_values(o, "year", max_width=201)
-    wide = reshape.pivot(o, "nation", "year", "o_totalprice", values=years, agg="sum",
-                         names={y: f"total_{y}" for y in years},
-                         extra=[F.sum("o_totalprice").alias("total_all")])
+    from obsframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    o = orders_with_nation(spark, sf_dir)
+    cells = (o.groupBy(F.col("n_name").alias("nation"), F.year("o_orderdate").alias("year"))
+              .agg(F.sum("o_totalprice").alias("total")).checkpoint(eager=True))
+    years = reshape.pivot_values(cells, "year", max_width=201)
+    wide = reshape.pivot(cells, "nation", "year", "total", values=years, agg="max",
+                         names={y: f"total_{y}" for y in years}, extra=[F.sum("total").alias("total_all")])
     return wide.select("nation", *[round_to(c, 2).alias(c) for c in [f"total_{y}" for y in years] + ["total_all"]])
 
 
