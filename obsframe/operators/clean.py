@@ -41,6 +41,16 @@ def drop_null_year(df: DataFrame) -> DataFrame:
     return df.filter(F.col("year").isNotNull())
 
 
+def upper_year_cut(df: DataFrame, max_year: int, year_col: str = "year") -> DataFrame:
+    """Rows up to ``max_year`` (display cut of projections)."""
+    return df.filter(F.col(year_col) <= max_year)
+
+
+def sample_years(df: DataFrame, years: Sequence[int], year_col: str = "year") -> DataFrame:
+    """Rows of the listed years only (e.g. one year per decade)."""
+    return df.filter(F.col(year_col).isin(list(years)))
+
+
 def complete(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Rows with a value (analysis table)."""
     return df.filter(F.col(value_col).isNotNull())

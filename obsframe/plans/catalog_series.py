@@ -339,3 +339,20 @@ def q_executive_summary(spark, sf_dir):
         F.count_if(F.col("growth") < 0).cast("double").alias("recession_years"),
         round_to(F.avg("growth"), 4).alias("growth_mean"), round_to(F.stddev_samp("growth"), 4).alias("growth_sd"))
     return a.unpivot([], a.columns, "metric", "value")
+
+
+@register("decade_sample", "WITH " + GROWTH + """,
+sc AS (SELECT entity, avg(growth) AS mu, arg_max(value, year) AS last_level, max(year) AS last_year FROM gr GROUP BY entity),
+proj AS (SELECT entity, CAST(last_year + h AS INTEGER) AS year, last_level * power(1 + mu / 100.0, h) AS value
+         FROM sc CROSS JOIN (SELECT CAST(h AS INTEGER) AS h FROM (SELECT unnest(range(1, 31)) AS h)))
+SELECT entity, year, round(value, 0) AS value FROM (SELECT entity, year, value FROM nr UNION ALL SELECT * FROM proj)
+WHERE year <= 2024 AND year IN (1995, 2000, 2010, 2020)""")
+def q_decade_sample(spark, sf_dir):
+    """B25 + B28: observed and base-path projected values, cut at 2024, sampled once per decade."""
+    from obsframe.operators import clean
+    nr = nation_revenue(spark, sf_dir)
+    g = series.yoy_growth(nr, "entity", "year", "value")
+    proj = series.growth_scenarios(g, "entity", "year", "value", "growth", horizon=30).select(
+        "entity", "year", F.col("base").alias("value"))
+    both = nr.select("entity", "year", "value").unionByName(proj)
+    return rounded(clean.sample_years(clean.upper_year_cut(both, 2024), [1995, 2000, 2010, 2020]), 0)

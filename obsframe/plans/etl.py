@@ -8,28 +8,56 @@ The folder must be shared storage on a cluster.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.operators import checks, clean, marts, quality, reshape
+from obsframe.operators import alerts, checks, clean, marts, quality, reshape
 from obsframe.schema import CURATED_CODES, LONG_COLUMNS, VALID_YEAR_MAX, VALID_YEAR_MIN
 from obsframe.sources.registry import SourceSpec, indicators_long
 from obsframe.sources.sinks import register_views, write_warehouse
 
+# minutes allowed per zone of this pipeline (stage latency SLA)
+ZONE_BUDGET_MINUTES = {"staging": 10, "clean": 5, "marts": 5, "checks": 5}
+
 # fixed values: the snapshot's output names and the codes they read
 SNAPSHOT_CODES = {"gdp_usd_bn": "NGDPD", "gdp_growth": "NGDP_RPCH", "inflation": "PCPIPCH",
                   "public_debt_gdp": "GGXWDG_NGDP", "current_account_gdp": "BCA_NGDPD", "unemployment": "LUR"}
 
 
+_RUN_LOG: list[tuple] = []
+
+
 def _stage(spark: SparkSession, df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write one table of a zone, read it back (lineage cut) and log the stage run."""
     path = os.path.join(root, name)
-    write_warehouse(df, path, partition_by)
+    started = dt.datetime.now()
+    ok = True
+    try:
+        write_warehouse(df, path, partition_by)
+    except Exception:
+        ok = False
+        raise
+    finally:
+        _RUN_LOG.append((name.split("/")[0], name, started, dt.datetime.now(), ok))
     return spark.read.parquet(path)
 
 
+def run_log(spark: SparkSession, run_id: str, entries: list[tuple], written: dict[str, DataFrame]) -> DataFrame:
+    """Stage run events (run_id, stage, table, started, ended, ok, rows); rows from the written files."""
+    rows = []
+    for zone, name, started, ended, ok in entries:
+        table = name.split("/")[-1]
+        n = written[table].count() if ok and table in written else None   # Parquet footers only
+        rows.append((run_id, zone, table, started, ended, ok, n))
+    return spark.createDataFrame(rows, "run_id string, stage string, table_name string, started timestamp, "
+                                       "ended timestamp, ok boolean, rows long")
+
+
 def macro_wide(clean_long: DataFrame, subject: str | None, codes: Sequence[str] | None = None,
                max_width: int = 1000, agg: str = "first", order_by: str | None = "row_order",
                complete_cases: bool = False) -> DataFrame:
@@ -52,7 +80,13 @@ def macro_wide(clean_long: DataFrame, subject: str | None, codes: Sequence[str]
 def run(spark: SparkSession, specs: list[SourceSpec], out_dir: str, prices: DataFrame | None = None,
         subject: str | None = None, year_min: int = VALID_YEAR_MIN, year_max: int = VALID_YEAR_MAX,
         rules: list[dict] | None = None) -> dict[str, DataFrame]:
-    """Run the whole batch and return the written tables (read back from ``out_dir``)."""
+    """Run the whole batch and return the written tables (read back from ``out_dir``).
+
+    Also returns ``run_log`` (one event per written table) and ``latency`` (stage
+    durations against ``ZONE_BUDGET_MINUTES``).
+    """
+    _RUN_LOG.clear()
+    run_id = uuid.uuid4().hex[:12]
     staged = _stage(spark, indicators_long(spark, specs), out_dir, "staging/indicators_long", ("source", "dataset"))
     # file order of the staged table is the keep-first order of the cleaning step
     ordered = staged.withColumn("row_order", F.monotonically_increasing_id())
@@ -80,6 +114,15 @@ def run(spark: SparkSession, specs: list[SourceSpec], out_dir: str, prices: Data
     if rules:
         out["validation"] = _stage(spark, checks.run_suite(out["indicators_clean"], "indicators_clean", rules),
                                    out_dir, "checks/validation")
+    by_table = {k.split("/")[-1]: v for k, v in out.items()}
+    by_table.update({"curated_panel": out["benchmark_panel"]})
+    log = run_log(spark, run_id, list(_RUN_LOG), by_table)
+    per_zone = log.groupBy("run_id", "stage").agg(F.min("started").alias("started"), F.max("ended").alias("ended"),
+                                                  F.min(F.col("ok").cast("int")).cast("boolean").alias("ok"),
+                                                  F.sum("rows").alias("rows"))
+    budgets = spark.createDataFrame(list(ZONE_BUDGET_MINUTES.items()), "stage string, max_minutes int")
+    out["run_log"] = log
+    out["latency"] = alerts.latency_breaches(alerts.stage_events(per_zone), budgets)
     views = {"v_indicators_long": out["indicators_long"], "v_economy_snapshot": out["economy_snapshot"]}
     if prices is not None:
         views.update({"v_bank_prices": out["bank_prices"], "v_bank_annual": out["bank_annual"]})

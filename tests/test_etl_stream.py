@@ -21,6 +21,9 @@ def test_etl_writes_every_zone(spark, tmp_path):
     assert "total" in tables["mart_macro_wide"].columns         # the subject's only code
     assert spark.sql("SELECT count(*) FROM v_bank_annual").first()[0] > 0
     assert tables["validation"].first()["passed"]
+    lat = {r.stage: r.status for r in tables["latency"].collect()}
+    assert lat == {"staging": "OK", "clean": "OK", "marts": "OK", "checks": "OK"}
+    assert tables["run_log"].filter("rows IS NULL").count() == 0
 
 
 def test_stream_ingest_exactly_once(spark, tmp_path):
