@@ -148,9 +148,9 @@ def growth_scenarios(df: DataFrame, keys, t: str = "year", level: str = "value",
                  .select(*keys, "mu", "sigma", "last_level", "last_year",
                          F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
                  .select(*keys, (F.col("last_year") + F.col("h")).alias("year"), "h",
-                         path(F.col("mu") - F.col("sigma")).alias("pessimistic"),
+                         path(F.col("mu") - F.col("sigma")).alias("pessimiste"),
                          path(F.col("mu")).alias("base"),
-                         path(F.col("mu") + F.col("sigma")).alias("optimistic")))
+                         path(F.col("mu") + F.col("sigma")).alias("optimiste")))
 
 
 def forecast(df: DataFrame, keys, t: str = "year", value: str = "value", horizon: int = 20,

@@ -235,9 +235,9 @@ st AS (SELECT entity, avg(growth) AS mu, stddev_samp(growth) AS sigma,
               max(year) FILTER (WHERE value IS NOT NULL) AS last_year FROM gr GROUP BY entity),
 h AS (SELECT CAST(h AS INTEGER) AS h FROM (SELECT unnest(range(1, 16)) AS h))
 SELECT entity, CAST(last_year + h AS INTEGER) AS year, h,
-       round(last_level * power(1 + (mu - sigma) / 100.0, h), 0) AS pessimistic,
+       round(last_level * power(1 + (mu - sigma) / 100.0, h), 0) AS pessimiste,
        round(last_level * power(1 + mu / 100.0, h), 0) AS base,
-       round(last_level * power(1 + (mu + sigma) / 100.0, h), 0) AS optimistic
+       round(last_level * power(1 + (mu + sigma) / 100.0, h), 0) AS optimiste
 FROM st CROSS JOIN h WHERE last_level IS NOT NULL""")
 def q_growth_scenarios(spark, sf_dir):
     """Pessimistic / base / optimistic paths, last * (1 + r/100)^h, h = 1..15."""

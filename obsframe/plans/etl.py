@@ -25,8 +25,8 @@ from obsframe.sources.sinks import register_views, write_warehouse
 ZONE_BUDGET_MINUTES = {"staging": 10, "clean": 5, "marts": 5, "checks": 5}
 
 # fixed values: the snapshot's output names and the codes they read
-SNAPSHOT_CODES = {"gdp_usd_bn": "NGDPD", "gdp_growth": "NGDP_RPCH", "inflation": "PCPIPCH",
-                  "public_debt_gdp": "GGXWDG_NGDP", "current_account_gdp": "BCA_NGDPD", "unemployment": "LUR"}
+SNAPSHOT_CODES = {"pib_usd_m": "NGDPD", "croissance_pib": "NGDP_RPCH", "inflation": "PCPIPCH",
+                  "dette_publique_pib": "GGXWDG_NGDP", "balance_courante_pib": "BCA_NGDPD", "chomage": "LUR"}
 
 
 _RUN_LOG: list[tuple] = []

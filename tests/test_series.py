@@ -61,7 +61,7 @@ def test_scenarios(spark):
     mu, sd = 0.0, math.sqrt(200.0)
     assert out[0]["year"] == 2003 and out[1]["year"] == 2004
     assert out[1]["base"] == pytest.approx(99.0)
-    assert out[1]["pessimistic"] == pytest.approx(99.0 * (1 + (mu - sd) / 100) ** 2)
+    assert out[1]["pessimiste"] == pytest.approx(99.0 * (1 + (mu - sd) / 100) ** 2)
 
 
 def test_forecasts_against_numpy(spark):
