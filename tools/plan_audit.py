@@ -25,13 +25,21 @@ def main() -> None:
     import __spark_entry__ as se
     from obsframe.session import get_spark
     spark = get_spark(master="local[8]", shuffle_partitions=8, extra={"spark.sql.adaptive.enabled": "false"})
+    print("| query | shuffles | single-partition exchanges | scans (columns read; pushed filters) | flags |")
+    print("|---|---|---|---|---|")
     for name, fn in se.queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin)", plan))
         singles = len(re.findall(r"Exchange SinglePartition", plan))
         found = [k for k, rx in FLAGS.items() if re.search(rx, plan)]
-        print(f"{name:24s} shuffles={shuffles:2d} single={singles:2d} {'; '.join(found)}")
+        scans = []
+        for m in re.finditer(r"FileScan parquet \[([^\]]*)\][^\n]*?Location: [^\[\n]*\[[^\]]*/([a-z_]+)\.parquet\]"
+                             r"(?:[^\n]*?PushedFilters: \[([^\]]*)\])?", plan):
+            cols, table, pushed = m.group(1), m.group(2), m.group(3) or ""
+            pushed = ", ".join(p for p in pushed.split(", ") if p and not p.startswith("IsNotNull"))
+            scans.append(f"{table}({len(cols.split(','))} cols{'; ' + pushed if pushed else ''})")
+        print(f"| {name} | {shuffles} | {singles} | {'; '.join(sorted(set(scans)))} | {'; '.join(found) or '-'} |")
     spark.stop()
 
 
