@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.functions.columns import col_ref, round_to
-from obsframe.operators.joins import bounded_broadcast
 from obsframe.schema import (
     ALERT_SCHEMA, ANOMALY_CRITICAL_PCT, ANOMALY_MIN_VALUES, NULL_PCT_CRITICAL, NULL_PCT_WARN,
     VOLUME_DROP_CRITICAL_PCT, VOLUME_DROP_WARN_PCT, Z_SCORE_THRESHOLD,

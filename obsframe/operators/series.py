@@ -9,7 +9,6 @@ Spark shuffles once and reuses that partitioning for every later window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

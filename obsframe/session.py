@@ -7,14 +7,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every obsframe job wants; anything the cluster already set wins.
-_DEFAULTS = {
+# SQL settings every obsframe job wants; a value given at launch (cluster config) wins.
+_SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -22,19 +21,23 @@ def get_spark(app: str = "obsframe", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, skew-join handling and UTC time.
 
-    ``master`` and ``shuffle_partitions`` are for local runs and tests only; on a
-    cluster leave them unset so the submitted configuration applies.
+    ``master`` and ``shuffle_partitions`` are for local runs and tests only (the UI
+    is switched off there); on a cluster leave them unset so the submitted
+    configuration applies. SQL defaults are only filled in where the launch
+    configuration does not name a value.
     """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+        builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    launch = spark.sparkContext.getConf()
+    for k, v in _SQL_DEFAULTS.items():
+        if not launch.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

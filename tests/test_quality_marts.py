@@ -68,3 +68,27 @@ def test_latest_rows_and_entity_summary(spark):
     r = marts.entity_year_summary(p).collect()[0]
     assert r.sessions == 2 and r.range_volatility_pct is None   # min = 0 -> NULL, no error
     assert rows(p) is not None
+
+
+def test_hot_key_plans_reduce_before_shuffle(spark):
+    """A key holding a third of all rows: dedup and rank are partial aggregates, never whole-group windows."""
+    from obsframe.operators import clean
+    n = 3000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS code", "'S' AS source", "'D' AS dataset",
+        "CAST(NULL AS STRING) AS entity", "2000 AS year", "CAST(id AS DOUBLE) AS value", "'n' AS name",
+        "id AS row_order")
+    d = clean.dedup_first(df)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "Window" not in plan
+    got = {r.code: r.value for r in d.collect()}
+    assert got["hot"] == 0.0 and len(got) == 1 + 2 * n // 3
+    # the (indicator, year) group of year 2000 holds a third of all rows
+    panel = spark.range(n).selectExpr("'gdp' AS indicator", "CONCAT('e', id) AS entity", "'R' AS region",
+                                      "CASE WHEN id % 3 = 0 THEN 2000 ELSE 2001 + CAST(id % 7 AS INT) END AS year",
+                                      "CAST(id AS DOUBLE) AS value")
+    b = marts.benchmark_rank(panel, "e0")
+    bplan = b._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in bplan and "partial_count" in bplan
+    r = b.collect()[0]
+    assert (r.year, r.subject_value, r.rank_out_of, r.subject_rank) == (2000, 0.0, n // 3, n // 3)
