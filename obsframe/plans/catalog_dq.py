@@ -306,7 +306,7 @@ def q_alert_routing(spark, sf_dir):
     return alerts.route(alert_union(spark, sf_dir))
 
 
-@register("alert_rules", "WITH " + CHECKS + ",\n" + ANOM + ",\n" + VOLUME + """
+@register("alert_rules", "WITH " + CHECKS + ",\n" + ANOM + ",\n" + VOLUME + ",\n" + NULLS + """
 SELECT CASE WHEN passed THEN 'INFO' ELSE 'WARNING' END AS severity, 'DATA_CHECK' AS category, table_name,
        column_name, observed FROM chk
 UNION ALL
@@ -317,9 +317,12 @@ SELECT CASE WHEN CAST(expected - actual AS DOUBLE) * 100 / expected > 30.0 THEN
        'VOLUME_DROP', table_name, CAST(NULL AS VARCHAR), round(CAST(expected - actual AS DOUBLE) * 100 / expected, 2)
 FROM vol
 UNION ALL
-SELECT 'CRITICAL', 'SCHEMA_CHANGE', 'lineitem', 'l_comment', CAST(NULL AS DOUBLE)""")
+SELECT 'CRITICAL', 'SCHEMA_CHANGE', 'lineitem', 'l_comment', CAST(NULL AS DOUBLE)
+UNION ALL
+SELECT CASE WHEN observed > 20.0 THEN 'CRITICAL' ELSE 'WARNING' END, 'NULL_SPIKE', table_name, column_name,
+       round(observed, 2) FROM nulls""")
 def q_alert_rules(spark, sf_dir):
-    """K2-K6: alert rules applied to check, anomaly, volume and schema results."""
+    """K2-K6: alert rules applied to check, anomaly, volume, schema and null-share results."""
     chk = lineitem_checks(spark, sf_dir)
     li = td.table(spark, sf_dir, "lineitem")
     an = observe.anomalies(li, "lineitem", LINEITEM_NUMERIC).filter(F.col("n_anomalies") > 0)
@@ -329,8 +332,11 @@ def q_alert_rules(spark, sf_dir):
         [("lineitem", c, "removed") for c in sorted(set(LINEITEM_EXPECTED) - set(li.columns))] +
         [("lineitem", c, "added") for c in sorted(set(li.columns) - set(LINEITEM_EXPECTED))],
         "table_name string, column_name string, change string")
+    nulls = observe.null_share(typed_orders(spark, sf_dir), "orders_typed").unionByName(
+        observe.null_share(li.select("l_shipdate"), "lineitem"))
+    spikes = alerts.null_spike_rule(nulls.select("table_name", "column_name", F.col("observed").alias("null_pct")))
     parts = [alerts.data_check_rule(chk), alerts.anomaly_rule(counts), alerts.volume_drop_rule(vol),
-             alerts.schema_change_rule(changes)]
+             alerts.schema_change_rule(changes), spikes]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

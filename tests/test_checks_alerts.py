@@ -91,3 +91,12 @@ def test_stage_latency(spark):
     budgets = spark.createDataFrame(list(sla.STAGE_BUDGET_MINUTES.items()), "stage string, max_minutes int")
     r = alerts.latency_breaches(ev, budgets).collect()[0]
     assert r.duration_minutes == pytest.approx(12.0) and r.status == "BREACH"
+
+
+def test_file_metadata_freshness(spark):
+    from tests.conftest import SF_SMALL
+    upd = sla.table_timestamps(spark, {"orders": f"{SF_SMALL}/orders.parquet", "events": f"{SF_SMALL}/events.parquet"})
+    got = {r.table_name: r.updated_at for r in upd.collect()}
+    assert set(got) == {"orders", "events"} and all(v is not None for v in got.values())
+    far = sla.freshness_sla(upd, "2999-01-01 00:00:00", sla.tier_config(spark, {"critical": ["orders", "gone"]}))
+    assert {r.table_name: r.status for r in far.collect()} == {"orders": "STALE", "gone": "MISSING"}
