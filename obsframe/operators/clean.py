@@ -14,16 +14,25 @@ TEXT_COLS = ["source", "dataset", "code", "name"]
 
 
 def type_long(raw: DataFrame) -> DataFrame:
-    """All-string long rows -> typed canonical rows.
+    """Long rows (text or already typed) -> typed canonical rows.
 
     Text columns are trimmed, the entity's null tokens become NULL, year and value
-    go through ``try_cast`` (bad text -> NULL, NaN -> NULL).
+    go through ``try_cast`` when they are text (bad text -> NULL, NaN -> NULL);
+    columns that are already numeric are cast directly, without a text round trip.
     """
+    types = dict(raw.dtypes)
+    year, value = F.col("year"), F.col("value")
+    year = year.cast("int") if types["year"] in ("int", "smallint", "tinyint") else safe_int(F.trim(year.cast("string")))
+    if types["value"] in ("double", "float"):
+        value = F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value.cast("double"))
+    elif types["value"] in ("int", "bigint", "smallint", "tinyint") or types["value"].startswith("decimal"):
+        value = value.cast("double")
+    else:
+        value = safe_double(F.trim(value.cast("string")))
     return raw.select(
         *[F.trim(F.col(c)).alias(c) for c in TEXT_COLS],
         null_if_tokens(F.trim(F.col("entity")), ENTITY_NULL_TOKENS).alias("entity"),
-        safe_int(F.trim(F.col("year").cast("string"))).alias("year"),
-        safe_double(F.trim(F.col("value").cast("string"))).alias("value"),
+        year.alias("year"), value.alias("value"),
         *[c for c in raw.columns if c not in LONG_COLUMNS],
     )
 
@@ -68,15 +77,24 @@ def code_filter(df: DataFrame, codes: Sequence[str], code_col: str = "code") ->
 
 
 def dedup_first(df: DataFrame, key: Sequence[str] = OBS_KEY, order_by: str = "row_order",
-                keep_order: bool = False) -> DataFrame:
+                keep_order: bool = False, unique_order: bool = True) -> DataFrame:
     """Keep the first row per ``key`` by ``order_by``; NULL key parts compare equal.
 
-    Planned as ``groupBy(key).agg(min_by(struct(row), order))``: a hash aggregate
-    with partial combine, so a key holding a third of all rows is reduced inside
-    each map task before the shuffle (a ``row_number`` window would sort the whole
-    hot key in one task).
+    With a unique ordering column (a row id, e.g. the file order) the first row of
+    each key is found by ``min(order_by)`` per key — a hash aggregate with partial
+    combine, so a key holding a third of all rows is reduced inside each map task —
+    and the rows are then kept by a NULL-safe semi join on (key, order). That join
+    is partitioned by the unique order too, so a hot key spreads over all tasks.
+    ``unique_order=False`` uses ``min_by(struct(row), order)`` instead (ties broken
+    by the aggregate; a sort-based aggregate, slower but also skew-safe).
+    A ``row_number`` window is never used: it would sort a hot key in one task.
     """
     rest = [c for c in df.columns if c not in key and (keep_order or c != order_by)]
+    if unique_order:
+        firsts = df.groupBy(*key).agg(F.min(order_by).alias("_first_order"))
+        cond = [df[k].eqNullSafe(firsts[k]) for k in key] + [df[order_by] == firsts["_first_order"]]
+        kept = df.join(firsts, cond, "left_semi")
+        return kept.select(*key, *rest)
     payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(1).alias("_"))
     first = df.groupBy(*key).agg(F.min_by(payload, F.col(order_by)).alias("_first"))
     return first.select(*key, *[F.col("_first." + c).alias(c) for c in rest]) if rest else first.select(*key)
