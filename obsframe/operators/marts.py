@@ -128,14 +128,16 @@ def benchmark_rank(panel: DataFrame, subject: str, indicator: str = "indicator",
     sv = F.col("subject_value")
     better = (v > sv) if descending else (v < sv)
     in_group = F.col(group) == F.col("subject_group")
-    return j.groupBy(indicator, t).agg(
-        F.first(sv).alias("subject_value"),
+    # subject value and group are constant within (indicator, year): grouping by them keeps
+    # every aggregate buffer fixed-width, so the plan stays a hash aggregate with partials
+    g = j.groupBy(indicator, t, "subject_value", "subject_group").agg(
         F.avg(v).alias("world_avg"),
-        F.first("subject_group").alias(group),
         F.avg(F.when(in_group, v)).alias("group_avg"),
         F.count(v).alias("rank_out_of"),
         (F.count_if(better) + 1).cast("long").alias("subject_rank"),
     )
+    return g.select(indicator, t, "subject_value", "world_avg", F.col("subject_group").alias(group),
+                    "group_avg", "rank_out_of", "subject_rank")
 
 
 def parity(bench: DataFrame, subject_col: str = "subject_value", peer_col: str = "group_avg") -> DataFrame:
