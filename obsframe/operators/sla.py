@@ -11,21 +11,19 @@ from obsframe.functions.columns import round_to
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.schema import FRESHNESS_TIER_HOURS
 
-# --- fixed values: which table belongs to which freshness tier, and volume ranges ---
+# --- fixed values: freshness tier and row range (min, max, expected) per table of the ETL ---
 FRESHNESS_TABLES = {
     "critical": ["bank_prices", "indicators_clean"],
-    "standard": ["master_dataset", "benchmark_morocco"],
+    "standard": ["mart_macro_wide", "curated_panel"],
     "batch": ["dim_indicators"],
 }
 VOLUME_RANGES = {
     "indicators_clean": (50, 100, 72),
-    "master_dataset": (40, 100, 54),
+    "mart_macro_wide": (40, 100, 54),
     "dim_indicators": (10, 200, 120),
     "bank_prices": (100, 50000, 5000),
-    "benchmark_morocco": (10, 100, 30),
+    "curated_panel": (10, 100, 30),
 }
-STAGE_BUDGET_MINUTES = {"fetch_wb": 10, "fetch_owid": 10, "clean_transform": 5, "merge_load": 5,
-                        "ingestion": 5, "eda": 10, "ml_dl": 20, "report": 5}
 
 
 def tier_config(spark: SparkSession, tiers: dict | None = None, hours: dict | None = None) -> DataFrame:

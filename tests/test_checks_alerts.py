@@ -84,11 +84,11 @@ def test_routing_and_sla(spark):
 
 
 def test_stage_latency(spark):
-    runs = spark.createDataFrame([("r1", "fetch_wb", "2024-01-01 00:00:00", "2024-01-01 00:12:00", True, 72)],
+    runs = spark.createDataFrame([("r1", "staging", "2024-01-01 00:00:00", "2024-01-01 00:12:00", True, 72)],
                                  "run_id string, stage string, started string, ended string, ok boolean, rows int")
     ev = alerts.stage_events(runs.selectExpr("run_id", "stage", "CAST(started AS TIMESTAMP) started",
                                              "CAST(ended AS TIMESTAMP) ended", "ok", "rows"))
-    budgets = spark.createDataFrame(list(sla.STAGE_BUDGET_MINUTES.items()), "stage string, max_minutes int")
+    budgets = spark.createDataFrame([("staging", 10), ("clean", 5)], "stage string, max_minutes int")
     r = alerts.latency_breaches(ev, budgets).collect()[0]
     assert r.duration_minutes == pytest.approx(12.0) and r.status == "BREACH"
 

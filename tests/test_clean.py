@@ -7,11 +7,11 @@ RAW = [
     ("WB", "WDI", "NY.GDP", "gdp", "nan", "2020", "13", 2),        # duplicate of row 1 (entity NULL)
     ("WB", "WDI", "NY.GDP", "gdp", "", "2021", "NA", 3),
     ("WB", "WDI", "NY.GDP", "gdp", "None", "2021", "7", 4),        # duplicate, first one was NA
-    ("WB", "WDI", "NY.GDP", "gdp", "Morocco", "1899", "1", 5),
-    ("WB", "WDI", "NY.GDP", "gdp", "Morocco", "1900", "NaN", 6),
-    ("WB", "WDI", "NY.GDP", "gdp", "Morocco", "2100", "abc", 7),
-    ("WB", "WDI", "NY.GDP", "gdp", "Morocco", "2101", "1", 8),
-    ("WB", "WDI", "NY.GDP", "gdp", "Morocco", "", "1", 9),
+    ("WB", "WDI", "NY.GDP", "gdp", "Peru", "1899", "1", 5),
+    ("WB", "WDI", "NY.GDP", "gdp", "Peru", "1900", "NaN", 6),
+    ("WB", "WDI", "NY.GDP", "gdp", "Peru", "2100", "abc", 7),
+    ("WB", "WDI", "NY.GDP", "gdp", "Peru", "2101", "1", 8),
+    ("WB", "WDI", "NY.GDP", "gdp", "Peru", "", "1", 9),
 ]
 SCHEMA = "source string, dataset string, code string, name string, entity string, year string, value string, row_order int"
 
@@ -27,8 +27,8 @@ def test_type_long_tokens(spark):
 def test_clean_long_keep_first_and_validity(spark):
     out = rows(clean.clean_long(spark.createDataFrame(RAW, SCHEMA)), "year", "entity")
     keys = [(r["entity"], r["year"], r["value"], r["is_missing"]) for r in out]
-    assert keys == [("Morocco", 1900, None, True), (None, 2020, 12.5, False), (None, 2021, None, True),
-                    ("Morocco", 2100, None, True)]
+    assert keys == [("Peru", 1900, None, True), (None, 2020, 12.5, False), (None, 2021, None, True),
+                    ("Peru", 2100, None, True)]
 
 
 def test_dedup_is_idempotent(spark):
@@ -43,6 +43,6 @@ def test_run_counters(spark):
 
 
 def test_subject_scope_and_codes(spark):
-    df = spark.createDataFrame([(None, "A.b"), ("Morocco", "x"), ("France", "a.B")], "entity string, code string")
-    assert clean.subject_scope(df, "Morocco").count() == 2
+    df = spark.createDataFrame([(None, "A.b"), ("Peru", "x"), ("France", "a.B")], "entity string, code string")
+    assert clean.subject_scope(df, "Peru").count() == 2
     assert clean.code_filter(df, ["A.B"]).count() == 2

@@ -9,7 +9,7 @@ from tests.conftest import SF_SMALL
 
 
 def test_csv_roundtrip_all_strings(spark, tmp_path):
-    df = spark.createDataFrame([("MAR", "2020", "1.5"), ("FRA", "", "NA")], "c string, year string, v string")
+    df = spark.createDataFrame([("PER", "2020", "1.5"), ("FRA", "", "NA")], "c string, year string, v string")
     out = str(tmp_path / "x")
     write_csv(df, out, single_file=True)
     back = read_csv_strings(spark, out)
@@ -19,9 +19,9 @@ def test_csv_roundtrip_all_strings(spark, tmp_path):
 
 def test_grapher_csv_to_long(spark, tmp_path):
     p = tmp_path / "g.csv"
-    p.write_text('Entity,Code,Year,Life\n"Morocco, Kingdom",MAR,2020,74.1\nMorocco,MAR,1899,70\n'
-                 "Morocco,MAR,20x1,71\nMorocco,MAR,2021,NA\nFrance,FRA,2020,82\n")
-    out = grapher_to_long(read_csv_strings(spark, str(p)), "MAR", "OWID", "le", "le", "life", "Morocco").collect()
+    p.write_text('Entity,Code,Year,Life\n"Peru, Republic",PER,2020,74.1\nPeru,PER,1899,70\n'
+                 "Peru,PER,20x1,71\nPeru,PER,2021,NA\nFrance,FRA,2020,82\n")
+    out = grapher_to_long(read_csv_strings(spark, str(p)), "PER", "OWID", "le", "le", "life", "Peru").collect()
     assert sorted((r.year, r.value) for r in out) == [(2020, 74.1), (2021, None)]
 
 
@@ -29,9 +29,9 @@ def test_flatten_paged_and_nested(spark):
     pages = spark.createDataFrame([('[{"total":2,"per_page":50},[{"date":"2020","value":1.5},{"date":"2021","value":null}]]',),
                                    ('[{"total":0}, null]',)], "json string")
     assert sorted((r.date, r.value) for r in flatten_paged(pages).collect()) == [("2020", 1.5), ("2021", None)]
-    docs = spark.createDataFrame([('{"values":{"NGDPD":{"MAR":{"2020":1.0,"2021":2.0}}}}',)], "json string")
+    docs = spark.createDataFrame([('{"values":{"NGDPD":{"PER":{"2020":1.0,"2021":2.0}}}}',)], "json string")
     got = sorted((r.code, r.country, r.year, r.value) for r in flatten_nested(docs).collect())
-    assert got == [("NGDPD", "MAR", 2020, 1.0), ("NGDPD", "MAR", 2021, 2.0)]
+    assert got == [("NGDPD", "PER", 2020, 1.0), ("NGDPD", "PER", 2021, 2.0)]
 
 
 def test_manifest_sha256(spark):
@@ -42,9 +42,9 @@ def test_manifest_sha256(spark):
 
 
 def test_registry_and_partitioned_warehouse(spark, tmp_path):
-    wide = spark.createDataFrame([("MAR", 2020, 1.0, None), ("MAR", 2021, 2.0, 3.0)],
+    wide = spark.createDataFrame([("PER", 2020, 1.0, None), ("PER", 2021, 2.0, 3.0)],
                                  "country string, year int, gdp double, `NY.X` double")
-    suffixed = spark.createDataFrame([("MAR", 0.7, 0.71, 5.0)], "country string, hdi_2020 double, hdi_2021 double, hdi_rank double")
+    suffixed = spark.createDataFrame([("PER", 0.7, 0.71, 5.0)], "country string, hdi_2020 double, hdi_2021 double, hdi_rank double")
     specs = [SourceSpec("panel", lambda s: wide, "wide_year", {"source": "WB", "dataset": "P", "entity": "country", "year": "year"}),
              SourceSpec("hdi", lambda s: suffixed, "wide_year_suffixed", {"source": "UNDP", "dataset": "HDI", "entity": "country"})]
     long = indicators_long(spark, specs)
