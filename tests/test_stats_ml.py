@@ -62,3 +62,30 @@ def test_kmeans_and_pca(spark):
     assert labels.select("cluster").distinct().count() == 3
     pca = ml.pca_variance(df, ["x", "y"]).collect()
     assert sum(r.variance_explained for r in pca) == pytest.approx(1.0)
+
+
+def _linear_panel(spark, n=120):
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(n, 3))
+    y = 3.0 + X @ np.array([2.0, 0.0, -1.0]) + rng.normal(scale=0.05, size=n)
+    rows = [(i, float(a), float(b), float(c), float(t)) for i, ((a, b, c), t) in enumerate(zip(X, y))]
+    df = spark.createDataFrame(rows, "k int, x1 double, x2 double, x3 double, y double")
+    return df.filter("k % 5 != 0"), df.filter("k % 5 = 0")
+
+
+def test_forest_lasso_ridge_residuals(spark):
+    tr, te = _linear_panel(spark)
+    feats = ["x1", "x2", "x3"]
+    metrics, imp = ml.random_forest_cv(tr, te, "y", feats, num_trees=10, folds=2, max_depth=4)
+    m = metrics.collect()[0]
+    assert m.n == 24 and m.r2_corr > 0.5
+    top = imp.collect()
+    assert top[0].importance == 100.0 and top[0].feature == "x1"      # rescaled so the top is 100
+    lm, coefs = ml.lasso_cv(tr, te, "y", feats, folds=2)
+    c = {r.term: r.estimate for r in coefs.collect()}
+    assert abs(c["x1"] - 2.0) < 0.2 and abs(c["x2"]) < 0.1              # the irrelevant feature shrinks
+    assert lm.collect()[0].r2 > 0.95
+    rl = {r.model: r for r in ml.ridge_vs_lasso(tr, te, "y", feats).collect()}
+    assert set(rl) == {"ridge", "lasso"} and rl["lasso"].r2_gap == pytest.approx(rl["lasso"].r2_train - rl["lasso"].r2_test)
+    res = ml.residuals(te.withColumn("prediction", te.y - 1.0), "y").collect()
+    assert all(r.residual == pytest.approx(1.0) for r in res)
