@@ -28,16 +28,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*key_cols, *rest_left, *rest_right)
 
 
-def bounded_broadcast(df: DataFrame, bound_rows: int, why: str) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction, not by data volume.
-
-    ``bound_rows`` documents the proof (e.g. one row per valid year: <= 201 rows;
-    one row per configured table). Sides without such a bound are left to AQE,
-    which converts a sort-merge join to a broadcast join only after measuring the
-    materialised shuffle output against ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+def bounded_broadcast(df: DataFrame, bound_rows: int, why: str, verify: bool = False) -> DataFrame:
+    """Broadcast a side whose row count is bounded, not proportional to the data volume.
+
+    ``bound_rows`` documents the proof (one row per valid year: <= 201 rows; one
+    row per configured table; the 25 nations of the schema). With ``verify`` the
+    bound is checked at run time with ``limit(bound + 1).count()`` — the scan stops
+    after bound + 1 rows — and a side that exceeds it is joined without the hint,
+    i.e. planned by AQE from measured sizes. Use ``verify`` for tables read from
+    storage; sides bounded by construction (a ``groupBy`` on a bounded key, config
+    rows) need no check. Sides without any bound are never passed here.
     """
     if bound_rows <= 0 or bound_rows > 1_000_000:
         raise ValueError(f"broadcast bound {bound_rows} is not a small constant ({why})")
+    if verify and df.limit(bound_rows + 1).count() > bound_rows:
+        return df
     return F.broadcast(df)
 
 

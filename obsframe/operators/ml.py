@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import col_ref
+from obsframe.operators.joins import bounded_broadcast
 from obsframe.operators.stats import regression_metrics
 
 
@@ -141,7 +142,7 @@ def kmeans_best_of(df: DataFrame, key: str, features: Sequence[str], k: int = 3,
     first_key = pred.groupBy("_c").agg(F.min(key).alias("_first"))
     # k rows: a global window is fine here
     relabel = first_key.select("_c", (F.dense_rank().over(Window.orderBy("_first")) - 1).alias("cluster"))
-    out = pred.join(F.broadcast(relabel), "_c").select(key, "cluster")
+    out = pred.join(bounded_broadcast(relabel, k, "one row per cluster"), "_c").select(key, "cluster")
     scaled.unpersist()
     return out, best_cost
 

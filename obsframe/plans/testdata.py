@@ -41,9 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region names; 25 rows by the TPC-H definition, so safe to broadcast."""
     n = table(spark, sf_dir, "nation")
-    r = bounded_broadcast(table(spark, sf_dir, "region"), N_REGIONS, "TPC-H regions")
+    r = bounded_broadcast(table(spark, sf_dir, "region"), N_REGIONS, "TPC-H regions", verify=True)
     return bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey)
-                              .select("n_nationkey", "n_name", "r_name"), N_NATIONS, "TPC-H nations")
+                              .select("n_nationkey", "n_name", "r_name"), N_NATIONS, "TPC-H nations", verify=True)
 
 
 def orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,13 @@ def test_hot_key_plans_reduce_before_shuffle(spark):
     assert "Window" not in bplan and "partial_count" in bplan
     r = b.collect()[0]
     assert (r.year, r.subject_value, r.rank_out_of, r.subject_rank) == (2000, 0.0, n // 3, n // 3)
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from obsframe.operators.joins import bounded_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+    facts = spark.range(1000).selectExpr("id % 50 AS id")
+    plan = lambda d: facts.join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(bounded_broadcast(small, 10, "test", verify=True)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(big, 10, "test", verify=True)).lower()
