@@ -208,7 +208,11 @@ SELECT l_returnflag, count(*) AS n, round(sqrt(avg(power(p - y, 2))), 6) AS rmse
        round(1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)), 6) AS r2
 FROM p GROUP BY 1""")
 def q_regression_metrics(spark, sf_dir):
-    """RMSE, MAE, R^2 (cor^2 and coefficient of determination) of a per-group linear fit."""
+    """RMSE, MAE, R^2 (cor^2 and coefficient of determination) of a per-group linear fit.
+
+    The fits are one row per group, so AQE broadcasts them (measured at run time) and
+    the fact rows are never shuffled on the low-cardinality group key.
+    """
     li = td.table(spark, sf_dir, "lineitem")
     fits = stats.simple_regression(li, "l_extendedprice", "l_quantity", ["l_returnflag"])
     pred = li.join(fits, "l_returnflag").select(
