@@ -2,27 +2,45 @@
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obsframe.schema import ALERT_SCHEMA
 
 
-def load_folder(spark: SparkSession, folder: str, fmt: str = "parquet", pattern: str | None = None):
+def list_entries(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Top-level entries of ``folder`` whose name ends with ``suffix`` (files or table directories).
+
+    Listed through Spark's file source, so any Hadoop-compatible store works; only the
+    ``path`` column is selected, so file contents are never read.
+    """
+    base = folder.rstrip("/") + "/"
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+                  .select(F.col("path")))
+    tops = set()
+    for (path,) in files.collect():                      # a file listing: metadata, not data
+        rel = path.split(base.split("://")[-1], 1)[-1].lstrip("/")
+        top = rel.split("/", 1)[0]
+        if top.endswith(suffix):
+            tops.add(top)
+    return sorted(tops)
+
+
+def load_folder(spark: SparkSession, folder: str, fmt: str = "parquet", suffix: str | None = None):
     """Returns ({table_name: DataFrame}, load_alerts DataFrame).
 
-    Listing is metadata only (file names); every table is read lazily by Spark.
-    A read that fails at planning time (corrupt footer, bad header) is recorded
-    as a CRITICAL ``LOAD`` alert instead of stopping the run.
+    Every top-level ``*.{fmt}`` entry is a table named by its stem, read lazily. A
+    read that fails at planning time (corrupt footer, bad header) is recorded as a
+    CRITICAL ``LOAD`` alert instead of stopping the run.
     """
-    pattern = pattern or f"*.{fmt}"
+    suffix = suffix or f".{fmt}"
     tables, failures = {}, []
-    for p in sorted(glob.glob(os.path.join(folder, pattern))):
-        name = os.path.basename(p).split(".")[0]
+    for entry in list_entries(spark, folder, suffix):
+        name = entry[: -len(suffix)]
         try:
-            df = spark.read.format(fmt).option("header", True).load(p)
+            df = spark.read.format(fmt).option("header", True).load(folder.rstrip("/") + "/" + entry)
             _ = df.schema
             tables[name] = df
         except Exception:  # noqa: BLE001 - any load failure is reported as data
