@@ -13,6 +13,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.schema import LONG_COLUMNS
@@ -22,10 +23,12 @@ from obsframe.session import scratch_path
 def ingest_files(spark: SparkSession, landing: str, schema: T.StructType,
                  normalise: Callable[[DataFrame], DataFrame], target: str, fmt: str = "csv",
                  checkpoint: str | None = None, partition_by=("source", "dataset"), options: dict | None = None):
-    """Append every new file under ``landing`` to the Parquet table ``target``.
+    """Add every new file under ``landing`` to the Parquet table ``target`` exactly once.
 
     ``normalise`` maps the raw rows of one micro-batch to canonical long rows (any
-    layout normaliser of ``obsframe.sources.readers``). Returns the finished query.
+    layout normaliser of ``obsframe.sources.readers``). The checkpoint records which
+    files were consumed; each batch is written under its own ``batch_id`` partition.
+    Returns the finished query.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in {"header": "true", **(options or {})}.items():
@@ -33,11 +36,13 @@ def ingest_files(spark: SparkSession, landing: str, schema: T.StructType,
     raw = reader.load(landing)
     ckpt = checkpoint or scratch_path(spark, "stream-" + os.path.basename(os.path.normpath(target)))
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        out = normalise(batch).select(*LONG_COLUMNS)
-        w = out.write.mode("append")
-        cols = [c for c in partition_by if c in out.columns]
-        (w.partitionBy(*cols) if cols else w).parquet(target)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # idempotent per micro-batch: a batch replayed after a failure overwrites only its own
+        # partitions (dynamic partition overwrite keyed by batch_id), so rows land exactly once
+        out = normalise(batch).select(*LONG_COLUMNS).withColumn("batch_id", F.lit(int(epoch)))
+        cols = ["batch_id"] + [c for c in partition_by if c in out.columns]
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*cols).parquet(target))
 
     q = (raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
