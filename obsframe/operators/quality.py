@@ -135,3 +135,36 @@ def describe(series: DataFrame, by: str | Sequence[str] = "code", value: str = "
     return out.select(*by, "n", *[round_to(c, 6).alias(c) for c in
                                   ("mean", "sd", "median", "trimmed", "mad", "min", "max", "range",
                                    "skew", "kurtosis", "se")])
+
+
+def describe_approx(df: DataFrame, by: str | Sequence[str] = "code", value: str = "value", trim: float = 0.1,
+                    accuracy: int = 10000) -> DataFrame:
+    """``describe`` for groups of any size: no window, only partially-merged aggregates.
+
+    Median, trim cut-offs and MAD come from ``percentile_approx`` (relative rank
+    error 1/accuracy); the trimmed mean averages the values between the trim
+    quantiles. Pass 1 aggregates per group, pass 2 re-reads the data joined to the
+    per-group statistics (one row per group) — a hot group is merged from partial
+    sketches, never sorted in one task.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    x = F.col(value)
+    base = df.filter(x.isNotNull()).select(*by, x.alias("_x"))
+    q = base.groupBy(*by).agg(
+        F.count("_x").alias("n"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("sd"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"),
+        F.skewness("_x").alias("_g1"), F.kurtosis("_x").alias("_g2"),
+        F.percentile_approx("_x", [trim, 0.5, 1 - trim], accuracy).alias("_q"))
+    j = base.join(q.select(*by, "_q"), by)
+    lo, med, hi = F.col("_q")[0], F.col("_q")[1], F.col("_q")[2]
+    second = j.groupBy(*by).agg(
+        F.avg(F.when((F.col("_x") >= lo) & (F.col("_x") <= hi), F.col("_x"))).alias("trimmed"),
+        (F.lit(1.4826) * F.percentile_approx(F.abs(F.col("_x") - med), 0.5, accuracy)).alias("mad"))
+    out = q.join(second, by)
+    n = F.col("n").cast("double")
+    return out.select(
+        *by, "n", "mean", "sd", F.col("_q")[1].alias("median"), "trimmed", "mad", "min", "max",
+        (F.col("max") - F.col("min")).alias("range"),
+        (F.col("_g1") * F.pow((n - 1) / n, 1.5)).alias("skew"),
+        ((F.col("_g2") + 3) * F.pow((n - 1) / n, 2) - 3).alias("kurtosis"),
+        (F.col("sd") / F.sqrt(n)).alias("se"))

@@ -102,3 +102,17 @@ def test_bounded_broadcast_checks_size(spark):
     plan = lambda d: facts.join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(bounded_broadcast(small, 10, "test", verify=True)).lower()
     assert "broadcast" not in plan(bounded_broadcast(big, 10, "test", verify=True)).lower()
+
+
+def test_describe_approx_close_to_exact(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(50, 10, 4000)
+    df = spark.createDataFrame([("hot" if i % 3 else "cold", float(v)) for i, v in enumerate(x)], "code string, value double")
+    exact = {r.code: r for r in quality.describe(df).collect()}
+    approx = {r.code: r for r in quality.describe_approx(df).collect()}
+    plan = quality.describe_approx(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    for c in ("hot", "cold"):
+        e, a = exact[c], approx[c]
+        assert a.n == e.n and a.mean == pytest.approx(e.mean, abs=1e-6) and a.skew == pytest.approx(e.skew, abs=1e-6)
+        assert abs(a.median - e.median) < 0.5 and abs(a.trimmed - e.trimmed) < 0.5 and abs(a.mad - e.mad) < 0.5
