@@ -27,6 +27,22 @@ def _train_test(spark, sf_dir):
     return s.filter("is_train"), s.filter(~F.col("is_train"))
 
 
+_FITS: dict = {}
+
+
+def _fitted(spark, sf_dir, kind: str):
+    """One cross-validated fit per (session, tables, model): the metrics and the coefficient /
+    importance queries read the same fitted model instead of repeating the CV search."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FITS:
+        tr, te = _train_test(spark, sf_dir)
+        if kind == "forest":
+            _FITS[key] = ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
+        else:
+            _FITS[key] = ml.lasso_cv(tr, te, LABEL, FEATURES)
+    return _FITS[key]
+
+
 @register("stratified_split")
 def q_stratified_split(spark, sf_dir):
     """80/20 split balanced on target quintiles (hash membership, seed 42): counts per cell."""
@@ -51,33 +67,25 @@ def q_logit_coefficients(spark, sf_dir):
 @register("random_forest")
 def q_random_forest(spark, sf_dir):
     """G6 + G9: random forest (100 trees, 5-fold CV) test metrics."""
-    tr, te = _train_test(spark, sf_dir)
-    metrics, _imp = ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
-    return metrics
+    return _fitted(spark, sf_dir, "forest")[0]
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """Top-10 random forest importances rescaled to 100."""
-    tr, te = _train_test(spark, sf_dir)
-    _metrics, imp = ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
-    return imp
+    return _fitted(spark, sf_dir, "forest")[1]
 
 
 @register("lasso_cv")
 def q_lasso_cv(spark, sf_dir):
     """Lasso with 5-fold CV over lambda = 10^(-4..1 step 0.5); test metrics and chosen lambda."""
-    tr, te = _train_test(spark, sf_dir)
-    metrics, _coefs = ml.lasso_cv(tr, te, LABEL, FEATURES)
-    return metrics
+    return _fitted(spark, sf_dir, "lasso")[0]
 
 
 @register("lasso_coefficients")
 def q_lasso_coefficients(spark, sf_dir):
     """Coefficients of the CV-selected lasso."""
-    tr, te = _train_test(spark, sf_dir)
-    _metrics, coefs = ml.lasso_cv(tr, te, LABEL, FEATURES)
-    return coefs
+    return _fitted(spark, sf_dir, "lasso")[1]
 
 
 @register("ridge_vs_lasso")
