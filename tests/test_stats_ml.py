@@ -89,3 +89,24 @@ def test_forest_lasso_ridge_residuals(spark):
     assert set(rl) == {"ridge", "lasso"} and rl["lasso"].r2_gap == pytest.approx(rl["lasso"].r2_train - rl["lasso"].r2_test)
     res = ml.residuals(te.withColumn("prediction", te.y - 1.0), "y").collect()
     assert all(r.residual == pytest.approx(1.0) for r in res)
+
+
+def test_logit_table_matches_newton(spark):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(400, 2))
+    p = 1 / (1 + np.exp(-(0.5 + X @ np.array([1.5, -1.0]))))
+    y = (rng.random(400) < p).astype(float)
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(X, y)], "x1 double, x2 double, y double")
+    got = {r.term: r for r in stats.logit_table(df, "y", ["x1", "x2"]).collect()}
+    A = np.c_[X, np.ones(len(X))]
+    beta = np.zeros(3)
+    for _ in range(25):                                   # Newton-Raphson / IRLS
+        mu = 1 / (1 + np.exp(-A @ beta))
+        W = mu * (1 - mu)
+        beta += np.linalg.solve(A.T @ (A * W[:, None]), A.T @ (y - mu))
+    se = np.sqrt(np.diag(np.linalg.inv(A.T @ (A * W[:, None]))))
+    for i, term in enumerate(["x1", "x2", "(Intercept)"]):
+        assert got[term].estimate == pytest.approx(beta[i], rel=1e-4)
+        assert got[term].std_error == pytest.approx(se[i], rel=1e-3)
+    empty = stats.logit_table(df.withColumn("y", df.y * 0), "y", ["x1", "x2"])
+    assert empty.count() == 0                              # fewer than 2 positives: no fit
