@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import langid, simhash
+from obsframe.llm import langid, lines, mixing, packing, simhash
 from obsframe.llm.common import materialise, table
 
 
+def _beside(docs: DataFrame, names: list[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``operator`` adds columns ``names``; columns of ``docs`` with such a name are set aside meanwhile."""
+    aside = {n: f"__aside_{n}" for n in names if n in docs.columns}
+    return operator(docs.withColumnsRenamed(aside)).drop(*names).withColumnsRenamed({v: k for k, v in aside.items()}).select(docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents whose language cannot be determined go; all others keep their columns."""
-    found = langid.identify_languages(docs.withColumn("_lang", F.col("lang")))
-    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
+    return _beside(docs, ["held_out", "lang_pred", "score"],
+                   lambda d: langid.identify_languages(d).where(F.col("lang_pred") != langid.UNDETERMINED))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6 with the source as the host: lines common to a source's documents are taken out of the texts.
+    Every document stays; ``n_chars`` follows its new text."""
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return _beside(docs, ["n_lines", "n_dropped"], lambda d: lines.drop_boilerplate(d, F.col("source")).withColumn("n_chars", n_chars))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +35,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
-STAGES = [("language ID", language_id), ("SimHash near-dedup", near_dedup)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents are sampled with probabilities calibrated to source, language and topic shares."""
+    return _beside(docs, ["topic", "n_tokens", "probability"], mixing.sample)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one row per piece with its place in a sequence."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing to target weights", mix),
+    ("best-fit packing", pack),
+]
 
 #: Language ID, SimHash and packing cannot be expressed in SQL; tests/llm/test_pipeline.py holds the rows against a brute-force version.
 ORACLE_SQL = None

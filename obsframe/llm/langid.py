@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsframe.llm.common import ship
+
 DIMS = 8192
 SAMPLE_ROWS = 2400
 UNDETERMINED = "und"
@@ -77,6 +79,7 @@ def _sample(train: DataFrame, text: str, lang: str, key: str, rows: int) -> pd.D
               .orderBy(F.desc("count"), "lang").limit(rows).collect()}
     if not counts:
         return pd.DataFrame({"lang": [], "v": []})
+    ship(train.sparkSession)
     share = max(1, rows // len(counts))
     u = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30))
     take: Column = F.lit(False)
@@ -173,14 +176,14 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     The model has a fixed size (``DIMS`` weights per pair) and is broadcast once.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = ship(df.sparkSession).sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
     def identify(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([predict_text(shared.value, t) for t in texts], columns=["lang", "score"])
 
-    return (df.withColumn("_found", identify(F.col(text)))
-            .withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score")}).drop("_found"))
+    return (df.withColumn("__language", identify(F.col(text)))
+            .withColumns({"lang_pred": F.col("__language.lang"), "score": F.col("__language.score")}).drop("__language"))
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obsframe.llm import langid, simhash
+from obsframe.llm import langid, lines, mixing, packing, quality, simhash
 from obsframe.llm.common import table
 
 
@@ -12,10 +13,30 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their source as the host: the text without boilerplate lines, and what was dropped."""
+    found = lines.drop_boilerplate(table(spark, sf_dir, "documents"), F.col("source"))
+    return found.select("doc_id", "source", "n_lines", "n_dropped", "text")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop(*quality.FLOORS)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled documents and the calibrated probability that each had."""
+    found = mixing.sample(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_line_dedup": lines.oracle(), "op9_source_mixing": mixing.oracle()}

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import connected_components, cut, materialise
+from obsframe.llm.common import connected_components, cut, materialise, ship
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -64,6 +64,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, fp)``: the fingerprint as a signed long."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
@@ -179,6 +181,7 @@ def _link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def link_distinct(distinct: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """Links ``(a, b)`` between the representatives of distinct fingerprints ``(fp, rep)`` that span their groups."""
+    ship(distinct.sparkSession)
     keys = index_keys(distinct)
     counts = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = cut(counts)
