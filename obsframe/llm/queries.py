@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import langid, lines, mixing, packing, quality, simhash
+from obsframe.llm import langid, lines, mixing, packing, quality, simhash, topk, warc
 from obsframe.llm.common import table
 
 
@@ -13,6 +13,18 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages written to the shared scratch folder, and every record read back through the index."""
+    folder = warc.archive_folder(spark)
+    index = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.search(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source as the host: the text without boilerplate lines, and what was dropped."""
     found = lines.drop_boilerplate(table(spark, sf_dir, "documents"), F.col("source"))
@@ -37,6 +49,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op4_warc_index, op5_exact_topk, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id)}
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+last AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= {warc.MIN_SHARED} GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM p LEFT JOIN last USING (payload_digest)"""
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op6_line_dedup": lines.oracle(), "op9_source_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op4_warc_index": WARC_SQL, "op5_exact_topk": TOPK_SQL, "op6_line_dedup": lines.oracle(), "op9_source_mixing": mixing.oracle()}
