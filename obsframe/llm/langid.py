@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from obsframe.llm.common import ship
 
-DIMS = 8192
-SAMPLE_ROWS = 2400
+BITS = 12
+DIMS = 1 << BITS
+SAMPLE_ROWS = 1200
 UNDETERMINED = "und"
 
 # Families of well-known language codes; a code not listed is a family of its own.
@@ -64,7 +65,7 @@ def ngram_ids(text: str | None) -> np.ndarray:
             break
         h = h[:len(c) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1:] + np.uint64(n)
         x = h ^ (h >> np.uint64(29))
-        out.append(((x * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 13)).astype(np.int64))
+        out.append(((x * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.int64))
     return np.concatenate(out)
 
 
@@ -91,7 +92,7 @@ def _sample(train: DataFrame, text: str, lang: str, key: str, rows: int) -> pd.D
         for b in batches:
             yield pd.DataFrame({"lang": b["lang"], "u": b["u"], "v": [_vector(t).tobytes() for t in b["text"]]})
 
-    found = picked.mapInPandas(vectors, "lang string, u long, v binary").toPandas()
+    found = pd.DataFrame(picked.mapInPandas(vectors, "lang string, u long, v binary").collect(), columns=["lang", "u", "v"])
     return found.sort_values(["lang", "u"]).groupby("lang").head(share)
 
 
@@ -99,7 +100,7 @@ def _svm(x: np.ndarray, y: np.ndarray, c: float = 20.0, epochs: int = 30) -> np.
     """L2-loss linear support vector machine with bias, by dual coordinate descent."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w, alpha = np.zeros(x.shape[1], np.float64), np.zeros(len(x))
-    diag = (x.astype(np.float64) ** 2).sum(1) + 0.5 / c
+    diag = np.einsum("ij,ij->i", x, x) + 0.5 / c
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(len(x)):
@@ -124,10 +125,9 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     model = {"families": families, "langs": {f: [n for n in names if family_of(n) == f] for f in families}, "w": {}}
     if not names:
         return model
-    x = np.stack([np.frombuffer(v, np.float32) for v in rows["v"]])
+    x = np.frombuffer(b"".join(rows["v"]), np.float32).reshape(-1, DIMS)
     used = x.sum(1) > 0
-    x, of = x[used], rows["lang"].to_numpy()[used]
-    x = np.sqrt(x)
+    x, of = np.sqrt(x[used]), rows["lang"].to_numpy()[used]
     fam = np.array([family_of(n) for n in of])
 
     def pairs(labels, among):
