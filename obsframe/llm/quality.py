@@ -96,13 +96,12 @@ def fences(measured: DataFrame, lang: str = "lang", source: str = "source") -> D
     rolled = materialise(rolled, "quality-sketches")
     own = rolled.where("level = 0")
     of_lang = rolled.where("level = 1").select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *[F.col(n).alias(f"l_{n}") for n in FLOORS])
-    top = rolled.where("level = 3").select(F.lit(1).alias("one"), *[F.col(n).alias(f"a_{n}") for n in FLOORS])
-    joined = (own.join(of_lang, own["lang"].eqNullSafe(of_lang["l_lang"]), "left")
-              .withColumn("one", F.lit(1)).join(F.broadcast(top), "one", "left"))  # top: one row
+    top = rolled.where("level = 3").first()  # one row
+    joined = own.join(of_lang, own["lang"].eqNullSafe(of_lang["l_lang"]), "left")
     out = [F.col("lang"), F.col("source")]
     for n, floor in FLOORS.items():
         q = (F.when(F.col("n") >= MIN_GROUP, F.col(n)).when(F.col("l_n") >= MIN_GROUP, F.col(f"l_{n}"))
-             .otherwise(F.col(f"a_{n}")))
+             .otherwise(F.array(*map(F.lit, top[n])) if top and top[n] else F.lit(None).cast("array<double>")))
         reach = F.greatest(F.lit(floor), SPREADS * (q[1] - q[0]))
         out.append((q[1] + reach).alias(f"high_{n}"))
         if n == "word_length":
