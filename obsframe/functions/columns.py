@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def nan_to_null(df):
+    """NaN is a missing value: floating columns get NULL in its place."""
+    return df.select(*[F.nanvl(col_ref(f.name), F.lit(None).cast(f.dataType)).alias(f.name)
+                       if f.dataType.typeName() in ("double", "float") else col_ref(f.name) for f in df.schema.fields])
+
+
 def col_ref(name: str) -> Column:
     """Reference a column whose name may contain dots or dashes (codes such as NY.GDP.MKTP.CD)."""
     return F.col("`" + name.replace("`", "``") + "`")

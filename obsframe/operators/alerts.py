@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to
-from obsframe.operators.joins import bounded_broadcast
 
 # --- fixed values: severity -> channels, and which channels are enabled by default ---
 SEVERITY_ROUTING = {
@@ -29,9 +28,7 @@ def routing_table(spark: SparkSession, routing: dict | None = None, enabled: dic
 def route(alerts: DataFrame, routing: dict | None = None, enabled: dict | None = None) -> DataFrame:
     """One row per (alert, enabled channel); severities without a route go to the default channel."""
     spark = alerts.sparkSession
-    routes = routing_table(spark, routing, enabled)
-    n_routes = max(1, routes.count())
-    j = alerts.join(bounded_broadcast(routes, n_routes, "routing config"), "severity", "left")
+    j = alerts.join(routing_table(spark, routing, enabled), "severity", "left")
     return j.withColumn("channel", F.coalesce(F.col("channel"), F.lit(DEFAULT_CHANNEL)))
 
 

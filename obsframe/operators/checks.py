@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import col_ref, round_to, year_end_date
+from obsframe.functions.columns import col_ref, nan_to_null, round_to, year_end_date
 from obsframe.functions.stats import guarded_corr
 from obsframe.schema import CHECK_RESULT_SCHEMA, NULL_PCT_MAX
 
@@ -123,9 +123,11 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             if c not in cols:
                 continue
             latest = metric(f"_fr{ri}", F.max(_date_of(df, c)))
+            unread = metric(f"_fu{ri}", F.count_if(col_ref(c).isNotNull() & _date_of(df, c).isNull()))
             age = F.datediff(F.to_date(F.lit(r["as_of"])), latest)
             mx = r["max_age_days"]
-            rows.append(_row(table, f"{table}_freshness", kind, c, age, age <= mx, None, mx))
+            # a value that is no date fails the rule
+            rows.append(_row(table, f"{table}_freshness", kind, c, age, (age <= mx) & (unread == 0), None, mx))
         elif kind == "schema":
             expected = list(r["expected"])
             missing = [c for c in expected if c not in cols]
@@ -147,7 +149,8 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
 
 
 def run_suite(df: DataFrame, table: str, rules: list[dict]) -> DataFrame:
-    """Evaluate a rule suite on one table; non-constant rules record failures only."""
+    """Evaluate a rule suite on one table; non-constant rules record failures only. NaN counts as missing."""
+    df = nan_to_null(df)
     aggs, rows, side, meta, spark = compile_rules(df, table, rules)
     parts = []
     if rows:

@@ -66,9 +66,9 @@ def complete(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def subject_scope(df: DataFrame, subject: str | None, entity_col: str = "entity") -> DataFrame:
-    """Rows of the subject: NULL entity (single-country sources) or the named entity."""
+    """Rows of the subject: NULL entity (single-country sources) or the named entity; without a name, NULL entity only."""
     e = F.col(entity_col)
-    return df.filter(e.isNull() | (e == F.lit(subject))) if subject is not None else df
+    return df.filter(e.isNull() | (e == F.lit(subject))) if subject is not None else df.filter(e.isNull())
 
 
 def code_filter(df: DataFrame, codes: Sequence[str], code_col: str = "code") -> DataFrame:
@@ -77,37 +77,38 @@ def code_filter(df: DataFrame, codes: Sequence[str], code_col: str = "code") ->
 
 
 def dedup_first(df: DataFrame, key: Sequence[str] = OBS_KEY, order_by: str = "row_order",
-                keep_order: bool = False, unique_order: bool = True) -> DataFrame:
-    """Keep the first row per ``key`` by ``order_by``; NULL key parts compare equal.
-
-    With a unique ordering column (a row id, e.g. the file order) the first row of
-    each key is found by ``min(order_by)`` per key — a hash aggregate with partial
-    combine, so a key holding a third of all rows is reduced inside each map task —
-    and the rows are then kept by a NULL-safe semi join on (key, order). That join
-    is partitioned by the unique order too, so a hot key spreads over all tasks.
-    ``unique_order=False`` uses ``min_by(struct(row), order)`` instead (ties broken
-    by the aggregate; a sort-based aggregate, slower but also skew-safe).
+                keep_order: bool = False, unique_order: bool = False) -> DataFrame:
+    """Keep the first row per ``key`` by ``order_by``; NULL key parts compare equal, NULL orders come last.
+
+    The first row of each key is the minimum of (order, hash of the row) — a hash aggregate with
+    partial combine, so a key holding a third of all rows is reduced inside each map task — and
+    the rows are kept by a NULL-safe semi join on (key, order, hash). That join is partitioned by
+    the order too, so a hot key spreads over all tasks. Ties in ``order_by`` go to the smaller
+    hash, and rows that are equal throughout are kept once. ``unique_order=True`` is the caller's
+    word that no two rows share an order and none is NULL (a row id): the tie-break is left out.
     A ``row_number`` window is never used: it would sort a hot key in one task.
     """
     rest = [c for c in df.columns if c not in key and (keep_order or c != order_by)]
     if unique_order:
         firsts = df.groupBy(*key).agg(F.min(order_by).alias("_first_order"))
         cond = [df[k].eqNullSafe(firsts[k]) for k in key] + [df[order_by] == firsts["_first_order"]]
-        kept = df.join(firsts, cond, "left_semi")
-        return kept.select(*key, *rest)
-    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(1).alias("_"))
-    first = df.groupBy(*key).agg(F.min_by(payload, F.col(order_by)).alias("_first"))
-    return first.select(*key, *[F.col("_first." + c).alias(c) for c in rest]) if rest else first.select(*key)
+        return df.join(firsts, cond, "left_semi").select(*key, *rest)
+    d = df.withColumn("_order", F.struct(F.col(order_by).isNull().alias("n"), F.col(order_by).alias("o"),
+                                         F.xxhash64(*df.columns).alias("h")))
+    firsts = d.groupBy(*key).agg(F.min("_order").alias("_first_order"))
+    cond = [d[k].eqNullSafe(firsts[k]) for k in key] + [d["_order"].eqNullSafe(firsts["_first_order"])]
+    return d.join(firsts, cond, "left_semi").select(*key, *rest).dropDuplicates(list(key))
 
 
 def clean_long(raw: DataFrame, order_by: str = "row_order", lo: int = VALID_YEAR_MIN,
-               hi: int = VALID_YEAR_MAX, key: Sequence[str] = OBS_KEY) -> DataFrame:
-    """indicators_clean: typed, year-valid, deduplicated (keep first), with quality flags."""
+               hi: int = VALID_YEAR_MAX, key: Sequence[str] = OBS_KEY, unique_order: bool = False,
+               keep_order: bool = False) -> DataFrame:
+    """indicators_clean: typed, year-valid, deduplicated (keep first), with quality flags (and the order, if asked)."""
     typed = type_long(raw)
     valid = typed.filter(year_valid("year", lo, hi))
-    kept = dedup_first(valid.select(*LONG_COLUMNS, order_by), key, order_by)
+    kept = dedup_first(valid.select(*LONG_COLUMNS, order_by), key, order_by, keep_order, unique_order)
     return kept.select(*LONG_COLUMNS, F.lit(True).alias("year_valid"),
-                       F.col("value").isNull().alias("is_missing"))
+                       F.col("value").isNull().alias("is_missing"), *([order_by] if keep_order else []))
 
 
 def run_counters(raw: DataFrame, order_by: str = "row_order", lo: int = VALID_YEAR_MIN,

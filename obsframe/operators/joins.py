@@ -28,25 +28,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*key_cols, *rest_left, *rest_right)
 
 
-def bounded_broadcast(df: DataFrame, bound_rows: int, why: str, verify: bool = False) -> DataFrame:
-    """Broadcast a side whose row count is bounded, not proportional to the data volume.
-
-    ``bound_rows`` documents the proof (one row per valid year: <= 201 rows; one
-    row per configured table; the 25 nations of the schema). With ``verify`` the
-    bound is checked at run time with ``limit(bound + 1).count()`` — the scan stops
-    after bound + 1 rows — and a side that exceeds it is joined without the hint,
-    i.e. planned by AQE from measured sizes. Use ``verify`` for tables read from
-    storage; sides bounded by construction (a ``groupBy`` on a bounded key, config
-    rows) need no check. Sides without any bound are never passed here.
+def bounded_broadcast(df: DataFrame, bound_rows: int, why: str) -> DataFrame:
+    """Broadcast a side that is bounded by construction (one row per cluster, per code of a width-checked list).
+
+    ``bound_rows`` states the bound. Sides read from storage or computed from the data go
+    through ``measured_broadcast`` or are left to Spark.
     """
     if bound_rows <= 0 or bound_rows > 1_000_000:
         raise ValueError(f"broadcast bound {bound_rows} is not a small constant ({why})")
-    if verify and df.limit(bound_rows + 1).count() > bound_rows:
-        return df
     return F.broadcast(df)
 
 
-def year_panel_broadcast(panel: DataFrame, year_min: int, year_max: int) -> DataFrame:
-    """A table with one row per year in [year_min, year_max] is at most that many rows."""
-    bounded = panel.filter(F.col("year").between(year_min, year_max))
-    return bounded_broadcast(bounded, year_max - year_min + 1, "one row per year")
+def measured_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Checkpoint a reduced side to the shared folder, count it there, and broadcast it if it is small.
+
+    Beyond ``max_rows`` the checkpointed side is joined without a hint. The upstream plan runs once.
+    """
+    from obsframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    stored = df.checkpoint(eager=True)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to, year_of
-from obsframe.operators.joins import year_panel_broadcast
-from obsframe.schema import VALID_YEAR_MAX, VALID_YEAR_MIN
+from obsframe.operators.joins import measured_broadcast
 
 
 # ---- price fact and finance aggregates ---------------------------------------------------
@@ -52,14 +51,17 @@ def volatility_by_entity(prices: DataFrame, change: str = "change_pct") -> DataF
 
 # ---- joins -------------------------------------------------------------------------------
 
-def join_year_panel(facts: DataFrame, panel: DataFrame, year_min: int = VALID_YEAR_MIN,
-                    year_max: int = VALID_YEAR_MAX) -> DataFrame:
-    """Many-to-one left join of daily facts to an annual panel on ``year``.
+def join_year_panel(facts: DataFrame, panel: DataFrame) -> DataFrame:
+    """Many-to-one left join of daily facts to an annual panel on ``year``; every panel row takes part.
 
-    The panel has one row per year in a bounded range, so it is broadcast: the big
-    fact side is never shuffled.
+    The panel is checkpointed, must have one row per year (else ``ValueError``: a repeated year would
+    multiply facts), and is broadcast when its measured size is small, so the fact side is not shuffled.
     """
-    return facts.join(year_panel_broadcast(panel, year_min, year_max), on="year", how="left")
+    side = measured_broadcast(panel)
+    twice = side.groupBy("year").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError("the annual panel has several rows for one year")
+    return facts.join(side, on="year", how="left")
 
 
 def full_join_on(frames: Sequence[DataFrame], on: str | Sequence[str] = "year") -> DataFrame:

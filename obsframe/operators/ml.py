@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import col_ref
@@ -16,13 +16,20 @@ from obsframe.operators.joins import bounded_broadcast
 from obsframe.operators.stats import regression_metrics
 
 
+def unit_hash(key: Sequence[str], seed: int = 42) -> Column:
+    """A number in [0, 1) per row, from the md5 of the key and a seed: the same wherever the row is computed."""
+    text = F.concat_ws("|", *[F.coalesce(col_ref(k).cast("string"), F.lit("")) for k in key], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+
+
 def stratified_split(df: DataFrame, target: str, key: Sequence[str], train_frac: float = 0.8,
                      strata: int = 5, seed: int = 42, accuracy: int = 10000) -> DataFrame:
-    """Adds ``stratum`` (target quantile bin) and ``is_train``, balanced across strata.
+    """Adds ``stratum`` (target quantile bin; -1 for a NULL target) and ``is_train``, balanced within each stratum.
 
-    Bin edges are approximate quantiles (one small aggregate, no global sort);
-    membership is ``xxhash64(key, seed)`` mapped to [0, 1), so the split does not
-    depend on partitioning or task retries.
+    Bin edges are approximate quantiles (one small aggregate, no global sort). Each row has a
+    fixed number from ``unit_hash``; a stratum's training rows are those up to the
+    ``train_frac`` quantile of these numbers in it, so every stratum is split in that
+    proportion (to 1/``accuracy``), independent of partitioning and task retries.
     """
     probs = [i / strata for i in range(1, strata)]
     edges = df.agg(F.percentile_approx(target, probs, accuracy)).first()[0] or []
@@ -30,8 +37,23 @@ def stratified_split(df: DataFrame, target: str, key: Sequence[str], train_frac:
     stratum = F.lit(len(edges))
     for i in reversed(range(len(edges))):
         stratum = F.when(t <= F.lit(edges[i]), F.lit(i)).otherwise(stratum)
-    u = (F.abs(F.xxhash64(*[col_ref(k) for k in key], F.lit(seed))) % 1_000_000) / 1_000_000.0
-    return df.withColumn("stratum", stratum.cast("int")).withColumn("is_train", u < train_frac)
+    d = df.withColumn("stratum", F.when(t.isNull(), -1).otherwise(stratum).cast("int")).withColumn("_u", unit_hash(key, seed))
+    cuts = {r[0]: r[1] for r in d.groupBy("stratum").agg(F.percentile_approx("_u", train_frac, accuracy)).collect()}  # one row per stratum
+    limit = F.lit(train_frac)
+    for s, c in cuts.items():
+        limit = F.when(F.col("stratum") == s, F.lit(c)).otherwise(limit)
+    return d.withColumn("is_train", F.col("_u") <= limit).drop("_u")
+
+
+def in_fixed_order(df: DataFrame, key: str) -> DataFrame:
+    """The model panel, checkpointed in key order in one partition.
+
+    Seeds of folds, bootstrap samples and starting points then meet the same rows in the same
+    order on every run. For panels of one row per period, which are small by definition.
+    """
+    from obsframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.coalesce(1).sortWithinPartitions(key).checkpoint(eager=True)
 
 
 def _assemble(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()):
@@ -131,7 +153,7 @@ def kmeans_best_of(df: DataFrame, key: str, features: Sequence[str], k: int = 3,
         raise ValueError("k-means needs at least two non-constant features")
     data = _assemble(base, keep, keep=[key])
     scaled = StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(data).transform(data)
-    scaled = scaled.cache()
+    scaled = scaled.persist()
     best, best_cost = None, None
     for s in range(starts):
         m = KMeans(featuresCol="z", k=k, seed=seed + s, maxIter=50).fit(scaled)
@@ -142,8 +164,10 @@ def kmeans_best_of(df: DataFrame, key: str, features: Sequence[str], k: int = 3,
     first_key = pred.groupBy("_c").agg(F.min(key).alias("_first"))
     # k rows: a global window is fine here
     relabel = first_key.select("_c", (F.dense_rank().over(Window.orderBy("_first")) - 1).alias("cluster"))
-    out = pred.join(bounded_broadcast(relabel, k, "one row per cluster"), "_c").select(key, "cluster")
-    scaled.unpersist()
+    from obsframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    out = pred.join(bounded_broadcast(relabel, k, "one row per cluster"), "_c").select(key, "cluster").checkpoint(eager=True)
+    scaled.unpersist()  # after the result has been written
     return out, best_cost
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import col_ref, round_to
+from obsframe.functions.columns import col_ref, nan_to_null, round_to
 from obsframe.schema import (
     ALERT_SCHEMA, ANOMALY_CRITICAL_PCT, ANOMALY_MIN_VALUES, NULL_PCT_CRITICAL, NULL_PCT_WARN,
     VOLUME_DROP_CRITICAL_PCT, VOLUME_DROP_WARN_PCT, Z_SCORE_THRESHOLD,
@@ -27,7 +27,7 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def _long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, x) for every numeric cell: one Expand, no shuffle."""
-    return df.select(*[col_ref(c).cast("double").alias(c) for c in columns]).unpivot(
+    return nan_to_null(df).select(*[col_ref(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "x")
 
 
@@ -43,7 +43,7 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
     those statistics as literals.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    spark = df.sparkSession
+    spark, df = df.sparkSession, nan_to_null(df)
     if not columns:
         return spark.createDataFrame([], ALERT_SCHEMA)
     xs = [col_ref(c).cast("double") for c in columns]
@@ -71,7 +71,7 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
 def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,
                critical_pct: float = NULL_PCT_CRITICAL) -> DataFrame:
     """Per column null %: >= critical CRITICAL, >= warn WARNING; quiet columns emit nothing."""
-    cols = df.columns
+    cols, df = df.columns, nan_to_null(df)
     one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(col_ref(c).isNull()).alias(f"_z{i}")
                                                  for i, c in enumerate(cols)])
     cells = one.select("_n", F.inline(F.array(*[
@@ -83,13 +83,12 @@ def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,
                  .filter(F.col("severity").isNotNull()))
 
 
-def volume_drop(actual: DataFrame, expected: DataFrame, critical_pct: float = VOLUME_DROP_CRITICAL_PCT,
+def volume_drop(volumes: DataFrame, critical_pct: float = VOLUME_DROP_CRITICAL_PCT,
                 warn_pct: float = VOLUME_DROP_WARN_PCT) -> DataFrame:
-    """``actual(table_name, actual)`` vs ``expected(table_name, expected)``; drop % = 100*(exp-act)/exp."""
-    j = actual.join(expected, "table_name", "inner")
+    """``volumes(table_name, actual, expected)``; drop % = 100 * (expected - actual) / expected."""
     drop = F.try_divide((F.col("expected") - F.col("actual")) * 100.0, F.col("expected"))
     sev = F.when(drop > critical_pct, "CRITICAL").when(drop > warn_pct, "WARNING")
-    return (j.select(sev.alias("severity"), F.lit("VOLUME").alias("category"), "table_name",
+    return (volumes.select(sev.alias("severity"), F.lit("VOLUME").alias("category"), "table_name",
                      F.lit(None).cast("string").alias("column_name"), round_to(drop, 2).alias("observed"))
              .filter(F.col("severity").isNotNull()))
 

@@ -8,34 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to
-from obsframe.operators.joins import bounded_broadcast
 from obsframe.schema import FRESHNESS_TIER_HOURS
 
-# --- fixed values: freshness tier and row range (min, max, expected) per table of the ETL ---
-FRESHNESS_TABLES = {
-    "critical": ["bank_prices", "indicators_clean"],
-    "standard": ["mart_macro_wide", "curated_panel"],
-    "batch": ["dim_indicators"],
-}
-VOLUME_RANGES = {
-    "indicators_clean": (50, 100, 72),
-    "mart_macro_wide": (40, 100, 54),
-    "dim_indicators": (10, 200, 120),
-    "bank_prices": (100, 50000, 5000),
-    "curated_panel": (10, 100, 30),
-}
-
-
-def tier_config(spark: SparkSession, tiers: dict | None = None, hours: dict | None = None) -> DataFrame:
+
+def tier_config(spark: SparkSession, tiers: dict, hours: dict | None = None) -> DataFrame:
     """(tier, max_age_hours, table_name): the tier -> tables config exploded."""
-    tiers = tiers or FRESHNESS_TABLES
     hours = hours or FRESHNESS_TIER_HOURS
     rows = [(t, float(hours[t]), name) for t, names in tiers.items() for name in names]
     return spark.createDataFrame(rows, "tier string, max_age_hours double, table_name string")
 
 
-def volume_config(spark: SparkSession, ranges: dict | None = None) -> DataFrame:
-    ranges = ranges or VOLUME_RANGES
+def volume_config(spark: SparkSession, ranges: dict) -> DataFrame:
+    """(table_name, min_rows, max_rows, expected) of ``{table: (min, max, expected)}``."""
     rows = [(k, int(lo), int(hi), int(exp)) for k, (lo, hi, exp) in ranges.items()]
     return spark.createDataFrame(rows, "table_name string, min_rows long, max_rows long, expected long")
 
@@ -49,14 +33,13 @@ def table_timestamps(spark: SparkSession, paths: dict, fmt: str = "parquet") ->
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def freshness_sla(updated: DataFrame, as_of: str, config: DataFrame | None = None) -> DataFrame:
+def freshness_sla(updated: DataFrame, as_of: str, config: DataFrame) -> DataFrame:
     """FRESH / STALE / MISSING per configured table; age in hours to 1 decimal.
 
     ``updated(table_name, updated_at)`` may come from file metadata or from the
     newest event time of each table; ``as_of`` pins the clock so runs repeat.
     """
-    cfg = config if config is not None else tier_config(updated.sparkSession)
-    j = cfg.join(updated, "table_name", "left")
+    j = config.join(updated, "table_name", "left")
     # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session time zone
     age = (F.unix_timestamp(F.lit(as_of).cast("timestamp_ntz"))
            - F.unix_timestamp(F.col("updated_at").cast("timestamp_ntz"))) / 3600.0
@@ -66,10 +49,9 @@ def freshness_sla(updated: DataFrame, as_of: str, config: DataFrame | None = Non
                     F.col("max_age_hours").alias("sla_hours"))
 
 
-def volume_sla(counts: DataFrame, config: DataFrame | None = None) -> DataFrame:
+def volume_sla(counts: DataFrame, config: DataFrame) -> DataFrame:
     """OK / BREACH for each configured table that exists (missing tables are skipped)."""
-    cfg = config if config is not None else volume_config(counts.sparkSession)
-    j = counts.join(bounded_broadcast(cfg, 10_000, "config rows"), "table_name", "inner")
+    j = counts.join(config, "table_name", "inner")
     ok = F.col("actual").between(F.col("min_rows"), F.col("max_rows"))
     return j.select("table_name", "actual", "expected", "min_rows", "max_rows",
                     F.when(ok, "OK").otherwise("BREACH").alias("status"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import col_ref
+from obsframe.functions.columns import col_ref, nan_to_null
 from obsframe.functions.stats import corr_from_moments, guarded_corr
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.operators.reshape import pivot, pivot_values
@@ -19,14 +19,15 @@ _MOMENTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("i", "j")]
                         [T.StructField(n, T.DoubleType()) for n in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
 
-def _gram_partials(k: int):
-    """Per Arrow batch: pairwise-complete moment sums for every column pair i < j."""
+def _gram_partials(k: int, centre: list[float]):
+    """Per Arrow batch: pairwise-complete moment sums, about ``centre``, for every column pair i < j."""
     iu, ju = np.triu_indices(k, 1)
+    centre = np.array(centre)
 
     def run(batches):
         acc = None
         for pdf in batches:
-            x = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            x = pdf.to_numpy(dtype="float64", na_value=np.nan) - centre
             m = (~np.isnan(x)).astype("float64")
             x0 = np.nan_to_num(x, nan=0.0)
             part = (m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0)
@@ -47,8 +48,10 @@ def corr_matrix(long: DataFrame, row_key: str | Sequence[str], code: str = "code
     Observations are aligned on ``row_key`` (e.g. year). Plan: pivot to one row per
     key (one shuffle), per-partition Gram partials (numpy matrix products over an
     Arrow batch, k x k per task), then a grouped sum per pair. Work is O(rows * k^2)
-    with no pair rows materialised per observation and no self-join.
+    with no pair rows materialised per observation and no self-join. Moments are taken
+    about each code's mean, so a large common offset does not cancel them; NaN is missing.
     """
+    long = nan_to_null(long)
     keys = [row_key] if isinstance(row_key, str) else list(row_key)
     if codes is None:
         # one row per (row key, code), materialised once for the code list and the pivot
@@ -67,7 +70,8 @@ def corr_matrix(long: DataFrame, row_key: str | Sequence[str], code: str = "code
     wide = pivot(long, keys, code, value, values=codes, agg="mean",
                  names={c: f"c{i}" for i, c in enumerate(codes)})
     mat = wide.select(*[F.col(f"c{i}").cast("double") for i in range(k)])
-    parts = mat.mapInPandas(_gram_partials(k), _MOMENTS)
+    means = {r[0]: r[1] for r in long.filter(F.col(code).isin(codes)).groupBy(code).agg(F.avg(value)).collect()}  # k rows
+    parts = mat.mapInPandas(_gram_partials(k, [float(means.get(c) or 0.0) for c in codes]), _MOMENTS)
     sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     res = sums.select("i", "j", F.col("n").cast("long").alias("n_pairs"),
                       corr_from_moments(F.col("n"), F.col("sx"), F.col("sy"), F.col("sxx"),

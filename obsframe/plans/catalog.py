@@ -6,11 +6,5 @@ from obsframe.plans.registry import QUERIES
 
 
 def all_queries():
-    from obsframe.plans import catalog_core  # noqa: F401
-    for mod in ("catalog_series", "catalog_dq", "catalog_ml"):
-        try:
-            __import__(f"obsframe.plans.{mod}")
-        except ModuleNotFoundError as e:  # a catalog still being written
-            if e.name != f"obsframe.plans.{mod}":
-                raise
+    from obsframe.plans import catalog_core, catalog_dq, catalog_etl, catalog_ml, catalog_series  # noqa: F401
     return dict(QUERIES)

@@ -39,14 +39,15 @@ long AS (SELECT * FROM li_long
 RAW_ORDERS = """raw AS (
   SELECT 'tpch' AS source, 'orders' AS dataset, o_orderpriority AS code, o_orderpriority AS name,
          CASE WHEN o_orderstatus = 'P' THEN 'None' ELSE ' ' || o_orderstatus || ' ' END AS entity,
-         CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR) AS year,
+         CASE WHEN o_orderkey % 41 = 0 THEN '1850' WHEN o_orderkey % 43 = 0 THEN 'n.d.'
+              ELSE CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR) END AS year,
          CASE WHEN o_orderstatus = 'P' THEN 'NA' ELSE CAST(o_totalprice AS VARCHAR) END AS value,
          o_orderkey AS row_order FROM orders),
 typed AS (
   SELECT trim(source) AS source, trim(dataset) AS dataset, trim(code) AS code, trim(name) AS name,
          CASE WHEN trim(entity) IN ('nan', 'None', '') THEN NULL ELSE trim(entity) END AS entity,
          TRY_CAST(trim(year) AS INTEGER) AS year, TRY_CAST(trim(value) AS DOUBLE) AS value, row_order FROM raw),
-valid AS (SELECT * FROM typed WHERE coalesce(year BETWEEN 1996 AND 2000, false)),
+valid AS (SELECT * FROM typed WHERE coalesce(year BETWEEN 1900 AND 2100, false)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY source, dataset, code, entity, year ORDER BY row_order) AS rn
            FROM valid),
 clean AS (SELECT source, dataset, code, name, entity, year, value, TRUE AS year_valid, value IS NULL AS is_missing
@@ -172,29 +173,26 @@ def q_nested_json(spark, sf_dir):
 @register("indicators_clean", "WITH " + RAW_ORDERS + "\nSELECT * FROM clean")
 def q_indicators_clean(spark, sf_dir):
     """B3-B5 typing, B7 year window, E1 keep-first dedup, B18 missing flag."""
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    return clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    return clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True)
 
 
 @register("indicators_complete", "WITH " + RAW_ORDERS + """
 SELECT source, dataset, code, name, entity, year, value FROM clean WHERE value IS NOT NULL""")
 def q_indicators_complete(spark, sf_dir):
     """Complete observations only."""
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True)
     return clean.complete(c).drop("year_valid", "is_missing")
 
 
 @register("run_counters", "WITH " + RAW_ORDERS + """
 SELECT (SELECT count(*) FROM typed) AS n_read,
-       (SELECT count(*) FROM typed WHERE NOT coalesce(year BETWEEN 1996 AND 2000, false)) AS n_rejected_year,
+       (SELECT count(*) FROM typed WHERE NOT coalesce(year BETWEEN 1900 AND 2100, false)) AS n_rejected_year,
        (SELECT count(*) FROM valid) - (SELECT count(*) FROM clean) AS n_duplicates,
        (SELECT count(*) FROM clean) AS n_final,
        (SELECT count(*) FROM clean WHERE value IS NULL) AS n_missing""")
 def q_run_counters(spark, sf_dir):
     """Read / rejected / duplicate / final / missing counters in one pass."""
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    return clean.run_counters(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    return clean.run_counters(td.raw_orders_text(spark, sf_dir), "row_order")
 
 
 @register("quality_report", "WITH " + RAW_ORDERS + """
@@ -206,8 +204,7 @@ SELECT source, dataset, code, name, count(*) AS n_total, count(value) AS n_nonnu
 FROM clean GROUP BY ALL""")
 def q_quality_report(spark, sf_dir):
     """Per indicator completeness over the total and year span."""
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    return quality.quality_report(clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi))
+    return quality.quality_report(clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True))
 
 
 @register("missingness", "WITH " + RAW_ORDERS + """
@@ -216,8 +213,7 @@ SELECT code, name, count(value) AS n_nonnull, count(*) AS n_total, count(*) - co
 FROM clean GROUP BY ALL""")
 def q_missingness(spark, sf_dir):
     """Missingness per (code, name)."""
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    return quality.missingness(clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi))
+    return quality.missingness(clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True))
 
 
 # ------------------------------------------------------------------------ pivots ----
@@ -278,7 +274,7 @@ panel AS (SELECT year,
 SELECT pf.year, pf.entity, strftime(pf.trade_date, '%Y-%m-%d') AS trade_date, pf.price, """ + ", ".join(f'panel."{p}"' for p in PRIOS) + """
 FROM pf LEFT JOIN panel ON pf.year = panel.year""")
 def q_prices_with_panel(spark, sf_dir):
-    """Daily facts left-joined to the annual panel (broadcast, one row per year)."""
+    """Daily facts left-joined to the annual panel (one row per year, checked; broadcast after its size is measured)."""
     prices = td.price_fact(spark, sf_dir).select(
         "year", "entity", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"), "price")
     panel = rounded(td.priority_panel(spark, sf_dir, "mean"), 4)
@@ -425,32 +421,27 @@ def q_orphan_keys(spark, sf_dir):
 
 # ------------------------------------------------------------------ subject panels ----
 
-PRIOS_LOWER = [p.lower() for p in PRIOS]
-
-
 @register("subject_panel", "WITH " + RAW_ORDERS + """
 SELECT year,
-  """ + ",\n  ".join(f"max(CASE WHEN lower(code) = '{p}' THEN value END) AS \"{p}\"" for p in PRIOS_LOWER) + """
+  """ + ",\n  ".join(f"max(CASE WHEN code = '{p}' THEN value END) AS \"{p}\"" for p in PRIOS) + """
 FROM clean WHERE (entity IS NULL OR entity = 'F') AND value IS NOT NULL GROUP BY year""")
 def q_subject_panel(spark, sf_dir):
     """The subject's annual panel (NULL-entity rows plus the subject's own rows)."""
     from obsframe.plans.etl import macro_wide
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True)
     return macro_wide(c, "F", agg="max")
 
 
 @register("curated_panel", "WITH " + RAW_ORDERS + """,
-w AS (SELECT year, max(CASE WHEN lower(code) = '1-urgent' THEN value END) AS "1-urgent",
-             max(CASE WHEN lower(code) = '5-low' THEN value END) AS "5-low"
+w AS (SELECT year, max(CASE WHEN lower(code) = '1-urgent' THEN value END) AS "1-URGENT",
+             max(CASE WHEN lower(code) = '5-low' THEN value END) AS "5-LOW"
       FROM clean WHERE (entity IS NULL OR entity = 'F') AND value IS NOT NULL
         AND lower(code) IN ('1-urgent', '5-low', 'no-such-code') GROUP BY year)
-SELECT * FROM w WHERE "1-urgent" IS NOT NULL AND "5-low" IS NOT NULL""")
+SELECT * FROM w WHERE "1-URGENT" IS NOT NULL AND "5-LOW" IS NOT NULL""")
 def q_curated_panel(spark, sf_dir):
     """Curated codes (case-insensitive, absent ones ignored), complete years only."""
     from obsframe.plans.etl import macro_wide
-    lo, hi = td.CLEAN_YEAR_WINDOW
-    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", lo, hi)
+    c = clean.clean_long(td.raw_orders_text(spark, sf_dir), "row_order", unique_order=True)
     return macro_wide(c, "F", codes=["1-URGENT", "5-low", "NO-SUCH-CODE"], agg="max", complete_cases=True)
 
 
@@ -493,19 +484,19 @@ def q_peer_share(spark, sf_dir):
                                                       F.count("value").alias("n")))
 
 
-ELT_BANK_ANNUAL = """
-SELECT CAST(l_suppkey AS STRING) AS bank, CAST(year(l_shipdate) AS INT) AS annee, count(*) AS seances,
-       avg(l_extendedprice / l_quantity) AS prix_moyen, min(l_extendedprice / l_quantity) AS prix_min,
-       max(l_extendedprice / l_quantity) AS prix_max,
+ELT_SUPPLIER_YEAR = """
+SELECT CAST(l_suppkey AS STRING) AS supplier, CAST(year(l_shipdate) AS INT) AS ship_year, count(*) AS n_lines,
+       avg(l_extendedprice / l_quantity) AS unit_price_mean, min(l_extendedprice / l_quantity) AS unit_price_low,
+       max(l_extendedprice / l_quantity) AS unit_price_high,
        (max(l_extendedprice / l_quantity) - min(l_extendedprice / l_quantity)) * 100.0
-             / min(l_extendedprice / l_quantity) AS volatilite_pct
+             / min(l_extendedprice / l_quantity) AS unit_price_range_pct
 FROM {src} GROUP BY 1, 2"""
 
 
-@register("elt_bank_annual", "SELECT bank, annee, seances, round(prix_moyen, 6) AS prix_moyen, prix_min, prix_max, "
-          "round(volatilite_pct, 6) AS volatilite_pct FROM (" + ELT_BANK_ANNUAL.format(src="lineitem") + ")")
+@register("elt_bank_annual", "SELECT supplier, ship_year, n_lines, round(unit_price_mean, 6) AS unit_price_mean, unit_price_low, "
+          "unit_price_high, round(unit_price_range_pct, 6) AS unit_price_range_pct FROM (" + ELT_SUPPLIER_YEAR.format(src="lineitem") + ")")
 def q_elt_bank_annual(spark, sf_dir):
     """Raw scan registered as a view, transform in Spark SQL (the ELT form of D7)."""
     from obsframe.plans.etl import elt_sql
-    out = elt_sql(spark, {"raw_prices": td.table(spark, sf_dir, "lineitem")}, ELT_BANK_ANNUAL.format(src="raw_prices"))
-    return rounded(out, 6, only=["prix_moyen", "volatilite_pct"])
+    out = elt_sql(spark, {"raw_prices": td.table(spark, sf_dir, "lineitem")}, ELT_SUPPLIER_YEAR.format(src="raw_prices"))
+    return rounded(out, 6, only=["unit_price_mean", "unit_price_range_pct"])

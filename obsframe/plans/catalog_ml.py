@@ -17,35 +17,28 @@ FEATURES = ["quantity", "avg_discount", "avg_tax", "n_lines"]
 LABEL = "revenue"
 
 
-def _split(spark, sf_dir):
-    panel = td.daily_lineitem_panel(spark, sf_dir)
-    return ml.stratified_split(panel, LABEL, ["day"], train_frac=0.8, strata=5, seed=42)
+def _panel(spark, sf_dir):
+    return ml.in_fixed_order(td.daily_lineitem_panel(spark, sf_dir), "day")
 
 
 def _train_test(spark, sf_dir):
-    s = _split(spark, sf_dir)
+    s = ml.stratified_split(_panel(spark, sf_dir), LABEL, ["day"], train_frac=0.8, strata=5, seed=42)
     return s.filter("is_train"), s.filter(~F.col("is_train"))
 
 
-_FITS: dict = {}
+def _forest(spark, sf_dir):
+    tr, te = _train_test(spark, sf_dir)
+    return ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
 
 
-def _fitted(spark, sf_dir, kind: str):
-    """One cross-validated fit per (session, tables, model): the metrics and the coefficient /
-    importance queries read the same fitted model instead of repeating the CV search."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _FITS:
-        tr, te = _train_test(spark, sf_dir)
-        if kind == "forest":
-            _FITS[key] = ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
-        else:
-            _FITS[key] = ml.lasso_cv(tr, te, LABEL, FEATURES)
-    return _FITS[key]
+def _lasso(spark, sf_dir):
+    tr, te = _train_test(spark, sf_dir)
+    return ml.lasso_cv(tr, te, LABEL, FEATURES)
 
 
 @register("stratified_split")
 def q_stratified_split(spark, sf_dir):
-    """80/20 split balanced on target quintiles (hash membership, seed 42): counts per cell."""
+    """80/20 split balanced within target quintiles (md5 of the key, seed 42): counts per cell."""
     s = ml.stratified_split(td.table(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_orderkey", "l_linenumber"])
     return s.groupBy("stratum", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
@@ -67,25 +60,25 @@ def q_logit_coefficients(spark, sf_dir):
 @register("random_forest")
 def q_random_forest(spark, sf_dir):
     """G6 + G9: random forest (100 trees, 5-fold CV) test metrics."""
-    return _fitted(spark, sf_dir, "forest")[0]
+    return _forest(spark, sf_dir)[0]
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """Top-10 random forest importances rescaled to 100."""
-    return _fitted(spark, sf_dir, "forest")[1]
+    return _forest(spark, sf_dir)[1]
 
 
 @register("lasso_cv")
 def q_lasso_cv(spark, sf_dir):
     """Lasso with 5-fold CV over lambda = 10^(-4..1 step 0.5); test metrics and chosen lambda."""
-    return _fitted(spark, sf_dir, "lasso")[0]
+    return _lasso(spark, sf_dir)[0]
 
 
 @register("lasso_coefficients")
 def q_lasso_coefficients(spark, sf_dir):
     """Coefficients of the CV-selected lasso."""
-    return _fitted(spark, sf_dir, "lasso")[1]
+    return _lasso(spark, sf_dir)[1]
 
 
 @register("ridge_vs_lasso")
@@ -98,7 +91,7 @@ def q_ridge_vs_lasso(spark, sf_dir):
 @register("kmeans_regimes")
 def q_kmeans_regimes(spark, sf_dir):
     """G11 + C3: k-means (k=3, best of 10 starts) regime per day, left-joined back to the panel."""
-    panel = td.daily_lineitem_panel(spark, sf_dir)
+    panel = _panel(spark, sf_dir)
     labels, _cost = ml.kmeans_best_of(panel, "day", FEATURES, k=3, starts=10, seed=42)
     return panel.join(labels, "day", "left").select("day", "revenue", "cluster")
 
@@ -106,7 +99,7 @@ def q_kmeans_regimes(spark, sf_dir):
 @register("pca_variance")
 def q_pca_variance(spark, sf_dir):
     """Variance explained by each principal component of the standardised features."""
-    return ml.pca_variance(td.daily_lineitem_panel(spark, sf_dir), FEATURES)
+    return ml.pca_variance(_panel(spark, sf_dir), FEATURES)
 
 
 @register("residuals")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from obsframe.functions.columns import round_to
 
 from obsframe.operators import marts, quality, series, stats
+from obsframe.operators.joins import measured_broadcast
 from obsframe.plans import testdata as td
 from obsframe.plans.catalog_core import ONW
 from obsframe.plans.registry import register, rounded
@@ -114,7 +115,7 @@ SELECT code, entity, count(value) AS n_nonnull FROM panel GROUP BY code, entity
 HAVING count(value) > 1 AND min(value) < max(value)""")
 def q_usable_series(spark, sf_dir):
     """Series with more than one value and more than one distinct value."""
-    p = td.event_panel(spark, sf_dir).withColumn("series", F.struct("code", "entity"))
+    p = td.event_cells(spark, sf_dir).withColumn("series", F.struct("code", "entity"))  # periods without data add nothing
     u = quality.usable_codes(p, "series", "value")
     return u.select("series.code", "series.entity", "n_nonnull")
 
@@ -125,7 +126,7 @@ SELECT code, entity, max(day) FILTER (WHERE value IS NOT NULL) AS day,
 FROM panel GROUP BY code, entity HAVING count(value) > 0""")
 def q_latest_observation(spark, sf_dir):
     """Latest non-null observation per series."""
-    return rounded(marts.latest_nonnull(td.event_panel(spark, sf_dir), ["code", "entity"], "day"))
+    return rounded(marts.latest_nonnull(td.event_cells(spark, sf_dir), ["code", "entity"], "day"))
 
 
 @register("describe", """
@@ -210,11 +211,11 @@ FROM p GROUP BY 1""")
 def q_regression_metrics(spark, sf_dir):
     """RMSE, MAE, R^2 (cor^2 and coefficient of determination) of a per-group linear fit.
 
-    The fits are one row per group, so AQE broadcasts them (measured at run time) and
-    the fact rows are never shuffled on the low-cardinality group key.
+    The fits, one row per group, are written, measured and broadcast, so the fact rows are
+    not shuffled on the low-cardinality group key.
     """
     li = td.table(spark, sf_dir, "lineitem")
-    fits = stats.simple_regression(li, "l_extendedprice", "l_quantity", ["l_returnflag"])
+    fits = measured_broadcast(stats.simple_regression(li, "l_extendedprice", "l_quantity", ["l_returnflag"]))
     pred = li.join(fits, "l_returnflag").select(
         "l_returnflag", F.col("l_extendedprice").alias("label"),
         (F.col("intercept") + F.col("slope") * F.col("l_quantity")).alias("prediction"))
@@ -339,7 +340,7 @@ def q_executive_summary(spark, sf_dir):
     a = s.agg(
         F.min("year").cast("double").alias("first_year"), F.max("year").cast("double").alias("last_year"),
         F.count(v).cast("double").alias("n_years"),
-        round_to(100 * (F.pow(F.max_by(v, "year") / F.min_by(v, "year"), 1.0 / (F.count(v) - 1)) - 1), 4).alias("cagr_pct"),
+        round_to(100 * (F.pow(F.try_divide(F.max_by(v, "year"), F.min_by(v, "year")), F.try_divide(F.lit(1.0), F.count(v) - 1)) - 1), 4).alias("cagr_pct"),
         F.count_if(F.col("growth") < 0).cast("double").alias("recession_years"),
         round_to(F.avg("growth"), 4).alias("growth_mean"), round_to(F.stddev_samp("growth"), 4).alias("growth_sd"))
     return a.unpivot([], a.columns, "metric", "value")

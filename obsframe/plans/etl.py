@@ -12,12 +12,14 @@ import datetime as dt
 import os
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.operators import alerts, checks, clean, marts, quality, reshape
 from obsframe.schema import CURATED_CODES, LONG_COLUMNS, VALID_YEAR_MAX, VALID_YEAR_MIN
+from obsframe.sources.readers import ROW_ORDER
 from obsframe.sources.registry import SourceSpec, indicators_long
 from obsframe.sources.sinks import register_views, write_warehouse
 
@@ -28,108 +30,146 @@ ZONE_BUDGET_MINUTES = {"staging": 10, "clean": 5, "marts": 5, "checks": 5}
 SNAPSHOT_CODES = {"pib_usd_m": "NGDPD", "croissance_pib": "NGDP_RPCH", "inflation": "PCPIPCH",
                   "dette_publique_pib": "GGXWDG_NGDP", "balance_courante_pib": "BCA_NGDPD", "chomage": "LUR"}
 
-
-_RUN_LOG: list[tuple] = []
-
-
-def _stage(spark: SparkSession, df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write one table of a zone, read it back (lineage cut) and log the stage run."""
-    path = os.path.join(root, name)
-    started = dt.datetime.now()
-    ok = True
-    try:
-        write_warehouse(df, path, partition_by)
-    except Exception:
-        ok = False
-        raise
-    finally:
-        _RUN_LOG.append((name.split("/")[0], name, started, dt.datetime.now(), ok))
-    return spark.read.parquet(path)
-
-
-def run_log(spark: SparkSession, run_id: str, entries: list[tuple], written: dict[str, DataFrame]) -> DataFrame:
-    """Stage run events (run_id, stage, table, started, ended, ok, rows); rows from the written files."""
-    rows = []
-    for zone, name, started, ended, ok in entries:
-        table = name.split("/")[-1]
-        n = written[table].count() if ok and table in written else None   # Parquet footers only
-        rows.append((run_id, zone, table, started, ended, ok, n))
-    return spark.createDataFrame(rows, "run_id string, stage string, table_name string, started timestamp, "
-                                       "ended timestamp, ok boolean, rows long")
+# fixed values: columns of the price views, as queries on them expect
+PRICE_VIEW = {"bank": "entity", "trade_date": "trade_date", "price": "price", "open": "open", "high": "high", "low": "low",
+              "volume": "volume", "change_pct": "change_pct"}
+PRICE_YEAR_VIEW = {"bank": "entity", "annee": "year", "seances": "sessions", "prix_moyen": "avg_price", "prix_min": "min_price",
+                   "prix_max": "max_price", "volatilite_pct": "range_volatility_pct"}
+
+RUN_LOG_SCHEMA = ("run_id string, stage string, table_name string, event string, started timestamp, ended timestamp, "
+                  "ok boolean, rows long, message string")
+
+
+class StageRuns:
+    """Writes the tables of one run and keeps its events; each run has its own."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.run_id, self.events = spark, root, uuid.uuid4().hex[:12], []
+        self.started = dt.datetime.now()
+        self.tables: dict[str, DataFrame] = {}
+
+    def write(self, df: DataFrame, name: str, key: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write one table of a zone and read it back (lineage cut); a failure is logged before it is raised again."""
+        zone, table = name.split("/")
+        path, started = os.path.join(self.root, name), dt.datetime.now()
+        try:
+            write_warehouse(df, path, partition_by)
+        except Exception as e:
+            self.events.append((self.run_id, zone, table, "FAILED", started, dt.datetime.now(), False, None, str(e)[:500]))
+            raise
+        back = self.spark.read.parquet(path)
+        rows = back.count()  # Parquet footers only
+        self.events.append((self.run_id, zone, table, "WRITTEN", started, dt.datetime.now(), True, rows, None))
+        self.tables[key or table] = back
+        return back
+
+    def close(self, ok: bool, message: str | None = None) -> DataFrame:
+        """Store the run's events, with its start and end, below ``run_log``."""
+        now = dt.datetime.now()
+        rows = [(self.run_id, "run", None, "START", self.started, None, None, None, None), *self.events,
+                (self.run_id, "run", None, "END" if ok else "FAILED", self.started, now, ok, None, message)]
+        log = self.spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+        log.coalesce(1).write.mode("append").parquet(os.path.join(self.root, "run_log"))
+        return log
 
 
 def macro_wide(clean_long: DataFrame, subject: str | None, codes: Sequence[str] | None = None,
-               max_width: int = 1000, agg: str = "first", order_by: str | None = "row_order",
+               max_width: int = 1000, agg: str = "first", order_by: str | None = ROW_ORDER,
                complete_cases: bool = False) -> DataFrame:
-    """Annual panel of the subject (NULL entity or the subject), one column per lower-cased code.
+    """Annual panel of the subject (NULL entity or the subject), one column per code.
 
     ``agg`` resolves several values of one (year, code): ``first`` non-null in
-    ``order_by`` order, ``mean`` or ``max``. ``codes`` restricts the columns
-    (case-insensitive; absent codes are ignored) and is applied before the pivot
-    so Catalyst prunes the rest; ``complete_cases`` keeps years with every column.
+    ``order_by`` order, ``mean`` or ``max``. Codes that differ in case only are one column, named
+    by their smallest spelling. ``codes`` restricts the columns (case-insensitive; absent codes
+    are ignored) and is applied before the pivot so Catalyst prunes the rest; ``complete_cases``
+    keeps years with every column. More than ``max_width`` codes raise: stay long then.
     """
     base = clean.subject_scope(clean_long, subject).filter(F.col("value").isNotNull())
     if codes is not None:
         base = clean.code_filter(base, codes)
-    base = base.withColumn("code", F.lower("code"))
-    wide = reshape.pivot(base, "year", "code", agg=agg, order_by=order_by if agg == "first" else None,
-                         max_width=max_width)
+    spelt = base.groupBy(F.lower("code").alias("k")).agg(F.min("code").alias("code")).limit(max_width + 1).collect()
+    if len(spelt) > max_width:
+        raise ValueError(f"the panel would exceed {max_width} columns; stay long")
+    names = {r["k"]: r["code"] for r in sorted(spelt)}
+    wide = reshape.pivot(base.withColumn("code", F.lower("code")), "year", "code", values=list(names), names=names, agg=agg,
+                         order_by=order_by if agg == "first" else None, max_width=max_width)
     return wide.dropna("any") if complete_cases else wide
 
 
+def benchmarks(peers: dict[str, DataFrame], subject: str) -> DataFrame:
+    """``marts.benchmark_rank`` of the subject in each peer source ``(indicator, entity, region, year, value)``, tagged
+    with ``source``; a source without a ``region`` column gets NULL groups."""
+    def ranked(name: str, panel: DataFrame) -> DataFrame:
+        if "region" not in panel.columns:
+            panel = panel.withColumn("region", F.lit(None).cast("string"))
+        return marts.benchmark_rank(panel, subject).select(F.lit(name).alias("source"), "*")
+
+    return reduce(DataFrame.unionByName, [ranked(n, p) for n, p in peers.items()])
+
+
 def run(spark: SparkSession, specs: list[SourceSpec], out_dir: str, prices: DataFrame | None = None,
         subject: str | None = None, year_min: int = VALID_YEAR_MIN, year_max: int = VALID_YEAR_MAX,
-        rules: list[dict] | None = None) -> dict[str, DataFrame]:
+        rules: list[dict] | None = None, snapshot_where: Column | None = None, peers: dict[str, DataFrame] | None = None,
+        max_width: int = 1000) -> dict[str, DataFrame]:
     """Run the whole batch and return the written tables (read back from ``out_dir``).
 
-    Also returns ``run_log`` (one event per written table) and ``latency`` (stage
-    durations against ``ZONE_BUDGET_MINUTES``).
+    Rows keep their order (source, file, position) from load to the marts, so keep-first dedup and
+    ``first`` pivots give the same tables however tasks are dealt. ``snapshot_where`` scopes the
+    economy snapshot (e.g. one source and its datasets); ``peers`` are the benchmark sources;
+    ``max_width`` bounds the panels' columns. Also returns ``run_log`` (start, end and one event per
+    written or failed table) and ``latency`` (zone durations against ``ZONE_BUDGET_MINUTES``). A
+    failing stage stores the log under ``out_dir/run_log`` before its error goes on.
     """
-    _RUN_LOG.clear()
-    run_id = uuid.uuid4().hex[:12]
-    staged = _stage(spark, indicators_long(spark, specs), out_dir, "staging/indicators_long", ("source", "dataset"))
-    # file order of the staged table is the keep-first order of the cleaning step
-    ordered = staged.withColumn("row_order", F.monotonically_increasing_id())
-    out: dict[str, DataFrame] = {"indicators_long": staged}
-    out["dim_indicators"] = _stage(spark, quality.dimension(staged), out_dir, "staging/dim_indicators")
-    cleaned = clean.clean_long(ordered.select(*LONG_COLUMNS, "row_order"), "row_order", year_min, year_max)
-    out["indicators_clean"] = _stage(spark, cleaned, out_dir, "clean/indicators_clean", ("source", "dataset"))
-    out["indicators_complete"] = _stage(spark, clean.complete(out["indicators_clean"]).drop("year_valid", "is_missing"),
-                                        out_dir, "clean/indicators_complete", ("source", "dataset"))
-    out["data_quality_report"] = _stage(spark, quality.quality_report(out["indicators_clean"]), out_dir,
-                                        "clean/data_quality_report")
-    panel_src = out["indicators_clean"].withColumn("row_order", F.monotonically_increasing_id())
-    out["mart_macro_wide"] = _stage(spark, macro_wide(panel_src, subject), out_dir, "marts/mart_macro_wide")
-    curated = macro_wide(panel_src, subject, CURATED_CODES)
-    out["benchmark_panel"] = _stage(spark, curated, out_dir, "marts/curated_panel")
-    snap_src = out["indicators_clean"]
-    out["economy_snapshot"] = _stage(spark, reshape.snapshot(snap_src, "year", "code", SNAPSHOT_CODES), out_dir,
-                                     "marts/economy_snapshot")
-    if prices is not None:
-        out["bank_prices"] = _stage(spark, prices, out_dir, "staging/bank_prices")
-        out["mart_banks_macro"] = _stage(spark, marts.join_year_panel(out["bank_prices"], out["benchmark_panel"],
-                                                                      year_min, year_max),
-                                         out_dir, "marts/mart_banks_macro")
-        out["bank_annual"] = _stage(spark, marts.entity_year_summary(out["bank_prices"]), out_dir, "marts/bank_annual")
-    if rules:
-        out["validation"] = _stage(spark, checks.run_suite(out["indicators_clean"], "indicators_clean", rules),
-                                   out_dir, "checks/validation")
-    by_table = {k.split("/")[-1]: v for k, v in out.items()}
-    by_table.update({"curated_panel": out["benchmark_panel"]})
-    log = run_log(spark, run_id, list(_RUN_LOG), by_table)
-    per_zone = log.groupBy("run_id", "stage").agg(F.min("started").alias("started"), F.max("ended").alias("ended"),
-                                                  F.min(F.col("ok").cast("int")).cast("boolean").alias("ok"),
-                                                  F.sum("rows").alias("rows"))
+    runs = StageRuns(spark, out_dir)
+    try:
+        _stages(runs, specs, prices, subject, year_min, year_max, rules, snapshot_where, peers, max_width)
+    except Exception as e:
+        runs.close(False, str(e)[:500])
+        raise
+    out = dict(runs.tables)
+    log = runs.close(True)
+    per_zone = (log.where("event = 'WRITTEN'").groupBy("run_id", "stage")
+                .agg(F.min("started").alias("started"), F.max("ended").alias("ended"),
+                     F.min(F.col("ok").cast("int")).cast("boolean").alias("ok"), F.sum("rows").alias("rows")))
     budgets = spark.createDataFrame(list(ZONE_BUDGET_MINUTES.items()), "stage string, max_minutes int")
     out["run_log"] = log
     out["latency"] = alerts.latency_breaches(alerts.stage_events(per_zone), budgets)
-    views = {"v_indicators_long": out["indicators_long"], "v_economy_snapshot": out["economy_snapshot"]}
+    views = {"v_indicators_long": out["indicators_long"].select(*LONG_COLUMNS), "v_economy_snapshot": out["economy_snapshot"]}
     if prices is not None:
-        views.update({"v_bank_prices": out["bank_prices"], "v_bank_annual": out["bank_annual"]})
+        price = out["bank_prices"]
+        views["v_bank_prices"] = price.select(*[
+            (F.col(c) if c in price.columns else F.lit(None).cast("double")).alias(n) for n, c in PRICE_VIEW.items()])
+        views["v_bank_annual"] = out["bank_annual"].select(*[F.col(c).alias(n) for n, c in PRICE_YEAR_VIEW.items()])
     register_views(spark, views)
     return out
 
 
+def _stages(runs: StageRuns, specs: list[SourceSpec], prices: DataFrame | None, subject: str | None, year_min: int,
+            year_max: int, rules: list[dict] | None, snapshot_where: Column | None, peers: dict[str, DataFrame] | None,
+            max_width: int) -> None:
+    by_source = ("source", "dataset")
+    staged = runs.write(indicators_long(runs.spark, specs, keep_order=True), "staging/indicators_long", partition_by=by_source)
+    runs.write(quality.dimension(staged), "staging/dim_indicators")
+    cleaned = runs.write(clean.clean_long(staged, ROW_ORDER, year_min, year_max, keep_order=True), "clean/indicators_clean",
+                         partition_by=by_source)
+    runs.write(clean.complete(cleaned).drop("year_valid", "is_missing", ROW_ORDER), "clean/indicators_complete", partition_by=by_source)
+    runs.write(quality.quality_report(cleaned), "clean/data_quality_report")
+    runs.write(macro_wide(cleaned, subject, max_width=max_width), "marts/mart_macro_wide")
+    runs.write(macro_wide(cleaned, subject, CURATED_CODES, max_width), "marts/curated_panel", "benchmark_panel")
+    runs.write(reshape.snapshot(staged, "year", "code", SNAPSHOT_CODES, where=snapshot_where), "marts/economy_snapshot")
+    if peers:
+        runs.write(benchmarks(peers, subject), "marts/benchmark")
+    if prices is not None:
+        price = runs.write(prices, "staging/bank_prices")
+        # facts meet the panel of the NULL-entity rows, with every code
+        national = runs.tables["mart_macro_wide"] if subject is None else runs.write(
+            macro_wide(cleaned, None, max_width=max_width), "marts/mart_macro_national")
+        runs.write(marts.join_year_panel(price, national), "marts/mart_banks_macro")
+        runs.write(marts.entity_year_summary(price), "marts/bank_annual")
+    if rules:
+        runs.write(checks.run_suite(cleaned.drop(ROW_ORDER), "indicators_clean", rules), "checks/validation")
+
+
 def elt_sql(spark: SparkSession, raw_views: dict[str, DataFrame], sql: str) -> DataFrame:
     """ELT form: register raw scans as views and express the transform in Spark SQL."""
     register_views(spark, raw_views)

@@ -22,19 +22,12 @@ from pyspark.sql import functions as F
 from obsframe.functions.columns import round_to
 
 from obsframe.operators import reshape
-from obsframe.operators.joins import bounded_broadcast
 from obsframe.sources.registry import SourceSpec, indicators_long
 
 LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-# fixed values: TPC-H order priorities (pivot columns) and nation/region sizes
+# fixed values: TPC-H order priorities (pivot columns)
 ORDER_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-N_NATIONS = 25
-N_REGIONS = 5
 SUBJECT_NATION = "NATION_7"
-# Validity window of the cleaning chain on this data. Every order year lies inside the
-# default 1900-2100, so a narrower window is what exercises the rejection path (B7):
-# rejected rows are counted by ``run_counters``, and every query still reads all orders.
-CLEAN_YEAR_WINDOW = (1996, 2000)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region names; 25 rows by the TPC-H definition, so safe to broadcast."""
+    """nation x region names; Spark picks the join from the measured sizes."""
     n = table(spark, sf_dir, "nation")
-    r = bounded_broadcast(table(spark, sf_dir, "region"), N_REGIONS, "TPC-H regions", verify=True)
-    return bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey)
-                              .select("n_nationkey", "n_name", "r_name"), N_NATIONS, "TPC-H nations", verify=True)
+    r = table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 def orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,15 +95,20 @@ def raw_orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string long rows as a CSV source would deliver them.
 
     Pending orders ('P') carry the entity token 'None' and the value 'NA'; other
-    statuses are padded with blanks; the year is text. ``row_order`` is the file order.
+    statuses are padded with blanks; the year is text. Every order year of the data is
+    valid, so some rows get a year out of range (1850) or not a number, to exercise the
+    rejection. ``row_order`` is the file order.
     """
     o = table(spark, sf_dir, "orders")
     pending = F.col("o_orderstatus") == "P"
+    key = F.col("o_orderkey")
+    year = (F.when(key % 41 == 0, F.lit("1850")).when(key % 43 == 0, F.lit("n.d."))
+            .otherwise(F.year("o_orderdate").cast("string")))
     return o.select(
         F.lit("tpch").alias("source"), F.lit("orders").alias("dataset"),
         F.col("o_orderpriority").alias("code"), F.col("o_orderpriority").alias("name"),
         F.when(pending, F.lit("None")).otherwise(F.concat(F.lit(" "), "o_orderstatus", F.lit(" "))).alias("entity"),
-        F.year("o_orderdate").cast("string").alias("year"),
+        year.alias("year"),
         F.when(pending, F.lit("NA")).otherwise(F.col("o_totalprice").cast("string")).alias("value"),
         F.col("o_orderkey").alias("row_order"))
 

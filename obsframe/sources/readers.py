@@ -12,6 +12,8 @@ from obsframe.functions.columns import col_ref, null_if_tokens, safe_double, saf
 from obsframe.operators.reshape import measure_columns, unpivot, unpivot_suffixed
 from obsframe.schema import LONG_COLUMNS, VALID_YEAR_MAX, VALID_YEAR_MIN, VALUE_NULL_TOKENS
 
+ROW_ORDER = "row_order"
+
 
 def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """CSV with header, every column as STRING (no inference pass over the data).
@@ -62,7 +64,13 @@ def _canonical(df: DataFrame) -> DataFrame:
         value = safe_double(value)
     return df.select(
         F.col("source").cast("string"), F.col("dataset").cast("string"), F.col("code").cast("string"),
-        F.col("name").cast("string"), F.col("entity").cast("string"), year.alias("year"), value.alias("value"))
+        F.col("name").cast("string"), F.col("entity").cast("string"), year.alias("year"), value.alias("value"),
+        *_order(df))
+
+
+def _order(df: DataFrame) -> list[str]:
+    """The row-order column, if the source carries one: normalisers pass it through."""
+    return [ROW_ORDER] if ROW_ORDER in df.columns else []
 
 
 def normalise_long(df: DataFrame, source: str, dataset: str, code: str = "indicator_code",
@@ -71,17 +79,17 @@ def normalise_long(df: DataFrame, source: str, dataset: str, code: str = "indica
     """Layout ``indicators_long``: already one row per (code, year)."""
     e = col_ref(entity) if entity else F.lit(None).cast("string")
     base = df.select(col_ref(code).alias("code"), col_ref(name).alias("name"), e.alias("entity"),
-                     col_ref(year).alias("year"), col_ref(value).alias("value"))
+                     col_ref(year).alias("year"), col_ref(value).alias("value"), *_order(df))
     return _canonical(_tag(base, source, dataset))
 
 
 def normalise_wide(df: DataFrame, source: str, dataset: str, entity: str, year: str,
                    exclude: Sequence[str] = ()) -> DataFrame:
     """Layout ``wide_year``: one row per (entity, year), one column per code; name = code."""
-    measures = measure_columns(df, [entity, year], exclude)
-    long = unpivot(df.select(col_ref(entity).alias("entity"), col_ref(year).alias("year"),
+    measures = measure_columns(df, [entity, year, ROW_ORDER], exclude)
+    long = unpivot(df.select(col_ref(entity).alias("entity"), col_ref(year).alias("year"), *_order(df),
                              *[col_ref(m) for m in measures]),
-                   ["entity", "year"], measures)
+                   ["entity", "year", *_order(df)], measures)
     return _canonical(_tag(long.withColumn("name", F.col("code")), source, dataset))
 
 
@@ -89,7 +97,7 @@ def normalise_suffixed(df: DataFrame, source: str, dataset: str, entity: str,
                        exclude: Sequence[str] = ()) -> DataFrame:
     """Layout ``wide_year_suffixed``: columns ``metric_YYYY``; only year-suffixed columns are melted."""
     keep = [c for c in df.columns if c not in set(exclude) or c == entity]
-    long = unpivot_suffixed(df.select(*[col_ref(c) for c in keep]).withColumnRenamed(entity, "entity"), ["entity"])
+    long = unpivot_suffixed(df.select(*[col_ref(c) for c in keep]).withColumnRenamed(entity, "entity"), ["entity", *_order(df)])
     return _canonical(_tag(long.withColumn("name", F.col("code")), source, dataset))
 
 

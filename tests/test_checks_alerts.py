@@ -66,7 +66,7 @@ def test_anomalies_min_values_and_constant(spark):
 def test_volume_drop_boundaries(spark):
     act = spark.createDataFrame([("a", 90), ("b", 70), ("c", 69)], "table_name string, actual long")
     exp = spark.createDataFrame([("a", 100), ("b", 100), ("c", 100)], "table_name string, expected long")
-    got = {r.table_name: r.severity for r in observe.volume_drop(act, exp).collect()}
+    got = {r.table_name: r.severity for r in observe.volume_drop(act.join(exp, "table_name")).collect()}
     assert got == {"c": "CRITICAL", "b": "WARNING"}           # exactly 10 % is quiet, 30 % is a warning
     rule = {r.table_name: r.severity for r in alerts.volume_drop_rule(act.join(exp, "table_name")).collect()}
     assert rule == {"a": "WARNING", "b": "WARNING", "c": "CRITICAL"}
@@ -76,11 +76,12 @@ def test_routing_and_sla(spark):
     a = spark.createDataFrame([("CRITICAL", "X"), ("INFO", "Y"), ("DEBUG", "Z")], "severity string, category string")
     got = sorted((r.severity, r.channel) for r in alerts.route(a).collect())
     assert got == [("CRITICAL", "json_log"), ("CRITICAL", "log_file"), ("DEBUG", "log_file"), ("INFO", "log_file")]
-    upd = spark.createDataFrame([("bank_prices", "2024-01-01 00:00:00")], "table_name string, updated_at string")
-    fr = {r.table_name: r.status for r in sla.freshness_sla(upd, "2024-01-01 05:00:00").collect()}
-    assert fr["bank_prices"] == "FRESH" and fr["dim_indicators"] == "MISSING"
-    cnt = spark.createDataFrame([("dim_indicators", 5)], "table_name string, actual long")
-    assert sla.volume_sla(cnt).collect()[0].status == "BREACH"
+    upd = spark.createDataFrame([("ledger", "2024-01-01 00:00:00")], "table_name string, updated_at string")
+    tiers = sla.tier_config(spark, {"critical": ["ledger"], "batch": ["archive"]})
+    fr = {r.table_name: r.status for r in sla.freshness_sla(upd, "2024-01-01 05:00:00", tiers).collect()}
+    assert fr == {"ledger": "FRESH", "archive": "MISSING"}
+    cnt = spark.createDataFrame([("ledger", 5)], "table_name string, actual long")
+    assert sla.volume_sla(cnt, sla.volume_config(spark, {"ledger": (6, 9, 8)})).collect()[0].status == "BREACH"
 
 
 def test_stage_latency(spark):
@@ -100,3 +101,14 @@ def test_file_metadata_freshness(spark):
     assert set(got) == {"orders", "events"} and all(v is not None for v in got.values())
     far = sla.freshness_sla(upd, "2999-01-01 00:00:00", sla.tier_config(spark, {"critical": ["orders", "gone"]}))
     assert {r.table_name: r.status for r in far.collect()} == {"orders": "STALE", "gone": "MISSING"}
+
+
+def test_nan_is_missing_and_odd_dates_fail(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, "2024-01-01"), (5.0, "garbage")] + [(float(i % 3), "2024-01-01") for i in range(50)] + [(1e6, None)], "v double, d string")
+    rules = [{"check": "not_null", "columns": ["v"], "max_pct": 1.0}, {"check": "range", "column": "v", "min": 0, "max": 1e9},
+             {"check": "freshness", "column": "d", "max_age_days": 9, "as_of": "2024-01-02"}]
+    got = {r.check: r.passed for r in checks.run_suite(df, "t", rules).collect()}
+    assert got == {"not_null": False, "range": True, "freshness": False}
+    a = observe.anomalies(df.select("v"), "t").collect()
+    assert [(r.n_anomalies, r.n_values) for r in a] == [(1, 52)]

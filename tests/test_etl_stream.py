@@ -1,11 +1,14 @@
 import os
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.functions.columns import round_to, snake_case
 from obsframe.plans import etl
 from obsframe.plans import testdata as td
 from obsframe.sources import normalise_long, read_csv_strings
+from obsframe.sources.registry import SourceSpec
 from obsframe.streaming import ingest_files
 from tests.conftest import SF_SMALL
 
@@ -23,7 +26,63 @@ def test_etl_writes_every_zone(spark, tmp_path):
     assert tables["validation"].first()["passed"]
     lat = {r.stage: r.status for r in tables["latency"].collect()}
     assert lat == {"staging": "OK", "clean": "OK", "marts": "OK", "checks": "OK"}
-    assert tables["run_log"].filter("rows IS NULL").count() == 0
+    log = tables["run_log"]
+    assert log.filter("event = 'WRITTEN' AND rows IS NULL").count() == 0
+    assert {r.event for r in log.collect()} == {"START", "WRITTEN", "END"}
+    assert spark.table("v_bank_annual").columns == list(etl.PRICE_YEAR_VIEW)
+
+
+def _three_sources(spark, tmp_path):
+    """Three CSV sources that share a code, in several files each."""
+    specs = []
+    for s in range(3):
+        folder = tmp_path / f"s{s}"
+        folder.mkdir()
+        for part in range(3):
+            lines = [f"GDP,gdp,{1990 + y},{100 * s + 10 * part + y}" for y in range(20) if (s, part) != (0, 0) or y % 2]
+            (folder / f"f{part}.csv").write_text("indicator_code,indicator_name,year,value\n" + "\n".join(lines) + "\n")
+        specs.append(SourceSpec(f"s{s}", lambda sp, f=str(folder): read_csv_strings(sp, f), "indicators_long",
+                                {"source": f"src{s}", "dataset": "d"}))
+    return specs
+
+
+def test_marts_do_not_depend_on_partitions(spark, tmp_path):
+    specs = _three_sources(spark, tmp_path)
+    want = [(1990 + y, float((0 if y % 2 else 10) + y)) for y in range(20)]  # the first source, its first file that has the year
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for n, limit in ((2, "-1"), (16, "-1"), (16, "10m")):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            out = etl.run(spark, specs, str(tmp_path / f"wh{n}{limit}"), snapshot_where=F.col("source") == "src1")
+            assert sorted((r.year, r.GDP) for r in out["mart_macro_wide"].collect()) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_snapshot_scope_and_benchmarks(spark, tmp_path):
+    rows = [("IMF", "NGDPD", 1000.0), ("OTHER", "NGDPD", 9000.0)]
+    specs = [SourceSpec(s, lambda sp, c=c, v=v: sp.createDataFrame([(c, c, 2020, v)], "indicator_code string, indicator_name string, year int, value double"),
+                        "indicators_long", {"source": s, "dataset": "WEO"}) for s, c, v in rows]
+    flat = spark.createDataFrame([("x", "me", 2020, 1.0), ("x", "you", 2020, 3.0)], "indicator string, entity string, year int, value double")
+    out = etl.run(spark, specs, str(tmp_path / "wh"), snapshot_where=(F.col("source") == "IMF") & (F.col("dataset") == "WEO"),
+                  peers={"one": flat, "two": flat.withColumn("region", F.lit("r"))}, subject="me")
+    assert out["economy_snapshot"].collect()[0].pib_usd_m == 1000.0
+    got = {r.source: (r.subject_rank, r.group_avg) for r in out["benchmark"].collect()}
+    assert got == {"one": (2, None), "two": (2, 2.0)}
+
+
+def test_failed_stage_is_logged(spark, tmp_path):
+    out_dir = str(tmp_path / "wh")
+    bad = SourceSpec("bad", lambda sp: sp.range(3).select(F.raise_error(F.lit("broken source")).cast("string").alias("indicator_code"),
+                                                          F.lit("n").alias("indicator_name"), F.lit(2020).alias("year"), F.lit(1.0).alias("value")),
+                     "indicators_long", {"source": "s", "dataset": "d"})
+    with pytest.raises(Exception, match="broken source"):
+        etl.run(spark, [bad], out_dir)
+    log = {(r.event, r.table_name): r for r in spark.read.parquet(out_dir + "/run_log").collect()}
+    assert ("START", None) in log and ("FAILED", None) in log
+    assert "broken source" in log["FAILED", "indicators_long"].message
 
 
 def test_stream_ingest_exactly_once(spark, tmp_path):

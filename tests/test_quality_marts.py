@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from obsframe.operators import marts, quality
+from obsframe.operators import clean, marts, quality
 from tests.conftest import rows
 
 
@@ -57,7 +57,7 @@ def test_precedence_and_year_panel(spark):
     facts = spark.createDataFrame([(2020, "x"), (2021, "y"), (1850, "z")], "year int, e string")
     panel = spark.createDataFrame([(2020, 1.0), (1850, 2.0)], "year int, p double")
     j = {r.e: r.p for r in marts.join_year_panel(facts, panel).collect()}
-    assert j == {"x": 1.0, "y": None, "z": None}
+    assert j == {"x": 1.0, "y": None, "z": 2.0}
 
 
 def test_latest_rows_and_entity_summary(spark):
@@ -94,14 +94,14 @@ def test_hot_key_plans_reduce_before_shuffle(spark):
     assert (r.year, r.subject_value, r.rank_out_of, r.subject_rank) == (2000, 0.0, n // 3, n // 3)
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from obsframe.operators.joins import bounded_broadcast
+def test_measured_broadcast_checks_size(spark):
+    from obsframe.operators.joins import measured_broadcast
     small = spark.range(5)
     big = spark.range(50)
     facts = spark.range(1000).selectExpr("id % 50 AS id")
     plan = lambda d: facts.join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(bounded_broadcast(small, 10, "test", verify=True)).lower()
-    assert "broadcast" not in plan(bounded_broadcast(big, 10, "test", verify=True)).lower()
+    assert "broadcast" in plan(measured_broadcast(small, 10)).lower()
+    assert "broadcast" not in plan(measured_broadcast(big, 10)).lower()
 
 
 def test_describe_approx_close_to_exact(spark):
@@ -116,3 +116,19 @@ def test_describe_approx_close_to_exact(spark):
         e, a = exact[c], approx[c]
         assert a.n == e.n and a.mean == pytest.approx(e.mean, abs=1e-6) and a.skew == pytest.approx(e.skew, abs=1e-6)
         assert abs(a.median - e.median) < 0.5 and abs(a.trimmed - e.trimmed) < 0.5 and abs(a.mad - e.mad) < 0.5
+
+
+def test_year_panel_is_not_cut_and_must_be_unique(spark):
+    facts = spark.createDataFrame([(1700, 1), (2020, 2), (2500, 3)], "year int, x int")
+    panel = spark.createDataFrame([(1700, 1.0), (2020, 2.0), (2500, 3.0)], "year int, gdp double")
+    assert sorted((r.year, r.gdp) for r in marts.join_year_panel(facts, panel).collect()) == [(1700, 1.0), (2020, 2.0), (2500, 3.0)]
+    with pytest.raises(ValueError):
+        marts.join_year_panel(facts, panel.union(panel))
+
+
+def test_keep_first_with_ties_and_null_orders(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("b", 3, None), ("c", 4, 1), ("c", 4, 1), ("d", 6, None), ("d", 7, 2)], "k string, v int, row_order int")
+    for d in (df, df.repartition(5)):
+        got = sorted((r.k, r.v) for r in clean.dedup_first(d, ["k"]).collect())
+        assert [k for k, _ in got] == ["a", "b", "c", "d"] and got[3] == ("d", 7)
+    assert clean.dedup_first(df, ["k"]).collect().__len__() == 4

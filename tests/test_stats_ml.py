@@ -110,3 +110,45 @@ def test_logit_table_matches_newton(spark):
         assert got[term].std_error == pytest.approx(se[i], rel=1e-3)
     empty = stats.logit_table(df.withColumn("y", df.y * 0), "y", ["x1", "x2"])
     assert empty.count() == 0                              # fewer than 2 positives: no fit
+
+
+def test_split_is_balanced_in_every_stratum(spark):
+    df = spark.createDataFrame([(i, float(i * i % 997)) for i in range(900)] + [(900 + i, None) for i in range(100)], "k int, y double")
+    a = ml.stratified_split(df, "y", ["k"]).collect()
+    b = ml.stratified_split(df.repartition(13), "y", ["k"]).collect()
+    assert {(r.k, r.stratum, r.is_train) for r in a} == {(r.k, r.stratum, r.is_train) for r in b}
+    for s in {r.stratum for r in a}:
+        of = [r.is_train for r in a if r.stratum == s]
+        assert abs(sum(of) - 0.8 * len(of)) <= 1
+    assert {r.stratum for r in a if r.y is None} == {-1}
+
+
+def test_correlation_keeps_precision_with_an_offset(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=300)
+    y = x + 0.5 * rng.normal(size=300)
+    rows = [(i, "a", 1e9 + float(x[i])) for i in range(300)] + [(i, "b", 1e9 + float(y[i])) for i in range(300)] + [(300, "a", float("nan"))]
+    got = stats.corr_matrix(spark.createDataFrame(rows, "t int, code string, value double"), "t").first()
+    assert got.n_pairs == 300 and abs(got["corr"] - np.corrcoef(x, y)[0, 1]) < 1e-5
+
+
+def test_fits_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, *map(float, rng.normal(size=2) + 3 * (i % 3))) for i in range(150)], "k int, a double, b double")
+    fits = [sorted(map(tuple, ml.kmeans_best_of(ml.in_fixed_order(d, "k"), "k", ["a", "b"], starts=2)[0].collect()))
+            for d in (df.repartition(2, "k"), df.repartition(8, "a"))]
+    assert fits[0] == fits[1]
+    # the labels are those of numpy's nearest centres
+    x = np.array([(r.a, r.b) for r in df.orderBy("k").collect()])
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    lab = np.array([c for _, c in fits[0]])
+    centre = np.stack([z[lab == c].mean(0) for c in range(3)])
+    assert (((z[:, None] - centre) ** 2).sum(2).argmin(1) == lab).all()
+
+
+def test_pca_against_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(80, 3)) @ rng.normal(size=(3, 3))
+    got = [r.variance_explained for r in ml.pca_variance(spark.createDataFrame(x.tolist(), ["a", "b", "c"]), ["a", "b", "c"]).orderBy("component").collect()]
+    w = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1]
+    assert np.allclose(got, w / w.sum())
