@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from obsframe.functions.columns import col_ref, safe_double
 from obsframe.functions.stats import strict_avg
-from obsframe.operators.joins import null_safe_join
 from obsframe.schema import YEAR_SUFFIX_PATTERN
 
 DEFAULT_MAX_WIDTH = 1000
@@ -159,9 +158,10 @@ def densify(df: DataFrame, series_keys: Sequence[str], t: str = "year", value: s
             t_min: int | None = None, t_max: int | None = None) -> DataFrame:
     """Give every series every period of the panel; absent periods get a NULL value.
 
-    Series keys and periods are generated with ``sequence`` + ``explode`` per
-    series (no cross join); the observed rows are joined back on (keys, t), one
-    shuffle on the series keys. The panel span is two scalars.
+    One shuffle: the observations of a series (one per period, so bounded by the time axis) are
+    gathered by one grouping, and its periods are generated with ``sequence`` beside them. The
+    result stays partitioned by the series keys, so windows over a series shuffle no more.
+    Several observations of one period stay several rows. The panel span is two scalars.
     """
     if t_min is None or t_max is None:
         lo, hi = df.agg(F.min(t), F.max(t)).first()
@@ -169,8 +169,7 @@ def densify(df: DataFrame, series_keys: Sequence[str], t: str = "year", value: s
         t_max = hi if t_max is None else t_max
     if t_min is None:
         return df.select(*series_keys, t, value).limit(0)
-    keys = df.select(*series_keys).distinct()
-    grid = keys.select(*series_keys,
-                       F.explode(F.sequence(F.lit(int(t_min)), F.lit(int(t_max)))).alias(t))
-    obs = df.select(*series_keys, t, value)
-    return null_safe_join(grid, obs, [*series_keys, t], "left")
+    obs = df.groupBy(*series_keys).agg(F.collect_list(F.struct(F.col(t).alias("t"), F.col(value).alias("v"))).alias("_obs"))
+    grid = obs.select(*series_keys, "_obs", F.explode(F.sequence(F.lit(int(t_min)), F.lit(int(t_max)))).alias(t))
+    here = F.filter("_obs", lambda o: o["t"] == F.col(t))
+    return grid.select(*series_keys, t, F.explode_outer(F.transform(here, lambda o: o["v"])).alias(value))

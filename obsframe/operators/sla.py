@@ -25,10 +25,9 @@ def volume_config(spark: SparkSession, ranges: dict) -> DataFrame:
 
 
 def table_timestamps(spark: SparkSession, paths: dict, fmt: str = "parquet") -> DataFrame:
-    """(table_name, updated_at): newest file modification time per table, from ``_metadata``."""
-    frames = [spark.read.format(fmt).load(p).select(F.lit(name).alias("table_name"),
-                                                     F.col("_metadata.file_modification_time").alias("ts"))
-              .groupBy("table_name").agg(F.max("ts").alias("updated_at"))
+    """(table_name, updated_at): newest file modification time per table, one row per file and no contents read."""
+    frames = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}").load(p)
+              .agg(F.max("modificationTime").alias("updated_at")).select(F.lit(name).alias("table_name"), "updated_at")
               for name, p in paths.items()]
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -50,6 +50,16 @@ def orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
              .join(nr, F.col("c_nationkey") == F.col("n_nationkey")))
 
 
+def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order sums and counts per customer and year, with nation and region: orders are reduced before the joins,
+    so a customer with very many orders is a few partial sums."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
+        F.sum("o_totalprice").alias("total"), F.count(F.lit(1)).alias("n"), F.count("o_totalprice").alias("n_priced"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return (o.join(c, o.o_custkey == c.c_custkey)
+             .join(nation_region(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")))
+
+
 # ---- wide sources and the registry ------------------------------------------------------
 
 def lineitem_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +76,8 @@ def nation_totals_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from obsframe.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    o = orders_with_nation(spark, sf_dir)
-    cells = (o.groupBy(F.col("n_name").alias("nation"), F.year("o_orderdate").alias("year"))
-              .agg(F.sum("o_totalprice").alias("total")).checkpoint(eager=True))
+    cells = (customer_years(spark, sf_dir).groupBy(F.col("n_name").alias("nation"), "year")
+             .agg(F.sum("total").alias("total")).checkpoint(eager=True))
     years = reshape.pivot_values(cells, "year", max_width=201)
     wide = reshape.pivot(cells, "nation", "year", "total", values=years, agg="max",
                          names={y: f"total_{y}" for y in years}, extra=[F.sum("total").alias("total_all")])
@@ -170,13 +179,14 @@ def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long panel (indicator, entity = nation, region, year, value) from orders."""
-    o = orders_with_nation(spark, sf_dir)
-    g = o.groupBy(F.col("n_name").alias("entity"), F.col("r_name").alias("region"),
-                  F.year("o_orderdate").alias("year")).agg(
-        F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).cast("double").alias("orders"),
-        F.avg("o_totalprice").alias("avg_order"))
-    return g.unpivot(["entity", "region", "year"], ["revenue", "orders", "avg_order"], "indicator", "value")
+    """Long panel (indicator, entity = nation, region, year, value) from orders, checkpointed: it is small, and
+    its readers join it with itself."""
+    from obsframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    g = customer_years(spark, sf_dir).groupBy(F.col("n_name").alias("entity"), F.col("r_name").alias("region"), "year").agg(
+        F.sum("total").alias("revenue"), F.sum("n").cast("double").alias("orders"),
+        (F.sum("total") / F.sum("n_priced")).alias("avg_order"))
+    return g.unpivot(["entity", "region", "year"], ["revenue", "orders", "avg_order"], "indicator", "value").checkpoint(eager=True)
 
 
 def nation_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,16 +16,18 @@ def _no_void(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, order_by: Sequence[str] = ()) -> None:
-    """CSV with header, overwrite. ``single_file`` only for small final exports.
+    """CSV with header, overwrite. ``single_file`` only for small final exports: their rows meet in one
+    task at the end, while all work before stays spread.
 
-    ``order_by`` sorts the export with NULLs last (the presentation order of the
-    reference's files); sorting happens only here, at the edge.
+    ``order_by`` sorts the export with NULLs last; sorting happens only here, at the edge.
     """
     out = _no_void(df)
-    if order_by:
-        out = out.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    keys = [F.col(c).asc_nulls_last() for c in order_by]
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)
+        out = out.sortWithinPartitions(*keys) if keys else out
+    elif keys:
+        out = out.orderBy(*keys)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from obsframe.schema import ALERT_SCHEMA
 
@@ -13,19 +10,12 @@ from obsframe.schema import ALERT_SCHEMA
 def list_entries(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     """Top-level entries of ``folder`` whose name ends with ``suffix`` (files or table directories).
 
-    Listed through Spark's file source, so any Hadoop-compatible store works; only the
-    ``path`` column is selected, so file contents are never read.
+    Listed through the Hadoop file system, so any store that Spark reads works; what lies
+    inside a table's directory is not listed.
     """
-    base = folder.rstrip("/") + "/"
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-                  .select(F.col("path")))
-    tops = set()
-    for (path,) in files.collect():                      # a file listing: metadata, not data
-        rel = path.split(base.split("://")[-1], 1)[-1].lstrip("/")
-        top = rel.split("/", 1)[0]
-        if top.endswith(suffix):
-            tops.add(top)
-    return sorted(tops)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(n for n in (s.getPath().getName() for s in found) if n.endswith(suffix))
 
 
 def load_folder(spark: SparkSession, folder: str, fmt: str = "parquet", suffix: str | None = None):
@@ -47,6 +37,3 @@ def load_folder(spark: SparkSession, folder: str, fmt: str = "parquet", suffix:
             failures.append(("CRITICAL", "LOAD", name, None, None))
     return tables, spark.createDataFrame(failures, ALERT_SCHEMA)
 
-
-def read_tables(spark: SparkSession, folder: str, names, fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {n: spark.read.format(fmt).load(os.path.join(folder, f"{n}.{fmt}")) for n in names}

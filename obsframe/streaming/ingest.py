@@ -9,7 +9,6 @@ and stops, which suits scheduled batch runs.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.schema import LONG_COLUMNS
-from obsframe.session import scratch_path
+
+
+def _has_files(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(path) and len(store.listStatus(path)) > 0
 
 
 def ingest_files(spark: SparkSession, landing: str, schema: T.StructType,
@@ -27,14 +31,18 @@ def ingest_files(spark: SparkSession, landing: str, schema: T.StructType,
 
     ``normalise`` maps the raw rows of one micro-batch to canonical long rows (any
     layout normaliser of ``obsframe.sources.readers``). The checkpoint records which
-    files were consumed; each batch is written under its own ``batch_id`` partition.
+    files were consumed; each batch is written under its own ``batch_id`` partition. By
+    default it lies beside the target. A target with data and a checkpoint without any do not
+    belong together (files would be read a second time): that raises ``ValueError``.
     Returns the finished query.
     """
+    ckpt = checkpoint or target.rstrip("/") + ".checkpoint"
+    if _has_files(spark, target) and not _has_files(spark, ckpt):
+        raise ValueError(f"{target} has data, but the checkpoint {ckpt} is empty")
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in {"header": "true", **(options or {})}.items():
         reader = reader.option(k, v)
     raw = reader.load(landing)
-    ckpt = checkpoint or scratch_path(spark, "stream-" + os.path.basename(os.path.normpath(target)))
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         # idempotent per micro-batch: a batch replayed after a failure overwrites only its own

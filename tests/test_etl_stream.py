@@ -98,6 +98,8 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     ingest_files(spark, str(landing), schema, norm, target, checkpoint=ckpt)
     got = sorted((r.code, r.year, r.value) for r in spark.read.parquet(target).collect())
     assert got == [("X", 2020, 1.5), ("X", 2021, None), ("Y", 2020, 2.0)]
+    with pytest.raises(ValueError):                     # another checkpoint would read the files again
+        ingest_files(spark, str(landing), schema, norm, target, checkpoint=str(tmp_path / "other"))
 
 
 def test_snake_case_and_rounding(spark):

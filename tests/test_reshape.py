@@ -67,3 +67,11 @@ def test_densify_null_entity(spark):
     out = rows(reshape.densify(df, ["code", "entity"]), "code", "year")
     assert len(out) == 6
     assert [r["value"] for r in out if r["code"] == "a"] == [1.0, None, 3.0]
+
+
+def test_densify_keeps_repeated_periods_and_null_keys(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 3, None), ("a", 3, 2.0), (None, 2, 5.0), ("b", 9, 1.0)], "k string, year int, value double")
+    got = sorted(((r.k, r.year, r.value) for r in reshape.densify(df, ["k"], t_min=1, t_max=3).collect()), key=str)
+    want = [("a", 1, 1.0), ("a", 2, None), ("a", 3, None), ("a", 3, 2.0), (None, 1, None), (None, 2, 5.0), (None, 3, None),
+            ("b", 1, None), ("b", 2, None), ("b", 3, None)]
+    assert got == sorted(want, key=str)

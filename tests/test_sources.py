@@ -81,3 +81,10 @@ def test_sinks_and_folder_load(spark, tmp_path):
     model = LinearRegression(labelCol="y").fit(data)
     save_model(model, str(tmp_path / "model"))
     assert os.path.isdir(str(tmp_path / "model" / "metadata"))
+
+
+def test_manifest_reads_large_files_in_pieces(spark):
+    whole = {r.raw: r for r in manifest(spark, SF_SMALL, "*.parquet", {"orders": "facts"}, "given").collect()}
+    pieces = {r.raw: r for r in manifest(spark, SF_SMALL, "*.parquet", {"orders": "facts"}, "given", whole_file_bytes=0).collect()}
+    assert whole == pieces and {r.source for r in whole.values()} == {"given"}
+    assert {r.logical: r.type for r in whole.values()}["orders"] == "facts"
