@@ -38,10 +38,10 @@ from obsframe.llm.common import materialise, ship
 
 LENGTH = 100
 GRAM = 24
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 HOT = 4096
 MOST_HOT = 1 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 ODD, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64((1 << 24) - 1)
 
@@ -61,7 +61,7 @@ def _powers(n: int, r: np.uint64) -> np.ndarray:
 def _tables(r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random odd number per byte value, the powers of r and those of its inverse modulo 2^64."""
     inverse = pow(r, -1, 1 << 64)
-    n = 2 * CHUNK + 2 * LENGTH
+    n = CHUNK + 2 * LENGTH
     byte = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(r)) | np.uint64(1)
     return byte, _powers(n, np.uint64(r)), _powers(n, np.uint64(inverse))
 
