@@ -150,11 +150,24 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
 
 def run_suite(df: DataFrame, table: str, rules: list[dict]) -> DataFrame:
     """Evaluate a rule suite on one table; non-constant rules record failures only. NaN counts as missing."""
+    return _evaluate(df, table, rules, {})[0]
+
+
+def run_suite_with(df: DataFrame, table: str, rules: list[dict], extra: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``run_suite``, and the row of ``extra`` aggregates computed in the same pass over the table (checkpointed)."""
+    return _evaluate(df, table, rules, extra)
+
+
+def _evaluate(df: DataFrame, table: str, rules: list[dict], extra: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     df = nan_to_null(df)
     aggs, rows, side, meta, spark = compile_rules(df, table, rules)
     parts = []
+    one = df.agg(*[e.alias(k) for k, e in (aggs | extra).items()])
+    if extra:
+        from obsframe.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        one = one.checkpoint(eager=True)  # one row
     if rows:
-        one = df.agg(*[e.alias(k) for k, e in aggs.items()])
         res = one.select(F.inline(F.array(*rows)))
         res = res.filter(~((F.col("check") == "non_constant") & F.col("passed")))
         parts.append(res)
@@ -162,8 +175,8 @@ def run_suite(df: DataFrame, table: str, rules: list[dict]) -> DataFrame:
         parts.append(spark.createDataFrame(meta, CHECK_RESULT_SCHEMA))
     parts.extend(side)
     if not parts:
-        return spark.createDataFrame([], CHECK_RESULT_SCHEMA)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        return spark.createDataFrame([], CHECK_RESULT_SCHEMA), one
+    return reduce(lambda a, b: a.unionByName(b), parts), one
 
 
 def summary(results: DataFrame) -> DataFrame:

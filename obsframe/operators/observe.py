@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,24 +31,35 @@ def _long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         [], list(columns), "column_name", "x")
 
 
+def stat_columns(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, Column]:
+    """The aggregates that ``null_share`` and the first pass of ``anomalies`` need, to be computed together with others
+    in one pass: row count, nulls of every column, and count, mean and sd of the numeric ``columns``."""
+    out = {"_n": F.count(F.lit(1))} | {f"_z{i}": F.count_if(col_ref(c).isNull()) for i, c in enumerate(df.columns)}
+    for i, c in enumerate(columns if columns is not None else numeric_columns(df)):
+        x = col_ref(c).cast("double")
+        out |= {f"n{i}": F.count(x), f"m{i}": F.avg(x), f"s{i}": F.stddev_samp(x)}
+    return out
+
+
 def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
               z: float = Z_SCORE_THRESHOLD, min_values: int = ANOMALY_MIN_VALUES,
-              critical_pct: float = ANOMALY_CRITICAL_PCT) -> DataFrame:
+              critical_pct: float = ANOMALY_CRITICAL_PCT, stats: DataFrame | None = None) -> DataFrame:
     """Per numeric column with >= min_values values and sample sd > 0: count |z| > ``z``.
 
     share > critical_pct % -> CRITICAL, any -> WARNING, none -> INFO.
     Two scans of the wide table, each ONE global aggregate with map-side partials
     (no unpivot, no shuffle of cells): first count/mean/sd of every column (one
     row, bounded by the number of columns), then the conditional counts using
-    those statistics as literals.
+    those statistics as literals. ``stats`` is a stored row of ``stat_columns``, if one exists.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     spark, df = df.sparkSession, nan_to_null(df)
     if not columns:
         return spark.createDataFrame([], ALERT_SCHEMA)
     xs = [col_ref(c).cast("double") for c in columns]
-    st = df.agg(*[e for i, x in enumerate(xs) for e in (
-        F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"))]).first()
+    if stats is None:
+        stats = df.agg(*[e.alias(k) for k, e in stat_columns(df, columns).items()])
+    st = stats.first()
     keep = [(i, c) for i, c in enumerate(columns)
             if st[f"n{i}"] >= min_values and st[f"s{i}"] is not None and st[f"s{i}"] > 0]
     schema = ("severity string, category string, table_name string, column_name string, observed double, "
@@ -69,11 +80,11 @@ def anomalies(df: DataFrame, table: str, columns: Sequence[str] | None = None,
 
 
 def null_share(df: DataFrame, table: str, warn_pct: float = NULL_PCT_WARN,
-               critical_pct: float = NULL_PCT_CRITICAL) -> DataFrame:
-    """Per column null %: >= critical CRITICAL, >= warn WARNING; quiet columns emit nothing."""
+               critical_pct: float = NULL_PCT_CRITICAL, stats: DataFrame | None = None) -> DataFrame:
+    """Per column null %: >= critical CRITICAL, >= warn WARNING; quiet columns emit nothing.
+    ``stats`` is a stored row of ``stat_columns``, if one exists."""
     cols, df = df.columns, nan_to_null(df)
-    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(col_ref(c).isNull()).alias(f"_z{i}")
-                                                 for i, c in enumerate(cols)])
+    one = stats if stats is not None else df.agg(*[e.alias(k) for k, e in stat_columns(df, []).items()])
     cells = one.select("_n", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_z{i}").alias("nulls")) for i, c in enumerate(cols)])))
     pct = F.try_divide(F.col("nulls") * 100.0, F.col("_n"))

@@ -172,19 +172,30 @@ def volume_results(spark, sf_dir):
     return sla.volume_sla(counts, sla.volume_config(spark, VOLUMES))
 
 
-def alert_frames(spark, sf_dir):
-    li = td.table(spark, sf_dir, "lineitem")
-    an = observe.anomalies(li, "lineitem", LINEITEM_NUMERIC)
-    nulls = observe.null_share(typed_orders(spark, sf_dir), "orders_typed").unionByName(
-        observe.null_share(li, "lineitem"))
-    vol = volume_results(spark, sf_dir)
-    vd = observe.volume_drop(vol)
+def one_pass(spark, sf_dir, rules: list[dict]) -> dict:
+    """Everything that the run's reports need of a table, in one pass over it: rule metrics, counts, nulls, moments and the
+    newest time of lineitem (anomaly counts, which need the moments, are its second pass), typed orders, and events."""
+    li, typed = td.table(spark, sf_dir, "lineitem"), typed_orders(spark, sf_dir)
+    chk, li_row = checks.run_suite_with(li, "lineitem", rules, {
+        **observe.stat_columns(li, LINEITEM_NUMERIC), "_updated": F.max("l_shipdate")})
+    _, o_row = checks.run_suite_with(typed, "orders_typed", [], observe.stat_columns(typed, []))
+    _, e_row = checks.run_suite_with(td.table(spark, sf_dir, "events"), "events", [], {"_n": F.count(F.lit(1)), "_updated": F.max("ts")})
+    counted = [r.select(F.lit(t).alias("table_name"), F.col("_n").alias("actual"))
+               for t, r in (("lineitem", li_row), ("orders", o_row), ("events", e_row))]
+    rest = sla.table_counts({t: td.table(spark, sf_dir, t) for t in COUNTED if t not in ("lineitem", "orders", "events")})
+    vol = sla.volume_sla(reduce(lambda a, b: a.unionByName(b), counted, rest), sla.volume_config(spark, VOLUMES))
+    updated = [r.select(F.lit(t).alias("table_name"), F.col("_updated").alias("updated_at")) for t, r in (("lineitem", li_row), ("events", e_row))]
+    newest = td.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("updated_at")).select(F.lit("orders").alias("table_name"), "updated_at")
+    fresh = sla.freshness_sla(reduce(lambda a, b: a.unionByName(b), updated, newest), AS_OF_TS, sla.tier_config(spark, TIERS))
+    an = observe.anomalies(li, "lineitem", LINEITEM_NUMERIC, stats=li_row)
+    nulls = observe.null_share(typed, "orders_typed", stats=o_row).unionByName(observe.null_share(li, "lineitem", stats=li_row))
     sd = observe.schema_drift(spark, "lineitem", li.columns, LINEITEM_EXPECTED)
-    return an, nulls, vd, sd
+    return {"checks": rounded(chk, 6, only=["observed"]), "volume": vol, "freshness": fresh, "anomalies": an, "nulls": nulls,
+            "alerts": observe.alert_table(an, nulls, observe.volume_drop(vol), sd)}
 
 
 def alert_union(spark, sf_dir):
-    return observe.alert_table(*alert_frames(spark, sf_dir))
+    return one_pass(spark, sf_dir, [])["alerts"]
 
 
 # ------------------------------------------------------------------------- checks ----
@@ -325,18 +336,15 @@ SELECT CASE WHEN observed > 20.0 THEN 'CRITICAL' ELSE 'WARNING' END, 'NULL_SPIKE
        round(observed, 2) FROM nulls""")
 def q_alert_rules(spark, sf_dir):
     """K2-K6: alert rules applied to check, anomaly, volume, schema and null-share results."""
-    chk = lineitem_checks(spark, sf_dir)
-    li = td.table(spark, sf_dir, "lineitem")
-    an = observe.anomalies(li, "lineitem", LINEITEM_NUMERIC).filter(F.col("n_anomalies") > 0)
+    run = one_pass(spark, sf_dir, lineitem_rules(spark, sf_dir))
+    li, chk, vol = td.table(spark, sf_dir, "lineitem"), run["checks"], run["volume"]
+    an = run["anomalies"].filter(F.col("n_anomalies") > 0)
     counts = an.select("table_name", "column_name", "n_anomalies", F.col("n_values").alias("n_total"))
-    vol = volume_results(spark, sf_dir)
     changes = spark.createDataFrame(
         [("lineitem", c, "removed") for c in sorted(set(LINEITEM_EXPECTED) - set(li.columns))] +
         [("lineitem", c, "added") for c in sorted(set(li.columns) - set(LINEITEM_EXPECTED))],
         "table_name string, column_name string, change string")
-    nulls = observe.null_share(typed_orders(spark, sf_dir), "orders_typed").unionByName(
-        observe.null_share(li, "lineitem"))
-    spikes = alerts.null_spike_rule(nulls.select("table_name", "column_name", F.col("observed").alias("null_pct")))
+    spikes = alerts.null_spike_rule(run["nulls"].select("table_name", "column_name", F.col("observed").alias("null_pct")))
     parts = [alerts.data_check_rule(chk), alerts.anomaly_rule(counts), alerts.volume_drop_rule(vol),
              alerts.schema_change_rule(changes), spikes]
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -355,14 +363,15 @@ UNION ALL SELECT 'alerts_warning', count(*) FILTER (WHERE severity = 'WARNING')
 UNION ALL SELECT 'alerts_info', count(*) FILTER (WHERE severity = 'INFO') FROM alerts""")
 def q_check_run(spark, sf_dir):
     """K8: validation + SLA + observability + alerts of one run as (metric, value) rows."""
-    chk = checks.summary(lineitem_checks(spark, sf_dir)).select(
+    run = one_pass(spark, sf_dir, lineitem_rules(spark, sf_dir))
+    chk = checks.summary(run["checks"]).select(
         F.col("total").alias("checks_total"), F.col("passed").alias("checks_passed"))
-    rep = sla.sla_report(freshness_results(spark, sf_dir), volume_results(spark, sf_dir))
+    rep = sla.sla_report(run["freshness"], run["volume"])
     slas = rep.select(F.explode(F.array(
         F.struct(F.concat("kind", F.lit("_total")).alias("metric"), F.col("total").alias("value")),
         F.struct(F.concat("kind", F.lit("_passed")).alias("metric"), F.col("passed").alias("value")))).alias("m")
     ).select("m.metric", "m.value")
-    cnt = observe.severity_counts(alert_union(spark, sf_dir)).select(
+    cnt = observe.severity_counts(run["alerts"]).select(
         F.col("total_alerts").alias("alerts_total"), F.col("critical").alias("alerts_critical"),
         F.col("warnings").alias("alerts_warning"), F.col("info").alias("alerts_info"))
     parts = [chk.unpivot([], chk.columns, "metric", "value"), slas, cnt.unpivot([], cnt.columns, "metric", "value")]
