@@ -19,6 +19,7 @@ any other rows.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +35,7 @@ from obsframe.llm.common import materialise, ship
 SEQUENCE = 2048
 GROUP_PIECES = 60_000
 END = b"\x00\x00\x00\x00"
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -53,12 +54,17 @@ class WordIds(dict):
     # The tokenizer file's own split pattern.
     UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
+    LATIN = regex.compile(r"[\x21-\x7e\u00a1-\u017f]+")  # other words go to the tokenizer as they are
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.units = Tokenizer.from_file(path), {}
+        # byte-level vocabularies show a byte as its printable Latin-1 character, and the others, in order, from U+0100 on
+        plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+        odd = [b for b in range(256) if b not in plain]
+        self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -66,10 +72,11 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        if not (word.isascii() and word.isprintable()) or "<|" in word:
+        if "<|" in word or not word.isprintable() or not self.LATIN.fullmatch(word):
             found = self.direct(word)
         else:
-            found = b"".join(map(self.unit, self.UNITS.findall(word.lower())))
+            low = word.lower() if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+            found = b"".join(map(self.unit, self.UNITS.findall(low)))
         self[word] = found
         return found
 
@@ -78,7 +85,8 @@ class WordIds(dict):
         if got is None:
             if len(self.units) >= WORDS_KEPT:
                 self.units.clear()
-            got = self.units[u] = np.array([t.id for t in self.tokenizer.model.tokenize(u)], "<u4").tobytes()
+            shown = u if u.isascii() else "".join(map(self.shown.__getitem__, u.encode()))
+            got = self.units[u] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
         return got
 
     def encode(self, text: str | None) -> bytes:

@@ -125,3 +125,41 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return joined.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.coalesce(ok, F.lit(False))).alias("kept"),
                          *[rates[n].alias(n) for n in FLOORS])
+
+
+def oracle() -> str:
+    space = r"[\x20\x09-\x0D]"
+    ratio = {"symbol_ratio": "n_symbols / nullif(word_chars, 0)", "dup_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
+             "repeat_ratio": "n_repeat_words / nullif(n_words, 0)", "word_length": "word_chars / nullif(n_words, 0)"}
+    at = "list_sort(list({c}) FILTER (WHERE NOT base_failed))[greatest(1, ceil({q} * count(*) FILTER (WHERE NOT base_failed)))::BIGINT]"
+    picks = ", ".join(f"{at.format(c=c, q=q)} AS {c}_{n}" for c in ratio for n, q in (("lo", 0.25), ("mid", 0.5)))
+    good = "count(*) FILTER (WHERE NOT base_failed) AS n"
+
+    def of(c: str, n: str) -> str:
+        return f"CASE WHEN o.n >= {MIN_GROUP} THEN o.{c}_{n} WHEN l.n >= {MIN_GROUP} THEN l.{c}_{n} ELSE a.{c}_{n} END"
+
+    fence = ", ".join(f"{of(c, 'mid')} AS {c}_mid, greatest({floor}, {SPREADS} * ({of(c, 'mid')} - {of(c, 'lo')})) AS {c}_reach"
+                      for c, floor in FLOORS.items())
+    inside = " AND ".join(f"{c} <= {c}_mid + {c}_reach" for c in FLOORS) + " AND word_length >= word_length_mid - word_length_reach"
+    return f"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '{space}+'), lambda x: x <> '') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+gram AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ') AS g
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW})),
+again AS (SELECT doc_id, i FROM gram QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+step AS (SELECT doc_id, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {WINDOW})) AS s FROM again),
+covered AS (SELECT doc_id, sum(s)::BIGINT AS n FROM step GROUP BY doc_id),
+m AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN covered USING (doc_id)),
+r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             {", ".join(f"coalesce({e}, 0.0)::DOUBLE AS {c}" for c, e in ratio.items())} FROM m),
+o AS (SELECT lang, source, {good}, {picks} FROM r GROUP BY lang, source),
+l AS (SELECT lang, {good}, {picks} FROM r GROUP BY lang),
+a AS (SELECT {picks} FROM r),
+f AS (SELECT o.lang, o.source, {fence} FROM o LEFT JOIN l ON o.lang IS NOT DISTINCT FROM l.lang, a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({inside}, false) AS kept
+FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source"""

@@ -73,4 +73,5 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op4_warc_index": WARC_SQL, "op5_exact_topk": TOPK_SQL, "op6_line_dedup": lines.oracle(), "op9_source_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op4_warc_index": WARC_SQL, "op5_exact_topk": TOPK_SQL, "op6_line_dedup": lines.oracle(),
+                           "op7_quality_rules": quality.oracle(), "op9_source_mixing": mixing.oracle()}
