@@ -23,7 +23,7 @@ def unit_hash(key: Sequence[str], seed: int = 42) -> Column:
 
 
 def stratified_split(df: DataFrame, target: str, key: Sequence[str], train_frac: float = 0.8,
-                     strata: int = 5, seed: int = 42, accuracy: int = 10000) -> DataFrame:
+                     strata: int = 5, seed: int = 42, accuracy: int = 1_000_000) -> DataFrame:
     """Adds ``stratum`` (target quantile bin; -1 for a NULL target) and ``is_train``, balanced within each stratum.
 
     Bin edges are approximate quantiles (one small aggregate, no global sort). Each row has a

@@ -1,4 +1,4 @@
-"""Model and file-level queries. Fitted models and hashes have no SQL oracle: row counts only.
+"""Model and file-level queries. Fitted models and file hashes have no SQL oracle: row counts only.
 
 The modelling panel is derived from the whole ``lineitem`` table (one row per ship
 date); pytest checks the estimators against closed-form answers on exact data.
@@ -36,7 +36,17 @@ def _lasso(spark, sf_dir):
     return ml.lasso_cv(tr, te, LABEL, FEATURES)
 
 
-@register("stratified_split")
+SPLIT_SQL = """
+WITH li AS (SELECT l_extendedprice AS y, ('0x' || substr(md5(concat_ws('|', l_orderkey::VARCHAR, l_linenumber::VARCHAR, '42')), 1, 12))::BIGINT
+                   / CAST(281474976710656 AS DOUBLE) AS u FROM lineitem),
+e AS (SELECT list_sort(list(y)) AS s, count(y) AS n FROM li WHERE y IS NOT NULL),
+t AS (SELECT u, CASE WHEN y IS NULL THEN -1 WHEN y <= s[ceil(0.2 * n)::BIGINT] THEN 0 WHEN y <= s[ceil(0.4 * n)::BIGINT] THEN 1
+                     WHEN y <= s[ceil(0.6 * n)::BIGINT] THEN 2 WHEN y <= s[ceil(0.8 * n)::BIGINT] THEN 3 ELSE 4 END AS stratum FROM li, e),
+c AS (SELECT stratum, list_sort(list(u))[ceil(0.8 * count(*))::BIGINT] AS cut FROM t GROUP BY stratum)
+SELECT t.stratum, u <= cut AS is_train, count(*) AS n FROM t JOIN c ON t.stratum = c.stratum GROUP BY ALL"""
+
+
+@register("stratified_split", SPLIT_SQL)
 def q_stratified_split(spark, sf_dir):
     """80/20 split balanced within target quintiles (md5 of the key, seed 42): counts per cell."""
     s = ml.stratified_split(td.table(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_orderkey", "l_linenumber"])
