@@ -1,33 +1,11 @@
-"""Join helpers: NULL-safe key joins and size-bounded broadcast."""
+"""Join helpers: size-checked broadcast."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (``<=>``); keys appear once in the output.
-
-    Spark plans ``<=>`` equi-joins as ordinary hash / sort-merge joins.
-    """
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    joined = left.join(r, cond, how)
-    if how in ("right", "right_outer"):
-        key_cols = [F.col(f"__r_{k}").alias(k) for k in keys]
-    elif how in ("full", "outer", "full_outer"):
-        key_cols = [F.coalesce(left[k], F.col(f"__r_{k}")).alias(k) for k in keys]
-    else:
-        key_cols = [left[k] for k in keys]
-    rest_left = [left[c] for c in left.columns if c not in keys]
-    rest_right = [F.col(c) for c in right.columns if c not in keys] if how not in ("left_semi", "left_anti", "semi", "anti") else []
-    return joined.select(*key_cols, *rest_left, *rest_right)
-
-
 def bounded_broadcast(df: DataFrame, bound_rows: int, why: str) -> DataFrame:
     """Broadcast a side that is bounded by construction (one row per cluster, per code of a width-checked list).
 

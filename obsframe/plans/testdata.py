@@ -41,15 +41,6 @@ def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
-def orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders + customer nation and region (customer join is a regular shuffle join)."""
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nr = nation_region(spark, sf_dir)
-    return (o.join(c, o.o_custkey == c.c_custkey)
-             .join(nr, F.col("c_nationkey") == F.col("n_nationkey")))
-
-
 def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order sums and counts per customer and year, with nation and region: orders are reduced before the joins,
     so a customer with very many orders is a few partial sums."""

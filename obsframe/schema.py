@@ -17,17 +17,6 @@ LONG_SCHEMA = T.StructType([
 # Natural key of one observation (deduplication key).
 OBS_KEY = ["source", "dataset", "code", "entity", "year"]
 
-PRICE_SCHEMA = T.StructType([
-    T.StructField("entity", T.StringType()),
-    T.StructField("trade_date", T.DateType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()),
-    T.StructField("change_pct", T.DoubleType()),
-])
-
 CHECK_RESULT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("test", T.StringType()),

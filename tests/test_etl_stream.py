@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.columns import round_to, snake_case
+from obsframe.functions.columns import round_to, signif, snake_case
 from obsframe.plans import etl
 from obsframe.plans import testdata as td
 from obsframe.sources import normalise_long, read_csv_strings
@@ -112,6 +112,12 @@ def test_snake_case_and_rounding(spark):
     assert got[0] in (133.258187, 133.258188)
 
 
+def test_significant_digits(spark):
+    df = spark.createDataFrame([(123456.0,), (0.00123456,), (-98765.0,), (0.0,), (None,)], "x double")
+    got = [r[0] for r in df.select(signif("x", 3)).collect()]
+    assert got[0] == 123000.0 and abs(got[1] - 0.00123) < 1e-12 and got[2] == -98800.0 and got[3:] == [0.0, None]
+
+
 def test_read_csv_header_only(spark, tmp_path):
     p = tmp_path / "h.csv"
     p.write_text("a,b\n1,x\n")
