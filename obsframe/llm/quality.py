@@ -1,7 +1,7 @@
 """Quality rules with adaptive thresholds, in DataFrame functions only.
 
 Each document gets text measures; mergeable quantile sketches (``percentile_approx``,
-Greenwald-Khanna summaries that Spark merges from its tasks' partial sketches) of four
+Greenwald-Khanna summaries that Spark merges from its tasks' partial sketches) of five
 ratios are taken per language and source and, from the same rows, per language and over
 all; the thresholds that follow from them are joined back to the documents.
 
@@ -32,7 +32,7 @@ SPREADS = 6.0
 ACCURACY = 10_000
 MIN_GROUP = 30
 # ratio -> least distance of its fence from the group's median
-FLOORS = {"symbol_ratio": 0.03, "dup_line_ratio": 0.4, "repeat_ratio": 0.25, "word_length": 2.5}
+FLOORS = {"symbol_ratio": 0.03, "dup_line_ratio": 0.4, "repeat_ratio": 0.3, "word_length": 2.5, "echo_ratio": 0.1}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,7 +58,7 @@ def _covered(hashes: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed``."""
+    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_echo_words, base_failed``."""
     clean = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(clean, SPACE + "+"), lambda w: w != "")
     lines = F.filter(F.split(clean, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -72,6 +72,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": (F.length(clean) - F.length(F.regexp_replace(clean, SYMBOLS, ""))).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
+        "n_echo_words": F.size(F.filter("_words", lambda w, i: w == F.get(F.col("_words"), i - 1))).cast("long"),  # equal to the word before
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         # most documents repeat no window: sorting positions is left to those that do
         "n_repeat_words": F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), _covered(F.col("_windows")))
@@ -83,7 +84,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def ratios() -> dict[str, Column]:
     some = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     return {"symbol_ratio": some("n_symbols", "word_chars"), "dup_line_ratio": some("n_dup_lines", "n_lines"),
-            "repeat_ratio": some("n_repeat_words", "n_words"), "word_length": some("word_chars", "n_words")}
+            "repeat_ratio": some("n_repeat_words", "n_words"), "word_length": some("word_chars", "n_words"),
+            "echo_ratio": some("n_echo_words", "n_words")}
 
 
 def fences(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -130,7 +132,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 def oracle() -> str:
     space = r"[\x20\x09-\x0D]"
     ratio = {"symbol_ratio": "n_symbols / nullif(word_chars, 0)", "dup_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
-             "repeat_ratio": "n_repeat_words / nullif(n_words, 0)", "word_length": "word_chars / nullif(n_words, 0)"}
+             "repeat_ratio": "n_repeat_words / nullif(n_words, 0)", "word_length": "word_chars / nullif(n_words, 0)",
+             "echo_ratio": "n_echo_words / nullif(n_words, 0)"}
     at = "list_sort(list({c}) FILTER (WHERE NOT base_failed))[greatest(1, ceil({q} * count(*) FILTER (WHERE NOT base_failed)))::BIGINT]"
     picks = ", ".join(f"{at.format(c=c, q=q)} AS {c}_{n}" for c in ratio for n, q in (("lo", 0.25), ("mid", 0.5)))
     good = "count(*) FILTER (WHERE NOT base_failed) AS n"
@@ -152,7 +155,8 @@ step AS (SELECT doc_id, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY doc_
 covered AS (SELECT doc_id, sum(s)::BIGINT AS n FROM step GROUP BY doc_id),
 m AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
-             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo_words, coalesce(covered.n, 0) AS n_repeat_words
       FROM w LEFT JOIN covered USING (doc_id)),
 r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
              {", ".join(f"coalesce({e}, 0.0)::DOUBLE AS {c}" for c, e in ratio.items())} FROM m),
