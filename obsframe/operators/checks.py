@@ -15,7 +15,8 @@ A suite is a list of rule dicts, e.g.::
 Every data rule of a table becomes aggregate expressions of ONE ``agg`` (one scan,
 partial aggregation); referential rules are ``left_anti`` joins on distinct keys;
 schema rules read metadata only. The result has one row per test:
-``table_name, test, check, column_name, passed, observed, bound_low, bound_high``.
+``table_name, test, check, column_name, passed, observed, bound_low, bound_high, details, message``; ``details`` holds
+counts below and above a range, unreadable dates, missing and extra columns, and the ten smallest orphans.
 """
 
 from __future__ import annotations
@@ -34,12 +35,13 @@ _ORDERABLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.Timestam
 
 
 def _row(table: str, test: str, check: str, column: str | None, observed: Column, passed: Column,
-         lo=None, hi=None) -> Column:
+         lo=None, hi=None, details: Column | None = None) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"), F.lit(test).alias("test"), F.lit(check).alias("check"),
         F.lit(column).cast("string").alias("column_name"), F.coalesce(passed, F.lit(False)).alias("passed"),
         observed.cast("double").alias("observed"),
-        F.lit(lo).cast("double").alias("bound_low"), F.lit(hi).cast("double").alias("bound_high"))
+        F.lit(lo).cast("double").alias("bound_low"), F.lit(hi).cast("double").alias("bound_high"),
+        (F.lit(None) if details is None else details).cast("string").alias("details"))
 
 
 def _date_of(df: DataFrame, column: str) -> Column:
@@ -71,7 +73,7 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             mx = r.get("max_pct", NULL_PCT_MAX)
             for c in r["columns"]:
                 if c not in cols:
-                    meta.append((table, f"{table}.{c}_exists", "exists", c, False, None, None, None))
+                    meta.append((table, f"{table}.{c}_exists", "exists", c, False, None, None, None, None))
                     continue
                 nulls = metric(f"_nn{ri}_{c}", F.count_if(col_ref(c).isNull()))
                 pct = F.try_divide(nulls * 100.0, n)
@@ -89,14 +91,16 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
                     F.lit(table).alias("table_name"), F.lit(f"{table}.{c}_unique").alias("test"),
                     F.lit(kind).alias("check"), F.lit(c).alias("column_name"), (F.col("_d") == 0).alias("passed"),
                     F.col("_d").cast("double").alias("observed"), F.lit(0.0).alias("bound_low"),
-                    F.lit(0.0).alias("bound_high")))
+                    F.lit(0.0).alias("bound_high"), F.lit(None).cast("string").alias("details")))
         elif kind == "range":
             c = r["column"]
             if c not in cols:
                 continue
             lo, hi = r["min"], r["max"]
-            bad = metric(f"_rg{ri}", F.count_if(col_ref(c) < F.lit(lo)) + F.count_if(col_ref(c) > F.lit(hi)))
-            rows.append(_row(table, f"{table}.{c}_range", kind, c, bad, bad == 0, lo, hi))
+            below = metric(f"_rl{ri}", F.count_if(col_ref(c) < F.lit(lo)))
+            above = metric(f"_rh{ri}", F.count_if(col_ref(c) > F.lit(hi)))
+            rows.append(_row(table, f"{table}.{c}_range", kind, c, below + above, below + above == 0, lo, hi,
+                             F.concat(F.lit("below="), below, F.lit(";above="), above)))
         elif kind == "volume":
             lo, hi = r["min"], r["max"]
             rows.append(_row(table, f"{table}_volume", kind, None, n, n.between(lo, hi), lo, hi))
@@ -127,22 +131,32 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             age = F.datediff(F.to_date(F.lit(r["as_of"])), latest)
             mx = r["max_age_days"]
             # a value that is no date fails the rule
-            rows.append(_row(table, f"{table}_freshness", kind, c, age, (age <= mx) & (unread == 0), None, mx))
+            rows.append(_row(table, f"{table}_freshness", kind, c, age, (age <= mx) & (unread == 0), None, mx,
+                             F.concat(F.lit("unreadable="), unread)))
         elif kind == "schema":
             expected = list(r["expected"])
             missing = [c for c in expected if c not in cols]
-            meta.append((table, f"{table}_schema", "schema", None, not missing, float(len(missing)), 0.0, 0.0))
+            extra = sorted(cols - set(expected))
+            meta.append((table, f"{table}_schema", "schema", None, not missing, float(len(missing)), 0.0, 0.0,
+                         f"missing={','.join(missing)};extra={','.join(extra)}"))
         elif kind == "referential":
             c, ref, rc = r["column"], r["ref"], r["ref_column"]
             if c not in cols or rc not in ref.columns:
                 continue
             keys = df.select(col_ref(c).alias("_k")).where(F.col("_k").isNotNull()).distinct()
             orphans = keys.join(ref.select(col_ref(rc).alias("_k")), "_k", "left_anti")
-            side.append(orphans.agg(F.count(F.lit(1)).alias("_o")).select(
+            counted = orphans.agg(F.count(F.lit(1)).alias("_o")).select("_o", F.lit(None).cast("string").alias("_s"))
+            # the ten smallest: each task keeps ten, then they are merged
+            least = orphans.orderBy("_k").limit(10).agg(F.array_join(F.transform(
+                F.array_sort(F.collect_list("_k")), lambda x: x.cast("string")), ",").alias("_s"))
+            found = counted.unionByName(least.select(F.lit(None).cast("long").alias("_o"), "_s")).agg(
+                F.max("_o").alias("_o"), F.max("_s").alias("_s"))
+            side.append(found.select(
                 F.lit(table).alias("table_name"), F.lit(f"{table}.{c}_referential").alias("test"),
                 F.lit("referential").alias("check"), F.lit(c).alias("column_name"),
                 (F.col("_o") == 0).alias("passed"), F.col("_o").cast("double").alias("observed"),
-                F.lit(0.0).alias("bound_low"), F.lit(0.0).alias("bound_high")))
+                F.lit(0.0).alias("bound_low"), F.lit(0.0).alias("bound_high"),
+                F.concat(F.lit("sample="), "_s").alias("details")))
         else:
             raise ValueError(f"unknown check {kind!r}")
     return aggs, rows, side, meta, spark
@@ -174,9 +188,9 @@ def _evaluate(df: DataFrame, table: str, rules: list[dict], extra: dict[str, Col
     if meta:
         parts.append(spark.createDataFrame(meta, CHECK_RESULT_SCHEMA))
     parts.extend(side)
-    if not parts:
-        return spark.createDataFrame([], CHECK_RESULT_SCHEMA), one
-    return reduce(lambda a, b: a.unionByName(b), parts), one
+    found = reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], CHECK_RESULT_SCHEMA)
+    verdict = F.when(F.col("passed"), "passed").otherwise("failed")
+    return found.withColumn("message", F.concat_ws(" ", "test", verdict)), one
 
 
 def summary(results: DataFrame) -> DataFrame:

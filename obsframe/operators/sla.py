@@ -64,7 +64,8 @@ def table_counts(frames: dict) -> DataFrame:
 
 
 def sla_report(freshness: DataFrame, volume: DataFrame) -> DataFrame:
-    """Per SLA kind: total and passed (FRESH / OK)."""
-    f = freshness.select(F.lit("freshness").alias("kind"), (F.col("status") == "FRESH").alias("ok"))
-    v = volume.select(F.lit("volume").alias("kind"), (F.col("status") == "OK").alias("ok"))
-    return f.unionByName(v).groupBy("kind").agg(F.count(F.lit(1)).alias("total"), F.count_if("ok").alias("passed"))
+    """Per SLA kind: total, passed (FRESH / OK) and the tables in breach (one row per configured table goes in)."""
+    f = freshness.select(F.lit("freshness").alias("kind"), "table_name", (F.col("status") == "FRESH").alias("ok"))
+    v = volume.select(F.lit("volume").alias("kind"), "table_name", (F.col("status") == "OK").alias("ok"))
+    late = F.array_join(F.sort_array(F.collect_list(F.when(~F.col("ok"), F.col("table_name")))), ",")
+    return f.unionByName(v).groupBy("kind").agg(F.count(F.lit(1)).alias("total"), F.count_if("ok").alias("passed"), late.alias("details"))

@@ -56,48 +56,50 @@ def lineitem_checks(spark, sf_dir):
 def _nc(c: str) -> str:
     return (f"SELECT 'lineitem' AS table_name, 'lineitem.{c}_non_constant' AS test, 'non_constant' AS \"check\", "
             f"'{c}' AS column_name, false AS passed, CAST(CASE WHEN count({c}) = 0 THEN 0 ELSE 1 END AS DOUBLE) AS observed, "
-            f"CAST(2 AS DOUBLE) AS bound_low, CAST(NULL AS DOUBLE) AS bound_high FROM lineitem "
+            f"CAST(2 AS DOUBLE) AS bound_low, CAST(NULL AS DOUBLE) AS bound_high, CAST(NULL AS VARCHAR) AS details FROM lineitem "
             f"HAVING count({c}) = 0 OR min({c}) = max({c})")
 
 
 def _nn(c: str) -> str:
     return (f"SELECT 'lineitem', 'lineitem.{c}_not_null', 'not_null', '{c}', "
             f"coalesce(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100 / count(*) < 5.0, false), "
-            f"round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100 / count(*), 6), NULL, 5.0 FROM lineitem")
+            f"round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100 / count(*), 6), NULL, 5.0, CAST(NULL AS VARCHAR) FROM lineitem")
 
 
 def _ref(c: str, t: str, rc: str) -> str:
     return (f"SELECT 'lineitem', 'lineitem.{c}_referential', 'referential', '{c}', count(*) = 0, "
-            f"CAST(count(*) AS DOUBLE), 0.0, 0.0 FROM (SELECT DISTINCT l.{c} FROM lineitem l ANTI JOIN {t} r "
-            f"ON l.{c} = r.{rc} WHERE l.{c} IS NOT NULL)")
+            f"CAST(count(*) AS DOUBLE), 0.0, 0.0, 'sample=' || coalesce(array_to_string(list_sort(list({c}))[1:10], ','), '') "
+            f"FROM (SELECT DISTINCT l.{c} FROM lineitem l ANTI JOIN {t} r ON l.{c} = r.{rc} WHERE l.{c} IS NOT NULL)")
 
 
 CHECKS = "chk AS (SELECT * FROM (\n" + "\nUNION ALL ".join(
     [_nn(c) for c in ("l_orderkey", "l_quantity", "l_shipdate")] + [
-        "SELECT 'lineitem', 'lineitem.l_comment_exists', 'exists', 'l_comment', false, NULL, NULL, NULL",
+        "SELECT 'lineitem', 'lineitem.l_comment_exists', 'exists', 'l_comment', false, NULL, NULL, NULL, NULL",
         "SELECT 'lineitem', 'lineitem.l_orderkey_unique', 'unique', 'l_orderkey', "
         "count(*) - count(DISTINCT l_orderkey) - max(CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END) = 0, "
         "CAST(count(*) - count(DISTINCT l_orderkey) - max(CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END) AS DOUBLE), "
-        "0.0, 0.0 FROM lineitem",
+        "0.0, 0.0, NULL FROM lineitem",
         "SELECT 'lineitem', 'lineitem.l_discount_range', 'range', 'l_discount', "
         "count(*) FILTER (WHERE l_discount < 0.0::DOUBLE OR l_discount > 0.1::DOUBLE) = 0, "
-        "CAST(count(*) FILTER (WHERE l_discount < 0.0::DOUBLE OR l_discount > 0.1::DOUBLE) AS DOUBLE), 0.0, 0.1 FROM lineitem",
+        "CAST(count(*) FILTER (WHERE l_discount < 0.0::DOUBLE OR l_discount > 0.1::DOUBLE) AS DOUBLE), 0.0, 0.1, "
+        "'below=' || count(*) FILTER (WHERE l_discount < 0.0::DOUBLE) || ';above=' || count(*) FILTER (WHERE l_discount > 0.1::DOUBLE) FROM lineitem",
         "SELECT 'lineitem', 'lineitem.l_quantity_range', 'range', 'l_quantity', "
         "count(*) FILTER (WHERE l_quantity < 1.0 OR l_quantity > 50.0) = 0, "
-        "CAST(count(*) FILTER (WHERE l_quantity < 1.0 OR l_quantity > 50.0) AS DOUBLE), 1.0, 50.0 FROM lineitem",
+        "CAST(count(*) FILTER (WHERE l_quantity < 1.0 OR l_quantity > 50.0) AS DOUBLE), 1.0, 50.0, "
+        "'below=' || count(*) FILTER (WHERE l_quantity < 1.0) || ';above=' || count(*) FILTER (WHERE l_quantity > 50.0) FROM lineitem",
         "SELECT 'lineitem', 'lineitem_volume', 'volume', NULL, count(*) BETWEEN 1000 AND 100000000, "
-        "CAST(count(*) AS DOUBLE), 1000.0, 100000000.0 FROM lineitem",
+        "CAST(count(*) AS DOUBLE), 1000.0, 100000000.0, NULL FROM lineitem",
         "SELECT 'lineitem', 'lineitem.l_quantity_l_extendedprice_correlation', 'correlation', 'l_quantity,l_extendedprice', "
         "coalesce(abs(corr(l_quantity, l_extendedprice)) >= 0.3, false), round(corr(l_quantity, l_extendedprice), 6), "
-        "0.3, NULL FROM lineitem",
+        "0.3, NULL, NULL FROM lineitem",
         f"SELECT 'lineitem', 'lineitem_freshness', 'freshness', 'l_shipdate', "
         f"coalesce(date_diff('day', max(CAST(l_shipdate AS DATE)), DATE '{AS_OF_DATE}') <= 90, false), "
-        f"CAST(date_diff('day', max(CAST(l_shipdate AS DATE)), DATE '{AS_OF_DATE}') AS DOUBLE), NULL, 90.0 FROM lineitem",
-        "SELECT 'lineitem', 'lineitem_schema', 'schema', NULL, false, 1.0, 0.0, 0.0",
+        f"CAST(date_diff('day', max(CAST(l_shipdate AS DATE)), DATE '{AS_OF_DATE}') AS DOUBLE), NULL, 90.0, 'unreadable=0' FROM lineitem",
+        "SELECT 'lineitem', 'lineitem_schema', 'schema', NULL, false, 1.0, 0.0, 0.0, 'missing=l_comment;extra='",
         _ref("l_orderkey", "orders", "o_orderkey"), _ref("l_partkey", "part", "p_partkey"),
         _ref("l_suppkey", "supplier", "s_suppkey"),
     ] + [_nc(c) for c in NON_CONSTANT_COLS]) + \
-    ") t(table_name, test, \"check\", column_name, passed, observed, bound_low, bound_high))"
+    ") t(table_name, test, \"check\", column_name, passed, observed, bound_low, bound_high, details))"
 
 COUNTS = "cnt AS (" + " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS actual FROM {t}" for t in COUNTED) + ")"
@@ -200,7 +202,7 @@ def alert_union(spark, sf_dir):
 
 # ------------------------------------------------------------------------- checks ----
 
-@register("lineitem_checks", "WITH " + CHECKS + "\nSELECT * FROM chk")
+@register("lineitem_checks", "WITH " + CHECKS + "\nSELECT *, test || CASE WHEN passed THEN ' passed' ELSE ' failed' END AS message FROM chk")
 def q_lineitem_checks(spark, sf_dir):
     """One rule suite compiled into one aggregation (+ anti joins for references)."""
     return lineitem_checks(spark, sf_dir)
@@ -238,8 +240,10 @@ def q_freshness_sla(spark, sf_dir):
 
 
 @register("sla_report", "WITH " + FRESH + ",\n" + VOLUME + """
-SELECT 'freshness' AS kind, count(*) AS total, count(*) FILTER (WHERE status = 'FRESH') AS passed FROM fr
-UNION ALL SELECT 'volume', count(*), count(*) FILTER (WHERE status = 'OK') FROM vol""")
+SELECT 'freshness' AS kind, count(*) AS total, count(*) FILTER (WHERE status = 'FRESH') AS passed,
+       coalesce(string_agg(table_name, ',' ORDER BY table_name) FILTER (WHERE status <> 'FRESH'), '') AS details FROM fr
+UNION ALL SELECT 'volume', count(*), count(*) FILTER (WHERE status = 'OK'),
+       coalesce(string_agg(table_name, ',' ORDER BY table_name) FILTER (WHERE status <> 'OK'), '') FROM vol""")
 def q_sla_report(spark, sf_dir):
     """Compliance per SLA kind."""
     return sla.sla_report(freshness_results(spark, sf_dir), volume_results(spark, sf_dir))

@@ -26,6 +26,7 @@ CHECK_RESULT_SCHEMA = T.StructType([
     T.StructField("observed", T.DoubleType()),
     T.StructField("bound_low", T.DoubleType()),
     T.StructField("bound_high", T.DoubleType()),
+    T.StructField("details", T.StringType()),
 ])
 
 ALERT_SCHEMA = T.StructType([
