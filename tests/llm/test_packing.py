@@ -53,6 +53,14 @@ def test_edge_texts(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+def test_words_put_together_equal_whole_texts(spark):
+    ids = packing._ids(packing.default_tokenizer())
+    words = ["École", "İstanbul", "ſtraße", "Ǆ", "naïve's", "ÀÉÎÕÜ¡¿", "x²½", "e\u0301cole", "ÿŸ", "\u00ad", "µm", "ŉa", "ĿL", "中文", "Ωmega", "a\u200b"]
+    texts = [w.join((" ", "x ", "")) for w in words] + [" ".join(words)]
+    texts += [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    assert all(ids.encode(t) == ids.direct(t) for t in texts)
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(None, "some words here", None, None, None)] * 3 + [(7, "again", None, None, None)] * 500
     out = packing.pack(packing.pieces(spark.createDataFrame(rows, SCHEMA)), group_pieces=100).collect()
