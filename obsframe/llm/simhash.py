@@ -62,15 +62,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)``: the fingerprint as a signed long."""
+def simhash_of(docs: DataFrame):
     ship(docs.sparkSession)
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(key).alias(key), simhash(F.col(text)).alias("fp"))
+    return simhash
+
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, fp)``: the fingerprint as a signed long."""
+    return docs.select(F.col(key).alias(key), simhash_of(docs)(F.col(text)).alias("fp"))
 
 
 def _masks() -> list[tuple[int, int, int]]:
@@ -220,7 +224,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that are near duplicates of one with a smaller id."""
+    """``docs`` without the documents that are near duplicates of one with a smaller id.
+
+    Of rows that share an id and a fingerprint (repeated rows among them) one stays; rows without an id all stay."""
     groups = near_duplicates(docs, key, text)
-    drop = groups.where(F.col("component_id") < F.col(key)).select(key)
-    return docs.join(drop, key, "left_anti")
+    kept = docs.join(groups.where(F.col("component_id") < F.col(key)).select(key), key, "left_anti").select(docs.columns)
+    twice = cut(docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, key, "left_semi").withColumn("__fp", simhash_of(docs)(F.col(text)))
+    again = again.dropDuplicates([key, "__fp"]).select(docs.columns)
+    return kept.join(twice, key, "left_anti").select(docs.columns).unionByName(again)

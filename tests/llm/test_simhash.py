@@ -88,3 +88,11 @@ def test_empty_and_keep_one(spark):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert {r.doc_id for r in kept.collect()} == {2, 9, None}
+
+
+def test_keep_one_of_repeated_rows(spark):
+    long, other = " ".join(f"word{i}" for i in range(50)), " ".join(f"else{i}" for i in range(50))
+    rows = [(3, long), (3, long), (3, long), (5, long), (3, other), (8, other), (None, long), (None, long)]
+    df = spark.createDataFrame([(i, t, None, None, k, "", "") for k, (i, t) in enumerate(rows)], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str)
+    assert kept == sorted([(3, long), (3, other), (None, long), (None, long)], key=str)
