@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -18,15 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package's modules to the Python workers, once per context (as ``--py-files`` does)."""
+    """Send this package's modules to the Python workers, once per context (as ``--py-files`` does), from the shared folder."""
     sc = spark.sparkContext
     if not getattr(sc, "_obsframe_shipped", False):
-        root = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="obsframe-code-"), "obsframe-code.zip")
-        with zipfile.ZipFile(archive, "w") as z:
+        root, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
             for f in sorted(root.rglob("*.py")):
                 z.write(f, f.relative_to(root.parent))
-        sc.addPyFile(str(archive))
+        path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"obsframe-code-{uuid.uuid4().hex}.zip"))
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        sc.addPyFile(path.toString())
         sc._obsframe_shipped = True
     return spark
 
