@@ -39,7 +39,7 @@ from obsframe.llm.common import materialise, ship
 LENGTH = 100
 GRAM = 24
 CHUNK = 1 << 20
-HOT = 4096
+HOT = 1024
 MOST_HOT = 1 << 20
 SHARD_BYTES = 1 << 20
 ODD, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
