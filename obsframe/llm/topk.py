@@ -95,12 +95,32 @@ def build_index(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE,
     cuts = {r["pivot"]: r["q"] for r in keyed.groupBy("pivot").agg(F.percentile_approx("dist", [(i + 1) / annuli for i in range(annuli)], 10_000).alias("q")).collect()}
     parts = {p: min(annuli, -(-c // block)) for p, c in counts.items()}
     bounds = {p: sorted({cuts[p][min(annuli - 1, (i + 1) * annuli // parts[p] - 1)] for i in range(parts[p])})[:-1] for p in counts}
-    subs = {p: max(1, -(-c // (block * parts[p]))) for p, c in counts.items()}
+
+    def annulus(b: pd.DataFrame) -> np.ndarray:
+        at = np.zeros(len(b), np.int64)
+        pivot, dist = b["pivot"].to_numpy(), b["dist"].to_numpy()
+        for p in np.unique(pivot).tolist():
+            at[pivot == p] = np.searchsorted(bounds[p], dist[pivot == p])
+        return at
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"pivot": b["pivot"], "annulus": annulus(b)})
+
+    # equal distances leave fewer annuli than planned: blocks follow from the rows that each really has
+    held = keyed.select("pivot", "dist").mapInPandas(place, "pivot int, annulus long").groupBy("pivot", "annulus").count().collect()  # at most 500 per pivot
+    subs = {p: np.ones(len(bounds[p]) + 1, np.int64) for p in counts}
+    for r in held:
+        subs[r["pivot"]][r["annulus"]] = -(-r["count"] // block)
+    first_block = {p: np.cumsum(s) - s for p, s in subs.items()}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            at = np.array([np.searchsorted(bounds[p], d) * subs[p] + h % subs[p]
-                           for p, d, h in zip(b["pivot"].tolist(), b["dist"].tolist(), b["spread"].tolist(), strict=True)], np.int64)
+            ring, pivot, spread = annulus(b), b["pivot"].to_numpy(), b["spread"].to_numpy()
+            at = np.zeros(len(b), np.int64)
+            for p in np.unique(pivot).tolist():
+                i = pivot == p
+                at[i] = first_block[p][ring[i]] + spread[i] % subs[p][ring[i]]
             yield b[["id", "pivot", "dist", "row"]].assign(block=at)
 
     dealt = keyed.withColumn("spread", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)))

@@ -99,3 +99,14 @@ def test_topk_few_and_none(spark):
     assert sorted(map(tuple, topk.search(df, df.where("id = 0")).collect())) == [(0, 1, 1, 131072), (0, 2, 2, -65536)]
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
     assert topk.search(df, df.where("id > 5")).count() == 0
+
+
+def test_topk_hot_vector_is_many_blocks(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(400)] + [(1000 + i, [0.5, -0.25, 0.75, 1.0]) for i in range(3000)]
+    v = topk.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    blocks, _ = topk.build_index(v, pivots=6, block=40)
+    sizes = [r.n for r in blocks.select("n").collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 3 * 40
+    wanted = {0, 7, 1000, 3999}
+    assert sorted(map(tuple, topk.search(v, v.where(v["id"].isin(*wanted)), pivots=6, block=40).collect())) == brute_topk(rows, wanted, 5)
