@@ -12,6 +12,9 @@ keeps clean documents of very uniform groups. A group of fewer than ``MIN_GROUP`
 documents takes its language's fences, and if that is small too, the corpus's. Documents
 that fail the base rules do not enter the sketches.
 
+Where most of a group's ratios are 0 or close together the spread is below ``floor``, and the fence is the median plus a
+fixed distance; the README has figures. The repeat ratio's fence cannot reject: the base rule fails what lies beyond it.
+
 Defined results: a null text has no words, fails the base rules and is not kept. A null
 language or source is a group of its own. Repeated rows are judged alike.
 """
