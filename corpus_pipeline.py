@@ -25,9 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6 with the source as the host: lines common to a source's documents are taken out of the texts.
-    Every document stays; ``n_chars`` follows its new text."""
+    Equal texts of a source vote once, so the near-dedup after it still finds what a group of copies holds. Every document stays; ``n_chars`` follows its new text."""
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return _beside(docs, ["n_lines", "n_dropped"], lambda d: lines.drop_boilerplate(d, F.col("source")).withColumn("n_chars", n_chars))
+    return _beside(docs, ["n_lines", "n_dropped"], lambda d: lines.drop_boilerplate(d, F.col("source"), copies_once=True).withColumn("n_chars", n_chars))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

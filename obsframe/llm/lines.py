@@ -13,7 +13,8 @@ documents' texts meet them in a join on the host which Spark broadcasts if the a
 table is small and splits where a host is skewed.
 
 Defined results: a null text stays null with no lines. A null host is a host of its own.
-Repeated rows count as pages of their own. A document that loses all lines keeps its row
+Repeated rows count as pages of their own, unless ``copies_once`` is set: then a host's equal
+texts vote once, so that a page is not its host's boilerplate because it has many copies. A document that loses all lines keeps its row
 with an empty text.
 """
 
@@ -41,9 +42,14 @@ def _hashed(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), of)
 
 
-def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(__boilerplate_host, __boilerplate)``: the hashes of each host's boilerplate lines."""
-    pages = docs.select(host.alias("__boilerplate_host"), F.array_distinct(F.array_compact(_hashed(F.col(text)))).alias("lines"))
+def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                copies_once: bool = False) -> DataFrame:
+    """``(__boilerplate_host, __boilerplate)``: the hashes of each host's boilerplate lines. With ``copies_once``, pages of
+    a host with equal texts are one page, in the counts of lines and in the total."""
+    pages = docs.select(host.alias("__boilerplate_host"), F.array_distinct(F.array_compact(_hashed(F.col(text)))).alias("lines"),
+                        *([F.xxhash64(text).alias("t"), F.xxhash64(F.lit("page"), text).alias("u")] if copies_once else []))
+    if copies_once:
+        pages = pages.dropDuplicates(["__boilerplate_host", "t", "u"])  # copies are combined on the map side
     totals = pages.groupBy("__boilerplate_host").agg(F.count(F.lit(1)).alias("total"))
     seen = (pages.select("__boilerplate_host", F.explode("lines").alias("line")).select("__boilerplate_host", "line.h", "line.g")
             .groupBy("__boilerplate_host", "h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages))
@@ -53,10 +59,10 @@ def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float
 
 
 def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_dropped`` added
     (columns of these names are replaced)."""
-    common = materialise(boilerplate(docs, host, text, ratio, min_pages), "boilerplate-lines")
+    common = materialise(boilerplate(docs, host, text, ratio, min_pages, copies_once), "boilerplate-lines")
     d = docs.withColumn("__line_host", host).join(common, F.col("__line_host").eqNullSafe(F.col("__boilerplate_host")), "left")
     lines = F.split(F.col(text), "\n")
     # hosts without boilerplate, and texts without such a line, pass unread

@@ -48,5 +48,15 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
         out.agg(F.count("*")).collect()
 
 
+def test_copies_of_an_article_keep_its_text(spark):
+    article = "\n".join(f"line {j} of the copied article" for j in range(6))
+    rows = [(i, "menu home\n" + "\n".join(f"own {i} {j}" for j in range(4)), "en", "a", 0) for i in range(60)]
+    rows += [(100 + i, "menu home\n" + article, "en", "a", 0) for i in range(30)]  # a third of the source
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF_SMALL).collect()}
+    assert {out[100 + i] for i in range(30)} == {article}
+    assert not any("menu" in t for t in out.values()) and out[7] == "\n".join(f"own 7 {j}" for j in range(4))
+
+
 def test_stage_names():
     assert [n.split()[0] for n, _ in corpus_pipeline.STAGES] == ["language", "line", "SimHash", "mixing", "best-fit"]
