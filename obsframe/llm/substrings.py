@@ -14,6 +14,8 @@ smaller order, or earlier in the same document. Strings are judged on the input;
    Kasai's method, and so finds the runs of equal windows; the earliest of a run stays.
 4. Hot anchors, with more than ``HOT`` differing segments, are not gathered in a shard. Their windows go out one by one
    by a 128-bit hash over all tasks; in every task the sorted runs are merged by binary search for each window's first.
+   Anchors with three or more differing segments in a chunk are counted before step 2 and, if hot, skip it; all others are
+   counted from what step 2 leaves, so that no hot anchor reaches a shard.
 
 Windows meet by two 64-bit hashes (steps 2 and 4) or byte by byte (step 3). Texts are read whole, in overlapping
 chunks if long. All shuffles are spread by hash; the largest group that a task holds is a shard of ``HOT`` segments.
@@ -25,6 +27,7 @@ repeated rows one keeps its bytes.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -182,6 +185,18 @@ def settle_in_tasks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"h": h[n > 2].view(np.int64), "n": n[n > 2], "doc": 0, "start": 0, "end": 0})
 
 
+def windows_of(doc: np.ndarray, start: np.ndarray, n: np.ndarray, segments: list[bytes]) -> pd.DataFrame:
+    """Each window of the given segments by itself, with the two hashes of ``Anchors.windows``; windows that are repeated among
+    them are settled (``n`` -1)."""
+    sizes = np.array([len(s) for s in segments])
+    buf = np.frombuffer(b"".join(segments), np.uint8)
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    place = np.repeat(np.cumsum(sizes) - sizes, n) + inner
+    k, g = (_mix(Rolling(buf, r).of(place, place + LENGTH, place)).view(np.int64) for r in (ODD, ODD2))
+    w = pd.DataFrame({"k": k, "g": g, "doc": np.repeat(doc, n), "start": np.repeat(start, n) + inner}).sort_values(["k", "g", "doc", "start"])
+    return w.assign(n=np.where(w.duplicated(["k", "g"]), -1, 0))
+
+
 def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (k, g, doc, start): later rows of equal (k, g) are covered (``k`` null in the result); segments of an
     anchor with several (k, g) go on to a shard. One row is carried from batch to batch."""
@@ -382,7 +397,10 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows = texts.mapInPandas(deal, ROWS)
     rows = rows.repartition("k", F.when(F.col("n") < 0, F.xxhash64("doc", "start")).otherwise(0)).sortWithinPartitions("k", "g", "doc", "start")
     found = materialise(rows.mapInPandas(resolve, "k long, doc long, start long, n int, end long"), "substring-found")
-    asked = found.where("k IS NOT NULL").groupBy("doc").agg(F.flatten(F.collect_list(F.array("k", "start", "n"))).alias("asked"))
+    differ = found.where("k IS NOT NULL")
+    spread = materialise(differ.groupBy("k").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > hot), "substring-hot-anchors")
+    n = F.when(F.col("segments").isNull(), F.col("n")).otherwise(-F.col("n"))  # below 0: segments of hot anchors
+    asked = differ.join(spread, "k", "left").groupBy("doc").agg(F.flatten(F.collect_list(F.array("k", "start", n))).alias("asked"))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdDecompressor()
@@ -390,11 +408,32 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
             out = []
             for doc, z, asked in zip(b["doc"].tolist(), b["z"], b["asked"], strict=True):
                 data = press.decompress(z)
-                out += [(k, doc, a, n, data[a:a + n - 1 + LENGTH]) for k, a, n in np.asarray(asked).reshape(-1, 3).tolist()]
-            yield pd.DataFrame(out, columns=["k", "doc", "start", "n", "segment"])
-
-    segments = packed(docs).join(asked, "doc").mapInPandas(fetch, "k long, doc long, start long, n int, segment binary")
-    sorted_ = segments.repartition("k").sortWithinPartitions("k").mapInPandas(sort_shards, COVER)
+                out += [(k, 0, doc, a, n, data[a:a + abs(n) - 1 + LENGTH]) for k, a, n in np.asarray(asked).reshape(-1, 3).tolist()]
+            rows = pd.DataFrame(out, columns=["k", "g", "doc", "start", "n", "segment"])
+            yield rows[rows["n"] > 0]
+            rows = rows[rows["n"] < 0]
+            for i in range(0, len(rows), HOT):
+                part = rows.iloc[i:i + HOT]
+                yield windows_of(part["doc"].to_numpy(), part["start"].to_numpy(), -part["n"].to_numpy(), part["segment"].tolist()).assign(segment=None)
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Windows come first, then the segments."""
+        batches, left = iter(batches), []
+
+        def windows() -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b[b["n"] <= 0]
+                if (b["n"] > 0).any():
+                    left.append(b[b["n"] > 0])
+                    return
+
+        for b in resolve(windows()):
+            yield b[["doc", "start", "end"]]
+        yield from sort_shards(itertools.chain(left, batches))
+
+    segments = packed(docs).join(asked, "doc").mapInPandas(fetch, ROWS + ", segment binary")
+    segments = segments.repartition("k", F.when(F.col("n") < 0, F.xxhash64("doc", "start")).otherwise(0))
+    sorted_ = segments.sortWithinPartitions(F.col("n") > 0, "k", "g", "doc", "start").mapInPandas(settle, COVER)
     cover = [local.where("n = 0"), found.where("k IS NULL")]
     return cover[0].select("doc", "start", "end").unionByName(cover[1].select("doc", "start", "end")).unionByName(sorted_)
 

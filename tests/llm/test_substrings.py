@@ -116,3 +116,21 @@ def test_suffixes_and_prefixes():
         for a, b, n in zip(cut, cut[1:], shared[1:]):
             same = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
             assert n == min(same, 100)
+
+
+def test_no_hot_anchor_reaches_a_shard(spark, monkeypatch):
+    """A phrase in changing contexts, once per chunk."""
+    rng = random.Random(3)
+    own = lambda: "".join(rng.choices("abcdefgh ", k=150))
+    phrase = own()[:120]
+    rows = [(i, own() + phrase + own()) for i in range(40)]
+    sort = S.sort_shards
+
+    def checked(batches):
+        held = list(batches)
+        assert not held or pd.concat(held)["k"].value_counts().max() <= 8, "hot anchor in a shard"
+        return sort(iter(held))
+
+    monkeypatch.setattr(S, "sort_shards", checked)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    check(df, brute(rows), hot=8)
