@@ -35,7 +35,7 @@ DEEPEST = 120
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("script style head title noscript template svg math iframe object canvas audio video select textarea button datalist".split())
+HIDDEN = frozenset("script style head title noscript template svg annotation annotation-xml iframe object canvas audio video select textarea button datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # a start tag of the key ends an open element of the value
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}

@@ -72,3 +72,10 @@ def test_odd_pages(spark):
     assert got[6].n_chars == len("long words " * 200_000) - 1
     assert got[7].text == "ok"
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_formula_stays_in_its_paragraph():
+    words = "a sentence of plain words that belongs to the article and goes on for a while"
+    tex = "<annotation encoding=application/x-tex>\\alpha</annotation>"
+    page = f"<body><article><p>{words}</p><p>{words} where <math><semantics><mi>x</mi>{tex}</semantics></math> is {words}</p></article></body>"
+    assert text(page).split("\n\n")[1] == f"{words} where x is {words}"
