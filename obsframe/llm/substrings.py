@@ -13,7 +13,7 @@ smaller order, or earlier in the same document. Strings are judged on the input;
    double in depth, and only groups that are still tied are sorted again), takes the common prefixes of neighbours by
    Kasai's method, and so finds the runs of equal windows; the earliest of a run stays.
 4. Hot anchors, with more than ``HOT`` differing segments, are not gathered in a shard. Their windows go out one by one
-   by a 128-bit hash over all tasks; in every task the sorted runs are merged by binary search for each window's first.
+   by a 128-bit hash over all tasks, which sort them and keep each window's first; shards are not merged with one another.
    Anchors with three or more differing segments in a chunk are counted before step 2 and, if hot, skip it; all others are
    counted from what step 2 leaves, so that no hot anchor reaches a shard.
 
