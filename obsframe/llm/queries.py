@@ -1,11 +1,11 @@
-"""The ten ``opN_`` queries, and the SQL of those that SQL can express."""
+"""The ``opN_`` queries, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import html_text, langid, lines, mixing, packing, quality, simhash, substrings, topk, warc
+from obsframe.llm import conversations, html_text, langid, lines, mixing, packing, quality, simhash, substrings, topk, warc
 from obsframe.llm.common import table
 
 
@@ -57,7 +57,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_dedup, op3_main_text, op4_warc_index, op5_exact_topk, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(conversations.repair(conversations.damage(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_dedup, op3_main_text, op4_warc_index, op5_exact_topk, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id,
+                                op11_conversation_repair)}
 
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
