@@ -44,8 +44,9 @@ from pyspark.sql import functions as F
 
 from obsframe.llm.common import materialise, ship
 
-CHUNK_ROWS = 16_384
-CHUNK_CHARS = 4 << 20
+CHUNK_ROWS = 1024
+CHUNK_CHARS = 16 << 10  # Spark hands Python batches of up to 10,000 chunks
+SENT_CHARS = 4 << 20
 BLANKS = " \t\n\x0b\x0c\r"
 # What Keep and the fault rules cost.
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
@@ -98,7 +99,7 @@ def chunks(rows: DataFrame, most_rows: int = CHUNK_ROWS, most_chars: int = CHUNK
               "codes binary, roles array<string>, texts array<string>")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seg, out = TaskContext.get().partitionId(), 0, []
+        part, seg, out, waiting = TaskContext.get().partitionId(), 0, [], 0
         now, turns, codes, roles, texts, chars, alone = None, [], bytearray(), [], [], 0, False
         names, kind, started = [c.split()[0] for c in schema.split(", ")], None, False
 
@@ -122,9 +123,10 @@ def chunks(rows: DataFrame, most_rows: int = CHUNK_ROWS, most_chars: int = CHUNK
                 if started and (new or len(codes) >= most_rows or chars >= most_chars):
                     out.append(close(new and alone))
                     seg += 1
-                    if seg % 64 == 0 or chars >= most_chars:
+                    waiting += chars
+                    if waiting > SENT_CHARS:
                         yield send(out)
-                        out = []
+                        out, waiting = [], 0
                     turns, codes, roles, texts, chars, alone = [], bytearray(), [], [], 0, new
                 now, started = conv, True
                 initial = max(INITIALS.find(role[:1]), 0) if role[:1] in ("s", "u", "a") else 3
