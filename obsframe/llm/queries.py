@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import conversations, html_text, langid, lines, mixing, packing, quality, simhash, substrings, token_files, topk, warc
+from obsframe.llm import conversations, html_text, langid, lines, mixing, packing, quality, simhash, substrings, token_alignment, token_files, topk, warc
 from obsframe.llm.common import table
 
 
@@ -68,8 +68,13 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_all(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *token_alignment.STATS, "n_best", "count_sum", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_dedup, op3_main_text, op4_warc_index, op5_exact_topk, op6_line_dedup, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_language_id,
-                                op11_conversation_repair, op12_token_files)}
+                                op11_conversation_repair, op12_token_files, op13_token_alignment)}
 
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),

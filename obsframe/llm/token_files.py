@@ -62,10 +62,10 @@ def id_width(tokenizer: str) -> int:
     return 2 if _ids(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else 4
 
 
-def serialised(tokenizer: str, text: str | None, end_id: int = END_ID) -> bytes:
-    """The ids of a whole text and the end id, in the width of the tokenizer's files."""
-    ids = np.frombuffer(_ids(tokenizer).encode(text), "<u4")
-    return np.append(ids, np.uint32(end_id)).astype(f"<u{id_width(tokenizer)}").tobytes()
+def serialised(tokenizer: str, text: str | None, width: int, end_id: int = END_ID) -> bytes:
+    """The ids of a whole text and the end id, ``width`` bytes each."""
+    ids = _ids(tokenizer).encode(text) + end_id.to_bytes(4, "little")
+    return np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
 
 
 def train(docs: DataFrame, key: str, text: str, tokenizer: str, sample: int = SAMPLE) -> bytes:
@@ -75,13 +75,14 @@ def train(docs: DataFrame, key: str, text: str, tokenizer: str, sample: int = SA
     last = docs.select(least).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if last is None:
         return b"\x00"
+    width = id_width(tokenizer)
     chosen = docs.where(F.xxhash64(key) <= last).select(F.col(text).alias("t")).limit(2 * sample)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for t in b.column("t").to_pylist():
-                data = serialised(tokenizer, t)
+                data = serialised(tokenizer, t, width)
                 at = zlib.crc32(data) % max(1, len(data) - PIECE) // 4 * 4
                 out.append(data[at:at + PIECE])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["piece"])
@@ -105,9 +106,11 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     kind = docs.schema[key].dataType.simpleString()
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
+        shared = zstandard.ZstdCompressionDict(dictionary)
+        shared.precompute_compress(level=LEVEL)  # else every document would load it again
+        press = zstandard.ZstdCompressor(dict_data=shared, write_checksum=True)
         for b in batches:
-            ids = [serialised(path, t) for t in b.column("t").to_pylist()]
+            ids = [serialised(path, t, width) for t in b.column("t").to_pylist()]
             frames = pa.array([press.compress(x) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array([len(x) // width for x in ids], pa.int64()), frames], ["k", "n_tokens", "frame"])
 
