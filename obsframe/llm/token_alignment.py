@@ -4,18 +4,20 @@ A document is encoded by a byte-level BPE (A, of a space and the text) and by a
 the space). Both give token bytes; byte offsets where tokens of both end cut them into groups, and an A and a B token whose
 byte ranges overlap are linked. The count of an id pair is the number of documents that hold it linked.
 
-1. First pass: every document is aligned; a task adds up, per pair, its documents that hold it. These partial counts are stored.
-2. The distinct pairs, dealt to shards by remainder, get a minimal perfect hash per shard: levels of bits, where a level keeps
+1. Whole texts are encoded once, and both id arrays stored.
+2. First pass: every document is aligned; a task adds up, per pair, its documents that hold it. These partial counts are stored.
+3. The distinct pairs, dealt to shards by remainder, get a minimal perfect hash per shard: levels of bits, where a level keeps
    those keys that have a bit to themselves and passes the others on; a key's slot is the rank of its bit. Each slot keeps its key.
-3. Partial counts become dense vectors indexed by the hash, one per shard and ``FAN`` tasks, which are added up in a tree of fan-in ``FAN``.
-4. Second pass: every document is aligned again, and its pairs' counts are looked up; the key in the slot is verified. The table is
+4. Partial counts become dense vectors indexed by the hash, one per shard and ``FAN`` tasks, which are added up in a tree of fan-in ``FAN``.
+5. Second pass: every document is aligned again, and its pairs' counts are looked up; the key in the slot is verified. The table is
    broadcast in slices of at most ``SLICE_BYTES``; there is one slice unless the distinct pairs outgrow it (then one pass a slice, and their
    sums are added). The highest count of each A id is a vector as long as A's vocabulary.
 
-Neither tokenizer joins anything across a single space between two other characters (B has no piece with a space
-after another character, which is checked), so texts are encoded chunk by chunk between such spaces, and a worker remembers
-the chunks it has met (``CHUNKS_KEPT``, emptied when full). Pairs are counted in the task before any shuffle, so frequent ones cost
-one row a task.
+Aligning is arithmetic on sorted arrays of byte offsets: every stretch between two neighbouring ends, of either tokenizer, is the overlap of
+one A and one B token, and so one link. Neither tokenizer joins anything across a single space between two other characters (B has no
+piece with a space after another character, which is checked), so texts are encoded chunk by chunk between such spaces, and a worker
+remembers the chunks it has met (``CHUNKS_KEPT``, emptied when full). Pairs are counted in the task before any shuffle, so frequent ones
+cost one row a task.
 
 Defined results: texts null, empty, or whose joined A or B bytes differ from a space and the text have no tokens, zeros and empty
 ``groups``. Repeated rows and null ids are documents like others. Extra columns are ignored. An empty table gives an empty result.
@@ -23,10 +25,13 @@ Defined results: texts null, empty, or whose joined A or B bytes differ from a s
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,8 @@ from pyspark.sql import functions as F
 
 from obsframe.llm.common import materialise, ship
 
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 400_000
+TOKENS_AT_ONCE = 1 << 18
 DOCS_AT_ONCE = 256
 PAIRS_HELD = 1 << 20
 SHARD_KEYS = 1 << 15
@@ -52,24 +58,8 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[str, int, list[tuple[int, int]]]:
-    """``groups`` as text, their number, and the linked id pairs of all overlapping tokens, from ids and the byte offsets where tokens end."""
-    groups, links, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-            from_i, from_j = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return ";".join(groups), len(groups), links
-
-
-class Aligner:
-    """Both tokenizers, and the aligned chunks met so far."""
+class Encoder:
+    """Both tokenizers, and the ids of the chunks met so far."""
 
     def __init__(self, a_path: str, b_path: str, kept: int = CHUNKS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,53 +73,105 @@ class Aligner:
         self.a_bytes = [bytes(shown.get(c, 63) for c in self.a.id_to_token(i)) for i in range(self.a.get_vocab_size())]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.width = len(pieces)
+        self.a_type, self.b_type = (f"<u{2 if len(x) <= 1 << 16 else 4}" for x in (self.a_bytes, self.b_bytes))
         self.whole = any(MARK in p.lstrip(MARK) for p in pieces)  # then texts cannot be cut
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.groups: list[str] = []
-        self.codes: list[bytes] = []  # linked pairs as a * width + b, 64-bit
-        self.stats = np.empty((0, 4), np.int64)
-        self.good = np.empty(0, bool)
+        self.met: dict[str, tuple[bytes, bytes] | None] = {}
 
     def chunks(self, text: str) -> list[str]:
         return [text] if self.whole else SPACES.split(text)
 
-    def number(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Numbers of the chunks of some documents; chunks not met before are aligned."""
-        if len(self.at) > self.kept:
-            self.clear()
-        new = [c for c in dict.fromkeys(c for t in texts for c in t) if c not in self.at]
-        stats, good = np.zeros((len(new), 4), np.int64), np.zeros(len(new), bool)
-        if new:
-            found = zip(self.a.encode_batch([" " + c for c in new], add_special_tokens=False), self.b.encode(new, num_threads=1), strict=True)
-            for i, (c, (e, b)) in enumerate(zip(new, found, strict=True)):
-                a, said = e.ids, b" " + c.encode()
-                a_bytes, b_bytes = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
-                self.at[c] = len(self.groups)
-                good[i] = b"".join(a_bytes) == said and b"".join(b_bytes) == said
-                groups, links = "", []
-                if good[i]:
-                    groups, n, links = align(a, b, np.cumsum([len(x) for x in a_bytes]).tolist(), np.cumsum([len(x) for x in b_bytes]).tolist())
-                    stats[i] = len(a), len(b), n, len(links)
-                self.groups.append(groups)
-                self.codes.append(np.array([x * self.width + y for x, y in links], np.int64).tobytes())
-            self.stats, self.good = np.concatenate((self.stats, stats)), np.concatenate((self.good, good))
-        return [np.fromiter(map(self.at.__getitem__, t), np.int64, len(t)) for t in texts]
-
-    def documents(self, texts: list[str | None]) -> Iterator[list[np.ndarray | None]]:
-        """Chunk numbers of documents, some at a time; None for those without tokens."""
+    def learn(self, new: list[str]) -> None:
+        a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
+        b = self.b.encode(new, num_threads=1)
+        said = (" " + " ".join(new)).encode()
+        same = [b"".join(map(table.__getitem__, itertools.chain.from_iterable(ids))) == said for table, ids in ((self.a_bytes, a), (self.b_bytes, b))]
+        for c, x, y in zip(new, a, b, strict=True):
+            if not all(same) and any(b"".join(map(table.__getitem__, ids)) != b" " + c.encode() for table, ids in ((self.a_bytes, x), (self.b_bytes, y))):
+                self.met[c] = None
+            else:
+                self.met[c] = array(self.a_type, x), array(self.b_type, y)
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
+        """A and B ids of each text, both empty for texts without tokens."""
         for i in range(0, len(texts), DOCS_AT_ONCE):
-            some = texts[i:i + DOCS_AT_ONCE]
-            found = self.number([self.chunks(t) if t else [] for t in some])
-            yield [x if len(x) and self.good[x].all() else None for x in found]
+            if len(self.met) > self.kept:
+                self.met.clear()
+            some = [self.chunks(t) if t else [] for t in texts[i:i + DOCS_AT_ONCE]]
+            if new := list({c for t in some for c in t} - self.met.keys()):
+                self.learn(new)
+            for t in some:
+                found = list(map(self.met.__getitem__, t))
+                yield (b"", b"") if None in found else (b"".join([x for x, _ in found]), b"".join([y for _, y in found]))
+
+
+def array(kind: str, ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}{'H' if kind == '<u2' else 'I'}", *ids)
 
 
 @lru_cache(maxsize=1)
-def _aligner(a_path: str, b_path: str) -> Aligner:
-    return Aligner(a_path, b_path)
+def _encoder(a_path: str, b_path: str) -> Encoder:
+    return Encoder(a_path, b_path)
+
+
+class Vocabulary(NamedTuple):
+    """What aligning needs: how ids are stored, and how many bytes each token has."""
+
+    a_type: str
+    b_type: str
+    a_bytes: np.ndarray
+    b_bytes: np.ndarray
+
+    @classmethod
+    def of(cls, paths: tuple[str, str]) -> Vocabulary:
+        e = _encoder(*paths)
+        return cls(e.a_type, e.b_type, *(np.array([len(x) for x in t], np.int64) for t in (e.a_bytes, e.b_bytes)))
+
+    @property
+    def width(self) -> int:
+        return len(self.b_bytes)
+
+
+class Aligned:
+    """Some documents aligned at once: links as ``pairs`` (a * width + b) with the ``doc`` of each, and the numbers of each document."""
+
+    def __init__(self, v: Vocabulary, a: list[bytes], b: list[bytes]):
+        self.n_a, self.n_b = (np.array([len(x) for x in t], np.int64) // np.dtype(kind).itemsize for t, kind in ((a, v.a_type), (b, v.b_type)))
+        self.a, self.b = np.frombuffer(b"".join(a), v.a_type), np.frombuffer(b"".join(b), v.b_type)
+        self.a_ends, self.b_ends = np.cumsum(v.a_bytes[self.a]), np.cumsum(v.b_bytes[self.b])  # documents end at the same byte in both
+        ends = np.union1d(self.a_ends, self.b_ends)
+        i, j = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
+        self.pairs = self.a[i].astype(np.int64) * v.width + self.b[j]
+        docs = np.arange(len(a))
+        self.of_a = np.repeat(docs, self.n_a)
+        self.doc = self.of_a[i]
+        self.common = (self.a_ends[i] == ends) & (self.b_ends[j] == ends)
+        self.at_a, self.at_b = i[self.common], j[self.common]  # last tokens of each group
+        self.n_links = np.bincount(self.doc, minlength=len(a))
+        self.n_groups = np.bincount(self.doc[self.common], minlength=len(a))
+
+    def groups(self, names: list[str]) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` of each document. ``names`` holds decimal numbers."""
+        a, b = list(map(names.__getitem__, self.a.tolist())), list(map(names.__getitem__, self.b.tolist()))
+        out, x, y = [], 0, 0
+        single = np.append(self.at_a[:1] == 0, np.diff(self.at_a) == 1) & np.append(self.at_b[:1] == 0, np.diff(self.at_b) == 1)
+        for i, j, one in zip((self.at_a + 1).tolist(), (self.at_b + 1).tolist(), single.tolist(), strict=True):
+            out.append(f"{a[x]}|{b[y]}" if one else f"{','.join(a[x:i])}|{','.join(b[y:j])}")
+            x, y = i, j
+        ends = np.cumsum(self.n_groups).tolist()
+        return [";".join(out[s:e]) for s, e in zip([0, *ends], ends)]
+
+
+def some_at_once(v: Vocabulary, b: pa.RecordBatch) -> Iterator[tuple[slice, Aligned]]:
+    """The documents of a batch, aligned ``TOKENS_AT_ONCE`` at a time (a longer document is alone)."""
+    ids = [b.column(c).to_pylist() for c in ("a", "b")]
+    start, size = 0, 0
+    for i, x in enumerate(ids[0]):
+        if size and size + len(x) > 2 * TOKENS_AT_ONCE:
+            yield slice(start, i), Aligned(v, ids[0][start:i], ids[1][start:i])
+            start, size = i, 0
+        size += len(x)
+    if len(ids[0]):
+        yield slice(start, len(ids[0])), Aligned(v, ids[0][start:], ids[1][start:])
 
 
 def mix(keys: np.ndarray, level: int) -> np.ndarray:
@@ -173,11 +215,25 @@ class PerfectHash:
         return out
 
 
-def partial_counts(docs: DataFrame, text: str, paths: tuple[str, str]) -> DataFrame:
+def encode(docs: DataFrame, key: str, text: str, paths: tuple[str, str]) -> DataFrame:
+    """Stored ``row, k, a, b``: the ids of both tokenizers as little-endian binary."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(*paths)
+        for b in batches:
+            found = list(encoder.encode(b.column("t").to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), *(pa.array([x[i] for x in found], pa.binary()) for i in (0, 1))], ["row", "k", "a", "b"])
+
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("k"), F.col(text).alias("t"))
+    return materialise(d.mapInArrow(run, f"row long, k {kind}, a binary, b binary"), "alignment-ids")
+
+
+def partial_counts(ids: DataFrame, v: Vocabulary) -> DataFrame:
     """``(part, pair, n)``: per task, the number of its documents that hold a pair linked."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, part = _aligner(*paths), TaskContext.get().partitionId()
+        part, most = TaskContext.get().partitionId(), len(v.a_bytes) * v.width
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def add(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,11 +244,8 @@ def partial_counts(docs: DataFrame, text: str, paths: tuple[str, str]) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), part, np.int32)), pa.array(pairs), pa.array(n)], ["part", "pair", "n"])
 
         for b in batches:
-            for some in aligner.documents(b.column("t").to_pylist()):
-                each = [np.unique(np.frombuffer(b"".join(map(aligner.codes.__getitem__, set(x.tolist()))), np.int64)) for x in some if x is not None]
-                if each:
-                    pairs = np.concatenate(each)
-                    held.append(add(pairs, np.ones(len(pairs), np.int64)))
+            for _, some in some_at_once(v, b):
+                held.append(np.unique(np.unique(some.doc * most + some.pairs) % most, return_counts=True))
                 if sum(len(x) for x, _ in held) > PAIRS_HELD:
                     held = [add(*map(np.concatenate, zip(*held, strict=True)))]
                     if len(held[0][0]) > PAIRS_HELD // 2:
@@ -200,7 +253,7 @@ def partial_counts(docs: DataFrame, text: str, paths: tuple[str, str]) -> DataFr
         if held:
             yield out(*add(*map(np.concatenate, zip(*held, strict=True))))
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(count, "part int, pair long, n long")
+    return ids.select("a", "b").mapInArrow(count, "part int, pair long, n long")
 
 
 HASHES = "shard int, n int, sizes binary, words binary, keys binary"
@@ -263,59 +316,49 @@ class Lookup:
         self.of = {r["shard"]: (read_hash(r["sizes"], r["words"]), np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.int64)) for r in rows}
 
     def __call__(self, pairs: np.ndarray) -> np.ndarray:
-        """The count of each pair: 0 if its shard is not among these, -1 if the key in its slot is another."""
+        """The count of each of these distinct pairs, 0 if its shard is not among these."""
         out, shard = np.zeros(len(pairs), np.int64), pairs % self.shards
         order = np.argsort(shard, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(pairs) else []:
             if known := self.of.get(int(shard[rows[0]])):
                 h, keys, counts = known
                 slots = h.slots(pairs[rows])
-                out[rows] = np.where(keys[slots] == pairs[rows], counts[slots], -1)
+                if not np.array_equal(keys[slots], pairs[rows]):
+                    raise ValueError("a pair was not counted")
+                out[rows] = counts[slots]
         return out
 
 
-def look_up(docs: DataFrame, slice_, best, paths: tuple[str, str]) -> DataFrame:
-    """``docs`` (``row, k, t``) aligned again: stats, ``n_best`` and ``count_sum`` over the pairs of one slice, and ``groups``."""
-    kind = docs.schema["k"].dataType.simpleString()
+def look_up(ids: DataFrame, slice_, best, v: Vocabulary, whole: bool = True) -> DataFrame:
+    """``row, k``, the numbers of each document, ``n_best`` and ``count_sum`` over the pairs of one slice and, if ``whole``, ``groups``."""
+    kind = ids.schema["k"].dataType.simpleString()
     schema = f"row long, k {kind}, " + ", ".join(f"{c} long" for c in (*STATS, "n_best", "count_sum")) + ", groups string"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, lookup, highest = _aligner(*paths), slice_.value, best.value
-        sums, known, of = np.empty((0, 3), np.int64), 0, None
+        lookup, highest = slice_.value, best.value
+        names = list(map(str, range(max(len(v.a_bytes), v.width))))
         for b in batches:
-            stats, groups = [], []
-            for some in aligner.documents(b.column("t").to_pylist()):
-                if of is not aligner.codes:  # the memory was emptied
-                    of, known, sums = aligner.codes, 0, np.empty((0, 3), np.int64)
-                if len(of) > known:
-                    lengths = np.array([len(x) // 8 for x in of[known:]])
-                    pairs = np.frombuffer(b"".join(of[known:]), np.int64)
-                    counts = lookup(pairs)
-                    is_best = (counts > 0) & (counts == highest[pairs // aligner.width])
-                    chunk = np.repeat(np.arange(len(lengths)), lengths)
-                    more = np.stack([np.bincount(chunk, w, len(lengths)) for w in (is_best, counts, counts < 0)], 1).astype(np.int64)
-                    sums, known = np.concatenate((sums, more)), len(of)
-                for x in some:
-                    none = x is None  # pairs of its chunks may be unknown
-                    found = np.zeros(7, np.int64) if none else np.concatenate((aligner.stats[x].sum(0), sums[x].sum(0)))
-                    if found[6]:
-                        raise ValueError("a pair was not counted")
-                    stats.append(found[:6])
-                    groups.append("" if none else ";".join(map(aligner.groups.__getitem__, x.tolist())))
-            columns = np.array(stats, np.int64).reshape(-1, 6).T
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), *(pa.array(c) for c in columns), pa.array(groups, pa.string())],
-                                             [c.split()[0] for c in schema.split(", ")])
-
-    return docs.mapInArrow(count, schema)
+            for rows, some in some_at_once(v, b):
+                n = len(some.n_a)
+                pairs, where = np.unique(some.pairs, return_inverse=True)
+                counts = lookup(pairs)
+                top = (counts > 0) & (counts == highest[pairs // v.width])
+                sums = (np.bincount(some.doc, w[where], n).astype(np.int64) for w in (top, counts))
+                groups = some.groups(names) if whole else [None] * n
+                part = b.slice(rows.start, n)
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("k"), *(pa.array(x) for x in (some.n_a, some.n_b, some.n_groups, some.n_links, *sums)),
+                                                  pa.array(groups, pa.string())], [c.split()[0] for c in schema.split(", ")])
+
+    return ids.mapInArrow(count, schema)
 
 
 def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizers: tuple[str, str] | None = None,
                     shard_keys: int = SHARD_KEYS, fan: int = FAN, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per document: key, ``n_a, n_b, n_groups, n_links, n_best, count_sum`` and ``groups``."""
     spark, paths = ship(docs.sparkSession), tokenizers or default_tokenizers()
-    sc = spark.sparkContext
-    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("k"), F.col(text).alias("t"))
-    partial = materialise(partial_counts(d, "t", paths), "alignment-partial")
+    sc, v = spark.sparkContext, Vocabulary.of(paths)
+    ids = encode(docs, key, text, paths)
+    partial = materialise(partial_counts(ids, v), "alignment-partial")
     pairs = materialise(partial.select("pair").distinct(), "alignment-pairs")
     shards = max(1, -(-pairs.count() // shard_keys))
     shards += next(i for i in range(10) if (shards + i) % 2 and (shards + i) % 5)  # remainders of a * width + b spread evenly
@@ -323,18 +366,16 @@ def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", to
     parts = (partial.agg(F.max("part")).first()[0] or 0) + 1
     table = materialise(hashes.join(tree_sum(partial, hashes, shards, parts, fan), "shard"), "alignment-table")
 
-    width = _aligner(*paths).width
-    highest = np.zeros(len(_aligner(*paths).a_bytes), np.int64)
-
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                a, n = np.frombuffer(r["keys"], np.int64) // width, np.frombuffer(r["counts"], np.int64)
+                a, n = np.frombuffer(r["keys"], np.int64) // v.width, np.frombuffer(r["counts"], np.int64)
                 found = np.unique(a)
                 most = np.zeros(len(found), np.int64)
                 np.maximum.at(most, np.searchsorted(found, a), n)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(most)], ["a", "n"])
 
+    highest = np.zeros(len(v.a_bytes), np.int64)
     for r in table.select("keys", "counts").mapInArrow(tops, "a long, n long").groupBy("a").agg(F.max("n").alias("n")).collect():  # at most A's vocabulary
         highest[r["a"]] = r["n"]
     best = sc.broadcast(highest)
@@ -342,13 +383,10 @@ def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", to
     size = F.octet_length("sizes") + F.octet_length("words") + F.octet_length("keys") + F.octet_length("counts")
     total, largest = table.agg(F.sum(size), F.max(size)).first()
     slices = min(shards, -(-total // max(1, slice_bytes - largest))) if (total or 0) > slice_bytes else 1
-    if slices > 1:
-        d = materialise(d, "alignment-documents")
     passes = []
     for i in range(slices):
-        rows = table.where(F.col("shard") % slices == i).collect()  # at most about slice_bytes
-        passes.append(look_up(d, sc.broadcast(Lookup(rows, shards)), best, paths))
-    names = [*STATS, "n_best", "count_sum", "groups"]
+        rows = table.where(F.col("shard") % slices == i).collect()  # about slice_bytes at most
+        passes.append(look_up(ids, sc.broadcast(Lookup(rows, shards)), best, v, whole=i == 0))
     out = passes[0]
     if slices > 1:
         rest = passes[1].select("row", "n_best", "count_sum")
@@ -356,4 +394,4 @@ def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", to
             rest = rest.unionByName(p.select("row", "n_best", "count_sum"))
         rest = rest.groupBy("row").agg(F.sum("n_best").alias("more_best"), F.sum("count_sum").alias("more_sum"))
         out = out.join(rest, "row").withColumns({"n_best": F.col("n_best") + F.col("more_best"), "count_sum": F.col("count_sum") + F.col("more_sum")})
-    return out.select(F.col("k").alias(key), *names)
+    return out.select(F.col("k").alias(key), *STATS, "n_best", "count_sum", "groups")

@@ -12,12 +12,12 @@ from tests.conftest import SF_SMALL
 SCHEMA = "doc_id long, text string, row long, groups string"
 
 
-def tokens(aligner, text):
+def tokens(encoder, text):
     """(A ids, A bytes, B ids, B bytes) of a whole text by the tokenizers, or None."""
     if not text:
         return None
-    a, b = aligner.a.encode(" " + text, add_special_tokens=False).ids, aligner.b.encode(text)
-    a_bytes, b_bytes = [aligner.a_bytes[i] for i in a], [aligner.b_bytes[i] for i in b]
+    a, b = encoder.a.encode(" " + text, add_special_tokens=False).ids, encoder.b.encode(text)
+    a_bytes, b_bytes = [encoder.a_bytes[i] for i in a], [encoder.b_bytes[i] for i in b]
     said = (" " + text).encode()
     return (a, a_bytes, b, b_bytes) if b"".join(a_bytes) == said == b"".join(b_bytes) else None
 
@@ -29,10 +29,10 @@ def spans(pieces):
 
 def brute(rows):
     """Rows of the query, by plain loops over byte ranges."""
-    aligner = token_alignment._aligner(*token_alignment.default_tokenizers())
+    encoder = token_alignment._encoder(*token_alignment.default_tokenizers())
     docs, count = [], Counter()
     for k, text in rows:
-        found = tokens(aligner, text)
+        found = tokens(encoder, text)
         if not found:
             docs.append((k, None))
             continue
@@ -98,18 +98,14 @@ def test_empty_table(spark):
 
 
 def test_chunks_equal_whole_texts():
-    aligner = token_alignment._aligner(*token_alignment.default_tokenizers())
+    encoder = token_alignment._encoder(*token_alignment.default_tokenizers())
     rng = random.Random(5)
-    letters = "ab cdeAZ  .,'!?-09\n\té中🙂 　\x1c\x85'st"
-    for _ in range(400):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 60)))
-        for some in aligner.documents([text]):
-            x, found = some[0], tokens(aligner, text)
-            assert (x is None) == (found is None)
-            if found:
-                groups = ";".join(aligner.groups[i] for i in x).split(";")
-                assert [i for g in groups for i in g.split("|")[0].split(",")] == [str(i) for i in found[0]]
-                assert [i for g in groups for i in g.split("|")[1].split(",")] == [str(i) for i in found[2]]
+    letters = "ab cdeAZ  .,'!?-09\n\té中🙂 　\x1c\x85'st▁"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    for text, (a, b) in zip(texts, encoder.encode(texts), strict=True):
+        found = tokens(encoder, text) or ([], None, [], None)
+        assert np.frombuffer(a, encoder.a_type).tolist() == found[0]
+        assert np.frombuffer(b, encoder.b_type).tolist() == found[2]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 100, 30_000])
