@@ -42,13 +42,14 @@ from pyspark.sql import functions as F
 from obsframe.llm.common import materialise, ship
 
 CHUNKS_KEPT = 400_000
-TOKENS_AT_ONCE = 1 << 18
+TOKENS_AT_ONCE = 1 << 16
 DOCS_AT_ONCE = 256
 PAIRS_HELD = 1 << 20
 SHARD_KEYS = 1 << 15
 FAN = 16
 SLICE_BYTES = 64 << 20
 SPACES = re.compile(r"(?<=\S) (?=\S)")
+ODD_SPACE = re.compile(r"[^\S \n]")
 MARK = "▁"
 STATS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -78,7 +79,11 @@ class Encoder:
         self.met: dict[str, tuple[bytes, bytes] | None] = {}
 
     def chunks(self, text: str) -> list[str]:
-        return [text] if self.whole else SPACES.split(text)
+        if self.whole:
+            return [text]
+        if "  " in text or " \n" in text or "\n " in text or " " in (text[0], text[-1]) or ODD_SPACE.search(text):
+            return SPACES.split(text)
+        return text.split(" ")
 
     def learn(self, new: list[str]) -> None:
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
@@ -138,16 +143,19 @@ class Aligned:
         self.n_a, self.n_b = (np.array([len(x) for x in t], np.int64) // np.dtype(kind).itemsize for t, kind in ((a, v.a_type), (b, v.b_type)))
         self.a, self.b = np.frombuffer(b"".join(a), v.a_type), np.frombuffer(b"".join(b), v.b_type)
         self.a_ends, self.b_ends = np.cumsum(v.a_bytes[self.a]), np.cumsum(v.b_bytes[self.b])  # documents end at the same byte in both
-        ends = np.union1d(self.a_ends, self.b_ends)
-        i, j = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
+        ends = np.sort(np.concatenate((self.a_ends, self.b_ends)), kind="stable")  # merges two sorted runs
+        last = np.append(ends[1:] != ends[:-1], len(ends) > 0)[:len(ends)]
+        ends = ends[last]
+        common = np.diff(np.flatnonzero(last), prepend=-1) == 2
+        i = np.zeros(len(ends) + 1, np.int64)  # tokens of A that end before each stretch's end
+        i[np.searchsorted(ends, self.a_ends) + 1] = 1
+        i = np.cumsum(i[:-1])
+        j = np.arange(len(ends)) - i + np.cumsum(common) - common
         self.pairs = self.a[i].astype(np.int64) * v.width + self.b[j]
-        docs = np.arange(len(a))
-        self.of_a = np.repeat(docs, self.n_a)
-        self.doc = self.of_a[i]
-        self.common = (self.a_ends[i] == ends) & (self.b_ends[j] == ends)
-        self.at_a, self.at_b = i[self.common], j[self.common]  # last tokens of each group
+        self.doc = np.repeat(np.arange(len(a)), self.n_a)[i]
+        self.at_a, self.at_b = i[common], j[common]  # last tokens of each group
         self.n_links = np.bincount(self.doc, minlength=len(a))
-        self.n_groups = np.bincount(self.doc[self.common], minlength=len(a))
+        self.n_groups = np.bincount(self.doc[common], minlength=len(a))
 
     def groups(self, names: list[str]) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of each document. ``names`` holds decimal numbers."""
@@ -318,7 +326,7 @@ class Lookup:
     def __call__(self, pairs: np.ndarray) -> np.ndarray:
         """The count of each of these distinct pairs, 0 if its shard is not among these."""
         out, shard = np.zeros(len(pairs), np.int64), pairs % self.shards
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")  # short keys are sorted by radix
         for rows in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(pairs) else []:
             if known := self.of.get(int(shard[rows[0]])):
                 h, keys, counts = known
