@@ -13,11 +13,11 @@ smaller order, or earlier in the same document. Strings are judged on the input;
    double in depth, and only groups that are still tied are sorted again), takes the common prefixes of neighbours by
    Kasai's method, and so finds the runs of equal windows; the earliest of a run stays.
 4. Hot anchors, with more than ``HOT`` differing segments, are not gathered in a shard. Their windows go out one by one
-   by a 128-bit hash over all tasks, which sort them and keep each window's first; shards are not merged with one another.
+   by two 64-bit hashes over all tasks, which sort them and keep each window's first; shards are not merged with one another.
    Anchors with three or more differing segments in a chunk are counted before step 2 and, if hot, skip it; all others are
    counted from what step 2 leaves, so that no hot anchor reaches a shard.
 
-Windows meet by two 64-bit hashes (steps 2 and 4) or byte by byte (step 3). Texts are read whole, in overlapping
+Windows meet by two independent 64-bit hashes, one of them BLAKE2b of their bytes (steps 2 and 4), or byte by byte (step 3). Texts are read whole, in overlapping
 chunks if long. All shuffles are spread by hash; the largest group that a task holds is a shard of ``HOT`` segments.
 
 Defined results: a null text is empty. A repeated or null id is ordered by (id, nulls last, hash of the text), so of
@@ -30,6 +30,7 @@ import hashlib
 import itertools
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -69,8 +70,15 @@ def _tables(r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return byte, _powers(n, np.uint64(r)), _powers(n, np.uint64(inverse))
 
 
+def digests(buf: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """64 bits of BLAKE2b of each substring. It decides whether bytes are equal; sums modulo 2^64 as in ``Rolling`` collide by construction on some texts."""
+    data = memoryview(buf.tobytes())
+    found = b"".join([blake2b(data[a:b], digest_size=8).digest() for a, b in zip(low.tolist(), high.tolist(), strict=True)])
+    return np.frombuffer(found, np.uint64)
+
+
 class Rolling:
-    """Hashes of all substrings of a buffer, from prefix sums."""
+    """Hashes of all substrings of a buffer, from prefix sums: to choose anchors and to deal rows, not to compare bytes."""
 
     def __init__(self, buf: np.ndarray, r: np.uint64):
         byte, power, self.inverse = _tables(int(r))
@@ -131,7 +139,7 @@ class Anchors:
         self.n = np.diff(np.append(new, len(window)))
         high = self.low + self.n - 1 + LENGTH
         self.h = gram[self.at]
-        self.g = _mix(self.rolling.of(self.low, high, self.at) + (self.at - self.low).astype(np.uint64) * ODD2 + self.n.astype(np.uint64))
+        self.g = _mix(digests(buf, self.low, high) + (self.at - self.low).astype(np.uint64) * ODD2 + self.n.astype(np.uint64))
         part = part[new]
         self.doc, self.start = docs[part], self.low - starts[part] + offsets[part]
 
@@ -148,8 +156,7 @@ class Anchors:
         n = self.n[rows]
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         place = np.repeat(self.low[rows], n) + inner
-        second = Rolling(self.buf, ODD2).of(place, place + LENGTH, place)
-        return pd.DataFrame({"k": _mix(self.rolling.of(place, place + LENGTH, place)).view(np.int64), "g": _mix(second).view(np.int64),
+        return pd.DataFrame({"k": _mix(self.rolling.of(place, place + LENGTH, place)).view(np.int64), "g": digests(self.buf, place, place + LENGTH).view(np.int64),
                              "doc": np.repeat(self.doc[rows], n), "start": np.repeat(self.start[rows], n) + inner, "n": 0})
 
 
@@ -192,7 +199,7 @@ def windows_of(doc: np.ndarray, start: np.ndarray, n: np.ndarray, segments: list
     buf = np.frombuffer(b"".join(segments), np.uint8)
     inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     place = np.repeat(np.cumsum(sizes) - sizes, n) + inner
-    k, g = (_mix(Rolling(buf, r).of(place, place + LENGTH, place)).view(np.int64) for r in (ODD, ODD2))
+    k, g = _mix(Rolling(buf, ODD).of(place, place + LENGTH, place)).view(np.int64), digests(buf, place, place + LENGTH).view(np.int64)
     w = pd.DataFrame({"k": k, "g": g, "doc": np.repeat(doc, n), "start": np.repeat(start, n) + inner}).sort_values(["k", "g", "doc", "start"])
     return w.assign(n=np.where(w.duplicated(["k", "g"]), -1, 0))
 

@@ -46,6 +46,21 @@ def test_given_documents(spark):
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_texts_that_collide_in_polynomial_hashes(spark):
+    """Thue-Morse blocks: sums of letters times powers of any odd number are equal modulo 2^64 for a block and its complement."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    for size in (64, 256, 1024):
+        bits = [i.bit_count() % 2 for i in range(size)]
+        gram, left, right = ("".join(rng.choices(letters, k=n)) for n in (24, 100, 100))
+        for a, b in (("x", "y"), ("0", "1")):
+            one, two = ("".join((a, b)[t ^ flip] for t in bits) for flip in (0, 1))
+            rows = [(1, left + one + gram + right), (2, left + two + gram + right), (3, gram + one + left), (4, gram + two + left)]
+            df = spark.createDataFrame(rows, "doc_id long, text string")
+            check(df, brute(rows))
+            check(df.repartition(3), brute(rows), hot=1)
+
+
 def texts():
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(1, 6)))
