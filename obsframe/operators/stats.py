@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from obsframe.functions.columns import col_ref, nan_to_null
 from obsframe.functions.stats import corr_from_moments, guarded_corr
+from obsframe.operators import moments
 from obsframe.operators.joins import bounded_broadcast
 from obsframe.operators.reshape import pivot, pivot_values
 
@@ -112,40 +114,63 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     return g.withColumn("r2", r2).drop("_sse", "_vy")
 
 
-def _features(df: DataFrame, features: Sequence[str], label: str | None = None):
-    from pyspark.ml.feature import VectorAssembler
-    cols = list(features) + ([label] if label else [])
-    clean = df.select(*[col_ref(c).cast("double").alias(c) for c in cols]).dropna("any")
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(clean)
-
-
 def _coef_frame(spark: SparkSession, names, est, se, tv, pv) -> DataFrame:
     rows = [(n, float(e), float(s), float(t), float(p)) for n, e, s, t, p in zip(names, est, se, tv, pv)]
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double, p_value double")
 
 
 def ols_table(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Multiple OLS (normal equations, distributed) with estimate, SE, t and p per term."""
-    from pyspark.ml.regression import LinearRegression
-    data = _features(df, features, label)
-    m = LinearRegression(featuresCol="features", labelCol=label, solver="normal", regParam=0.0).fit(data)
-    s = m.summary
-    names = list(features) + ["(Intercept)"]
-    est = list(m.coefficients) + [m.intercept]
-    return _coef_frame(df.sparkSession, names, est, s.coefficientStandardErrors, s.tValues, s.pValues)
-
-
-def logit_table(df: DataFrame, label: str, features: Sequence[str], min_positives: int = 2) -> DataFrame:
-    """Binomial GLM coefficient table; empty when fewer than ``min_positives`` positive labels."""
-    from pyspark.ml.regression import GeneralizedLinearRegression
-    data = _features(df, features, label)
-    spark = df.sparkSession
-    pos = data.agg(F.sum(label)).first()[0] or 0
-    if pos < min_positives:
+    """Multiple OLS with estimate, SE, t and p per term, from one aggregation (normal equations of co-moments).
+
+    Empty when there are not more complete rows than terms or the features are collinear."""
+    k = len(features)
+    m = moments.comoments(moments.complete(df, [*features, label]), [*features, label])[None]
+    xx, xy = m.comoment[:k, :k], m.comoment[:k, k]
+    scale = np.sqrt(np.diag(xx))
+    if m.n <= k + 1 or not scale.all() or np.linalg.matrix_rank(xx / np.outer(scale, scale), tol=1e-10) < k:
+        return _coef_frame(df.sparkSession, [], [], [], [], [])
+    inverse = np.linalg.inv(xx / np.outer(scale, scale)) / np.outer(scale, scale)
+    beta = inverse @ xy
+    freedom = m.n - k - 1
+    noise = max(float(m.comoment[k, k] - beta @ xy), 0.0) / freedom
+    mean = m.mean[:k]
+    est = [*beta, m.mean[k] - beta @ mean]
+    se = np.sqrt(noise * np.append(np.diag(inverse), 1 / m.n + mean @ inverse @ mean))
+    tv = [e / s if s else float("inf") for e, s in zip(est, se)]
+    return _coef_frame(df.sparkSession, [*features, "(Intercept)"], est, se, tv, [moments.student_p(t, freedom) for t in tv])
+
+
+def logit_table(df: DataFrame, label: str, features: Sequence[str], min_positives: int = 2, steps: int = 50) -> DataFrame:
+    """Binomial GLM coefficient table by iteratively reweighted least squares: one native aggregation of weighted products a step.
+
+    The standardised complete rows are checkpointed first, so no step reads the source again. Empty when fewer than
+    ``min_positives`` positive labels, no negative ones, or a feature is constant."""
+    from obsframe.session import ensure_checkpoint_dir
+    spark, k = df.sparkSession, len(features)
+    rows = moments.complete(df, [*features, label])
+    m = moments.comoments(rows, [*features, label])[None]
+    sd = np.sqrt(np.diag(m.comoment)[:k] / max(m.n, 1))
+    positives = m.n * m.mean[k]
+    if positives < min_positives or positives > m.n - 0.5 or not sd.all():
         return _coef_frame(spark, [], [], [], [], [])
-    m = GeneralizedLinearRegression(featuresCol="features", labelCol=label, family="binomial",
-                                    link="logit").fit(data)
-    s = m.summary
-    names = list(features) + ["(Intercept)"]
-    est = list(m.coefficients) + [m.intercept]
-    return _coef_frame(spark, names, est, s.coefficientStandardErrors, s.tValues, s.pValues)
+    ensure_checkpoint_dir(spark)
+    z = [((col_ref(f) - F.lit(float(a))) / F.lit(float(b))).alias(f"z{i}") for i, (f, a, b) in enumerate(zip(features, m.mean, sd))]
+    rows = rows.select(*z, F.lit(1.0).alias(f"z{k}"), col_ref(label).alias("y")).checkpoint(eager=True)
+    x = [F.col(f"z{i}") for i in range(k + 1)]
+    beta = np.append(np.zeros(k), np.log(m.mean[k] / (1 - m.mean[k])))
+    for _ in range(steps):
+        mu = 1 / (1 + F.exp(-sum((x[i] * F.lit(float(beta[i])) for i in range(1, k + 1)), x[0] * F.lit(float(beta[0])))))
+        r = rows.withColumn("mu", mu).withColumn("w", F.col("mu") * (1 - F.col("mu"))).agg(
+            *(F.sum(x[i] * (F.col("y") - F.col("mu"))).alias(f"g{i}") for i in range(k + 1)),
+            *(F.sum(F.col("w") * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(k + 1) for j in range(i, k + 1))).first()
+        hessian = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(k + 1)] for i in range(k + 1)])
+        step = np.linalg.solve(hessian, [r[f"g{i}"] for i in range(k + 1)])
+        beta = beta + step
+        if np.abs(step).max() < 1e-10:
+            break
+    back = np.eye(k + 1)  # standardised terms to the features' own
+    back[:k, :k] = np.diag(1 / sd)
+    back[k, :k] = -m.mean[:k] / sd
+    est, se = back @ beta, np.sqrt(np.diag(back @ np.linalg.inv(hessian) @ back.T))
+    tv = est / se
+    return _coef_frame(spark, [*features, "(Intercept)"], est, se, tv, [math.erfc(abs(t) / math.sqrt(2)) for t in tv])

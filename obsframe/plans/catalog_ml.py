@@ -1,4 +1,4 @@
-"""Model and file-level queries. Fitted models and file hashes have no SQL oracle: row counts only.
+"""Model and file-level queries. Of the fitted models the OLS table has a SQL oracle; pytest holds the others against other solvers.
 
 The modelling panel is derived from the whole ``lineitem`` table (one row per ship
 date); pytest checks the estimators against closed-form answers on exact data.
@@ -18,7 +18,7 @@ LABEL = "revenue"
 
 
 def _panel(spark, sf_dir):
-    return ml.in_fixed_order(td.daily_lineitem_panel(spark, sf_dir), "day")
+    return ml.stored(td.daily_lineitem_panel(spark, sf_dir))
 
 
 def _train_test(spark, sf_dir):
@@ -28,12 +28,12 @@ def _train_test(spark, sf_dir):
 
 def _forest(spark, sf_dir):
     tr, te = _train_test(spark, sf_dir)
-    return ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42)
+    return ml.random_forest_cv(tr, te, LABEL, FEATURES, num_trees=100, folds=5, seed=42, key=["day"])
 
 
 def _lasso(spark, sf_dir):
     tr, te = _train_test(spark, sf_dir)
-    return ml.lasso_cv(tr, te, LABEL, FEATURES)
+    return ml.lasso_cv(tr, te, LABEL, FEATURES, key=["day"])
 
 
 SPLIT_SQL = """
@@ -53,10 +53,35 @@ def q_stratified_split(spark, sf_dir):
     return s.groupBy("stratum", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("ols_coefficients")
+# Normal equations by cofactors of the three features' co-moments; p by Simpson's rule on Student's density with t = sqrt(v) tan(angle).
+OLS_SQL = """
+WITH p AS (SELECT sum(l_extendedprice)::DOUBLE AS y, sum(l_quantity)::DOUBLE AS a, avg(l_discount)::DOUBLE AS b, avg(l_tax)::DOUBLE AS c
+           FROM lineitem GROUP BY l_shipdate::DATE),
+m AS (SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, n * covar_pop(a, a) AS aa, n * covar_pop(a, b) AS ab, n * covar_pop(a, c) AS ac,
+             n * covar_pop(b, b) AS bb, n * covar_pop(b, c) AS bc, n * covar_pop(c, c) AS cc, n * covar_pop(a, y) AS ay, n * covar_pop(b, y) AS by_, n * covar_pop(c, y) AS cy, n * covar_pop(y, y) AS yy FROM p),
+d AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM m),
+i AS (SELECT *, (bb * cc - bc * bc) / det AS iaa, (ac * bc - ab * cc) / det AS iab, (ab * bc - ac * bb) / det AS iac,
+             (aa * cc - ac * ac) / det AS ibb, (ab * ac - aa * bc) / det AS ibc, (aa * bb - ab * ab) / det AS icc FROM d),
+e AS (SELECT *, iaa * ay + iab * by_ + iac * cy AS ea, iab * ay + ibb * by_ + ibc * cy AS eb, iac * ay + ibc * by_ + icc * cy AS ec FROM i),
+s AS (SELECT *, n - 4 AS v, (yy - ea * ay - eb * by_ - ec * cy) / (n - 4) AS noise FROM e),
+t AS (SELECT v, 'quantity' AS term, ea AS estimate, sqrt(noise * iaa) AS std_error FROM s UNION ALL
+      SELECT v, 'avg_discount', eb, sqrt(noise * ibb) FROM s UNION ALL SELECT v, 'avg_tax', ec, sqrt(noise * icc) FROM s UNION ALL
+      SELECT v, '(Intercept)', my - ea * ma - eb * mb - ec * mc,
+             sqrt(noise * (1.0 / n + ma * (iaa * ma + iab * mb + iac * mc) + mb * (iab * ma + ibb * mb + ibc * mc) + mc * (iac * ma + ibc * mb + icc * mc))) FROM s),
+w AS (SELECT *, estimate / std_error AS t_value, atan(abs(estimate / std_error) / sqrt(v)) AS low FROM t),
+k AS (SELECT k, CASE WHEN k IN (0, 20000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END AS weight FROM range(20001) r(k)),
+q AS (SELECT term, sum(weight * pow(greatest(cos(low + (pi() / 2 - low) * k / 20000), 0), v - 1)) * (pi() / 2 - low)
+                   / (sum(weight * pow(greatest(cos(pi() / 2 * k / 20000), 0), v - 1)) * pi() / 2) AS p_value FROM w, k GROUP BY term, low, v)
+SELECT term, printf('%.5e', estimate)::DOUBLE AS estimate, printf('%.5e', std_error)::DOUBLE AS std_error, printf('%.5e', t_value)::DOUBLE AS t_value,
+       round(p_value, 6) AS p_value FROM w JOIN q USING (term)"""
+
+
+@register("ols_coefficients", OLS_SQL)
 def q_ols_coefficients(spark, sf_dir):
-    """Multiple OLS with estimate, SE, t and p per term."""
-    return stats.ols_table(td.daily_lineitem_panel(spark, sf_dir), LABEL, ["quantity", "avg_discount", "avg_tax"])
+    """Multiple OLS with estimate, SE, t (six significant digits) and p per term."""
+    found = stats.ols_table(td.daily_lineitem_panel(spark, sf_dir), LABEL, ["quantity", "avg_discount", "avg_tax"])
+    six = {c: F.format_string("%.5e", F.col(c)).cast("double") for c in ("estimate", "std_error", "t_value")}
+    return rounded(found.withColumns(six), only=["p_value"])
 
 
 @register("logit_coefficients")
@@ -115,12 +140,8 @@ def q_pca_variance(spark, sf_dir):
 @register("residuals")
 def q_residuals(spark, sf_dir):
     """Predicted vs actual and residual on the test days of a ridge fit."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
     tr, te = _train_test(spark, sf_dir)
-    va = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    m = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=10.0, elasticNetParam=0.0).fit(va.transform(tr))
-    pred = m.transform(va.transform(te)).select("day", LABEL, "prediction")
+    pred = te.select("day", LABEL, ml.ridge_fit(tr, LABEL, FEATURES, 10.0).column(FEATURES).alias("prediction"))
     return rounded(ml.residuals(pred, LABEL), 4)
 
 

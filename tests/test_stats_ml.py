@@ -135,7 +135,7 @@ def test_correlation_keeps_precision_with_an_offset(spark):
 def test_fits_do_not_depend_on_partitions(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, *map(float, rng.normal(size=2) + 3 * (i % 3))) for i in range(150)], "k int, a double, b double")
-    fits = [sorted(map(tuple, ml.kmeans_best_of(ml.in_fixed_order(d, "k"), "k", ["a", "b"], starts=2)[0].collect()))
+    fits = [sorted(map(tuple, ml.kmeans_best_of(d, "k", ["a", "b"], starts=2)[0].collect()))
             for d in (df.repartition(2, "k"), df.repartition(8, "a"))]
     assert fits[0] == fits[1]
     # the labels are those of numpy's nearest centres
@@ -152,3 +152,109 @@ def test_pca_against_numpy(spark):
     got = [r.variance_explained for r in ml.pca_variance(spark.createDataFrame(x.tolist(), ["a", "b", "c"]), ["a", "b", "c"]).orderBy("component").collect()]
     w = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1]
     assert np.allclose(got, w / w.sum())
+
+
+def _panel(spark, n=600):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, 4)) * [1, 10, 0.1, 5] + [0, 1e6, 3, -2]
+    y = 5 + 2 * x[:, 0] + np.where(x[:, 3] > -2, 4.0, -4.0) + 0.3 * (x[:, 1] - 1e6) + rng.normal(scale=0.5, size=n)
+    df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))] + [(n, None, 1.0, 1.0, 1.0, 1.0)],
+                               "k int, a double, b double, c double, d double, y double")
+    return df, x, y
+
+
+def test_moments_merge_with_an_offset(spark):
+    df, x, y = _panel(spark)
+    from obsframe.operators import moments
+    cols = ["a", "b", "c", "d", "y"]
+    rows = moments.complete(df, cols, ["k"]).withColumn("g", df.k % 7)
+    m = moments.total(list(moments.comoments(rows.repartition(16), cols, "g").values()), 5)
+    z = np.c_[x, y]
+    assert m.n == 600 and np.allclose(m.mean, z.mean(0)) and np.allclose(m.comoment, np.cov(z.T, ddof=0) * 600, rtol=1e-8)
+
+
+def test_lasso_against_an_independent_solver(spark):
+    """Proximal gradient steps on the rows themselves, fold by fold."""
+    df, x, y = _panel(spark)
+    feats, lambdas = ["a", "b", "c", "d"], [0.01, 0.1, 1.0]
+    fold = {r.k: r.f for r in df.dropna().select("k", ml._fold(["k"], 5, 42).alias("f")).collect()}
+    f = np.array([fold[i] for i in range(600)])
+
+    def fit(x, y, p):
+        z, c = (x - x.mean(0)) / x.std(0), y - y.mean()
+        g, rate = np.zeros(4), 1 / np.linalg.eigvalsh(z.T @ z / len(z)).max()
+        for _ in range(3000):
+            v = g - rate * (z.T @ (z @ g - c) / len(z))
+            g = np.sign(v) * np.maximum(np.abs(v) - rate * p, 0)
+        return g / x.std(0), y.mean() - x.mean(0) @ (g / x.std(0))
+
+    error = []
+    for p in lambdas:
+        each = [np.sqrt(np.mean((y[f == i] - x[f == i] @ b - c) ** 2)) for i in range(5) for b, c in [fit(x[f != i], y[f != i], p)]]
+        error.append(np.mean(each))
+    best = lambdas[int(np.argmin(error))]
+    for parts in (2, 16):
+        metrics, coefs = ml.lasso_cv(df.repartition(parts), df, "y", feats, lambdas=lambdas, key=["k"])
+        assert metrics.first()["lambda"] == best
+        b, c = fit(x, y, best)
+        got = {r.term: r.estimate for r in coefs.collect()}
+        assert np.allclose([got[t] for t in feats], b, rtol=1e-6, atol=1e-9) and got["(Intercept)"] == pytest.approx(c, rel=1e-6)
+
+
+def test_ridge_and_lasso_equal_spark_ml(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from obsframe.operators import moments
+    df, _, _ = _panel(spark)
+    feats = ["a", "b", "c", "d"]
+    rows = VectorAssembler(inputCols=feats, outputCol="v").transform(df.dropna())
+    m = moments.comoments(df.dropna(), [*feats, "y"])[None]
+    for penalty, alpha, fit in ((10.0, 0.0, moments.ridge(m, 10.0)), (0.1, 1.0, moments.lasso(m, [0.1])[0])):
+        model = LinearRegression(featuresCol="v", labelCol="y", regParam=penalty, elasticNetParam=alpha, tol=1e-12, maxIter=1000).fit(rows)
+        assert np.allclose(model.coefficients.toArray(), fit.beta, rtol=1e-4, atol=1e-7), (model.coefficients, fit)
+
+
+def test_kmeans_cost_is_not_above_spark_ml(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(60, 2)) + c for c in ((0, 0), (4, 1), (1, 5))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "k int, a double, b double")
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(z.tolist(), ["a", "b"]))
+    least = min(KMeans(k=3, seed=s, maxIter=50).fit(rows).summary.trainingCost for s in range(3))
+    found = [ml.kmeans_best_of(d, "k", ["a", "b"], starts=10) for d in (df.repartition(2), df.repartition(16))]
+    assert all(cost <= least * (1 + 1e-6) for _, cost in found)
+    assert len({tuple(sorted(map(tuple, labels.collect()))) for labels, _ in found}) == 1
+
+
+def test_forest_against_spark_ml_and_partitions(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    df, _, _ = _panel(spark)
+    df = df.dropna()
+    tr, te, feats = df.filter("k % 4 > 0"), df.filter("k % 4 = 0"), ["a", "b", "c", "d"]
+    found = [(m.first(), imp.collect()) for m, imp in (ml.random_forest_cv(tr.repartition(n), te, "y", feats, num_trees=30, folds=3, key=["k"]) for n in (2, 16))]
+    assert found[0][1] == found[1][1] and found[0][0].r2 == pytest.approx(found[1][0].r2, abs=1e-9)
+    va = VectorAssembler(inputCols=feats, outputCol="v")
+    model = RandomForestRegressor(featuresCol="v", labelCol="y", numTrees=30, maxDepth=5, seed=1, featureSubsetStrategy="all").fit(va.transform(tr))
+    theirs = stats.regression_metrics(model.transform(va.transform(te)), "y", "prediction").first()
+    assert found[0][0].r2 > theirs.r2 - 0.02
+
+
+def test_p_values_of_t():
+    """Simpson's rule on Student's density."""
+    import math
+
+    from obsframe.operators import moments
+    for t, v in ((0.5, 3), (2.1, 10), (1.0, 1), (3.3, 200), (-1.7, 30)):
+        x = np.linspace(0, abs(t), 20_001)
+        f = np.exp(math.lgamma((v + 1) / 2) - math.lgamma(v / 2)) / math.sqrt(v * math.pi) * (1 + x * x / v) ** (-(v + 1) / 2)
+        area = (f[0] + f[-1] + 4 * f[1::2].sum() + 2 * f[2:-1:2].sum()) * (x[1] - x[0]) / 3
+        assert moments.student_p(t, v) == pytest.approx(1 - 2 * area, abs=1e-10)
+
+
+def test_ols_table_of_collinear_features_is_empty(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, float(i % 3)) for i in range(20)], "a double, b double, y double")
+    assert stats.ols_table(df, "y", ["a", "b"]).count() == 0
