@@ -269,7 +269,9 @@ def random_forest_cv(train: DataFrame, test: DataFrame, label: str, features: Se
     found = rows.agg(F.avg("y").alias("y"), F.var_pop("y").alias("spread"), *(F.percentile_approx(n, probs, 10_000).alias(n) for n in names)).first()
     if found["y"] is None:
         raise ValueError("no complete training rows")
-    middle, spread, edges = found["y"], found["spread"], [np.unique(np.array(found[n], float)) for n in names]  # the label is centred, so that squares do not cancel
+    # labels become whole numbers of a fine unit: their sums are exact, so no order of adding can change a split
+    middle, unit = float(f"{found['y']:.6g}"), 2.0 ** (round(np.log2(found["spread"]) / 2) - 20) if found["spread"] else 1.0
+    spread, edges = found["spread"] / unit ** 2, [np.unique(np.array(found[n], float)) for n in names]
     (mixed, matrix), spark = _tools(), train.sparkSession
     poisson = np.cumsum([np.exp(-1) / np.prod(range(1, i + 1), dtype=float) for i in range(12)])
     size = (1 << (max_depth + 1)) - 1
@@ -298,7 +300,7 @@ def random_forest_cv(train: DataFrame, test: DataFrame, label: str, features: Se
             def histograms(batches: Iterator[pa.RecordBatch], split=split, at=at, width=width, base=base, depth=depth) -> Iterator[pa.RecordBatch]:
                 sums, used = {}, 1 if depth == max_depth else d  # leaves need no features
                 for b in batches:
-                    x, y, u, fold = binned(b), b.column("y").to_numpy() - middle, b.column("_u").to_numpy(), b.column("_fold").to_numpy()
+                    x, y, u, fold = binned(b), np.rint((b.column("y").to_numpy() - middle) / unit), b.column("_u").to_numpy(), b.column("_fold").to_numpy()
                     drawn = {number: np.searchsorted(poisson, mixed(u, number)).astype(float) for number in {t[2] for t in trees}}
                     columns = x[:, :used] + np.arange(used) * bins
                     for i, (_, out, number) in enumerate(trees):
@@ -323,7 +325,7 @@ def random_forest_cv(train: DataFrame, test: DataFrame, label: str, features: Se
                 i, h = r["tree"], np.frombuffer(r["h"]).reshape(2, width, -1, bins)
                 n, s = h[:, :, 0].sum(2)
                 here = n > 0
-                value[i, base:base + width][here] = middle + s[here] / n[here]
+                value[i, base:base + width][here] = middle + unit * s[here] / n[here]
                 if depth == max_depth:
                     continue
                 left = h.cumsum(3)[:, :, :, :-1]

@@ -195,6 +195,79 @@ def forecast(df: DataFrame, keys, t: str = "year", value: str = "value", horizon
                        fc.alias("forecast"), (fc - hw).alias("lo95"), (fc + hw).alias("hi95"))
 
 
+def forecast_auto(df: DataFrame, keys, t: str = "year", value: str = "value", horizon: int = 20, max_order: int = 3, max_diff: int = 1,
+                  z: float = 1.96) -> DataFrame:
+    """Forecasts of many series at once by an autoregression whose order and differencing (0 or 1) are selected per series.
+
+    Autocovariances of each series and of its differences, about their means, come from one window and one grouped aggregation;
+    the Levinson-Durbin recursion turns them into coefficients and innovation variances of every order up to ``max_order``; the
+    least AICc per observation, ln(variance) + 2k/n + 2k(k+1)/(n(n-k-1)) with k = order + 2, wins (of equals, fewer differences, then the lower
+    order). Forecasts and the squared weights of their bands are recursions over the horizon in higher-order functions.
+    Missing values are left out before lags are taken. Series of under four values, and constant ones, get order 0 without differencing.
+    """
+    keys = _keys(keys)
+    if max_diff not in (0, 1) or max_order < 1:
+        raise ValueError("max_diff is 0 or 1, max_order at least 1")
+    v = F.col(value).cast("double")
+    s = df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, F.col(t).alias("_t"), v.alias("_y"))
+    s = s.withColumn("_dy", F.col("_y") - F.lag("_y").over(Window.partitionBy(*keys).orderBy("_t")))
+    forms = [F.struct(F.lit(0).alias("d"), F.col("_y").alias("x")), F.struct(F.lit(1).alias("d"), F.col("_dy").alias("x"))][:max_diff + 1]
+    s = s.select(*keys, "_t", "_y", F.inline(F.array(*forms))).filter("x IS NOT NULL")
+    series, by_time = Window.partitionBy(*keys, "d"), Window.partitionBy(*keys, "d").orderBy("_t")
+    s = s.withColumn("m", F.avg("x").over(series)).withColumn("x", F.col("x") - F.col("m"))
+    s = s.withColumns({f"l{i}": F.lag("x", i).over(by_time) for i in range(1, max_order + 1)})
+    lags = ["x", *(f"l{i}" for i in range(1, max_order))]
+    st = s.groupBy(*keys, "d").agg(
+        F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.max("_t").alias("t_last"), F.max_by("_y", "_t").alias("y_last"),
+        F.max_by(F.array(*(F.coalesce(F.col(c), F.lit(0.0)) for c in lags)), "_t").alias("recent"), F.avg(F.col("x") * F.col("x")).alias("c0"),
+        *(F.coalesce(F.sum(F.col("x") * F.col(f"l{i}")), F.lit(0.0)).alias(f"s{i}") for i in range(1, max_order + 1)))
+    st = st.withColumns({f"c{i}": F.col(f"s{i}") / F.col("n") for i in range(1, max_order + 1)})
+
+    n, fits = F.col("n").cast("double"), []
+    phi: list[str] = []
+    st = st.withColumn("v0", F.col("c0"))
+    for p in range(max_order + 1):
+        if p:  # one step of Levinson-Durbin
+            left = F.col(f"c{p}")
+            for i, c in enumerate(phi):
+                left = left - F.col(c) * F.col(f"c{p - 1 - i}")
+            st = st.withColumn(f"k{p}", F.coalesce(F.try_divide(left, F.col(f"v{p - 1}")), F.lit(0.0)))
+            new = [f"a{p}_{i}" for i in range(p)]
+            st = st.withColumns({new[i]: F.col(c) - F.col(f"k{p}") * F.col(phi[p - 2 - i]) for i, c in enumerate(phi)} | {new[-1]: F.col(f"k{p}"), f"v{p}": F.col(f"v{p - 1}") * (1 - F.col(f"k{p}") * F.col(f"k{p}"))})
+            phi = new
+        k = float(p + 2)
+        usable = (n > k + 1) & (F.col(f"v{p}") > 0)
+        score = F.when(usable, F.ln(f"v{p}") + 2 * k / n + 2 * k * (k + 1) / (n * (n - k - 1)))
+        if p == 0:  # always there for the undifferenced series; a constant one needs nothing else
+            score = F.when(F.col("d") == 0, F.when(F.col("c0") <= 0, F.lit(-1e300)).otherwise(F.coalesce(score, F.lit(1e300)))).otherwise(score)
+        weights = [F.col(c) for c in phi] + [F.lit(0.0)] * (max_order - p)
+        fits.append(F.struct(score.alias("score"), F.col("d").alias("d"), F.lit(p).alias("p"), F.array(*weights).alias("phi"), F.col(f"v{p}").alias("v"),
+                             "m", "y_last", "t_last", "recent"))
+    best = st.select(*keys, F.explode(F.array(*fits)).alias("f")).filter("f.score IS NOT NULL").groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, "f.*")
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+    def push(x, recent):
+        return F.slice(F.concat(F.array(x), recent), 1, max_order)
+
+    def step(a, h):
+        x, weight, again = dot(F.col("phi"), a["x"]), F.element_at(a["psi"], 1), F.col("d") == 1
+        level = F.when(again, a["level"] + F.col("m") + x).otherwise(F.col("m") + x)
+        total = a["total"] + weight
+        var = a["var"] + F.col("v") * F.pow(F.when(again, total).otherwise(weight), 2)
+        return F.struct(push(x, a["x"]).alias("x"), push(dot(F.col("phi"), a["psi"]), a["psi"]).alias("psi"), level.alias("level"), total.alias("total"), var.alias("var"),
+                        F.concat(a["out"], F.array(F.struct(h.alias("h"), level.alias("fc"), F.sqrt(var).alias("sd")))).alias("out")).cast(kind)
+
+    kind = "struct<x:array<double>,psi:array<double>,level:double,total:double,var:double,out:array<struct<h:int,fc:double,sd:double>>>"
+    start = F.struct(F.col("recent").alias("x"), F.array(F.lit(1.0), *[F.lit(0.0)] * (max_order - 1)).alias("psi"), F.col("y_last").alias("level"), F.lit(0.0).alias("total"),
+                     F.lit(0.0).alias("var"), F.array().alias("out")).cast(kind)
+    paths = best.withColumn("path", F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda a: a["out"]))
+    return paths.select(*keys, "t_last", "d", "p", F.inline("path")).select(
+        *keys, "h", (F.col("t_last") + F.col("h")).alias(t), F.col("d").alias("diff"), F.col("p").alias("order"), F.col("fc").alias("forecast"),
+        (F.col("fc") - z * F.col("sd")).alias("lo95"), (F.col("fc") + z * F.col("sd")).alias("hi95"))
+
+
 def chain_clean(df: DataFrame, keys, t: str = "year", value: str = "value",
                 lower: float = 0.05, upper: float = 0.95) -> DataFrame:
     """The panel cleaning chain: interpolate -> mean fill -> winsorise -> z-score, one shuffle.

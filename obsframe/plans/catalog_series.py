@@ -286,6 +286,12 @@ def q_forecast_ar1(spark, sf_dir):
     return rounded(series.forecast(nation_revenue(spark, sf_dir), "entity", "year", "value", 20, "ar1"), 0)
 
 
+@register("forecast_auto")
+def q_forecast_auto(spark, sf_dir):
+    """G14 (order selection): 20-step forecasts of every nation by the autoregression of least AICc."""
+    return rounded(series.forecast_auto(nation_revenue(spark, sf_dir), "entity", "year", "value", 20), 0)
+
+
 @register("rolling_sd", "WITH " + NATION_REVENUE + """
 SELECT entity, year, value, round(stddev_samp(value) OVER (PARTITION BY entity ORDER BY year
        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS rolling_sd FROM nr""")

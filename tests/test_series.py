@@ -90,3 +90,62 @@ def test_rolling_regime_gap(spark):
     assert rs[0]["rolling_sd"] is None and rs[1]["rolling_sd"] == pytest.approx(np.std([100, 100.5], ddof=1))
     g = spark.createDataFrame([(2000, "m", 5.0), (2000, "f", 7.0)], "year int, code string, value double")
     assert series.series_gap(g, "year", "code", "m", "f").collect()[0]["gap"] == -2.0
+
+
+def _auto(y, horizon, top=3):
+    """Yule-Walker equations solved order by order, AICc and recursions by plain loops."""
+    best = None
+    for d in (0, 1):
+        x = np.diff(y) if d else np.asarray(y, float)
+        n, m = len(x), x.mean() if len(x) else 0.0
+        c = [float((x[k:] - m) @ (x[:n - k] - m)) / n for k in range(min(top, n - 1) + 1)] if n else []
+        c += [0.0] * (top + 1 - len(c))
+        for p in range(top + 1):
+            if c[0] <= 0:
+                phi, v = np.zeros(p), 0.0
+            else:
+                phi = np.linalg.solve([[c[abs(i - j)] for j in range(p)] for i in range(p)], c[1:p + 1]) if p else np.zeros(0)
+                v = c[0] - phi @ np.array(c[1:p + 1])
+            k = p + 2
+            if p == 0 and d == 0 and c[0] <= 0:
+                score = -1e300
+            elif n > k + 1 and v > 0:
+                score = np.log(v) + 2 * k / n + 2 * k * (k + 1) / (n * (n - k - 1))
+            elif p == 0 and d == 0:
+                score = 1e300
+            else:
+                continue
+            if best is None or score < best[0]:
+                best = (score, d, p, phi, v, m, x)
+    _, d, p, phi, v, m, x = best
+    past, psi, level, out, var = list(x - m), [1.0], y[-1], [], 0.0
+    for h in range(1, horizon + 1):
+        new = sum(phi[i] * past[-1 - i] for i in range(p))
+        past.append(new)
+        level = level + m + new if d else m + new
+        var += v * (sum(psi) if d else psi[-1]) ** 2
+        out.append((h, d, p, level, level - 1.96 * var ** 0.5, level + 1.96 * var ** 0.5))
+        psi.append(sum(phi[i] * psi[-1 - i] for i in range(min(p, len(psi)))))
+    return out
+
+
+def test_forecast_auto_against_numpy(spark):
+    rng = np.random.default_rng(2)
+    models = {"ar1": [0.8], "ar2": [0.5, 0.4], "ar3": [0.4, -0.5, 0.6]}
+    data = {"walk": np.cumsum(rng.normal(0.5, 1, 80)), "short": np.array([1.0, 5.0, 2.0]), "one": np.array([4.0]), "flat": np.full(30, 7.0), "line": np.arange(40.0)}
+    for name, phi in models.items():
+        y = [0.0] * 3
+        for e in rng.normal(size=1500):
+            y.append(sum(a * y[-1 - i] for i, a in enumerate(phi)) + e)
+        data[name] = np.array(y[500:]) + 1000
+    rows = [(k, 1900 + i, float(v)) for k, y in data.items() for i, v in enumerate(y)] + [("ar1", 5000, None), ("walk", 6000, float("nan"))]
+    df = spark.createDataFrame(rows, "code string, year int, value double")
+    for parts in (2, 16):
+        got = {}
+        for r in series.forecast_auto(df.repartition(parts), "code", horizon=12).collect():
+            got.setdefault(r.code, []).append((r.h, r["diff"], r.order, r.forecast, r.lo95, r.hi95))
+        for k, y in data.items():
+            want = _auto(y, 12)
+            assert [r[:3] for r in sorted(got[k])] == [r[:3] for r in want], k
+            assert np.allclose([r[3:] for r in sorted(got[k])], [r[3:] for r in want], rtol=1e-8, atol=1e-8), k
+        assert all(got[k][0][1] == 0 and got[k][0][2] >= len(phi) for k, phi in models.items())  # AICc may take a larger order, not a smaller
