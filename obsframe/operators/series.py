@@ -142,6 +142,7 @@ def growth_scenarios(df: DataFrame, keys, t: str = "year", level: str = "value",
         F.max_by(lv, F.when(lv.isNotNull(), F.col(t))).alias("last_level"),
         F.max(F.when(lv.isNotNull(), F.col(t))).alias("last_year"))
     h = F.col("h").cast("double")
+    # fixed values: the three scenario columns' names
     path = lambda r: F.col("last_level") * F.pow(1 + r / 100.0, h)
     return (stats.filter(F.col("last_level").isNotNull())
                  .select(*keys, "mu", "sigma", "last_level", "last_year",
