@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to
+from obsframe.operators import selection
+from obsframe.session import ensure_checkpoint_dir
 
 DIM_KEY = ["source", "dataset", "code", "name"]
 
@@ -92,7 +94,7 @@ def usable_codes(long: DataFrame, code: str = "code", value: str = "value") -> D
 
 
 def describe(series: DataFrame, by: str | Sequence[str] = "code", value: str = "value",
-             trim: float = 0.1) -> DataFrame:
+             trim: float = 0.1, block: int = selection.BLOCK) -> DataFrame:
     """Descriptive statistics per series (the ``psych::describe`` layout).
 
     n, mean, sd, median, trimmed (mean without floor(trim*n) values at each end),
@@ -100,30 +102,44 @@ def describe(series: DataFrame, by: str | Sequence[str] = "code", value: str = "
     skew = g1 * ((n-1)/n)^1.5 and kurtosis = (g2 + 3) * ((n-1)/n)^2 - 3, with g1,
     g2 Spark's population ``skewness`` and ``kurtosis``.
 
-    Works on series (one value per period), so a group is bounded by the number of
-    periods; the rank window and the exact median stay per-series.
+    Groups may be of any size: moments come from one aggregation with map-side combine, and the median, the
+    trim cut-offs and the median deviation are exact order statistics found by ``selection``; no window holds a group.
     """
     by = [by] if isinstance(by, str) else list(by)
-    v = F.col(value)
-    base = series.filter(v.isNotNull()).select(*by, v.alias("_x"))
-    w_all = Window.partitionBy(*by)
-    ranked = (base.withColumn("_n", F.count(F.lit(1)).over(w_all))
-                  .withColumn("_med", F.median("_x").over(w_all))
-                  .withColumn("_rk", F.row_number().over(Window.partitionBy(*by).orderBy("_x"))))
-    cut = F.floor(F.lit(trim) * F.col("_n"))
-    keep = (F.col("_rk") > cut) & (F.col("_rk") <= F.col("_n") - cut)
-    agg = ranked.groupBy(*by).agg(
+    ensure_checkpoint_dir(series.sparkSession)
+    base = series.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x")).checkpoint(eager=True)
+
+    def middle(n: Column) -> list[Column]:
+        return [F.floor((n + 1) / 2), F.ceil((n + 1) / 2)]
+
+    def cuts(n: Column) -> list[Column]:
+        return [*middle(n), F.floor(F.lit(trim) * n) + 1, n - F.floor(F.lit(trim) * n)]
+
+    stats = F.col("stats")
+    found = selection.order_statistics(base, by, "_x", cuts, block).select(
+        F.struct(*by).alias("_g"), ((stats[0] + stats[1]) / 2).alias("median"), stats[2].alias("_lo"), stats[3].alias("_hi"))
+    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
+    joined = base.withColumn("_g", F.struct(*by)).join(found, "_g")
+    inside = (x > lo) & (x < hi)
+    agg = joined.groupBy("_g", "median", "_lo", "_hi").agg(
         F.count("_x").alias("n"),
         F.avg("_x").alias("mean"),
         F.stddev_samp("_x").alias("sd"),
-        F.first("_med").alias("median"),
-        F.avg(F.when(keep, F.col("_x"))).alias("trimmed"),
-        (F.lit(1.4826) * F.median(F.abs(F.col("_x") - F.col("_med")))).alias("mad"),
+        F.coalesce(F.sum(F.when(inside, x)), F.lit(0.0)).alias("_inner"),
+        F.count_if(x <= lo).alias("_upto_lo"), F.count_if(x < hi).alias("_below_hi"),
         F.min("_x").alias("min"),
         F.max("_x").alias("max"),
         F.skewness("_x").alias("_g1"),
         F.kurtosis("_x").alias("_g2"),
     )
+    cut = F.floor(F.lit(trim) * F.col("n"))
+    left = F.col("n") - 2 * cut
+    ends = lo * (F.col("_upto_lo") - cut) + hi * (F.col("n") - cut - F.col("_below_hi"))
+    agg = agg.withColumn("trimmed", F.when(left > 0, F.when(lo == hi, lo).otherwise((F.col("_inner") + ends) / left)))
+    off = joined.select("_g", F.abs(x - F.col("median")).alias("_d"))
+    mad = selection.order_statistics(off, "_g", "_d", middle, block).select(
+        "_g", (F.lit(1.4826) * ((stats[0] + stats[1]) / 2)).alias("mad"))
+    agg = agg.join(mad, "_g", "left").select(*[F.col("_g")[c].alias(c) for c in by], *[c for c in agg.columns if c != "_g"], "mad")
     n = F.col("n").cast("double")
     out = agg.select(
         *by, "n", "mean", "sd", "median", "trimmed", "mad", "min", "max",

@@ -159,7 +159,7 @@ def densify(df: DataFrame, series_keys: Sequence[str], t: str = "year", value: s
     """Give every series every period of the panel; absent periods get a NULL value.
 
     One shuffle: the observations of a series (one per period, so bounded by the time axis) are
-    gathered by one grouping, and its periods are generated with ``sequence`` beside them. The
+    gathered by one grouping, and the periods it lacks are added by one ``array_except``, linear in its length. The
     result stays partitioned by the series keys, so windows over a series shuffle no more.
     Several observations of one period stay several rows. The panel span is two scalars.
     """
@@ -169,7 +169,12 @@ def densify(df: DataFrame, series_keys: Sequence[str], t: str = "year", value: s
         t_max = hi if t_max is None else t_max
     if t_min is None:
         return df.select(*series_keys, t, value).limit(0)
-    obs = df.groupBy(*series_keys).agg(F.collect_list(F.struct(F.col(t).alias("t"), F.col(value).alias("v"))).alias("_obs"))
-    grid = obs.select(*series_keys, "_obs", F.explode(F.sequence(F.lit(int(t_min)), F.lit(int(t_max)))).alias(t))
-    here = F.filter("_obs", lambda o: o["t"] == F.col(t))
-    return grid.select(*series_keys, t, F.explode_outer(F.transform(here, lambda o: o["v"])).alias(value))
+    lo, hi = F.lit(int(t_min)), F.lit(int(t_max))
+    seen = F.when(F.col(t).between(lo, hi), F.struct(F.col(t).alias("t"), F.col(value).alias("v")))
+    obs = df.groupBy(*series_keys).agg(F.collect_list(seen).alias("_obs"))
+    kind = obs.schema["_obs"].dataType.elementType
+    span = F.sequence(lo, hi).cast(f"array<{kind['t'].dataType.simpleString()}>")
+    absent = F.transform(F.array_except(span, F.transform("_obs", lambda o: o["t"])),
+                         lambda p: F.struct(p.alias("t"), F.lit(None).cast(kind["v"].dataType).alias("v")))
+    every = obs.select(*series_keys, F.explode(F.concat("_obs", absent)).alias("_o"))
+    return every.select(*series_keys, F.col("_o.t").alias(t), F.col("_o.v").alias(value))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsframe.operators import selection
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -58,13 +60,18 @@ def mean_fill(df: DataFrame, keys, value: str = "value", out: str | None = None)
 
 
 def winsorize(df: DataFrame, keys, value: str = "value", lower: float = 0.05, upper: float = 0.95,
-              out: str | None = None, approx_accuracy: int | None = None) -> DataFrame:
+              out: str | None = None, approx_accuracy: int | None = None, distributed: bool = False) -> DataFrame:
     """Clip each series to its [lower, upper] quantiles.
 
-    Exact linear (R type 7) quantiles by default; ``approx_accuracy`` switches to
-    ``percentile_approx`` for series too long to hold per group.
+    Exact linear (R type 7) quantiles by default. For groups too long for one task, ``distributed`` finds the same
+    quantiles by ``selection`` and joins them, and ``approx_accuracy`` switches to ``percentile_approx``.
     """
     keys = _keys(keys)
+    if distributed:
+        q = selection.quantiles(df, keys, value, [lower, upper]).select(F.struct(*keys).alias("_g"), F.col("q").alias("_q"))
+        v = F.col(value)
+        clipped = F.when(v.isNotNull(), F.greatest(F.col("_q")[0], F.least(F.col("_q")[1], v)))
+        return df.withColumn("_g", F.struct(*keys)).join(q, "_g", "left").withColumn(out or value, clipped).drop("_g", "_q")
     w = Window.partitionBy(*keys)
     if approx_accuracy:
         q = F.percentile_approx(value, [lower, upper], approx_accuracy).over(w)

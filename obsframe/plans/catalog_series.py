@@ -162,6 +162,32 @@ def q_describe(spark, sf_dir):
     return quality.describe(td.event_daily(spark, sf_dir), "code", "value")
 
 
+@register("describe_facts", """
+WITH b AS (SELECT l_shipmode AS code, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
+r AS (SELECT code, x, row_number() OVER (PARTITION BY code ORDER BY x) AS rk, count(*) OVER (PARTITION BY code) AS c FROM b),
+m AS (SELECT code, quantile_cont(x, 0.5) AS med FROM b GROUP BY code)
+SELECT r.code, count(*) AS n, round(any_value(med), 6) AS median, round(1.4826 * quantile_cont(abs(x - med), 0.5), 6) AS mad,
+       round(avg(x) FILTER (WHERE rk > floor(0.1 * c) AND rk <= c - floor(0.1 * c)), 4) AS trimmed, min(x) AS min, max(x) AS max
+FROM r JOIN m ON r.code IS NOT DISTINCT FROM m.code GROUP BY r.code""")
+def q_describe_facts(spark, sf_dir):
+    """D10 on raw facts: exact medians, deviations and trimmed means of groups that grow with the table."""
+    facts = td.table(spark, sf_dir, "lineitem").select(F.col("l_shipmode").alias("code"), F.col("l_extendedprice").alias("value"))
+    d = quality.describe(facts, "code", "value", block=2_000)
+    return d.select("code", "n", "median", "mad", round_to("trimmed", 4).alias("trimmed"), "min", "max")
+
+
+@register("winsor_facts", """
+WITH q AS (SELECT l_returnflag, quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.05) AS lo, quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.95) AS hi
+           FROM lineitem GROUP BY l_returnflag)
+SELECT l.l_orderkey, l.l_linenumber, round(greatest(lo, least(hi, CAST(l_extendedprice AS DOUBLE))), 6) AS value
+FROM lineitem l JOIN q ON l.l_returnflag IS NOT DISTINCT FROM q.l_returnflag""")
+def q_winsor_facts(spark, sf_dir):
+    """E7 on raw facts: every price clipped to the exact 5 and 95 % quantiles of its return flag."""
+    facts = td.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_extendedprice").cast("double").alias("value"))
+    clipped = series.winsorize(facts, "l_returnflag", distributed=True)
+    return clipped.select("l_orderkey", "l_linenumber", round_to("value", 6).alias("value"))
+
+
 # ------------------------------------------------------------------ correlation ----
 
 @register("corr_matrix", """
