@@ -13,8 +13,8 @@ A suite is a list of rule dicts, e.g.::
      {"check": "referential", "column": "fk", "ref": ref_df, "ref_column": "id"}]
 
 Every data rule of a table becomes aggregate expressions of ONE ``agg`` (one scan,
-partial aggregation); referential rules are ``left_anti`` joins on distinct keys;
-schema rules read metadata only. The result has one row per test:
+partial aggregation); all uniqueness and referential rules share one more pass over the key
+columns, where ``max_duplicates`` and ``max_orphans`` allow some (0 by default); schema rules read metadata only. The result has one row per test:
 ``table_name, test, check, column_name, passed, observed, bound_low, bound_high, details, message``; ``details`` holds
 counts below and above a range, unreadable dates, missing and extra columns, and the ten smallest orphans.
 """
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,7 +56,7 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
     """Split rules into (aggregate-phase metrics, post-aggregate result structs, side results)."""
     aggs: dict[str, Column] = {}
     rows: list = []
-    side: list[DataFrame] = []
+    keyed: list[tuple] = []
     meta: list[tuple] = []
     cols = set(df.columns)
     spark = df.sparkSession
@@ -82,16 +82,7 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             for c in r["columns"]:
                 if c not in cols:
                     continue
-                # Exact duplicates need a shuffle on the column; keep it out of the main
-                # aggregate so the other metrics stay a pure map-side partial aggregate.
-                k = col_ref(c)
-                per_key = df.select(k.alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_c"))
-                dups = F.coalesce(F.sum(F.col("_c") - 1), F.lit(0))
-                side.append(per_key.agg(dups.alias("_d")).select(
-                    F.lit(table).alias("table_name"), F.lit(f"{table}.{c}_unique").alias("test"),
-                    F.lit(kind).alias("check"), F.lit(c).alias("column_name"), (F.col("_d") == 0).alias("passed"),
-                    F.col("_d").cast("double").alias("observed"), F.lit(0.0).alias("bound_low"),
-                    F.lit(0.0).alias("bound_high"), F.lit(None).cast("string").alias("details")))
+                keyed.append(("unique", c, r.get("max_duplicates", 0), None, None))
         elif kind == "range":
             c = r["column"]
             if c not in cols:
@@ -143,25 +134,67 @@ def compile_rules(df: DataFrame, table: str, rules: list[dict]):
             c, ref, rc = r["column"], r["ref"], r["ref_column"]
             if c not in cols or rc not in ref.columns:
                 continue
-            keys = df.select(col_ref(c).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-            orphans = keys.join(ref.select(col_ref(rc).alias("_k")), "_k", "left_anti")
-            counted = orphans.agg(F.count(F.lit(1)).alias("_o")).select("_o", F.lit(None).cast("string").alias("_s"))
-            # the ten smallest: each task keeps ten, then they are merged
-            least = orphans.orderBy("_k").limit(10).agg(F.array_join(F.transform(
-                F.array_sort(F.collect_list("_k")), lambda x: x.cast("string")), ",").alias("_s"))
-            found = counted.unionByName(least.select(F.lit(None).cast("long").alias("_o"), "_s")).agg(
-                F.max("_o").alias("_o"), F.max("_s").alias("_s"))
-            side.append(found.select(
-                F.lit(table).alias("table_name"), F.lit(f"{table}.{c}_referential").alias("test"),
-                F.lit("referential").alias("check"), F.lit(c).alias("column_name"),
-                (F.col("_o") == 0).alias("passed"), F.col("_o").cast("double").alias("observed"),
-                F.lit(0.0).alias("bound_low"), F.lit(0.0).alias("bound_high"),
-                F.concat(F.lit("sample="), "_s").alias("details")))
+            keyed.append(("referential", c, r.get("max_orphans", 0), ref, rc))
         else:
             raise ValueError(f"unknown check {kind!r}")
+    side = [_key_rules(df, table, keyed)] if keyed else []
     return aggs, rows, side, meta, spark
 
 
+def _common(a: T.DataType, b: T.DataType) -> str:
+    """The type in which a key and a reference of another type are compared."""
+    if a == b:
+        return "string"
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return "bigint"
+    return "double" if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) else "string"
+
+
+def _text(c: Column, kind: str, dtype: T.DataType) -> Column:
+    if kind == "double" or isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = c.cast("double") + F.lit(0.0)  # minus zero is zero
+    return (c if kind == "string" else c.cast(kind)).cast("string")
+
+
+def _key_rules(df: DataFrame, table: str, keyed: list[tuple]) -> DataFrame:
+    """All uniqueness and referential rules of a table from one pass over its key columns.
+
+    One ``Expand`` gives a row per row and rule (rule number, key as text), counted per key with map-side combine; the
+    counts meet all references, one table of (rule number, key), in one left join. Duplicates, orphans and the least
+    orphans all read that result, whose shuffles Spark reuses, so the facts are scanned and shuffled once.
+    """
+    entries, refs = [], None
+    for i, (_kind, c, _most, ref, rc) in enumerate(keyed):
+        mine = df.schema[c].dataType
+        kind = _common(mine, ref.schema[rc].dataType) if ref is not None else "string"
+        entries.append(F.struct(F.lit(i).alias("i"), _text(col_ref(c), kind, mine).alias("k")))
+        if ref is not None:
+            theirs = ref.select(F.lit(i).alias("ri"), _text(col_ref(rc), kind, ref.schema[rc].dataType).alias("rk")).where("rk IS NOT NULL")
+            refs = theirs if refs is None else refs.unionByName(theirs)
+    names = sorted({c for _kind, c, *_ in keyed})
+    counted = df.select(*[col_ref(c) for c in names]).select(F.inline(F.array(*entries))).groupBy("i", "k").agg(F.count(F.lit(1)).alias("c"))
+    found = counted.withColumn("ri", F.col("i") if refs is None else F.lit(None).cast("int"))
+    if refs is not None:
+        found = counted.join(refs.distinct(), (F.col("i") == F.col("ri")) & (F.col("k") == F.col("rk")), "left")
+    checked = F.col("i").isin([i for i, x in enumerate(keyed) if x[0] == "referential"])
+    orphan = checked & F.col("k").isNotNull() & F.col("ri").isNull()
+    rules = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(kind).alias("check"), F.lit(c).alias("column_name"),
+                               F.lit(float(most)).alias("most")) for i, (kind, c, most, *_r) in enumerate(keyed)])
+    # the ten least orphans of a rule: every task keeps ten before the shuffle
+    number = F.col("k").try_cast("double")
+    rank = F.row_number().over(Window.partitionBy("i").orderBy(number.asc_nulls_last(), "k"))
+    per_rule = found.groupBy("i").agg(F.sum(F.col("c") - 1).alias("dups"), F.count_if(orphan).alias("orphans"))
+    least = (found.where(orphan).select("i", "k", rank.alias("at")).where("at <= 10").groupBy("i")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "k"))), lambda x: x["k"]), ",").alias("s")))
+    listed = df.sparkSession.range(1).select(F.inline(rules))  # one row per rule, also over an empty table
+    seen = F.coalesce(F.when(F.col("check") == "unique", F.col("dups")).otherwise(F.col("orphans")), F.lit(0))
+    return listed.join(per_rule, "i", "left").join(least, "i", "left").select(
+        F.lit(table).alias("table_name"), F.concat(F.lit(f"{table}."), "column_name", F.lit("_"), "check").alias("test"),
+        "check", "column_name", (seen <= F.col("most")).alias("passed"), seen.cast("double").alias("observed"),
+        F.lit(0.0).alias("bound_low"), F.col("most").alias("bound_high"),
+        F.when(F.col("check") == "referential", F.concat(F.lit("sample="), F.coalesce("s", F.lit("")))).alias("details"))
+
+
 def run_suite(df: DataFrame, table: str, rules: list[dict]) -> DataFrame:
     """Evaluate a rule suite on one table; non-constant rules record failures only. NaN counts as missing."""
     return _evaluate(df, table, rules, {})[0]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsframe.functions.columns import round_to
 from obsframe.operators import selection
+from obsframe.operators.joins import measured_broadcast
 from obsframe.session import ensure_checkpoint_dir
 
 DIM_KEY = ["source", "dataset", "code", "name"]
@@ -119,7 +120,7 @@ def describe(series: DataFrame, by: str | Sequence[str] = "code", value: str = "
     found = selection.order_statistics(base, by, "_x", cuts, block).select(
         F.struct(*by).alias("_g"), ((stats[0] + stats[1]) / 2).alias("median"), stats[2].alias("_lo"), stats[3].alias("_hi"))
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
-    joined = base.withColumn("_g", F.struct(*by)).join(found, "_g")
+    joined = base.withColumn("_g", F.struct(*by)).join(measured_broadcast(found), "_g")
     inside = (x > lo) & (x < hi)
     agg = joined.groupBy("_g", "median", "_lo", "_hi").agg(
         F.count("_x").alias("n"),

@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 from obsframe.session import ensure_checkpoint_dir
 
 BINS = 64
+STEP = 8
 BLOCK = 100_000
 MAX_ROUNDS = 40
+BROADCAST_ROWS = 20_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A stored side of counted rows (a few hundred bytes each): broadcast if it is small, else joined plainly."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def order_statistics(df: DataFrame, by: str | Sequence[str], value: str, ranks: Callable[[Column], list[Column]],
@@ -40,24 +47,30 @@ def order_statistics(df: DataFrame, by: str | Sequence[str], value: str, ranks:
     for _ in range(MAX_ROUNDS):
         if (intervals.agg(F.max("n")).first()[0] or 0) <= block:
             break
-        below = F.size(F.filter("edges", lambda e: e < F.col("x")))
-        on_edge = F.array_contains("edges", F.col("x"))
-        binned = rows.join(intervals.select("g", "iv", "edges"), ["g", "iv"]).select(
-            "g", "iv", "x", (2 * below + on_edge.cast("int")).alias("b"), F.when(on_edge, F.col("x")).alias("edge"))
+        # edges below x: among every STEP-th edge first, then among the STEP edges after those
+        steps = intervals.select("g", "iv", "edges", F.filter("edges", lambda e, i: i % STEP == STEP - 1).alias("coarse"))
+        past = rows.join(_small(steps), ["g", "iv"]).withColumn("skip", STEP * F.size(F.filter("coarse", lambda e: e < F.col("x"))))
+        past = past.withColumn("m", F.col("skip") + F.size(F.filter(F.slice("edges", F.col("skip") + 1, F.lit(STEP)), lambda e: e < F.col("x"))))
+        next_edge = F.get("edges", F.col("m"))
+        on_edge = F.coalesce(next_edge == F.col("x"), F.lit(False))
+        binned = past.select("g", "iv", (2 * F.col("m") + on_edge.cast("int")).alias("b"), F.when(on_edge, next_edge).alias("edge"))
         counts = binned.groupBy("g", "iv", "b").agg(F.count(F.lit(1)).alias("c"), F.max("edge").alias("edge"))
         upto = F.sum("c").over(Window.partitionBy("g", "iv").orderBy("b"))  # 2 * bins + 3 rows at most
         hits = (targets.join(counts.withColumn("upto", upto), ["g", "iv"])
                 .where((F.col("k") <= F.col("upto")) & (F.col("k") > F.col("upto") - F.col("c")))
                 .select("g", "iv", "b", "j", (F.col("k") - F.col("upto") + F.col("c")).alias("k"), "edge")).checkpoint(eager=True)
         settled.append(hits.where("edge IS NOT NULL").select("g", "j", F.col("edge").alias("x")))
-        name = F.concat_ws(".", "iv", F.col("b").cast("string")).alias("iv")
-        targets = hits.where("edge IS NULL").select("g", name, "j", "k")
-        wanted = hits.where("edge IS NULL").select("g", "iv", "b").distinct()
-        rows = binned.join(wanted, ["g", "iv", "b"]).select("g", name, "x").checkpoint(eager=True)
+        name = F.concat_ws(".", "iv", F.col("b").cast("string"))
+        targets = hits.where("edge IS NULL").select("g", name.alias("iv"), "j", "k")
+        m = (F.col("b") / 2).cast("int")
+        wanted = (hits.where("edge IS NULL").select("g", "iv", "b").distinct().join(_small(steps), ["g", "iv"])
+                  .select("g", "iv", name.alias("inner"), F.get("edges", m - 1).alias("lo"), F.get("edges", m).alias("hi")))
+        inside = (F.col("lo").isNull() | (F.col("x") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("x") < F.col("hi")))
+        rows = rows.join(_small(wanted), ["g", "iv"]).where(inside).select("g", F.col("inner").alias("iv"), "x").checkpoint(eager=True)
         intervals = rows.groupBy("g", "iv").agg(F.count("x").alias("n"), edges_of).checkpoint(eager=True)
     else:
         raise RuntimeError("selection did not settle")
-    values = rows.join(targets.select("g", "iv").distinct(), ["g", "iv"]).groupBy("g", "iv", "x").agg(F.count(F.lit(1)).alias("c"))
+    values = rows.groupBy("g", "iv", "x").agg(F.count(F.lit(1)).alias("c"))
     ranked = values.withColumn("upto", F.sum("c").over(Window.partitionBy("g", "iv").orderBy("x")))  # block rows at most
     found = targets.join(ranked, ["g", "iv"]).where((F.col("k") <= F.col("upto")) & (F.col("k") > F.col("upto") - F.col("c")))
     parts = found.select("g", "j", "x")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsframe.operators import selection
+from obsframe.operators.joins import measured_broadcast
 
 
 def _keys(keys) -> list[str]:
@@ -71,7 +72,7 @@ def winsorize(df: DataFrame, keys, value: str = "value", lower: float = 0.05, up
         q = selection.quantiles(df, keys, value, [lower, upper]).select(F.struct(*keys).alias("_g"), F.col("q").alias("_q"))
         v = F.col(value)
         clipped = F.when(v.isNotNull(), F.greatest(F.col("_q")[0], F.least(F.col("_q")[1], v)))
-        return df.withColumn("_g", F.struct(*keys)).join(q, "_g", "left").withColumn(out or value, clipped).drop("_g", "_q")
+        return df.withColumn("_g", F.struct(*keys)).join(measured_broadcast(q), "_g", "left").withColumn(out or value, clipped).drop("_g", "_q")
     w = Window.partitionBy(*keys)
     if approx_accuracy:
         q = F.percentile_approx(value, [lower, upper], approx_accuracy).over(w)

@@ -163,7 +163,7 @@ def q_describe(spark, sf_dir):
 
 
 @register("describe_facts", """
-WITH b AS (SELECT l_shipmode AS code, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
+WITH b AS (SELECT l_returnflag AS code, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
 r AS (SELECT code, x, row_number() OVER (PARTITION BY code ORDER BY x) AS rk, count(*) OVER (PARTITION BY code) AS c FROM b),
 m AS (SELECT code, quantile_cont(x, 0.5) AS med FROM b GROUP BY code)
 SELECT r.code, count(*) AS n, round(any_value(med), 6) AS median, round(1.4826 * quantile_cont(abs(x - med), 0.5), 6) AS mad,
@@ -171,8 +171,8 @@ SELECT r.code, count(*) AS n, round(any_value(med), 6) AS median, round(1.4826 *
 FROM r JOIN m ON r.code IS NOT DISTINCT FROM m.code GROUP BY r.code""")
 def q_describe_facts(spark, sf_dir):
     """D10 on raw facts: exact medians, deviations and trimmed means of groups that grow with the table."""
-    facts = td.table(spark, sf_dir, "lineitem").select(F.col("l_shipmode").alias("code"), F.col("l_extendedprice").alias("value"))
-    d = quality.describe(facts, "code", "value", block=2_000)
+    facts = td.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("code"), F.col("l_extendedprice").alias("value"))
+    d = quality.describe(facts, "code", "value", block=5_000)
     return d.select("code", "n", "median", "mad", round_to("trimmed", 4).alias("trimmed"), "min", "max")
 
 
