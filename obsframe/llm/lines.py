@@ -1,9 +1,11 @@
 """Line dedup by site-relative frequency, in DataFrame functions.
 
 Pages are grouped by host. For each host and line, the pages that contain the line are
-counted (once per page, blank lines left out) and divided by the host's page total. A
-line of at least ``min_pages`` pages whose share exceeds ``ratio`` is boilerplate of that
-host and is dropped from its pages; every other line stays as it is.
+counted (once per page, blank lines left out) and divided by the host's page total. A line of two
+pages or more is boilerplate of that host, and is dropped from its pages, if the lower end of the
+Wilson interval of its share (``z`` standard errors) exceeds ``ratio``; every other line stays as it is. That is one
+rule for hosts of any size: with 2 pages both must hold the line, of 50 pages 6, of very many any share
+above ``ratio``.
 
 Lines are compared by two 64-bit hashes of the text without outer white space. Only
 (host, hashes) pairs are shuffled, combined on the map side first, so a line that a third
@@ -26,7 +28,13 @@ from pyspark.sql import functions as F
 from obsframe.llm.common import materialise
 
 RATIO = 0.05
-MIN_PAGES = 5
+Z = 1.96
+
+
+def _above(n: str, total: str, ratio: float, z: float) -> str:
+    """SQL (Spark's and DuckDB's): the lower end of the Wilson interval of n / total is above ``ratio``."""
+    over = f"({n} - {ratio}e0 * {total})"  # e0: doubles in both
+    return f"({n} >= 2 AND {over} > 0 AND {over} * {over} > {z * z * ratio * (1 - ratio):.12f}e0 * {total})"
 
 
 def _bare(line: Column) -> Column:
@@ -42,7 +50,7 @@ def _hashed(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), of)
 
 
-def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, z: float = Z,
                 copies_once: bool = False) -> DataFrame:
     """``(__boilerplate_host, __boilerplate)``: the hashes of each host's boilerplate lines. With ``copies_once``, pages of
     a host with equal texts are one page, in the counts of lines and in the total."""
@@ -52,17 +60,17 @@ def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float
         pages = pages.dropDuplicates(["__boilerplate_host", "t", "u"])  # copies are combined on the map side
     totals = pages.groupBy("__boilerplate_host").agg(F.count(F.lit(1)).alias("total"))
     seen = (pages.select("__boilerplate_host", F.explode("lines").alias("line")).select("__boilerplate_host", "line.h", "line.g")
-            .groupBy("__boilerplate_host", "h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages))
+            .groupBy("__boilerplate_host", "h", "g").agg(F.count(F.lit(1)).alias("n")).where("n >= 2"))
     t = totals.withColumnRenamed("__boilerplate_host", "t_host")
-    common = (seen.join(t, seen["__boilerplate_host"].eqNullSafe(t["t_host"])).where(F.col("n") > ratio * F.col("total")))
+    common = (seen.join(t, seen["__boilerplate_host"].eqNullSafe(t["t_host"])).where(_above("n", "total", ratio, z)))
     return common.groupBy("__boilerplate_host").agg(F.collect_list(F.struct("h", "g")).alias("__boilerplate"))
 
 
 def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
+                     z: float = Z, copies_once: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_dropped`` added
     (columns of these names are replaced)."""
-    common = materialise(boilerplate(docs, host, text, ratio, min_pages, copies_once), "boilerplate-lines")
+    common = materialise(boilerplate(docs, host, text, ratio, z, copies_once), "boilerplate-lines")
     d = docs.withColumn("__line_host", host).join(common, F.col("__line_host").eqNullSafe(F.col("__boilerplate_host")), "left")
     lines = F.split(F.col(text), "\n")
     # hosts without boilerplate, and texts without such a line, pass unread
@@ -76,7 +84,7 @@ def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: f
             .drop("__line_host", "__boilerplate_host", "__boilerplate", "__line_marks", "__line_kept"))
 
 
-def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
+def oracle(ratio: float = RATIO, z: float = Z) -> str:
     trim = r"regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
     return f"""
 WITH line AS (SELECT doc_id, source, i, l, {trim} AS bare
@@ -84,7 +92,7 @@ WITH line AS (SELECT doc_id, source, i, l, {trim} AS bare
                            generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
 total AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
 common AS (SELECT b.source, b.bare FROM (SELECT source, bare, count(DISTINCT doc_id) AS n FROM line WHERE bare <> '' GROUP BY ALL) b
-           JOIN total t ON b.source IS NOT DISTINCT FROM t.source WHERE n >= {min_pages} AND n > {ratio} * total),
+           JOIN total t ON b.source IS NOT DISTINCT FROM t.source WHERE {_above('n', 'total', ratio, z)}),
 kept AS (SELECT l.doc_id, count(*) AS n_lines, count(c.bare) AS n_dropped,
                 coalesce(string_agg(l.l, chr(10) ORDER BY i) FILTER (WHERE c.bare IS NULL), '') AS text
          FROM line l LEFT JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.bare = c.bare GROUP BY l.doc_id)

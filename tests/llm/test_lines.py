@@ -11,13 +11,18 @@ SCHEMA = "doc_id long, text string, source string, n_lines string, b_host string
 WHITE = " \t\n\x0b\x0c\r"
 
 
-def brute(rows, ratio, least):
+def lower(n, total, z=1.96):
+    p = n / total
+    return (p + z * z / (2 * total) - z * (p * (1 - p) / total + z * z / (4 * total * total)) ** 0.5) / (1 + z * z / total)
+
+
+def brute(rows, ratio):
     total, seen = Counter(r[2] for r in rows), defaultdict(set)
     for i, r in enumerate(rows):
         for x in (r[1] or "").split("\n"):
             if x.strip(WHITE):
                 seen[r[2], x.strip(WHITE)].add(i)
-    common = {k for k, v in seen.items() if len(v) >= least and len(v) > ratio * total[k[0]]}
+    common = {k for k, v in seen.items() if len(v) >= 2 and lower(len(v), total[k[0]]) > ratio}
     return [None if r[1] is None else "\n".join(x for x in r[1].split("\n") if (r[2], x.strip(WHITE)) not in common) for r in rows]
 
 
@@ -26,13 +31,21 @@ def test_brute_force_and_edges(spark):
     rows += [(100, None, "a", "", ""), (101, "", "a", "", ""), (102, "menu home", "rare", "", ""), (103, "menu home", "b", "", ""),
              (104, "line\n" * 30_000, "a", "", ""), (None, "body 1\nown", "b", "", ""), (105, " \n\t", None, "", "")] + [(106, "same\nrow", "c", "", "")] * 9
     df = spark.createDataFrame(rows, SCHEMA)
-    out = lines.drop_boilerplate(df, F.col("source"), ratio=0.3, min_pages=5)
+    out = lines.drop_boilerplate(df, F.col("source"), ratio=0.3)
     assert sorted(out.columns) == sorted({*df.columns, "n_dropped"})
     got = Counter((r.doc_id, r.text, r.source) for r in out.collect())
-    assert got == Counter((r[0], t, r[2]) for r, t in zip(rows, brute(rows, 0.3, 5)))
+    assert got == Counter((r[0], t, r[2]) for r, t in zip(rows, brute(rows, 0.3)))
     assert lines.drop_boilerplate(df.limit(0), F.col("source")).count() == 0
 
 
+def test_one_rule_for_hosts_of_any_size(spark):
+    """Pages of a host that hold its menu line: dropped where the share is surely above the ratio, also in tiny hosts."""
+    cases = {(2, 2): True, (1, 1): False, (1, 2): False, (3, 4): True, (3, 50): False, (5, 50): False, (6, 50): True, (30, 600): False, (60, 600): True}
+    rows = [(i, f"menu {n} {total}\nown {i} {total}" if i < n else f"own {i} {total}", f"{n} of {total}", "", "") for n, total in cases for i in range(total)]
+    out = lines.drop_boilerplate(spark.createDataFrame(rows, SCHEMA), F.col("source")).groupBy("source").agg(F.sum("n_dropped").alias("n")).collect()
+    assert {r.source: r.n for r in out} == {f"{n} of {t}": n if gone else 0 for (n, t), gone in cases.items()}
+
+
 def same(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "embeddings"):
