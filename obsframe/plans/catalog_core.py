@@ -500,3 +500,12 @@ def q_elt_bank_annual(spark, sf_dir):
     from obsframe.plans.etl import elt_sql
     out = elt_sql(spark, {"raw_prices": td.table(spark, sf_dir, "lineitem")}, ELT_SUPPLIER_YEAR.format(src="raw_prices"))
     return rounded(out, 6, only=["unit_price_mean", "unit_price_range_pct"])
+
+
+@register("elt_long", "WITH " + LONG + "\nSELECT * FROM long WHERE value IS NOT NULL")
+def q_elt_long(spark, sf_dir):
+    """The long table in generated SQL over raw views, NULL values left out."""
+    from obsframe.plans.etl import elt_long
+    raw = [{"view": "raw_lineitem", "source": "tpch", "dataset": "lineitem", "entity": "supplier", "year": "ship_year"},
+           {"view": "raw_nation_totals", "source": "tpch", "dataset": "orders_by_nation", "entity": "nation"}]
+    return elt_long(spark, raw, {"raw_lineitem": td.lineitem_wide(spark, sf_dir), "raw_nation_totals": td.nation_totals_wide(spark, sf_dir)})

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.operators import alerts, checks, clean, marts, quality, reshape
-from obsframe.schema import CURATED_CODES, LONG_COLUMNS, VALID_YEAR_MAX, VALID_YEAR_MIN
+from obsframe.schema import CURATED_CODES, LONG_COLUMNS, VALID_YEAR_MAX, VALID_YEAR_MIN, YEAR_SUFFIX_PATTERN
 from obsframe.sources.readers import ROW_ORDER
 from obsframe.sources.registry import SourceSpec, indicators_long
 from obsframe.sources.sinks import register_views, write_warehouse
@@ -174,3 +175,48 @@ def elt_sql(spark: SparkSession, raw_views: dict[str, DataFrame], sql: str) -> D
     """ELT form: register raw scans as views and express the transform in Spark SQL."""
     register_views(spark, raw_views)
     return spark.sql(sql)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def long_table_sql(spark: SparkSession, raw: list[dict]) -> str:
+    """Spark SQL for the long table over registered raw views, made from the catalog's column lists.
+
+    Each entry names ``view, source, dataset, entity`` and either ``year`` (every other column but ``ids`` is a
+    measure) or no year (measures are the columns with a year suffix, whose name gives code and year). Every measure
+    becomes rows tagged with its provenance; NULL values are left out. A view is read once, by one ``UNPIVOT``.
+    """
+    parts = []
+    for r in raw:
+        names = [f.name for f in spark.table(r["view"]).schema.fields]
+        outside = {r["entity"], r.get("year"), *r.get("ids", ())}
+        measures = [c for c in names if c not in outside and (r.get("year") or re.search(YEAR_SUFFIX_PATTERN, c))]
+        if not measures:
+            continue
+        kept = [f"CAST({_quoted(r['entity'])} AS STRING) AS entity"]
+        code, year = "column", "year"
+        if r.get("year"):
+            kept.append(f"CAST({_quoted(r['year'])} AS INT) AS year")
+        else:
+            code = f"regexp_replace(column, {_text(YEAR_SUFFIX_PATTERN)}, '')"
+            year = f"CAST(regexp_extract(column, {_text(YEAR_SUFFIX_PATTERN)}, 1) AS INT)"
+        kept += [f"TRY_CAST({_quoted(c)} AS DOUBLE) AS {_quoted('m_' + c)}" for c in measures]
+        listed = ", ".join(f"{_quoted('m_' + c)} AS {_quoted(c)}" for c in measures)
+        parts.append(f"SELECT {_text(r['source'])} AS source, {_text(r['dataset'])} AS dataset, {code} AS code, {code} AS name, entity, "
+                     f"{year} AS year, value FROM (SELECT {', '.join(kept)} FROM {_quoted(r['view'])}) "
+                     f"UNPIVOT EXCLUDE NULLS (value FOR column IN ({listed}))")
+    if not parts:
+        raise ValueError("no view has a measure")
+    return "\nUNION ALL ".join(parts)
+
+
+def elt_long(spark: SparkSession, raw: list[dict], frames: dict[str, DataFrame]) -> DataFrame:
+    """The long table as ELT: raw frames become views, the catalog becomes SQL."""
+    register_views(spark, frames)
+    return spark.sql(long_table_sql(spark, raw))
