@@ -20,7 +20,7 @@ def test_pipeline(spark, tmp_path):
 
     model = langid.fit(spark.read.parquet(f"{sf}/documents.parquet").where(~langid.held_out()))
     rows = [r for r in docs.itertuples(index=False, name=None) if langid.predict_text(model, r[1])[0] != "und"]
-    texts = brute_lines([(r[0], r[1], r[3]) for r in rows], 0.05, 5)
+    texts = brute_lines([(r[0], r[1], r[3]) for r in rows], 0.05)
     groups = brute_components({r[0]: brute_print(t) for r, t in zip(rows, texts)})
     rows = [(r[0], t, r[2], r[3], r[4]) for r, t in zip(rows, texts) if groups[r[0]] == r[0]]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
