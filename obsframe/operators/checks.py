@@ -184,7 +184,8 @@ def _key_rules(df: DataFrame, table: str, keyed: list[tuple]) -> DataFrame:
     number = F.col("k").try_cast("double")
     rank = F.row_number().over(Window.partitionBy("i").orderBy(number.asc_nulls_last(), "k"))
     per_rule = found.groupBy("i").agg(F.sum(F.col("c") - 1).alias("dups"), F.count_if(orphan).alias("orphans"))
-    least = (found.where(orphan).select("i", "k", rank.alias("at")).where("at <= 10").groupBy("i")
+    # a condition on the count stays above the aggregation, so both branches have the same shuffle below
+    least = (found.where(F.when(F.col("c") > 0, orphan)).select("i", "k", rank.alias("at")).where("at <= 10").groupBy("i")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "k"))), lambda x: x["k"]), ",").alias("s")))
     listed = df.sparkSession.range(1).select(F.inline(rules))  # one row per rule, also over an empty table
     seen = F.coalesce(F.when(F.col("check") == "unique", F.col("dups")).otherwise(F.col("orphans")), F.lit(0))
