@@ -12,7 +12,9 @@ pivot that holds much of the table, or many equal vectors, is many blocks.
 Search. A first pass compares each query with the blocks of its nearest pivot; its k-th best score there
 bounds the radius. Then each query goes to the other pivots whose annuli may hold something nearer: by the triangle inequality |d(q, pivot) - d(x, pivot)| <= d(q, x), so an annulus whose
 distances lie beyond the radius is skipped, and the expansion stops. Scores are exact (whole numbers in
-double products below 2^53). Queries meet index blocks through a join on the pivot, in blocks of queries.
+double products below 2^53). A pivot's blocks, in order of distance, form slabs of ``SLAB`` blocks (more where a pivot
+would have over ``MOST_SLABS``); queries go to the slabs that their radius reaches and meet the blocks through a join on
+(pivot, slab), whose number of keys grows with the table.
 
 Defined results: a null vector, or one with a null or non-finite component, takes no part. Shorter
 vectors count as padded with zeros. Rows with a null id take no part. Equal scores go to the smaller id; a
@@ -34,7 +36,10 @@ SAMPLE = 8_000
 PIVOTS = 48
 BLOCK = 2_048
 QUERY_BLOCK = 512
+ROUTED = 256
 MOST_ANNULI = 500
+SLAB = 32
+MOST_SLABS = 500
 SLACK = 1e-6
 
 
@@ -133,6 +138,7 @@ def build_index(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE,
 
     blocks = dealt.groupBy("pivot", "block").applyInPandas(gather, "pivot int, block long, low double, high double, n long, ids binary, matrix binary")
     fitted["annuli"] = sum(parts.values())
+    fitted["most_blocks"] = int(max((s.sum() for s in subs.values()), default=1))
     return materialise(blocks, "topk-index"), fitted
 
 
@@ -171,16 +177,16 @@ def _compare(pairs: DataFrame, dims: int, k: int) -> DataFrame:
     return pairs.mapInPandas(compare, FOUND)
 
 
-QUERIES = "pivot int, part long, q_ids binary, q_matrix binary, q_dist binary, q_radius binary"
+QUERIES = "pivot int, slab int, part long, q_ids binary, q_matrix binary, q_dist binary, q_radius binary"
 
 
 def _pack_queries(routed: DataFrame) -> DataFrame:
-    """Queries for one pivot, in blocks of about ``QUERY_BLOCK`` of similar distance."""
+    """Queries for one slab, in blocks of about ``QUERY_BLOCK`` of similar distance."""
     def gather(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"pivot": g["pivot"].iloc[:1].to_numpy(), "part": g["part"].iloc[:1].to_numpy(), "q_ids": [g["id"].to_numpy(np.int64).tobytes()],
+        return pd.DataFrame({"pivot": g["pivot"].iloc[:1].to_numpy(), "slab": g["slab"].iloc[:1].to_numpy(), "part": g["part"].iloc[:1].to_numpy(), "q_ids": [g["id"].to_numpy(np.int64).tobytes()],
                              "q_matrix": [b"".join(g["row"])], "q_dist": [g["dist"].to_numpy(float).tobytes()], "q_radius": [g["radius"].to_numpy(float).tobytes()]})
 
-    return routed.groupBy("pivot", "part").applyInPandas(gather, QUERIES)
+    return routed.groupBy("pivot", "slab", "part").applyInPandas(gather, QUERIES)
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
@@ -189,43 +195,49 @@ def _merge(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK, slab: int = SLAB) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row ``(id, v)`` of ``queries``, the k best of ``vectors``."""
     spark = ship(vectors.sparkSession)
     blocks, fitted = build_index(vectors, pivots, block=block)
     dims, norm, centres = fitted["dims"], fitted["norm"], fitted["pivots"]
     if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    ranges = {r["pivot"]: (r["low"], r["high"]) for r in blocks.groupBy("pivot").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()}  # one row per pivot
+    slab = max(slab, -(-fitted["most_blocks"] // MOST_SLABS))
+    blocks = blocks.withColumn("slab", F.floor(F.col("block") / slab).cast("int"))
+    ranges = blocks.groupBy("pivot", "slab").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("pivot", "slab").toPandas()  # at most MOST_SLABS per pivot
+    slab_pivot, slab_of, low, high = (ranges[c].to_numpy() for c in ("pivot", "slab", "low", "high"))
     n_parts = max(1, round(queries.count() / QUERY_BLOCK))
     asked = queries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(n_parts)))
-    used = sorted(ranges)
+    used = np.unique(slab_pivot)
+    column = np.searchsorted(used, slab_pivot)  # of each slab's pivot in the distances
 
     def route(first: bool):
         def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                x = _matrix(b["v"], dims)
-                d = distances(lifted(x, None), centres[used])
-                size = (x * x).sum(1) + norm * norm
-                if first:
-                    who, to = np.arange(len(x)), d.argmin(1)
-                    radius = np.full(len(x), np.inf)
-                else:
-                    least = b["least"].to_numpy(float)  # NaN: fewer than k found so far
-                    radius_of = np.where(np.isnan(least), np.inf, np.sqrt(np.maximum(size - 2 * least, 0)))
-                    low, high = np.array([ranges[p] for p in used]).T
-                    beyond = np.maximum(np.maximum(d - high, low - d), 0)
-                    beyond[np.arange(len(x)), d.argmin(1)] = np.nan  # searched in the first pass
-                    who, to = np.nonzero(beyond <= radius_of[:, None] * (1 + SLACK) + SLACK)
-                    radius = radius_of[who]
-                yield pd.DataFrame({"id": b["id"].to_numpy()[who], "part": b["part"].to_numpy()[who], "pivot": np.array(used)[to],
-                                    "dist": d[who, to], "radius": radius, "row": [x[i].tobytes() for i in who]})
+            for whole in batches:
+                for at in range(0, len(whole), ROUTED):  # queries by slabs in memory
+                    b = whole.iloc[at:at + ROUTED]
+                    x = _matrix(b["v"], dims)
+                    d = distances(lifted(x, None), centres[used])
+                    own = column[None, :] == d.argmin(1)[:, None]
+                    if first:
+                        who, to = np.nonzero(own)
+                        radius = np.full(len(who), np.inf)
+                    else:
+                        least = b["least"].to_numpy(float)  # NaN: fewer than k found so far
+                        size = (x * x).sum(1) + norm * norm
+                        radius_of = np.where(np.isnan(least), np.inf, np.sqrt(np.maximum(size - 2 * least, 0)))
+                        far = d[:, column]
+                        beyond = np.maximum(np.maximum(far - high, low - far), 0)
+                        who, to = np.nonzero(~own & (beyond <= radius_of[:, None] * (1 + SLACK) + SLACK))  # own: searched in the first pass
+                        radius = radius_of[who]
+                    yield pd.DataFrame({"id": b["id"].to_numpy()[who], "part": b["part"].to_numpy()[who], "pivot": slab_pivot[to], "slab": slab_of[to],
+                                        "dist": d[who, column[to]], "radius": radius, "row": [x[i].tobytes() for i in who]})
         return go
 
-    routed = "id long, part long, pivot int, dist double, radius double, row binary"
+    routed = "id long, part long, pivot int, slab int, dist double, radius double, row binary"
     near = _pack_queries(asked.mapInPandas(route(True), routed))
-    first = materialise(_merge(_compare(near.join(blocks, "pivot"), dims, k), k).drop("rank"), "topk-first")
+    first = materialise(_merge(_compare(near.join(blocks, ["pivot", "slab"]), dims, k), k).drop("rank"), "topk-first")
     least = first.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
     again = asked.join(least.where(F.col("n") >= k).select("id", F.col("least").cast("double").alias("least")), "id", "left")
-    pairs = _pack_queries(again.mapInPandas(route(False), routed)).join(blocks, "pivot")
+    pairs = _pack_queries(again.mapInPandas(route(False), routed)).join(blocks, ["pivot", "slab"])
     return _merge(first.unionByName(_compare(pairs, dims, k)), k).select("query_id", "rank", "vec_id", "score")
