@@ -167,13 +167,20 @@ def spans(offsets: list[int], lengths: list[int], gap: int = GAP, most: int = RE
     return out
 
 
+def deal_reads(index: DataFrame, block_bytes: int = READ_BLOCK) -> DataFrame:
+    """Index rows in as many tasks as the selected records' bytes ask for: the rows themselves are tiny, so a count
+    left to Spark would follow their size and put many GB of archive into one task."""
+    selected = index.agg(F.sum("length")).first()[0] or 0
+    block = F.floor(F.col("offset") / block_bytes)
+    return (index.select("file", "offset", "length", block.alias("block"))
+            .repartition(max(1, -(-selected // block_bytes)), "file", "block").sortWithinPartitions("file", "offset"))
+
+
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records (``RECORDS``) that the index rows name."""
     ship(index.sparkSession)
     names = [c.split()[0] for c in RECORDS.split(", ")]
-    block = F.floor(F.col("offset") / READ_BLOCK)
-    dealt = (index.select("file", "offset", "length", block.alias("block"))
-             .repartition("file", "block").sortWithinPartitions("file", "offset"))
+    dealt = deal_reads(index)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = file_system(folder)

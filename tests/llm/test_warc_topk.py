@@ -5,6 +5,7 @@ import random
 from pathlib import Path
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from obsframe.llm import topk, warc
 from tests.llm.test_lines import same
@@ -61,6 +62,15 @@ def test_no_pages(spark, tmp_path):
     assert warc.read_records(index, str(tmp_path)).count() == 0
 
 
+def test_reads_are_dealt_by_bytes(spark):
+    """64 blocks of archive in a few tiny index rows are 64 tasks, none of which holds much of them."""
+    index = spark.range(640).selectExpr("'f' as file", "id * 100 as offset", "100L as length")
+    dealt = warc.deal_reads(index, block_bytes=1000)
+    held = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert dealt.rdd.getNumPartitions() == 64 and sum(held) == 640 and max(held) <= 80
+    assert warc.deal_reads(index.limit(0)).count() == 0
+
+
 def test_coalesced_spans():
     assert warc.spans([0, 10, 30, 500], [10, 10, 5, 5], gap=10, most=100) == [(0, 3, 0, 35), (3, 4, 500, 505)]
     assert warc.spans([0, 10, 20], [10, 10, 10], gap=0, most=20) == [(0, 2, 0, 20), (2, 3, 20, 30)]
@@ -89,8 +99,9 @@ def test_topk_brute_force(spark):
     df = spark.createDataFrame([(i, v, 1.0, "x") for i, v in rows], "vec_id long, embedding array<double>, dist double, block string")
     v = topk.quantise(df, "vec_id", "embedding")
     wanted = {i for i, _ in rows if i is not None and i % 50 == 0} | {2004, 2005}
-    got = topk.search(v, v.where(v["id"].isin(*wanted)), pivots=12, block=40)
-    assert sorted(map(tuple, got.collect())) == brute_topk(rows, wanted, 5)
+    for slab in (1, 3, topk.SLAB):
+        got = topk.search(v, v.where(v["id"].isin(*wanted)), pivots=12, block=40, slab=slab)
+        assert sorted(map(tuple, got.collect())) == brute_topk(rows, wanted, 5)
 
 
 def test_topk_few_and_none(spark):
