@@ -1,15 +1,18 @@
 """Mixing sources to target weights by iterative proportional fitting, in DataFrame functions only.
 
-Documents fall into cells of source, language and topic. Token totals per cell are raked:
-each sweep scales the cells so that their totals match the target shares of the sources,
-then of the languages, then of the topics. A cell's calibrated weight over its tokens is its
-inclusion ratio; documents are sampled by ``min(1, scale * ratio)``, where ``scale`` is
-chosen so that the expected tokens are ``budget`` of all tokens, cells that reach 1
-included. Sampling compares the probability with a fixed uniform number per document
+Documents fall into cells of source, language and topic. A cell's documents are sampled with one probability,
+``min(1, ratio)``. The ratios are raked: each sweep scales the cells so that their expected tokens match the goals of the
+sources, then of the languages, then of the topics, with the cells that have reached probability 1 counted as what
+they can give. Sweeps go on until the largest gap between a goal and the expected tokens is below
+``TOLERANCE`` of the budget. Sampling compares the probability with a fixed uniform number per document
 (of the md5 of its id), so a re-run, or a recomputed task, samples the same rows.
 
-Targets default to each dimension's token shares to the power ``ALPHA``, normalised: under 1,
-it evens out dominant values. Own shares can be given per dimension.
+Target shares default to each dimension's token shares to the power ``ALPHA``, normalised: under 1,
+it evens out dominant values. Own shares can be given per dimension. A value's goal is its share of ``budget`` of all tokens, but no
+more than the tokens it has; what it lacks goes to the dimension's other values in proportion to their shares.
+Where the goals of several dimensions cannot be met together (one language per source and uneven targets) no sweep
+settles it: after ``MOST_SWEEPS`` a warning names the gap. ``margins`` returns the target, the goal and the expected tokens of every
+value, so what was not reached can be read in any case.
 
 The cell table has a row per combination that occurs. It is combined on the map side
 before its shuffle, so a source holding a third of all rows is a few partial rows per task.
@@ -22,6 +25,8 @@ the empty string.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +35,10 @@ from obsframe.llm.common import cut, materialise
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA = 0.7
 BUDGET = 0.6
-SWEEPS = 12
-ROUNDS = 12
+TOLERANCE = 1e-9
+MOST_SWEEPS = 40
+MOST_ROUNDS = 20
+HIGHEST = 1e6
 
 
 def tokens(text: str = "text") -> Column:
@@ -50,52 +57,71 @@ def topic(text: str = "text") -> Column:
             .when(n >= 5000, "long").otherwise("prose"))
 
 
-def _targets(cells: DataFrame, dim: str, given: dict | None, alpha: float) -> DataFrame:
-    sums = cells.groupBy(dim).agg(F.sum("tokens").alias("t")).where("t > 0")
+def goals(cells: DataFrame, dim: str, given: dict | None, alpha: float, tokens_wanted: float) -> DataFrame:
+    """``(k, share_<dim>, goal_<dim>)`` for each value with tokens: its target share, and its tokens wanted. Rounds hand
+    on what values lack; each makes at least one more value give all it has, so they end."""
+    sums = cells.groupBy(F.col(dim).alias("k")).agg(F.sum("tokens").cast("double").alias("t")).where("t > 0")
     if given is not None:
-        wanted = F.lit(None).cast("double")
+        raw = F.lit(None).cast("double")
         for k, v in given.items():
-            wanted = F.when(F.col(dim).eqNullSafe(F.lit(k)), F.lit(float(v))).otherwise(wanted)
-        sums = sums.withColumn("raw", F.coalesce(wanted, F.lit(0.0)))
+            raw = F.when(F.col("k").eqNullSafe(F.lit(k)), F.lit(float(v))).otherwise(raw)
+        sums = sums.withColumn("raw", F.coalesce(raw, F.lit(0.0)))
     else:
-        sums = sums.withColumn("raw", F.pow(F.col("t").cast("double"), F.lit(alpha)))
+        sums = sums.withColumn("raw", F.pow("t", F.lit(alpha)))
     total = sums.agg(F.sum("raw")).first()[0] or 1.0  # one number
-    return sums.select(F.col(dim).alias("k"), (F.col("raw") / total).alias(f"want_{dim}"))
+    sums = cut(sums.select("k", "t", (F.col("raw") / total).alias("share")))
+    scale = tokens_wanted
+    for _ in range(MOST_ROUNDS):
+        all_given = F.col("share") * F.lit(scale) >= F.col("t")
+        s = sums.agg(F.sum(F.when(all_given, F.col("t")).otherwise(0.0)).alias("full"), F.sum(F.when(all_given, 0.0).otherwise(F.col("share"))).alias("open")).first()
+        if not s["open"] or (tokens_wanted - s["full"]) / s["open"] <= scale:
+            break
+        scale = (tokens_wanted - s["full"]) / s["open"]
+    return sums.select("k", F.col("share").alias(f"share_{dim}"), F.least("t", F.col("share") * F.lit(scale)).alias(f"goal_{dim}"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict] | None = None, alpha: float = ALPHA, sweeps: int = SWEEPS) -> DataFrame:
-    """``cells`` (dimensions and ``tokens``) with ``weight``, the calibrated tokens: after the last
-    sweep they match the topic targets, and the others up to the rest of the convergence."""
-    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    c = cells.where("tokens > 0")
+def _sweep(c: DataFrame) -> DataFrame:
+    """One pass over the dimensions. Below its goal, a value's open cells (not yet at probability 1) are scaled to give what the full
+    ones cannot; above it all its cells are scaled down. Neither step goes past the goal."""
     for dim in DIMENSIONS:
-        want = _targets(cells, dim, (targets or {}).get(dim), alpha)
-        c = c.join(want, c[dim].eqNullSafe(want["k"])).drop("k")
-    c = c.withColumn("weight", F.col("tokens").cast("double"))
-    for sweep in range(sweeps):
-        for dim in DIMENSIONS:
-            have = F.sum("weight").over(Window.partitionBy(dim))
-            c = c.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"want_{dim}") * F.lit(total) / have).otherwise(F.lit(0.0)))
-        if sweep % 3 == 2:
-            c = cut(c)
-    return c.select(*DIMENSIONS, "docs", "tokens", "weight")
-
-
-def probabilities(raked: DataFrame, budget: float = BUDGET, rounds: int = ROUNDS) -> DataFrame:
-    """``raked`` with ``probability``: water-filling rounds find the scale at which the expected tokens are the budget."""
-    r = raked.withColumn("ratio", F.col("weight") / F.col("tokens"))
-    total = float(r.agg(F.sum("tokens")).first()[0] or 0)
-    scale = budget
-    for _ in range(rounds):
-        full = F.col("ratio") * F.lit(scale) >= 1
-        s = r.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("open")).first()
-        if not s["open"]:
-            break
-        found = (budget * total - s["full"]) / s["open"]
-        if found <= scale * (1 + 1e-12):
-            break
-        scale = found
-    return r.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(scale))).drop("ratio")
+        w, goal = Window.partitionBy(dim), F.col(f"goal_{dim}")
+        have = F.sum(F.least(F.lit(1.0), F.col("ratio")) * F.col("tokens")).over(w)
+        left = F.sum(F.when(F.col("ratio") < 1, F.col("ratio") * F.col("tokens")).otherwise(0.0)).over(w)
+        c = c.withColumns({"_have": have, "_open": left})
+        factor = (F.when((goal >= F.col("_have")) & (F.col("_open") > 0), (goal - F.col("_have") + F.col("_open")) / F.col("_open"))
+                  .when(F.col("_have") > 0, goal / F.col("_have")).otherwise(F.lit(1.0)))
+        c = c.withColumn("ratio", F.least(F.lit(HIGHEST), F.col("ratio") * factor)).drop("_have", "_open")
+    return c
+
+
+def margins(raked: DataFrame) -> DataFrame:
+    """``(dimension, value, share, goal, expected)``: target share, tokens wanted and expected tokens of each value."""
+    out = None
+    for dim in DIMENSIONS:
+        m = raked.where("tokens > 0").groupBy(F.lit(dim).alias("dimension"), F.col(dim).cast("string").alias("value")).agg(
+            F.max(f"share_{dim}").alias("share"), F.max(f"goal_{dim}").alias("goal"), F.sum(F.col("probability") * F.col("tokens")).alias("expected"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def rake(cells: DataFrame, targets: dict[str, dict] | None = None, alpha: float = ALPHA, budget: float = BUDGET,
+         tolerance: float = TOLERANCE, most_sweeps: int = MOST_SWEEPS) -> DataFrame:
+    """``cells`` (dimensions, ``docs`` and ``tokens``) that have tokens, with ``probability`` and each dimension's share and goal."""
+    wanted = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    c = cells.where("tokens > 0").withColumn("ratio", F.lit(float(budget)))
+    for dim in DIMENSIONS:
+        goal = goals(cells, dim, (targets or {}).get(dim), alpha, wanted)
+        c = c.join(goal, c[dim].eqNullSafe(goal["k"])).drop("k")
+    done, gap = 0, float("inf")
+    probability = F.least(F.lit(1.0), F.col("ratio")).alias("probability")
+    while done < most_sweeps and gap > tolerance:
+        for _ in range(min(2, most_sweeps - done)):
+            c, done = _sweep(c), done + 1
+        c = cut(c)
+        gap = (margins(c.select("*", probability)).agg(F.max(F.abs(F.col("expected") - F.col("goal")))).first()[0] or 0.0) / max(wanted, 1e-300)
+    if gap > tolerance:
+        warnings.warn(f"mixing targets not met together: the largest gap is {gap:.3g} of the budget (see margins)", stacklevel=2)
+    return c.select("*", probability).drop("ratio")
 
 
 def uniform(key: str = "doc_id") -> Column:
@@ -108,7 +134,7 @@ def calibrate(docs: DataFrame, key: str = "doc_id", text: str = "text", targets:
     """``docs`` with ``topic``, ``n_tokens`` and ``probability`` (columns of these names are replaced)."""
     marked = docs.withColumns({"topic": topic(text) if topic_of is None else topic_of, "n_tokens": tokens(text)})
     cells = materialise(marked.groupBy(*DIMENSIONS).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens")), "mixing-cells")
-    p = materialise(probabilities(rake(cells, targets, alpha), budget), "mixing-probabilities")
+    p = materialise(rake(cells, targets, alpha, budget), "mixing-probabilities")
     p = p.select(*[F.col(d).alias(f"__cell_{d}") for d in DIMENSIONS], F.col("probability").alias("__cell_probability"))
     same = None
     for d in DIMENSIONS:
@@ -123,7 +149,7 @@ def sample(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     return calibrate(docs, key, **options).where(uniform(key) < F.col("probability"))
 
 
-def oracle(alpha: float = ALPHA, budget: float = BUDGET, sweeps: int = SWEEPS, rounds: int = ROUNDS) -> str:
+def oracle(alpha: float = ALPHA, budget: float = BUDGET, sweeps: int = MOST_SWEEPS, rounds: int = MOST_ROUNDS) -> str:
     t = "coalesce(text, '')"
     q = [f"""WITH marked AS MATERIALIZED (SELECT doc_id, source, lang,
   CASE WHEN length({t}) > 0 AND 50 * (length({t}) - length(regexp_replace({t}, '[0-9]', '', 'g'))) >= length({t}) THEN 'numeric'
@@ -131,21 +157,25 @@ def oracle(alpha: float = ALPHA, budget: float = BUDGET, sweeps: int = SWEEPS, r
        WHEN length({t}) >= 5000 THEN 'long' ELSE 'prose' END AS topic,
   len(list_filter(regexp_split_to_array({t}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::BIGINT AS n_tokens FROM documents),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM marked GROUP BY ALL)"""]
+    q.append(f"budget AS (SELECT {budget}::DOUBLE * sum(tokens) AS b FROM cells)")
     for d in DIMENSIONS:
-        q.append(f"want_{d} AS (SELECT {d}, pow(sum(tokens), {alpha}) / sum(pow(sum(tokens), {alpha})) OVER () AS w FROM cells GROUP BY {d} HAVING sum(tokens) > 0)")
-    joins = " ".join(f"JOIN want_{d} w{i} ON c.{d} IS NOT DISTINCT FROM w{i}.{d}" for i, d in enumerate(DIMENSIONS))
-    wants = ", ".join(f"w{i}.w AS want_{d}" for i, d in enumerate(DIMENSIONS))
-    q.append(f"r0 AS MATERIALIZED (SELECT c.*, {wants}, tokens AS weight, (SELECT sum(tokens) FROM cells) AS total FROM cells c {joins} WHERE tokens > 0)")
+        q.append(f"""share_{d} AS MATERIALIZED (SELECT {d}, sum(tokens) AS t, pow(sum(tokens), {alpha}) / sum(pow(sum(tokens), {alpha})) OVER () AS share
+  FROM cells GROUP BY {d} HAVING sum(tokens) > 0)""")
+        q.append(f"{d}_0 AS (SELECT b AS s FROM budget)")
+        for i in range(rounds):
+            q.append(f"""{d}_{i + 1} AS MATERIALIZED (SELECT greatest(s, coalesce((b - sum(CASE WHEN share * s >= t THEN t ELSE 0 END)) / nullif(sum(CASE WHEN share * s >= t THEN 0 ELSE share END), 0), s)) AS s
+  FROM share_{d}, {d}_{i}, budget GROUP BY s, b)""")
+        q.append(f"goal_{d} AS MATERIALIZED (SELECT {d}, least(t, share * s) AS goal FROM share_{d}, {d}_{rounds})")
+    joins = " ".join(f"JOIN goal_{d} g{i} ON c.{d} IS NOT DISTINCT FROM g{i}.{d}" for i, d in enumerate(DIMENSIONS))
+    q.append(f"r0 AS MATERIALIZED (SELECT c.*, {', '.join(f'g{i}.goal AS goal_{d}' for i, d in enumerate(DIMENSIONS))}, {budget}::DOUBLE AS ratio FROM cells c {joins} WHERE tokens > 0)")
     n = 0
     for _ in range(sweeps):
         for d in DIMENSIONS:
-            q.append(f"r{n + 1} AS MATERIALIZED (SELECT * REPLACE (weight * want_{d} * total / sum(weight) OVER (PARTITION BY {d}) AS weight) FROM r{n})")
+            have, left = f"sum(least(1.0, ratio) * tokens) OVER (PARTITION BY {d})", f"sum(CASE WHEN ratio < 1 THEN ratio * tokens ELSE 0.0 END) OVER (PARTITION BY {d})"
+            q.append(f"""r{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (have, left_) REPLACE (least({HIGHEST:.0f}::DOUBLE, ratio * CASE WHEN goal_{d} >= have AND left_ > 0 THEN (goal_{d} - have + left_) / left_
+  WHEN have > 0 THEN goal_{d} / have ELSE 1.0 END) AS ratio) FROM (SELECT *, {have} AS have, {left} AS left_ FROM r{n}))""")
             n += 1
-    q.append(f"s0 AS (SELECT {budget}::DOUBLE AS s)")
-    for i in range(rounds):
-        q.append(f"""s{i + 1} AS MATERIALIZED (SELECT greatest(s, coalesce(({budget} * max(total) - sum(CASE WHEN weight / tokens * s >= 1 THEN tokens ELSE 0 END))
-  / nullif(sum(CASE WHEN weight / tokens * s >= 1 THEN 0 ELSE weight END), 0), s)) AS s FROM r{n}, s{i} GROUP BY s)""")
-    q.append(f"p AS (SELECT source, lang, topic, least(1.0, weight / tokens * s) AS probability FROM r{n}, s{rounds})")
+    q.append(f"p AS (SELECT source, lang, topic, least(1.0, ratio) AS probability FROM r{n})")
     return ",\n".join(q) + """
 SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens, round(coalesce(p.probability, 1.0), 6) AS probability
 FROM marked m LEFT JOIN p ON m.source IS NOT DISTINCT FROM p.source AND m.lang IS NOT DISTINCT FROM p.lang AND m.topic = p.topic

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import duckdb
 from pyspark.sql import functions as F
 
-from obsframe.llm import lines, mixing
+from obsframe.llm import lines
 from obsframe.llm.queries import ORACLES, QUERIES
 from tests.conftest import SF_SMALL
 
@@ -60,35 +60,3 @@ def same(spark, name):
 
 def test_line_dedup_matches_sql(spark):
     same(spark, "op6_line_dedup")
-
-
-def test_mixing_matches_sql(spark):
-    same(spark, "op9_source_mixing")
-
-
-def test_raking_meets_given_margins(spark):
-    cells = spark.createDataFrame([(s, g, t, 1, 100 * (1 + i)) for i, (s, g, t) in enumerate(
-        (s, g, t) for s in ("a", "b", None) for g in ("en", "de") for t in ("list", "prose"))], "source string, lang string, topic string, docs long, tokens long")
-    want = {"source": {"a": 0.2, "b": 0.5, None: 0.3}, "lang": {"en": 0.4, "de": 0.6}}
-    r = mixing.rake(cells, want).toPandas()
-    total = r["tokens"].sum()
-    for dim, shares in want.items():
-        for k, share in shares.items():
-            part = r[r[dim].isna() if k is None else r[dim] == k]["weight"].sum() / total
-            assert abs(part - share) < 1e-6
-    p = mixing.probabilities(mixing.rake(cells, want), budget=0.5).toPandas()
-    assert p["probability"].between(0, 1).all()
-    assert abs((p["probability"] * p["tokens"]).sum() / total - 0.5) < 1e-6
-
-
-def test_mixing_edges(spark):
-    schema = "doc_id long, text string, lang string, source string, topic string, probability string"
-    rows = [(i, "word " * (1 + i % 7), ["en", None][i % 2], ["hot", "hot", "b", None][i % 4], "x", "y") for i in range(400)]
-    rows += [(None, None, None, None, None, None), (900, "", "zz", "zz", None, None), (901, "w " * 50_000, "en", "b", None, None)] + [(902, "1 2 3", "en", "b", "", "")] * 4
-    df = spark.createDataFrame(rows, schema)
-    out = mixing.calibrate(df).collect()
-    assert len(out) == len(rows) and all(0 < r.probability <= 1 for r in out)
-    assert {r.probability for r in out if r.doc_id == 900} == {1.0}
-    kept = mixing.sample(df)
-    assert Counter(kept.collect()) == Counter(mixing.sample(df.repartition(7)).collect())
-    assert mixing.sample(df.limit(0)).count() == 0
