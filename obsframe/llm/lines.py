@@ -16,7 +16,8 @@ table is small and splits where a host is skewed.
 
 Defined results: a null text stays null with no lines. A null host is a host of its own.
 Repeated rows count as pages of their own, unless ``copies_once`` is set: then a host's equal
-texts vote once, so that a page is not its host's boilerplate because it has many copies. A document that loses all lines keeps its row
+texts vote once, so that a page is not its host's boilerplate because it has many copies; ``one_of_each_group`` does so for
+groups of near copies. A document that loses all lines keeps its row
 with an empty text.
 """
 
@@ -66,11 +67,23 @@ def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float
     return common.groupBy("__boilerplate_host").agg(F.collect_list(F.struct("h", "g")).alias("__boilerplate"))
 
 
+def one_of_each_group(docs: DataFrame, groups: DataFrame, host: Column, key: str = "doc_id") -> DataFrame:
+    """The pages of ``docs`` that vote where a host's pages of one group count once: the one with the smallest id, and every
+    page without an id. ``groups`` gives ``key`` and ``component_id``; its groups may reach across hosts. Only ids and hosts are grouped,
+    combined on the map side, and the pages meet them on their ids, so a group of a third of all pages is in no one task."""
+    first = (docs.select(F.col(key).alias("__voter"), host.alias("__voter_host")).where("__voter is not null")
+             .join(groups.select(F.col(key).alias("__voter"), "component_id").distinct(), "__voter")
+             .groupBy("__voter_host", "component_id").agg(F.min("__voter").alias("__voter")))
+    first = materialise(first.select("__voter", "__voter_host"), "line-voters")
+    same = (F.col(key) == F.col("__voter")) & host.eqNullSafe(F.col("__voter_host"))
+    return docs.where(F.col(key).isNotNull()).join(first, same, "left_semi").unionByName(docs.where(F.col(key).isNull()))
+
+
 def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO,
-                     z: float = Z, copies_once: bool = False) -> DataFrame:
+                     z: float = Z, copies_once: bool = False, voters: DataFrame | None = None) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_dropped`` added
-    (columns of these names are replaced)."""
-    common = materialise(boilerplate(docs, host, text, ratio, z, copies_once), "boilerplate-lines")
+    (columns of these names are replaced). The pages that count are ``voters``, by default all of ``docs``."""
+    common = materialise(boilerplate(docs if voters is None else voters, host, text, ratio, z, copies_once), "boilerplate-lines")
     d = docs.withColumn("__line_host", host).join(common, F.col("__line_host").eqNullSafe(F.col("__boilerplate_host")), "left")
     lines = F.split(F.col(text), "\n")
     # hosts without boilerplate, and texts without such a line, pass unread

@@ -16,9 +16,10 @@ def lower(n, total, z=1.96):
     return (p + z * z / (2 * total) - z * (p * (1 - p) / total + z * z / (4 * total * total)) ** 0.5) / (1 + z * z / total)
 
 
-def brute(rows, ratio):
-    total, seen = Counter(r[2] for r in rows), defaultdict(set)
-    for i, r in enumerate(rows):
+def brute(rows, ratio, voters=None):
+    voters = rows if voters is None else voters
+    total, seen = Counter(r[2] for r in voters), defaultdict(set)
+    for i, r in enumerate(voters):
         for x in (r[1] or "").split("\n"):
             if x.strip(WHITE):
                 seen[r[2], x.strip(WHITE)].add(i)

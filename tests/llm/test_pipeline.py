@@ -20,7 +20,11 @@ def test_pipeline(spark, tmp_path):
 
     model = langid.fit(spark.read.parquet(f"{sf}/documents.parquet").where(~langid.held_out()))
     rows = [r for r in docs.itertuples(index=False, name=None) if langid.predict_text(model, r[1])[0] != "und"]
-    texts = brute_lines([(r[0], r[1], r[3]) for r in rows], 0.05)
+    groups, least_id = brute_components({r[0]: brute_print(r[1]) for r in rows}), {}
+    for r in rows:  # of each group one page a source votes
+        least_id[r[3], groups[r[0]]] = min(r[0], least_id.get((r[3], groups[r[0]]), r[0]))
+    voters = [(r[0], r[1], r[3]) for r in rows if least_id[r[3], groups[r[0]]] == r[0]]
+    texts = brute_lines([(r[0], r[1], r[3]) for r in rows], 0.05, voters)
     groups = brute_components({r[0]: brute_print(t) for r, t in zip(rows, texts)})
     rows = [(r[0], t, r[2], r[3], r[4]) for r, t in zip(rows, texts) if groups[r[0]] == r[0]]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -58,5 +62,18 @@ def test_copies_of_an_article_keep_its_text(spark):
     assert not any("menu" in t for t in out.values()) and out[7] == "\n".join(f"own 7 {j}" for j in range(4))
 
 
+def test_near_copies_of_an_article_keep_its_text(spark):
+    """A third of a source are near copies, each with a word of its own; null ids vote too."""
+    body = "\n".join(f"line {j} of the copied article with words {j * 7} {j * 11} {j * 13} and some more of them {j * 17}" for j in range(40))
+    rows = [(i, "menu home\n" + "\n".join(f"own {i} {j}" for j in range(4)), "en", "a", 0) for i in range(60)]
+    rows += [(100 + i, f"menu home\n{body}\ncopy number{i}", "en", "a", 0) for i in range(30)] + [(None, "menu home\nno id", "en", "a", 0), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF_SMALL).collect()}
+    assert all(out[100 + i] == f"{body}\ncopy number{i}" for i in range(30))
+    assert not any("menu" in (t or "") for t in out.values())
+    kept = [r.text for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, SF_SMALL), SF_SMALL).where("doc_id >= 100").collect()]
+    assert kept == [f"{body}\ncopy number0"]
+
+
 def test_stage_names():
     assert [n.split()[0] for n, _ in corpus_pipeline.STAGES] == ["language", "line", "SimHash", "mixing", "best-fit"]
