@@ -86,22 +86,22 @@ def _cell_agg(agg: str, key: Column, k, value: Column, order: Column | None) ->
     raise ValueError(f"unknown pivot aggregate {agg!r}")
 
 
-def _reduce_cells(df: DataFrame, index: list[str], key: str, value: str, agg: str,
-                  order_by: str | None) -> DataFrame:
-    """One row per (index, key) cell carrying what the cell aggregate needs (partial-aggregation friendly)."""
+def reduce_cells(df: DataFrame, index: list[str], key: str, value: str, agg: str,
+                  order_by: str | None, extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per (index, key) cell carrying what the cell aggregate needs (partial-aggregation friendly), and ``extra`` aggregates."""
     v = col_ref(value)
     if agg in ("first", "last"):
         if order_by is None:
             raise ValueError(f"agg={agg!r} needs an ordering column")
         o = F.when(v.isNotNull(), col_ref(order_by))
         cell = (F.min_by(v, o) if agg == "first" else F.max_by(v, o)).alias("_cell")
-        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(cell)
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(cell, *extra)
     if agg == "mean":
-        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(F.avg(v).alias("_cell"))
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(F.avg(v).alias("_cell"), *extra)
     if agg == "strict_mean":
-        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(strict_avg(v).alias("_cell"))
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(strict_avg(v).alias("_cell"), *extra)
     if agg in ("max", "min", "sum", "count"):
-        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(getattr(F, agg)(v).alias("_cell"))
+        return df.groupBy(*[col_ref(i) for i in index], col_ref(key)).agg(getattr(F, agg)(v).alias("_cell"), *extra)
     raise ValueError(f"unknown pivot aggregate {agg!r}")
 
 
@@ -126,7 +126,7 @@ def pivot(df: DataFrame, index: str | Sequence[str], key: str, value: str = "val
     if values is None and not extra:
         from obsframe.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
-        cells = _reduce_cells(df, index, key, value, agg, order_by).checkpoint(eager=True)
+        cells = reduce_cells(df, index, key, value, agg, order_by).checkpoint(eager=True)
         values = pivot_values(cells, key, max_width)
         df, value, agg, order_by = cells, "_cell", "max", None
     elif values is None:

@@ -57,10 +57,29 @@ def q_etl_macro_mart(spark, sf_dir):
 SELECT year, max(CASE WHEN code = '1-URGENT' THEN value END) AS urgent, max(CASE WHEN code = '5-LOW' THEN value END) AS low
 FROM raw WHERE source = 'late' GROUP BY year""")
 def q_etl_snapshot(spark, sf_dir):
-    """The snapshot of the staged long table, scoped to one source."""
-    from obsframe.operators import reshape
-    staged = _run(spark, sf_dir)["indicators_long"]
-    return reshape.snapshot(staged, "year", "code", {"urgent": "1-URGENT", "low": "5-LOW"}, where=F.col("source") == "late")
+    """The written snapshot mart of one source, read through its view."""
+    _run(spark, sf_dir, snapshot_codes={"urgent": "1-URGENT", "low": "5-LOW"}, snapshot_where=F.col("source") == "late")
+    return spark.table("v_economy_snapshot")
+
+
+@register("etl_published", "WITH " + SHARED + """
+SELECT count(*) AS n_rows, count(value) AS n_values, count(DISTINCT code) AS n_codes, round(sum(value), 2) AS total
+FROM clean""")
+def q_etl_published(spark, sf_dir):
+    """The published version of the batch, loaded by another reader after a later run has failed."""
+    out = scratch_path(spark, f"etl-{uuid.uuid4().hex}")
+    etl.run(spark, shared_code_specs(sf_dir), out)
+    broken = SourceSpec("broken", lambda s: td.table(s, sf_dir, "orders").select(
+        F.raise_error(F.lit("source went away")).cast("string").alias("indicator_code"), F.lit("x").alias("indicator_name"),
+        F.lit(2000).alias("year"), F.lit(1.0).alias("value")), "indicators_long", {"source": "broken", "dataset": "orders"})
+    try:
+        etl.run(spark, [*shared_code_specs(sf_dir), broken], out)
+    except Exception as e:  # the fault that the query plants; any other one is raised
+        if "source went away" not in str(e):
+            raise
+    clean = etl.load(spark, out)["indicators_clean"]
+    return clean.agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.countDistinct("code").alias("n_codes"),
+                     F.round(F.sum("value"), 2).alias("total"))
 
 
 @register("corr_offset", """

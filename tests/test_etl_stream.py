@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -19,7 +20,7 @@ def test_etl_writes_every_zone(spark, tmp_path):
                      subject=td.SUBJECT_NATION, rules=[{"check": "not_null", "columns": ["year"]}])
     for sub in ("staging/indicators_long", "clean/indicators_clean", "marts/mart_macro_wide",
                 "marts/mart_banks_macro", "checks/validation"):
-        assert os.path.isdir(os.path.join(out_dir, sub))
+        assert len(glob.glob(os.path.join(out_dir, "versions", "*", sub))) == 1
     assert tables["indicators_clean"].count() <= tables["indicators_long"].count()
     assert "total" in tables["mart_macro_wide"].columns         # the subject's only code
     assert spark.sql("SELECT count(*) FROM v_bank_annual").first()[0] > 0
@@ -85,6 +86,47 @@ def test_failed_stage_is_logged(spark, tmp_path):
     assert "broken source" in log["FAILED", "indicators_long"].message
 
 
+def _one_source(year, value, code="NGDPD"):
+    value = F.raise_error(F.lit("broken source")).cast("double") if value is None else F.lit(value)
+    return SourceSpec("s", lambda sp: sp.range(1).select(F.lit(code).alias("indicator_code"), F.lit("n").alias("indicator_name"), F.lit(year).alias("year"), value.alias("value")),
+                      "indicators_long", {"source": "s", "dataset": "d"})
+
+
+def test_versions_are_published_as_a_whole(spark, tmp_path):
+    out_dir = str(tmp_path / "wh")
+    with pytest.raises(LookupError):
+        etl.load(spark, out_dir)
+    etl.run(spark, [_one_source(2001, 1.0)], out_dir)
+    with pytest.raises(Exception, match="broken source"):
+        etl.run(spark, [_one_source(2002, None)], out_dir)
+
+    def fail_late(*_args, **_options):
+        raise RuntimeError("marts broke")
+
+    with pytest.MonkeyPatch.context() as m, pytest.raises(RuntimeError, match="marts broke"):
+        m.setattr(etl.reshape, "snapshot", fail_late)  # after staging, clean zone and panels of that run were written
+        etl.run(spark, [_one_source(2003, 3.0)], out_dir)
+    tables = etl.load(spark, out_dir)
+    for name in ("indicators_long", "indicators_clean", "mart_macro_wide", "economy_snapshot", "benchmark_panel"):
+        assert {r.year for r in tables[name].collect()} == {2001}, name
+    assert {r.year for r in etl.view_tables(tables)["v_economy_snapshot"].collect()} == {2001}
+    etl.run(spark, [_one_source(2004, 4.0)], out_dir)
+    assert etl.load(spark, out_dir)["indicators_long"].first().year == 2004
+    assert etl.load(spark, out_dir, version=1)["indicators_long"].first().year == 2001
+    assert len(etl.prune(spark, out_dir, keep=1)) == 3 and len(glob.glob(f"{out_dir}/versions/*")) == 1
+    assert etl.load(spark, out_dir)["indicators_long"].first().year == 2004 and etl.prune(spark, out_dir, keep=1) == []
+
+
+def test_panel_names_and_order(spark):
+    """Codes that differ in case are one column with the smallest spelling; ``first`` follows the order column."""
+    rows = [("Gdp", None, 2000, 5.0, 2), ("GDP", None, 2000, 7.0, 1), ("gdp", None, 2001, None, 3), ("cpi", None, 2001, 2.0, 4)]
+    long = spark.createDataFrame([("s", "d", c, c, e, y, v, o) for c, e, y, v, o in rows],
+                                 f"source string, dataset string, code string, name string, entity string, year int, value double, {etl.ROW_ORDER} long")
+    assert sorted(etl.macro_wide(long, None).select("year", "GDP", "cpi").collect()) == [(2000, 7.0, None), (2001, None, 2.0)]
+    assert etl.macro_wide(long, None, agg="max").where("year = 2000").first().GDP == 7.0
+    assert etl.macro_wide(long, None, agg="mean", codes=["GDP"]).first().GDP == 6.0
+
+
 def test_stream_ingest_exactly_once(spark, tmp_path):
     landing, target = tmp_path / "landing", str(tmp_path / "long")
     landing.mkdir()
