@@ -27,9 +27,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6 with the source as the host: lines common to a source's documents are taken out of the texts.
     Of a source's near copies one votes, so the near-dedup after it still finds what a group of copies holds. Every document stays; ``n_chars`` follows its new text."""
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    voters = lines.one_of_each_group(docs, simhash.near_duplicates(docs), F.col("source"))
+    groups = simhash.near_duplicates(docs)
     return _beside(docs, ["n_lines", "n_dropped"],
-                   lambda d: lines.drop_boilerplate(d, F.col("source"), copies_once=True, voters=voters).withColumn("n_chars", n_chars))
+                   lambda d: lines.drop_boilerplate(d, F.col("source"), copies_once=True, groups=groups).withColumn("n_chars", n_chars))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ table is small and splits where a host is skewed.
 
 Defined results: a null text stays null with no lines. A null host is a host of its own.
 Repeated rows count as pages of their own, unless ``copies_once`` is set: then a host's equal
-texts vote once, so that a page is not its host's boilerplate because it has many copies; ``one_of_each_group`` does so for
-groups of near copies. A document that loses all lines keeps its row
+texts vote once, so that a page is not its host's boilerplate because it has many copies; ``groups`` does so for
+groups of near copies. Which pages vote is found on their ids and line hashes; no text is shuffled. A document that loses all lines keeps its row
 with an empty text.
 """
 
@@ -51,14 +51,25 @@ def _hashed(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), of)
 
 
+def hashed_pages(docs: DataFrame, host: Column, text: str = "text", copies_once: bool = False, key: str | None = None) -> DataFrame:
+    """``(__boilerplate_host, lines)`` of each page, the hashes of its different lines; with ``copies_once`` also those of its whole
+    text, ``t`` and ``u``, and with a key that column."""
+    return docs.select(host.alias("__boilerplate_host"), F.array_distinct(F.array_compact(_hashed(F.col(text)))).alias("lines"),
+                       *([F.xxhash64(text).alias("t"), F.xxhash64(F.lit("page"), text).alias("u")] if copies_once else []),
+                       *([F.col(key).alias("__page")] if key else []))
+
+
 def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, z: float = Z,
-                copies_once: bool = False) -> DataFrame:
+                copies_once: bool = False, groups: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """``(__boilerplate_host, __boilerplate)``: the hashes of each host's boilerplate lines. With ``copies_once``, pages of
-    a host with equal texts are one page, in the counts of lines and in the total."""
-    pages = docs.select(host.alias("__boilerplate_host"), F.array_distinct(F.array_compact(_hashed(F.col(text)))).alias("lines"),
-                        *([F.xxhash64(text).alias("t"), F.xxhash64(F.lit("page"), text).alias("u")] if copies_once else []))
+    a host with equal texts are one page, in the counts of lines and in the total; with ``groups``, those of one group are."""
+    pages = hashed_pages(docs, host, text, copies_once, None if groups is None else key)
+    if groups is not None:
+        pages = one_of_each_group(pages, groups.withColumnRenamed(key, "__page"), F.col("__boilerplate_host"), "__page").drop("__page")
     if copies_once:
-        pages = pages.dropDuplicates(["__boilerplate_host", "t", "u"])  # copies are combined on the map side
+        pages = pages.dropDuplicates(["__boilerplate_host", "t", "u"]).drop("t", "u")  # copies are combined on the map side
+    if copies_once or groups is not None:
+        pages = materialise(pages, "line-pages")  # read for the totals and for the lines
     totals = pages.groupBy("__boilerplate_host").agg(F.count(F.lit(1)).alias("total"))
     seen = (pages.select("__boilerplate_host", F.explode("lines").alias("line")).select("__boilerplate_host", "line.h", "line.g")
             .groupBy("__boilerplate_host", "h", "g").agg(F.count(F.lit(1)).alias("n")).where("n >= 2"))
@@ -67,23 +78,26 @@ def boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float
     return common.groupBy("__boilerplate_host").agg(F.collect_list(F.struct("h", "g")).alias("__boilerplate"))
 
 
-def one_of_each_group(docs: DataFrame, groups: DataFrame, host: Column, key: str = "doc_id") -> DataFrame:
-    """The pages of ``docs`` that vote where a host's pages of one group count once: the one with the smallest id, and every
+def one_of_each_group(pages: DataFrame, groups: DataFrame, host: Column, key: str = "doc_id") -> DataFrame:
+    """The pages that vote where a host's pages of one group count once: the one with the smallest id, and every
     page without an id. ``groups`` gives ``key`` and ``component_id``; its groups may reach across hosts. Only ids and hosts are grouped,
-    combined on the map side, and the pages meet them on their ids, so a group of a third of all pages is in no one task."""
-    first = (docs.select(F.col(key).alias("__voter"), host.alias("__voter_host")).where("__voter is not null")
+    combined on the map side, and the pages meet them on their ids, so a group of a third of all pages is in no one task. ``pages`` are
+    shuffled as they come, so they should hold hashes, not texts; the join is an inner one of distinct voters, because
+    a semi-join would be moved below the hashing and shuffle the texts."""
+    first = (pages.select(F.col(key).alias("__voter"), host.alias("__voter_host")).where("__voter is not null")
              .join(groups.select(F.col(key).alias("__voter"), "component_id").distinct(), "__voter")
              .groupBy("__voter_host", "component_id").agg(F.min("__voter").alias("__voter")))
-    first = materialise(first.select("__voter", "__voter_host"), "line-voters")
+    first = materialise(first.select("__voter", "__voter_host").distinct(), "line-voters")
     same = (F.col(key) == F.col("__voter")) & host.eqNullSafe(F.col("__voter_host"))
-    return docs.where(F.col(key).isNotNull()).join(first, same, "left_semi").unionByName(docs.where(F.col(key).isNull()))
+    voters = pages.where(F.col(key).isNotNull()).join(first, same).select(pages.columns)
+    return voters.unionByName(pages.where(F.col(key).isNull()))
 
 
-def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO,
-                     z: float = Z, copies_once: bool = False, voters: DataFrame | None = None) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: Column, text: str = "text", ratio: float = RATIO, z: float = Z,
+                     copies_once: bool = False, groups: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_dropped`` added
-    (columns of these names are replaced). The pages that count are ``voters``, by default all of ``docs``."""
-    common = materialise(boilerplate(docs if voters is None else voters, host, text, ratio, z, copies_once), "boilerplate-lines")
+    (columns of these names are replaced). All pages count or, with ``groups`` (``key`` and ``component_id``), one of each group and host."""
+    common = materialise(boilerplate(docs, host, text, ratio, z, copies_once, groups, key), "boilerplate-lines")
     d = docs.withColumn("__line_host", host).join(common, F.col("__line_host").eqNullSafe(F.col("__boilerplate_host")), "left")
     lines = F.split(F.col(text), "\n")
     # hosts without boilerplate, and texts without such a line, pass unread

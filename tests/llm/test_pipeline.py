@@ -4,7 +4,7 @@ import corpus_pipeline
 import pandas as pd
 from pyspark.sql import functions as F
 
-from obsframe.llm import langid, mixing
+from obsframe.llm import langid, lines, mixing
 from tests.conftest import SF_SMALL
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_packing import check as check_packing
@@ -77,3 +77,19 @@ def test_near_copies_of_an_article_keep_its_text(spark):
 
 def test_stage_names():
     assert [n.split()[0] for n, _ in corpus_pipeline.STAGES] == ["language", "line", "SimHash", "mixing", "best-fit"]
+
+
+def test_voters_of_line_dedup_are_found_without_shuffling_texts(spark, monkeypatch):
+    def joined(node):
+        """The columns that joins of a plan take in."""
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        own = {b.output().apply(i).name() for b in below for i in range(b.output().size())} if node.nodeName() == "Join" else set()
+        return own.union(*map(joined, below))
+
+    found, write = set(), lines.materialise
+    monkeypatch.setattr(lines, "materialise", lambda df, name: (found.update(joined(df._jdf.queryExecution().optimizedPlan())), write(df, name))[1])
+    rows = [(i % 50 if i % 9 else None, f"menu\nown {i % 40}\nand {i % 30} more", "en", ["a", "b", None][i % 3], 0) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.line_dedup(spark, docs, SF_SMALL).collect()
+    assert len(out) == 90 and not any("menu" in r.text for r in out)
+    assert "lines" in found and "text" not in found
