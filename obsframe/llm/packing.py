@@ -10,7 +10,7 @@ first, so the small ones close the gaps that large ones leave; a group leaves at
 few sequences part-filled, which is a vanishing share of its sequences.
 
 Tokenising is one map-only pass over whole texts. Words recur, so each Python worker
-remembers the ids of the words it has met (a bounded memory, emptied when full).
+remembers the ids of the words it has met (a bounded memory that forgets words not met for long).
 
 Defined results: a null or empty text is the single id 0. Repeated rows are packed like
 any other rows.
@@ -19,9 +19,9 @@ any other rows.
 from __future__ import annotations
 
 import os
-import unicodedata
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,7 +44,25 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds(dict):
+class Recent(dict):
+    """Remembered results of ``make``, at most ``most``: those not asked for while half of them came anew are forgotten, frequent ones stay."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.half, self.older = make, max(1, most // 2), {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.half:
+            self.older = self.copy()
+            self.clear()
+        self[key] = found
+        return found
+
+
+class WordIds(Recent):
     """Whole-text token ids as little-endian unsigned 32-bit bytes, put together word by word.
 
     The tokenizer normalises and splits within white space, so a text's ids are those of its
@@ -55,12 +73,14 @@ class WordIds(dict):
     UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
     LATIN = regex.compile(r"[\x21-\x7e\u00a1-\u017f]+")  # other words go to the tokenizer as they are
+    MARKS = frozenset(".,;:!?)")  # each a unit of its own after letters
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(self.word, WORDS_KEPT)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.units = Tokenizer.from_file(path), {}
+        self.tokenizer, self.units = Tokenizer.from_file(path), Recent(self.unit, WORDS_KEPT)
+        self.model = self.tokenizer.model
         # byte-level vocabularies show a byte as its printable Latin-1 character, and the others, in order, from U+0100 on
         plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
         odd = [b for b in range(256) if b not in plain]
@@ -69,25 +89,21 @@ class WordIds(dict):
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
+    def word(self, word: str) -> bytes:
+        low = word.lower()  # of Latin letters none has a lower case that depends on its neighbours, and all are in normal form
+        if word.isascii():
+            if low.isalpha():
+                return self.units[low]
+            if low[-1] in self.MARKS and low[:-1].isalpha():
+                return self.units[low[:-1]] + self.units[low[-1]]
         if "<|" in word or not word.isprintable() or not self.LATIN.fullmatch(word):
-            found = self.direct(word)
-        else:
-            low = word.lower() if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-            found = b"".join(map(self.unit, self.UNITS.findall(low)))
-        self[word] = found
-        return found
+            return self.direct(word)
+        return self.units[low] if low.isalpha() else b"".join(map(self.units.__getitem__, self.UNITS.findall(low)))
 
     def unit(self, u: str) -> bytes:
-        got = self.units.get(u)
-        if got is None:
-            if len(self.units) >= WORDS_KEPT:
-                self.units.clear()
-            shown = u if u.isascii() else "".join(map(self.shown.__getitem__, u.encode()))
-            got = self.units[u] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
-        return got
+        shown = u if u.isascii() else "".join(map(self.shown.__getitem__, u.encode()))
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:

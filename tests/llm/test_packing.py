@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -95,3 +95,15 @@ def test_rule_against_brute_force():
         for b, s in zip(bins, lengths):
             fill[b] += int(s)
         assert (sorted(fill.values()), offsets.tolist()) == brute_sum_of_squares(lengths.tolist(), 20)
+
+
+def test_word_memory_is_exact_and_keeps_frequent_words():
+    ids = packing.WordIds(packing.default_tokenizer())
+    rng, letters = random.Random(3), "abCD éÑßİıſœŸªµ'.,;:!?)*&9\u0307中"
+    texts = ["İ. İi, ſ! ª) µ; Œuvre. a's don't. x.. (x) <|endoftext|>. 中文. n̈o, é́."] + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 80))) for _ in range(2000)]
+    for t in texts:
+        assert ids.encode(t) == ids.direct(t), t
+    made, few = Counter(), packing.Recent(lambda k: (made.update([k]), k.encode())[1], 100)
+    for i in range(1000):
+        assert few["the"] == b"the" and few[f"w{i}"] == b"w%d" % i and len(few) + len(few.older) <= 100
+    assert made["the"] == 1 and len(made) == 1001  # emptied when full, it would be made again
