@@ -16,7 +16,7 @@ byte ranges overlap are linked. The count of an id pair is the number of documen
 Aligning is arithmetic on sorted arrays of byte offsets: every stretch between two neighbouring ends, of either tokenizer, is the overlap of
 one A and one B token, and so one link. Neither tokenizer joins anything across a single space between two other characters (B has no
 piece with a space after another character, which is checked), so texts are encoded chunk by chunk between such spaces, and a worker
-remembers the chunks it has met (``CHUNKS_KEPT``, emptied when full). Pairs are counted in the task before any shuffle, so frequent ones
+remembers the chunks it has met (``CHUNKS_KEPT``; those not met for long are forgotten). Pairs are counted in the task before any shuffle, so frequent ones
 cost one row a task.
 
 Defined results: texts null, empty, or whose joined A or B bytes differ from a space and the text have no tokens, zeros and empty
@@ -76,7 +76,8 @@ class Encoder:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_type, self.b_type = (f"<u{2 if len(x) <= 1 << 16 else 4}" for x in (self.a_bytes, self.b_bytes))
         self.whole = any(MARK in p.lstrip(MARK) for p in pieces)  # then texts cannot be cut
-        self.met: dict[str, tuple[bytes, bytes] | None] = {}
+        self.met: dict[str, tuple[bytes, bytes]] = {}
+        self.older, self.bad = self.met, set()  # chunks met before these, and those that their tokens do not spell
 
     def chunks(self, text: str) -> list[str]:
         if self.whole:
@@ -92,25 +93,42 @@ class Encoder:
         same = [b"".join(map(table.__getitem__, itertools.chain.from_iterable(ids))) == said for table, ids in ((self.a_bytes, a), (self.b_bytes, b))]
         for c, x, y in zip(new, a, b, strict=True):
             if not all(same) and any(b"".join(map(table.__getitem__, ids)) != b" " + c.encode() for table, ids in ((self.a_bytes, x), (self.b_bytes, y))):
-                self.met[c] = None
+                self.bad.add(c)
+                self.met[c] = b"", b""
             else:
                 self.met[c] = array(self.a_type, x), array(self.b_type, y)
 
+    def meet(self, chunks: set[str]) -> None:
+        """Make sure that these chunks are remembered. What was not met while half of the memory filled up is forgotten."""
+        if len(self.met) > self.kept // 2:
+            self.older, self.met = self.met, {}
+            self.bad &= self.older.keys()
+        new = chunks.difference(self.met)
+        known = new.intersection(self.older)
+        self.met.update(zip(known, map(self.older.__getitem__, known)))
+        if new := list(new.difference(known)):
+            self.learn(new)
+
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """A and B ids of each text, both empty for texts without tokens."""
         for i in range(0, len(texts), DOCS_AT_ONCE):
-            if len(self.met) > self.kept:
-                self.met.clear()
             some = [self.chunks(t) if t else [] for t in texts[i:i + DOCS_AT_ONCE]]
-            if new := list({c for t in some for c in t} - self.met.keys()):
-                self.learn(new)
+            self.meet(set().union(*some))
             for t in some:
-                found = list(map(self.met.__getitem__, t))
-                yield (b"", b"") if None in found else (b"".join([x for x, _ in found]), b"".join([y for _, y in found]))
+                if not t or self.bad and not self.bad.isdisjoint(t):
+                    yield b"", b""
+                else:
+                    found = list(map(self.met.__getitem__, t))
+                    yield b"".join([x for x, _ in found]), b"".join([y for _, y in found])
+
+
+@lru_cache(maxsize=256)
+def _packer(kind: str, n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}{'H' if kind == '<u2' else 'I'}")
 
 
 def array(kind: str, ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}{'H' if kind == '<u2' else 'I'}", *ids)
+    return _packer(kind, len(ids)).pack(*ids)
 
 
 @lru_cache(maxsize=1)
@@ -158,15 +176,21 @@ class Aligned:
         self.n_groups = np.bincount(self.doc[common], minlength=len(a))
 
     def groups(self, names: list[str]) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` of each document. ``names`` holds decimal numbers."""
-        a, b = list(map(names.__getitem__, self.a.tolist())), list(map(names.__getitem__, self.b.tolist()))
-        out, x, y = [], 0, 0
-        single = np.append(self.at_a[:1] == 0, np.diff(self.at_a) == 1) & np.append(self.at_b[:1] == 0, np.diff(self.at_b) == 1)
-        for i, j, one in zip((self.at_a + 1).tolist(), (self.at_b + 1).tolist(), single.tolist(), strict=True):
-            out.append(f"{a[x]}|{b[y]}" if one else f"{','.join(a[x:i])}|{','.join(b[y:j])}")
-            x, y = i, j
-        ends = np.cumsum(self.n_groups).tolist()
-        return [";".join(out[s:e]) for s, e in zip([0, *ends], ends)]
+        """``a1,a2|b1;a3|b2,b3`` of each document. ``names`` are ``id_names``."""
+        n = len(names) // 3
+        a, b = self.a.astype(np.int64), self.b.astype(np.int64)
+        a[self.at_a] += n
+        b[self.at_b] += 2 * n
+        codes = np.empty(len(a) + len(b), np.int64)  # a group's A tokens come after the B tokens of the groups before, its B tokens after all its A tokens
+        codes[np.arange(len(a)) + np.repeat(np.append(0, self.at_b[:-1] + 1)[:len(self.at_b)], np.diff(self.at_a, prepend=-1))] = a
+        codes[np.arange(len(b)) + np.repeat(self.at_a + 1, np.diff(self.at_b, prepend=-1))] = b
+        said, ends = list(map(names.__getitem__, codes.tolist())), np.cumsum(self.n_a + self.n_b).tolist()
+        return ["".join(said[s:e])[:-1] for s, e in zip([0, *ends], ends)]
+
+
+def id_names(n: int) -> list[str]:
+    """Decimal ids below ``n`` as ``groups`` writes them: followed by a comma, then all by a bar, then all by a semicolon."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(n)]
 
 
 def some_at_once(v: Vocabulary, b: pa.RecordBatch) -> Iterator[tuple[slice, Aligned]]:
@@ -344,7 +368,7 @@ def look_up(ids: DataFrame, slice_, best, v: Vocabulary, whole: bool = True) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, highest = slice_.value, best.value
-        names = list(map(str, range(max(len(v.a_bytes), v.width))))
+        names = id_names(max(len(v.a_bytes), v.width))
         for b in batches:
             for rows, some in some_at_once(v, b):
                 n = len(some.n_a)

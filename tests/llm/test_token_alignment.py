@@ -113,3 +113,31 @@ def test_perfect_hash(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 1 << 40, n))
     slots = token_alignment.PerfectHash.build(keys).slots(keys)
     assert np.array_equal(np.sort(slots), np.arange(len(keys)))
+
+
+def test_memory_keeps_recent_chunks_within_its_bound(monkeypatch):
+    encoder, learnt = token_alignment.Encoder(*token_alignment.default_tokenizers(), kept=1000), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: (learnt.extend(new), learn(new)))
+    texts = ["bad\u2581 word"] + [f"the cat {' '.join(f'w{i}x{j}' for j in range(100))}" for i in range(40)] + ["bad\u2581 word"]
+    for t in texts:
+        a, b = next(encoder.encode([t]))
+        want = tokens(encoder, t) or ([], None, [], None)
+        assert (np.frombuffer(a, encoder.a_type).tolist(), np.frombuffer(b, encoder.b_type).tolist()) == (want[0], want[2])
+        assert len(encoder.met) + len(encoder.older) <= 1000 + 2 * 102 and encoder.bad <= encoder.met.keys() | encoder.older.keys()
+    assert learnt.count("the") == learnt.count("cat") == 1  # the former memory was emptied when full
+
+
+def test_groups_of_many_documents():
+    """Groups written by arrays equal those put together one by one."""
+    v = token_alignment.Vocabulary.of(token_alignment.default_tokenizers())
+    texts = ["", "x" * 300, "the cat", "中文字 🙂👍🏽", "", "don't I'LL we've 12 34.5", "tokenization alignment "]
+    ids = list(token_alignment._encoder(*token_alignment.default_tokenizers()).encode(texts))
+    some, names = token_alignment.Aligned(v, *map(list, zip(*ids))), token_alignment.id_names(max(len(v.a_bytes), v.width))
+    want, x, y = [], 0, 0
+    for i, j in zip((some.at_a + 1).tolist(), (some.at_b + 1).tolist()):
+        want.append(",".join(map(str, some.a[x:i].tolist())) + "|" + ",".join(map(str, some.b[y:j].tolist())))
+        x, y = i, j
+    ends = np.cumsum(some.n_groups).tolist()
+    assert some.groups(names) == [";".join(want[s:e]) for s, e in zip([0, *ends], ends)]
+    assert token_alignment.Aligned(v, [], []).groups(names) == []
