@@ -9,8 +9,9 @@ new sequence is started only when no open one has room. Pieces of a group come l
 first, so the small ones close the gaps that large ones leave; a group leaves at most a
 few sequences part-filled, which is a vanishing share of its sequences.
 
-Tokenising is one map-only pass over whole texts. Words recur, so each Python worker
-remembers the ids of the words it has met (a bounded memory that forgets words not met for long).
+Tokenising is one map-only pass over whole texts, some megabytes of them at once: their
+distinct words are cut into units, and each distinct unit is encoded once. Units recur, so each Python worker
+remembers the ids of the units it has met (a bounded memory that forgets units not met for long).
 
 Defined results: a null or empty text is the single id 0. Repeated rows are packed like
 any other rows.
@@ -26,6 +27,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ SEQUENCE = 2048
 GROUP_PIECES = 60_000
 END = b"\x00\x00\x00\x00"
 WORDS_KEPT = 600_000
+AT_ONCE = 8 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -45,72 +49,137 @@ def default_tokenizer() -> str:
 
 
 class Recent(dict):
-    """Remembered results of ``make``, at most ``most``: those not asked for while half of them came anew are forgotten, frequent ones stay."""
+    """Remembered results of ``make``, at most ``most``: those not asked for while half of them came anew are forgotten, frequent ones stay.
 
-    def __init__(self, make: Callable, most: int):
+    ``many`` asks for distinct keys at once, and ``make_all`` makes the new ones; of one call all are kept, even beyond ``most``.
+    """
+
+    def __init__(self, make: Callable, most: int, make_all: Callable | None = None):
         super().__init__()
         self.make, self.half, self.older = make, max(1, most // 2), {}
+        self.make_all = make_all or (lambda keys: map(make, keys))
 
     def __missing__(self, key):
         found = self.older.get(key)
         if found is None:
             found = self.make(key)
-        if len(self) >= self.half:
-            self.older = self.copy()
-            self.clear()
+        self.room(1)
         self[key] = found
         return found
 
+    def room(self, coming: int) -> None:
+        if len(self) + coming > self.half:
+            self.older = self.copy()
+            self.clear()
+
+    def many(self, keys: list) -> list:
+        found = [*map(self.get, keys)]
+        absent = [k for k, v in zip(keys, found, strict=True) if v is None]
+        known = {k: v for k in absent if (v := self.older.get(k)) is not None}
+        new = [k for k in absent if k not in known]
+        known.update(zip(new, self.make_all(new), strict=True))
+        self.room(len(known))
+        self.update(known)
+        return [known[k] if v is None else v for k, v in zip(keys, found, strict=True)]
 
-class WordIds(Recent):
+
+def strings(a: pa.Array) -> list[str]:
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
+def joined(parts: pa.LargeBinaryArray, cuts: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes of neighbouring parts as one value, from each cut to the next; nothing is copied."""
+    _, offsets, data = parts.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(parts) + 1)[cuts]
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
+
+
+class WordIds:
     """Whole-text token ids as little-endian unsigned 32-bit bytes, put together word by word.
 
     The tokenizer normalises and splits within white space, so a text's ids are those of its
     words in order; and within a word those of the units that its split pattern finds.
     """
 
-    # The tokenizer file's own split pattern.
-    UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
-    LATIN = regex.compile(r"[\x21-\x7e\u00a1-\u017f]+")  # other words go to the tokenizer as they are
-    MARKS = frozenset(".,;:!?)")  # each a unit of its own after letters
+    # The tokenizer file's own split pattern; the space between words that are cut at once.
+    UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+| ")
+    ODD_SPACE = "[\x1c-\x1f]"  # Arrow and the tokenizer disagree on these four
+    # Words other than plain Latin go to the tokenizer as they are. Of Latin letters only U+0130 has a lower case of two
+    # characters, none has one that depends on its neighbours, and all are in normal form.
+    ODD_WORD = r"[^\x21-\x7e\x{a1}-\x{17f}]|\x{ad}|\x{130}|<\|"
+    LAST = "</w>"  # ends the last piece of each unit
 
     def __init__(self, path: str):
-        super().__init__(self.word, WORDS_KEPT)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.units = Tokenizer.from_file(path), Recent(self.unit, WORDS_KEPT)
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+        self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith(self.LAST)]] = True
+        self.units, self.odd = Recent(self.unit, WORDS_KEPT, self.encode_units), Recent(self.direct, WORDS_KEPT)
         # byte-level vocabularies show a byte as its printable Latin-1 character, and the others, in order, from U+0100 on
         plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
         odd = [b for b in range(256) if b not in plain]
-        self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)}
+        self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)} | {ord(" "): " "}  # units have no space
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        low = word.lower()  # of Latin letters none has a lower case that depends on its neighbours, and all are in normal form
-        if word.isascii():
-            if low.isalpha():
-                return self.units[low]
-            if low[-1] in self.MARKS and low[:-1].isalpha():
-                return self.units[low[:-1]] + self.units[low[-1]]
-        if "<|" in word or not word.isprintable() or not self.LATIN.fullmatch(word):
-            return self.direct(word)
-        return self.units[low] if low.isalpha() else b"".join(map(self.units.__getitem__, self.UNITS.findall(low)))
+    def show(self, units: str) -> str:
+        return units if units.isascii() else units.encode().decode("latin-1").translate(self.shown)
 
     def unit(self, u: str) -> bytes:
-        shown = u if u.isascii() else "".join(map(self.shown.__getitem__, u.encode()))
-        ids = [t.id for t in self.model.tokenize(shown)]
+        ids = [t.id for t in self.model.tokenize(self.show(u))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit: all are encoded at once, and cut after the last pieces."""
+        ids = np.array(self.bare.encode_batch_fast([self.show(" ".join(units))], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+        if len(cuts) != len(units) + 1 or cuts[-1] != 4 * len(ids):  # a vocabulary that does not mark them so
+            return [self.unit(u) for u in units]
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode_words(self, words: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of each of distinct words."""
+        odd = pc.match_substring_regex(words, self.ODD_WORD)
+        whole = pc.and_not(pc.utf8_is_alpha(words), odd)
+        alone = pc.utf8_lower(words.filter(whole))
+        mixed = strings(words.filter(pc.invert(pc.or_(whole, odd))))
+        found = pa.array(self.UNITS.findall(" ".join(mixed).lower()), alone.type)
+        spaces = pc.equal(found, " ")
+        units = pa.concat_arrays([alone, pc.if_else(spaces, None, found)]).dictionary_encode()
+        ids = pa.array(self.units.many(strings(units.dictionary)), pa.large_binary()).take(units.indices)
+        ends = np.flatnonzero(spaces.to_numpy(zero_copy_only=False))  # a space has no ids
+        ids = joined(ids, np.r_[0:len(alone) + 1, len(alone) + ends, [len(ids)] * bool(mixed)].astype(int))
+        others = pa.array(self.odd.many(strings(words.filter(odd))), pa.large_binary())
+        kind = pc.if_else(odd, 2, pc.if_else(whole, 0, 1)).to_numpy()
+        return pa.concat_arrays([ids, others]).take(pa.array(np.argsort(np.argsort(kind, kind="stable"))))
+
+    def encode_some(self, texts: pa.Array) -> list[bytes]:
+        split = pc.utf8_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = joined(self.encode_words(words.dictionary).take(words.indices), split.offsets.to_numpy()).to_pylist()
+        for i in np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, self.ODD_SPACE), False).to_numpy(zero_copy_only=False)).tolist():
+            ids[i] = self.direct(texts[i].as_py())
+        return ids
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (of null none), about ``AT_ONCE`` bytes of text at a time."""
+        ids, ends = [], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while len(ids) < len(texts):
+            low = len(ids)
+            high = int(ends.searchsorted((ends[low - 1] if low else 0) + AT_ONCE, "right"))
+            ids += self.encode_some(texts[low:max(high, low + 1)])
+        return ids
+
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.ODD_SPACE.search(text):  # str.split and the tokenizer disagree on these four
-            return self.direct(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 @lru_cache(maxsize=2)
@@ -133,7 +202,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = _ids(path)
         for b in batches:
-            rows = [(k, *p) for k, t in zip(b["k"].tolist(), b["t"], strict=True) for p in cut_document(ids.encode(t) + END, sequence)]
+            found = ids.encode_all(pa.array(b["t"], pa.string(), from_pandas=True))
+            rows = [(k, *p) for k, x in zip(b["k"].tolist(), found, strict=True) for p in cut_document(x + END, sequence)]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             out["doc_id"] = pd.array([None if k is None or k != k else int(k) for k in out["doc_id"]], "Int64")
             yield out

@@ -62,10 +62,10 @@ def id_width(tokenizer: str) -> int:
     return 2 if _ids(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else 4
 
 
-def serialised(tokenizer: str, text: str | None, width: int, end_id: int = END_ID) -> bytes:
-    """The ids of a whole text and the end id, ``width`` bytes each."""
-    ids = _ids(tokenizer).encode(text) + end_id.to_bytes(4, "little")
-    return np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
+def serialised(tokenizer: str, texts: pa.Array, width: int, end_id: int = END_ID) -> list[bytes]:
+    """The ids of each whole text and the end id, ``width`` bytes each."""
+    end = end_id.to_bytes(4, "little")
+    return [np.frombuffer(ids + end, "<u4").astype(f"<u{width}").tobytes() for ids in _ids(tokenizer).encode_all(texts)]
 
 
 def train(docs: DataFrame, key: str, text: str, tokenizer: str, sample: int = SAMPLE) -> bytes:
@@ -81,8 +81,7 @@ def train(docs: DataFrame, key: str, text: str, tokenizer: str, sample: int = SA
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t in b.column("t").to_pylist():
-                data = serialised(tokenizer, t, width)
+            for data in serialised(tokenizer, b.column("t"), width):
                 at = zlib.crc32(data) % max(1, len(data) - PIECE) // 4 * 4
                 out.append(data[at:at + PIECE])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["piece"])
@@ -110,7 +109,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
         shared.precompute_compress(level=LEVEL)  # else every document would load it again
         press = zstandard.ZstdCompressor(dict_data=shared, write_checksum=True)
         for b in batches:
-            ids = [serialised(path, t, width) for t in b.column("t").to_pylist()]
+            ids = serialised(path, b.column("t"), width)
             frames = pa.array([press.compress(x) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array([len(x) // width for x in ids], pa.int64()), frames], ["k", "n_tokens", "frame"])
 

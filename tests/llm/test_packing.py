@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from obsframe.llm import packing
 from obsframe.llm.queries import QUERIES
@@ -107,3 +108,38 @@ def test_word_memory_is_exact_and_keeps_frequent_words():
     for i in range(1000):
         assert few["the"] == b"the" and few[f"w{i}"] == b"w%d" % i and len(few) + len(few.older) <= 100
     assert made["the"] == 1 and len(made) == 1001  # emptied when full, it would be made again
+
+
+def test_texts_are_encoded_together(monkeypatch):
+    """Of some texts at once each unit goes to the tokenizer once, with all others in one call, whatever forms and words it is in."""
+    monkeypatch.setattr(packing, "AT_ONCE", 1000)
+    ids, asked = packing.WordIds(packing.default_tokenizer()), []
+    make_all = ids.units.make_all
+    ids.units.make_all = lambda units: (asked.append(list(units)), make_all(units))[1]
+    texts = pa.array(["Tree, tree's TREE. été", None, "", " tree;été 中文 ſ\xa0İ", "a\x1cb tree", "x" * 3000, "tree ñ <|endoftext|>."])
+    assert ids.encode_all(texts) == [ids.direct(t or "") for t in texts.to_pylist()]
+    assert len(asked) == 3 and sorted(asked[0]) == sorted(["tree", ",", "'s", ".", ";", "été", "ſ", "a", "b"])
+    assert asked[1] == ["x" * 3000] and asked[2] == ["ñ"]
+    assert ids.encode_all(texts.slice(3, 1)) == [ids.direct(texts[3].as_py())] and ids.encode_all(texts.slice(1, 1)) == [b""] and ids.encode_all(texts[:0]) == []
+
+
+def test_every_character_beside_others():
+    ids, seen = packing.WordIds(packing.default_tokenizer()), [*range(1, 0x250), 0x300, 0x307, 0x3A3, 0x3C3, 0x1E9E, 0x2019, 0x200B, 0x212A, 0x3000, 0x4E2D, 0xFB01, 0x1F600]
+    texts = [form.replace("_", chr(c)) for c in seen for form in ("_", "a_", "_B", "'_", "'s_", "_'LL", "X _ 9_.", ".'_re", "_" * 3, "\u00ad_ <|_")]
+    assert ids.encode_all(pa.array(texts)) == [ids.direct(t) for t in texts]
+
+
+def test_memory_of_many_keys():
+    made, few = Counter(), packing.Recent(lambda k: (made.update([k]), k.encode())[1], 100)
+    for i in range(0, 1000, 10):
+        keys = ["the", *(f"w{j}" for j in range(i, i + 10))]
+        assert few.many(keys) == [k.encode() for k in keys] and len(few) + len(few.older) <= 100
+    assert made["the"] == 1 and len(made) == 1001
+    keys = [f"v{i}" for i in range(500)]
+    assert few.many(keys) == [k.encode() for k in keys] and few.many([]) == []
+
+
+def test_a_vocabulary_without_marks_is_encoded_unit_by_unit():
+    ids = packing.WordIds(packing.default_tokenizer())
+    ids.last[:] = False
+    assert ids.encode("some words, été") == ids.direct("some words, été")
