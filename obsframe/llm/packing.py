@@ -39,7 +39,7 @@ SEQUENCE = 2048
 GROUP_PIECES = 60_000
 END = b"\x00\x00\x00\x00"
 WORDS_KEPT = 600_000
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
