@@ -38,8 +38,8 @@ from obsframe.llm.common import materialise, ship
 SEQUENCE = 2048
 GROUP_PIECES = 60_000
 END = b"\x00\x00\x00\x00"
-WORDS_KEPT = 600_000
-AT_ONCE = 4 << 20
+WORDS_KEPT = 240_000
+AT_ONCE = 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -169,14 +169,16 @@ class WordIds:
             ids[i] = self.direct(texts[i].as_py())
         return ids
 
+    def encode_parts(self, texts: pa.Array) -> Iterator[list[bytes]]:
+        """The ids of each text (of null none), about ``AT_ONCE`` bytes of text at a time: a list of each such part."""
+        low, ends = 0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while low < len(texts):
+            high = max(low + 1, int(ends.searchsorted((ends[low - 1] if low else 0) + AT_ONCE, "right")))
+            yield self.encode_some(texts[low:high])
+            low = high
+
     def encode_all(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text (of null none), about ``AT_ONCE`` bytes of text at a time."""
-        ids, ends = [], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        while len(ids) < len(texts):
-            low = len(ids)
-            high = int(ends.searchsorted((ends[low - 1] if low else 0) + AT_ONCE, "right"))
-            ids += self.encode_some(texts[low:max(high, low + 1)])
-        return ids
+        return [x for part in self.encode_parts(texts) for x in part]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all(pa.array([text], pa.string()))[0]
@@ -193,22 +195,33 @@ def cut_document(ids: bytes, sequence: int = SEQUENCE) -> list[tuple[int, int, i
     return [(i, s, min(step, n - s), zlib.crc32(ids[4 * s:4 * (s + step)])) for i, s in enumerate(range(0, n, step))]
 
 
+def cut_documents(ids: WordIds, keys: pa.Array, texts: pa.Array, sequence: int = SEQUENCE) -> pa.RecordBatch:
+    """The ``PIECES`` of a batch. The ids are dropped part by part, and what Arrow's pool keeps for later goes back at the end."""
+    n, rows = [], []
+    for part in ids.encode_parts(texts):
+        for x in part:
+            found = cut_document(x + END, sequence)
+            n.append(len(found))
+            rows += found
+    pa.default_memory_pool().release_unused()
+    piece, start, length, crc = zip(*rows, strict=True) if rows else ([],) * 4
+    doc = keys.take(pa.array(np.repeat(np.arange(len(n)), np.array(n, int))))
+    return pa.RecordBatch.from_arrays([doc, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
+                                      ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None,
            sequence: int = SEQUENCE) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document."""
     path = tokenizer or default_tokenizer()
     ship(docs.sparkSession)
 
-    def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(path)
         for b in batches:
-            found = ids.encode_all(pa.array(b["t"], pa.string(), from_pandas=True))
-            rows = [(k, *p) for k, x in zip(b["k"].tolist(), found, strict=True) for p in cut_document(x + END, sequence)]
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = pd.array([None if k is None or k != k else int(k) for k in out["doc_id"]], "Int64")
-            yield out
+            yield cut_documents(ids, b.column("k"), b.column("t"), sequence)
 
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(tokenise, PIECES)
+    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInArrow(tokenise, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, sequence: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -143,3 +144,26 @@ def test_a_vocabulary_without_marks_is_encoded_unit_by_unit():
     ids = packing.WordIds(packing.default_tokenizer())
     ids.last[:] = False
     assert ids.encode("some words, été") == ids.direct("some words, été")
+
+
+def test_a_batch_is_cut_without_the_ids_of_all_its_texts():
+    """A task holds the ids of some texts, not those of its whole batch."""
+    ids, texts = packing.WordIds(packing.default_tokenizer()), pa.array(["many small words, " * 3000] * 160)
+
+    def peak(work):
+        tracemalloc.start()
+        work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    ids.encode_all(texts[:1])  # so that the words are known
+    whole = 160 * 4 * 3000 * 4
+    assert peak(lambda: ids.encode_all(texts)) > whole
+    assert peak(lambda: packing.cut_documents(ids, pa.array(range(160)), texts)) < whole
+
+
+def test_large_ids_beside_null_ids(spark):
+    rows = [((1 << 60) + 1, "some words", None, None, None), (None, None, None, None, None)]
+    out = packing.pieces(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    assert {r.doc_id for r in out} == {(1 << 60) + 1, None}  # null ids made floats of the others
